@@ -49,13 +49,18 @@ def salted_join(
     if not hot:
         return left.join(right, keys, how)
     is_hot = F.xxhash64(*keys).isin(hot)
-    spread = F.pmod(F.xxhash64(*left.columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
-    salted_left = left.withColumn("_salt", F.when(is_hot, spread).otherwise(0))
+    salt = F.pmod(F.xxhash64(*left.columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
+    salted_left = left.withColumn("_salt", F.when(is_hot, salt).otherwise(0))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     salted_right = right.withColumn("_salt", F.explode(copies))
     return salted_left.join(salted_right, keys + ["_salt"], how).drop("_salt")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Keep the session's number of partitions ahead of work that costs more than its bytes suggest."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def is_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     return df.limit(limit + 1).count() <= limit
 
@@ -145,6 +150,7 @@ def best_match(
     """
     groups = max(1, -(-choices.count() // chunk))
     names = df.select(F.col(name).alias("_name")).where(F.col(name).isNotNull()).distinct()
+    names = spread(names, "_name")
     salted = names.select(
         "_name",
         F.pmod(F.xxhash64("_name"), F.lit(SALTS)).alias("_salt"),

@@ -1,21 +1,27 @@
 """Joins of similar texts with full recall, from keys that similar texts must share.
 
-Two texts within `d` edits share one of `d + 1` pieces of the shorter one, at nearly the
-same place (the partition-based join of Li, Deng, Wang and Feng, 2011). So every text
-emits a few hashed keys, an equi-join on the keys gives the candidates, and the exact
-score is checked in the same stage: candidates are never shuffled or stored. Keys that
-many texts share are split into a grid of bounded cells.
+Cut the shorter of two texts into pieces. An edit touches one piece, so with `d` edits
+and `d + 1 + r` pieces at least `r + 1` pieces occur in the longer text too, at nearly the
+same place (after Li, Deng, Wang and Feng, 2011). Every text emits hashed pieces, an
+equi-join gives the candidates, and the exact score is checked in the same stage, so
+candidates are never shuffled or stored. The `r` spare pieces let each text leave out
+its most common ones, such as a shared beginning, and still meet every match. Keys that
+stay common are split into a grid of bounded cells.
 """
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pathwarden.functions.similarity import plain_text, score_of, sorted_tokens
+from pathwarden.operators.joins import spread
 
 CELL_ROWS = 20_000
 HOT_TRACKED = 2_048
+COMMON_TRACKED = 256
 TINY = 1e-9
 
 
@@ -40,34 +46,58 @@ def _shortest(length: Column, scorer: str, cutoff: float) -> Column:
     return F.ceil(length * share - TINY).cast("int")
 
 
-def _pieces(df: DataFrame, scorer: str, cutoff: float) -> DataFrame:
-    """Add for each row with column `_len` the bounds of every piece of a text of that length."""
-    n = _edits(F.col("_len"), scorer, cutoff) + 1
-    cut = df.withColumn("_n", n).withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    start = F.floor(F.col("_i") * F.col("_len") / F.col("_n")).cast("int")
-    end = F.floor((F.col("_i") + 1) * F.col("_len") / F.col("_n")).cast("int")
-    return cut.withColumn("_start", start).withColumn("_width", end - start)
+def _spare(length: Column, edits: Column) -> Column:
+    """How many pieces a text may leave out; short texts have none to spare."""
+    return F.when(length >= (edits + 3) * 5, 2).when(length >= (edits + 2) * 4, 1).otherwise(0)
+
+
+def _bounds(length: Column, count: Column, i: Column) -> tuple[Column, Column]:
+    """Start and width of piece `i` of `count` of a text of `length`."""
+    start = F.floor(i * length / count).cast("int")
+    return start, F.floor((i + 1) * length / count).cast("int") - start
+
+
+def _index_keys(nodes: DataFrame, scorer: str, cutoff: float, cell_rows: int | None) -> DataFrame:
+    """One key per piece of the text, the common ones left out as far as there are spare ones."""
+    length = F.length("text")
+    cut = nodes.withColumn("_edits", _edits(length, scorer, cutoff))
+    cut = cut.withColumn("_spare", _spare(length, F.col("_edits")))
+    count = F.col("_edits") + 1 + F.col("_spare")
 
+    def key(i):
+        start, width = _bounds(F.length("text"), count, i)
+        return F.xxhash64("block", F.length("text"), i, F.substring(F.col("text"), start + 1, width))
 
-def _index_keys(nodes: DataFrame, scorer: str, cutoff: float) -> DataFrame:
-    """One key per piece of the text."""
-    cut = _pieces(nodes.withColumn("_len", F.length("text")), scorer, cutoff)
-    piece = F.substring(F.col("text"), F.col("_start") + 1, F.col("_width"))
-    return cut.select(*nodes.columns, F.xxhash64("block", "_len", "_i", piece).alias("sig"))
+    keyed = cut.withColumn("_keys", F.transform(F.sequence(F.lit(0), count - 1), key))
+    kept = F.col("_keys")
+    if cell_rows is not None:
+        common = _common_keys(keyed.where("_spare > 0").select(F.explode("_keys").alias("sig")), COMMON_TRACKED, cell_rows)
+        if common:
+            weight = F.create_map(*[F.lit(v) for entry in common.items() for v in entry])
+            ranked = F.array_sort(
+                F.transform(kept, lambda k: F.struct((-F.coalesce(F.try_element_at(weight, k), F.lit(0))).alias("w"), k.alias("k")))
+            )
+            kept = F.transform(F.slice(ranked, F.col("_spare") + 1, F.size(ranked)), lambda e: e["k"])
+    return keyed.withColumn("sig", F.explode(kept)).select(*nodes.columns, "sig")
 
 
 def _probe_keys(nodes: DataFrame, scorer: str, cutoff: float) -> DataFrame:
-    """The keys that a shorter or equally long match may have: pieces at places the edits allow."""
+    """The keys that a shorter or equally long match may have: pieces at the places its edits allow."""
     size = F.length("text")
     lengths = nodes.withColumn("_size", size).withColumn(
         "_len", F.explode(F.sequence(_shortest(size, scorer, cutoff), size))
     )
-    cut = _pieces(lengths, scorer, cutoff)
-    before, after = F.col("_i"), F.col("_n") - 1 - F.col("_i")
-    moved = F.col("_start") + F.col("_size") - F.col("_len")
-    low = F.greatest(F.lit(0), F.col("_start") - before, moved - after)
-    high = F.least(F.col("_size") - F.col("_width"), F.col("_start") + before, moved + after)
-    placed = cut.withColumn("_low", low).withColumn("_high", high).where(F.col("_low") <= F.col("_high"))
+    cut = lengths.withColumn("_edits", _edits(F.col("_len"), scorer, cutoff))
+    cut = cut.withColumn("_count", F.col("_edits") + 1 + _spare(F.col("_len"), F.col("_edits")))
+    cut = cut.withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_count") - 1)))
+    start, width = _bounds(F.col("_len"), F.col("_count"), F.col("_i"))
+    cut = cut.withColumn("_start", start).withColumn("_width", width)
+    # A shift by s costs at least |s| edits before the piece and |s - longer| after it.
+    longer = F.col("_size") - F.col("_len")
+    low = F.greatest(F.lit(0), F.col("_start") - F.floor((F.col("_edits") - longer) / 2).cast("int"))
+    high = F.least(F.col("_size") - F.col("_width"), F.col("_start") + F.floor((F.col("_edits") + longer) / 2).cast("int"))
+    placed = cut.withColumn("_low", low).withColumn("_high", high)
+    placed = placed.where((longer <= F.col("_edits")) & (F.col("_low") <= F.col("_high")))
     placed = placed.withColumn("_at", F.explode(F.sequence("_low", "_high")))
     piece = F.substring(F.col("text"), F.col("_at") + 1, F.col("_width"))
     return placed.select(*nodes.columns, F.xxhash64("block", "_len", "_i", piece).alias("sig"))
@@ -92,38 +122,41 @@ def _rare_token_keys(nodes: DataFrame) -> DataFrame:
     )
 
 
-def _hot_cells(index: DataFrame, probe: DataFrame, cell_rows: int) -> DataFrame | None:
-    """Keys held by many rows, with the number of parts to cut each side into.
+def _common_keys(sigs: DataFrame, tracked: int, more_than: int) -> dict[int, int]:
+    """Keys held by more than so many rows, with their counts: one pass with a fixed-size sketch."""
+    top = sigs.agg(F.expr(f"approx_top_k(sig, {tracked}, {tracked * 16})").alias("top")).first()["top"] or []
+    return {e["item"]: e["count"] for e in top if e["count"] > more_than}
 
-    One sketch pass finds them; the table has at most HOT_TRACKED rows by construction.
-    """
-    spark = index.sparkSession
-    sigs = index.select("sig").unionAll(probe.select("sig"))
-    row = sigs.agg(F.expr(f"approx_top_k(sig, {HOT_TRACKED}, {HOT_TRACKED * 16})").alias("top")).first()
-    hot = [(e["item"], -(-e["count"] // cell_rows)) for e in row["top"] or [] if e["count"] > cell_rows]
-    return spark.createDataFrame(hot, "sig bigint, _parts int") if hot else None
 
+def grid_join(index: DataFrame, probe: DataFrame, on: Column, cell_rows: int | None) -> DataFrame:
+    """Join on `sig` and `on` (aliases i and p), common keys as a grid of parts x parts cells.
 
-def grid_join(index: DataFrame, probe: DataFrame, on: Column, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """Join on `sig` and `on` (aliases i and p), hot keys as a grid of parts x parts cells.
-
-    A row of a hot key goes to one row or column of the grid, so each pair meets once
-    and no cell holds more than about `cell_rows` rows of either side.
+    A row of a common key goes to one row or column of the grid, so each pair meets once
+    and no cell holds more than about `cell_rows` rows of either side. The table of
+    such keys has at most HOT_TRACKED rows. `cell_rows` None: the inputs are too small.
     """
-    hot = _hot_cells(index, probe, cell_rows)
-    keys = F.col("i.sig") == F.col("p.sig")
-    if hot is not None:
+    spark = index.sparkSession
+    keys = ["sig"]
+    hot = {}
+    if cell_rows is not None:
+        hot = _common_keys(index.select("sig").unionAll(probe.select("sig")), HOT_TRACKED, cell_rows)
+    if hot:
+        cells = [(key, -(-count // cell_rows)) for key, count in hot.items()]
+        parts = spark.createDataFrame(cells, "sig bigint, _parts int")
         own = F.pmod(F.xxhash64("id"), F.col("_parts")).cast("int")
         every = F.sequence(F.lit(0), F.col("_parts") - 1)
 
         def gridded(df, row, column):
-            known = df.join(F.broadcast(hot), "sig", "left").withColumn("_parts", F.coalesce("_parts", F.lit(1)))
+            known = df.join(F.broadcast(parts), "sig", "left").withColumn("_parts", F.coalesce("_parts", F.lit(1)))
             return known.withColumn("_row", row).withColumn("_column", column).drop("_parts")
 
         index = gridded(index, own, F.explode(every))
         probe = gridded(probe, F.explode(every), own)
-        keys = keys & (F.col("i._row") == F.col("p._row")) & (F.col("i._column") == F.col("p._column"))
-    return index.alias("i").join(probe.alias("p"), keys & (F.col("i.block") == F.col("p.block")) & on)
+        keys = ["sig", "_row", "_column"]
+    equal = (F.col("i.block") == F.col("p.block")) & on
+    for key in keys:
+        equal = equal & (F.col(f"i.{key}") == F.col(f"p.{key}"))
+    return spread(index, *keys).alias("i").join(spread(probe, *keys).alias("p"), equal)
 
 
 def _checked(pairs: DataFrame, scorer: str, name_cutoff: int, path_cutoff: int | None, extra: list[str]) -> DataFrame:
@@ -183,6 +216,8 @@ def similar_pairs(
     def longer(i, p):
         return F.length(f"{p}.text") > F.length(f"{i}.text")
 
+    most_rows = max(side.count() for side in ([left] if right is None else [left, right]))
+    cells = cell_rows if most_rows > cell_rows // 4 else None
     found = []
     for text, family, cutoff in families:
         # The weighted score of a text without any letter or digit is 0.
@@ -195,13 +230,13 @@ def similar_pairs(
             within = near & (F.col("i.id") != F.col("p.id"))
             across = near
         else:
-            index = lambda df, s=family, c=cutoff: _index_keys(df, s, c)
-            probe = lambda df, s=family, c=cutoff: _probe_keys(df, s, c)
+            index = partial(_index_keys, scorer=family, cutoff=cutoff, cell_rows=cells)
+            probe = partial(_probe_keys, scorer=family, cutoff=cutoff)
             within = longer("i", "p") | (F.col("p.id") > F.col("i.id"))
             across = F.lit(True)
         joins = [(sides[0], sides[0], within)] if right is None else [(sides[0], sides[1], across), (sides[1], sides[0], across)]
         for indexed, probed, on in joins:
-            pairs = grid_join(index(indexed), probe(probed), on, cell_rows)
+            pairs = grid_join(index(indexed), probe(probed), on, cells)
             found.append(_checked(pairs, scorer, name_cutoff, path_cutoff, list(extra)))
     result = found[0]
     for more in found[1:]:
