@@ -115,8 +115,7 @@ def _rare_token_keys(nodes: DataFrame) -> DataFrame:
     by_length = F.array_sort(
         F.transform(F.array_distinct(F.split("text", r"\s+")), lambda t: F.struct((-F.length(t)).alias("n"), t.alias("t")))
     )
-    missed = F.floor(F.length("text") * 0.013).cast("int")
-    picked = F.slice(by_length, F.lit(1), missed + 1)
+    picked = F.slice(by_length, F.lit(1), _missable(F.col("text")) + 1)
     return nodes.withColumn("_token", F.explode(picked)).select(
         *nodes.columns, F.xxhash64("block", "_token.t").alias("sig")
     )
@@ -159,6 +158,24 @@ def grid_join(index: DataFrame, probe: DataFrame, on: Column, cell_rows: int | N
     return spread(index, *keys).alias("i").join(spread(probe, *keys).alias("p"), equal)
 
 
+def _close(a: Column, b: Column, scorer: str, cutoff: float) -> Column:
+    """A necessary condition for the score, checked in the JVM ahead of it."""
+    longest = F.greatest(F.length(a), F.length(b)) if scorer == "levenshtein" else F.length(a) + F.length(b)
+    edits = F.floor(longest * allowance(cutoff) + TINY).cast("int")
+    return F.call_function("levenshtein", a, b, edits) >= 0
+
+
+def _missable(text: Column) -> Column:
+    """How many tokens a text may lack in the other one at a near-perfect token score."""
+    return F.floor(F.length(text) * 0.013).cast("int")
+
+
+def _contained(a: Column, b: Column) -> Column:
+    """A necessary condition for a near-perfect token score: one text has nearly all tokens of the other."""
+    left, right = F.split(a, r"\s+"), F.split(b, r"\s+")
+    return (F.size(F.array_except(left, right)) <= _missable(a)) | (F.size(F.array_except(right, left)) <= _missable(b))
+
+
 def _checked(pairs: DataFrame, scorer: str, name_cutoff: int, path_cutoff: int | None, extra: list[str]) -> DataFrame:
     """Candidates (aliases i and p) that reach the cutoffs, as (block, a, b) with a < b."""
     swap = F.col("i.id") > F.col("p.id")
@@ -176,12 +193,8 @@ def _checked(pairs: DataFrame, scorer: str, name_cutoff: int, path_cutoff: int |
         if cutoff is None:
             continue
         a, b = F.col(f"a_{name}"), F.col(f"b_{name}")
-        if scorer in ("levenshtein", "ratio"):
-            # A cheap necessary condition in the JVM, ahead of the exact score.
-            c = allowance(cutoff)
-            most = F.greatest(F.length(a), F.length(b)) if scorer == "levenshtein" else F.length(a) + F.length(b)
-            near = F.call_function("levenshtein", a, b, F.floor(most * c + TINY).cast("int"))
-            result = result.where(near >= 0)
+        if name == "path":
+            result = result.where(_close(a, b, scorer, cutoff))
         result = result.withColumn(f"{name}_score", score_of(a, b, scorer)).where(F.col(f"{name}_score") >= cutoff)
     return result.withColumnRenamed("a_id", "a").withColumnRenamed("b_id", "b")
 
@@ -213,9 +226,6 @@ def similar_pairs(
     else:
         families = [(F.col("name"), scorer, name_cutoff)]
 
-    def longer(i, p):
-        return F.length(f"{p}.text") > F.length(f"{i}.text")
-
     most_rows = max(side.count() for side in ([left] if right is None else [left, right]))
     cells = cell_rows if most_rows > cell_rows // 4 else None
     found = []
@@ -226,14 +236,16 @@ def similar_pairs(
             sides = [s.where(F.col("text") != "") for s in sides]
         if family == "token":
             index, probe = _all_token_keys, _rare_token_keys
-            near = F.greatest(F.length("i.text"), F.length("p.text")) < 1.5 * F.least(F.length("i.text"), F.length("p.text"))
+            lengths = F.length("i.text"), F.length("p.text")
+            near = (F.greatest(*lengths) < 1.5 * F.least(*lengths)) & _contained(F.col("i.text"), F.col("p.text"))
             within = near & (F.col("i.id") != F.col("p.id"))
             across = near
         else:
             index = partial(_index_keys, scorer=family, cutoff=cutoff, cell_rows=cells)
             probe = partial(_probe_keys, scorer=family, cutoff=cutoff)
-            within = longer("i", "p") | (F.col("p.id") > F.col("i.id"))
-            across = F.lit(True)
+            across = _close(F.col("i.text"), F.col("p.text"), family, cutoff)
+            longer = F.length("p.text") > F.length("i.text")
+            within = (longer | (F.col("p.id") > F.col("i.id"))) & across
         joins = [(sides[0], sides[0], within)] if right is None else [(sides[0], sides[1], across), (sides[1], sides[0], across)]
         for indexed, probed, on in joins:
             pairs = grid_join(index(indexed), probe(probed), on, cells)

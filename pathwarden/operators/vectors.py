@@ -150,10 +150,12 @@ def cosine_pairs(
 
     keys = ["cell", "x", "y"]
     fields = [*keys, "id", "u", "home"]
+    # Fresh names for one side: both may stem from the same table.
+    others = grid_columns.select(*[F.col(c).alias(c) for c in fields])
     return (
         grid_rows.select(*fields)
         .groupBy(*keys)
-        .cogroup(grid_columns.select(*fields).groupBy(*keys))
+        .cogroup(others.groupBy(*keys))
         .applyInPandas(product, "a bigint, b bigint, cosine double")
     )
 
@@ -218,7 +220,8 @@ def mean_similarity(df: DataFrame, vector: str = "vector", name: str = "mean_sim
     centre = units.where(F.col("_u").isNotNull()).agg(
         vector_to_array(Summarizer.mean(array_to_vector(F.col("_u")))).alias("c")
     )
-    return units.withColumn(name, dot(F.col("_u"), centre.scalar())).drop("_u")
+    centred = units.withColumn("_centre", centre.scalar())
+    return centred.withColumn(name, dot(F.col("_u"), F.col("_centre"))).drop("_u", "_centre")
 
 
 def semantic_outliers(df: DataFrame, below: float = 0.27, vector: str | None = None) -> DataFrame:

@@ -1,0 +1,316 @@
+"""Near-duplicate and vector queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from pathwarden.operators import fuzzy, vectors
+from pathwarden.operators.grouping import seed_members
+from pathwarden.plans.registry import query
+from pathwarden.plans.table_queries import score_sql
+from pathwarden.sources.location_view import location_view, table
+
+
+def pages_view(spark, d):
+    """Web addresses in the shape of locations: the address is the name, its parts are the path."""
+    url = F.col("url")
+    path = F.concat(F.lit("WEB#"), F.regexp_replace(F.regexp_replace(url, "^https?://", ""), "[^A-Za-z0-9]+", "#"))
+    return table(spark, d, "pages").select(
+        F.col("page_id").alias("row_id"),
+        url.alias("NAME"),
+        F.concat(F.lit("P"), F.col("page_id").cast("string")).alias("CODE"),
+        path.alias("HIERARCHY"),
+        F.lit(False).alias("IS_GROUP"),
+        F.lit(None).cast("string").alias("CHILDREN"),
+        F.regexp_extract(url, "/([a-z][a-z])/", 1).alias("LEVEL_NAME"),
+    )
+
+
+_PAGES = """
+WITH RECURSIVE pg AS (
+  SELECT page_id AS row_id, url AS NAME, regexp_extract(url, '/([a-z][a-z])/', 1) AS LEVEL_NAME,
+         'WEB#' || regexp_replace(regexp_replace(url, '^https?://', ''), '[^A-Za-z0-9]+', '#', 'g') AS HIERARCHY FROM pages)
+"""
+
+
+def _pairs_sql(source, name_cutoff, path_cutoff):
+    return f"""
+    , scored AS MATERIALIZED (SELECT a.LEVEL_NAME AS block, a.row_id AS a, b.row_id AS b,
+           CAST({score_sql('a.NAME', 'b.NAME')} AS INTEGER) AS name_score,
+           CAST({score_sql('a.HIERARCHY', 'b.HIERARCHY')} AS INTEGER) AS path_score
+    FROM {source} AS a JOIN {source} AS b ON a.LEVEL_NAME = b.LEVEL_NAME AND a.row_id < b.row_id),
+    edges AS (SELECT * FROM scored WHERE name_score >= {name_cutoff} AND path_score >= {path_cutoff})
+    """
+
+
+def _sweep_sql(nodes, neighbours):
+    """The sequential sweep over `nodes` (id) in order; a node takes its untaken larger neighbours."""
+    return f"""
+    , ordered AS MATERIALIZED (SELECT id, row_number() OVER (ORDER BY id) AS pos,
+                  coalesce((SELECT list(b ORDER BY b) FROM {neighbours} AS e WHERE e.a = n.id), []) AS nb FROM {nodes} AS n),
+    sweep AS (
+      SELECT CAST(0 AS BIGINT) AS step, CAST([] AS BIGINT[]) AS taken, CAST([] AS STRUCT(seed BIGINT, id BIGINT)[]) AS found
+      UNION ALL
+      SELECT step + 1,
+             CASE WHEN list_contains(taken, x) OR len(fresh) = 0 THEN taken ELSE list_concat(taken, list_append(fresh, x)) END,
+             CASE WHEN list_contains(taken, x) OR len(fresh) = 0 THEN found
+                  ELSE list_concat(found, list_transform(list_append(fresh, x), lambda m: {{'seed': x, 'id': m}})) END
+      FROM (SELECT s.step, s.taken, s.found, CAST(o.id AS BIGINT) AS x,
+                   list_filter(CAST(o.nb AS BIGINT[]), lambda m: NOT list_contains(s.taken, m)) AS fresh
+            FROM sweep AS s JOIN ordered AS o ON o.pos = s.step + 1)),
+    swept AS (SELECT unnest(found) AS f FROM sweep WHERE step = (SELECT max(step) FROM sweep)),
+    grouped AS (SELECT f.seed AS seed, f.id AS id FROM swept)
+    """
+
+
+_NAMES_SQL = f"""
+, nm AS (SELECT LEVEL_NAME AS block, NAME AS name, min(row_id) AS id FROM loc WHERE LEVEL_NAME IS NOT NULL GROUP BY 1, 2),
+np AS (SELECT a.block, a.id, a.name, b.name AS match, CAST({score_sql('a.name', 'b.name')} AS INTEGER) AS score
+       FROM nm AS a JOIN nm AS b ON a.block = b.block),
+matches AS MATERIALIZED (SELECT np.block, np.id, np.name, row_number() OVER (PARTITION BY np.block, np.id ORDER BY score DESC, row_id) AS rank,
+                   row_id AS row, match, score
+            FROM np JOIN loc ON loc.LEVEL_NAME = np.block AND loc.NAME = np.match WHERE score >= 85
+            QUALIFY row_number() OVER (PARTITION BY np.block, np.id ORDER BY score DESC, row_id) <= 5)
+"""
+
+_NAME_SWEEP_SQL = (
+    _NAMES_SQL
+    + """
+, several AS (SELECT block, id FROM matches GROUP BY 1, 2 HAVING count(*) > 1),
+ordered AS MATERIALIZED (SELECT s.id, row_number() OVER (ORDER BY s.id) AS pos,
+            (SELECT list(DISTINCT t.id) FROM matches AS m JOIN nm AS t ON t.block = m.block AND t.name = m.match WHERE m.id = s.id) AS nb
+            FROM several AS s),
+sweep AS (
+  SELECT CAST(0 AS BIGINT) AS step, CAST([] AS BIGINT[]) AS taken, CAST([] AS BIGINT[]) AS seeds
+  UNION ALL
+  SELECT step + 1,
+         CASE WHEN list_contains(taken, o.id) THEN taken ELSE list_concat(taken, CAST(o.nb AS BIGINT[])) END,
+         CASE WHEN list_contains(taken, o.id) THEN seeds ELSE list_append(seeds, CAST(o.id AS BIGINT)) END
+  FROM sweep AS s JOIN ordered AS o ON o.pos = s.step + 1),
+seeds AS (SELECT unnest(seeds) AS id FROM sweep WHERE step = (SELECT max(step) FROM sweep)),
+name_groups AS (SELECT block, id AS "group", rank, row FROM matches WHERE id IN (SELECT id FROM seeds))
+"""
+)
+
+
+@query("f1_similar_names", _NAMES_SQL + "SELECT block, id, name, rank, row, match, score FROM matches")
+def f1(spark, d):
+    return fuzzy.similar_names(location_view(spark, d), cutoff=85, scorer="levenshtein")
+
+
+@query("f1_similar_names_weighted")
+def f1_weighted(spark, d):
+    return fuzzy.similar_names(pages_view(spark, d), scorer="weighted")
+
+
+@query("f2_group_by_name", _NAME_SWEEP_SQL + 'SELECT block, "group", rank, row FROM name_groups')
+def f2(spark, d):
+    return fuzzy.group_by_name(fuzzy.similar_names(location_view(spark, d), cutoff=85, scorer="levenshtein"))
+
+
+@query(
+    "f3_fetch_group_rows",
+    _NAME_SWEEP_SQL
+    + """
+    SELECT row_id, CODE, "group", rank FROM loc JOIN (
+      SELECT row, "group", rank FROM name_groups QUALIFY row_number() OVER (PARTITION BY row ORDER BY "group", rank) = 1) ON row = row_id
+    """,
+)
+def f3(spark, d):
+    view = location_view(spark, d)
+    groups = fuzzy.name_groups(view, "LEVEL_NAME", "row_id", 5, 85, "levenshtein")
+    return fuzzy.group_rows(groups, view).select("row_id", "CODE", "group", "rank")
+
+
+@query(
+    "f4_similar_groups",
+    _PAGES + _pairs_sql("pg", 90, 85) + _sweep_sql("(SELECT row_id AS id FROM pg)", "edges") + "SELECT seed, id FROM grouped",
+    loc=False,
+)
+def f4(spark, d):
+    view = pages_view(spark, d)
+    return fuzzy.similar_groups(view, name_cutoff=90, path_cutoff=85, scorer="levenshtein").select("seed", "id")
+
+
+@query("f4_similar_groups_ratio")
+def f4_ratio(spark, d):
+    return fuzzy.similar_groups(pages_view(spark, d), name_cutoff=90, path_cutoff=90)
+
+
+_STRIPPED_SQL = (
+    _PAGES
+    + """
+    , stripped AS (SELECT k * 1000000000 + row_id AS row_id, k, LEVEL_NAME || k AS LEVEL_NAME, NAME,
+        CASE WHEN k = 0 THEN HIERARCHY ELSE array_to_string(
+          list_slice(string_split(HIERARCHY, '#'), 1, greatest(len(string_split(HIERARCHY, '#')) - k, 0)), '#') END AS HIERARCHY
+        FROM pg, (SELECT unnest([CAST(0 AS BIGINT), 1, 2, 3]) AS k))
+    """
+    + _pairs_sql("stripped", 88, 88)
+    + _sweep_sql("(SELECT row_id AS id FROM stripped)", "edges")
+    + "SELECT CAST(seed // 1000000000 AS INTEGER) AS levels, seed % 1000000000 AS seed, id % 1000000000 AS id FROM grouped"
+)
+
+
+@query("f5_similar_groups_stripped", _STRIPPED_SQL, loc=False)
+def f5(spark, d):
+    groups = fuzzy.similar_groups_stripped(
+        pages_view(spark, d), [0, 1, 2, 3], name_cutoff=88, path_cutoff=88, scorer="levenshtein"
+    )
+    return groups.select("levels", "seed", "id")
+
+
+@query("f6_static_detection")
+def f6(spark, d):
+    return fuzzy.static_detection(location_view(spark, d), scorer="weighted")
+
+
+@query("f6_static_detection_pages")
+def f6_pages(spark, d):
+    return fuzzy.static_detection(pages_view(spark, d))
+
+
+@query(
+    "f7_name_duplicates",
+    _NAME_SWEEP_SQL + "SELECT row_id, NAME, CODE, LEVEL_NAME FROM loc WHERE row_id IN (SELECT row FROM name_groups)",
+)
+def f7(spark, d):
+    found = fuzzy.name_duplicates(location_view(spark, d), cutoff=85, scorer="levenshtein")
+    return found.select("row_id", "NAME", "CODE", "LEVEL_NAME")
+
+
+@query("f7_name_duplicates_weighted")
+def f7_weighted(spark, d):
+    return fuzzy.name_duplicates(pages_view(spark, d))
+
+
+@query(
+    "j8_fuzzy_self_join",
+    _PAGES + _pairs_sql("pg", 85, 80) + "SELECT block, a, b, name_score, path_score FROM edges",
+    loc=False,
+)
+def j8(spark, d):
+    return fuzzy.similar_path_pairs(pages_view(spark, d), name_cutoff=85, path_cutoff=80, scorer="levenshtein")
+
+
+@query("j8_fuzzy_self_join_ratio")
+def j8_ratio(spark, d):
+    return fuzzy.similar_path_pairs(pages_view(spark, d), name_cutoff=90, path_cutoff=90)
+
+
+# Vectors
+
+_UNITS = """
+WITH RECURSIVE unit AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+cosines AS MATERIALIZED (SELECT a.id AS a, b.id AS b, list_cosine_similarity(a.v, b.v) AS cosine FROM unit AS a, unit AS b WHERE a.id < b.id)
+"""
+
+
+@query("v1_encode_text")
+def v1(spark, d):
+    named = location_view(spark, d).select("row_id", F.col("NAME").alias("text"))
+    return vectors.encode_text(named)
+
+
+@query("v2_cosine_pairs", _UNITS + "SELECT a, b, round(cosine, 6) AS cosine FROM cosines WHERE cosine > 0.35", loc=False)
+def v2(spark, d):
+    pairs = vectors.cosine_pairs(table(spark, d, "embeddings"), threshold=0.35, id="vec_id", vector="embedding")
+    return pairs.select("a", "b", F.round("cosine", 6).alias("cosine"))
+
+
+@query("j9_similarity_self_join", _UNITS + "SELECT a, b, round(cosine, 6) AS cosine FROM cosines WHERE cosine > 0.4", loc=False)
+def j9(spark, d):
+    pairs = vectors.cosine_pairs(table(spark, d, "embeddings"), threshold=0.4, id="vec_id", vector="embedding")
+    return pairs.select("a", "b", F.round("cosine", 6).alias("cosine"))
+
+
+@query(
+    "g1_greedy_groups",
+    _UNITS
+    + ", edges AS (SELECT a, b FROM cosines WHERE cosine > 0.3)"
+    + _sweep_sql("(SELECT id FROM unit)", "edges")
+    + "SELECT seed, id FROM grouped",
+    loc=False,
+)
+def g1(spark, d):
+    nodes = table(spark, d, "embeddings").select(F.lit(0).alias("block"), F.col("vec_id").alias("id"), "embedding")
+
+    def find(left, right=None):
+        pairs = vectors.cosine_pairs(left, right, threshold=0.3, vector="embedding")
+        return pairs.select(F.lit(0).alias("block"), "a", "b")
+
+    return seed_members(nodes, find).select("seed", "id")
+
+
+@query(
+    "v3_semantic_groups",
+    _UNITS
+    + """
+    , near AS (SELECT a, b FROM cosines WHERE cosine > 0.33 UNION ALL SELECT b, a FROM cosines WHERE cosine > 0.33
+               UNION ALL SELECT id, id FROM unit),
+    ordered AS MATERIALIZED (SELECT a AS id, row_number() OVER (ORDER BY a) AS pos, list(b) AS nb FROM near GROUP BY a HAVING count(*) > 1),
+    sweep AS (
+      SELECT CAST(0 AS BIGINT) AS step, CAST([] AS BIGINT[]) AS visited, CAST([] AS BIGINT[]) AS seeds
+      UNION ALL
+      SELECT step + 1,
+             CASE WHEN list_contains(visited, o.id) THEN visited ELSE list_concat(visited, o.nb) END,
+             CASE WHEN list_contains(visited, o.id) THEN seeds ELSE list_append(seeds, o.id) END
+      FROM sweep AS s JOIN ordered AS o ON o.pos = s.step + 1)
+    SELECT a AS seed, b AS id FROM near
+    WHERE a IN (SELECT unnest(seeds) FROM sweep WHERE step = (SELECT max(step) FROM sweep))
+    """,
+    loc=False,
+)
+def v3_groups(spark, d):
+    return vectors.semantic_groups(table(spark, d, "embeddings"), 0.33, "vec_id", "embedding")
+
+
+def _with_vectors(spark, d):
+    """Locations with the vector of a row number; many rows share one."""
+    embeddings = table(spark, d, "embeddings").select(F.col("vec_id").alias("_v"), "embedding")
+    many = embeddings.agg(F.count("*")).scalar()
+    return location_view(spark, d).withColumn("_v", F.col("row_id") % many).join(embeddings, "_v").drop("_v")
+
+
+@query("v3_semantic_duplicates")
+def v3(spark, d):
+    found = vectors.semantic_duplicates(_with_vectors(spark, d), 0.98, vector="embedding")
+    return found.drop("embedding")
+
+
+@query("v3_semantic_duplicates_encoded")
+def v3_encoded(spark, d):
+    return vectors.semantic_duplicates(location_view(spark, d), 0.98)
+
+
+@query(
+    "v4_mean_similarity",
+    """
+    WITH unit AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
+    SELECT a.id AS vec_id, round(avg(list_cosine_similarity(a.v, b.v)), 6) AS mean_similarity FROM unit AS a, unit AS b GROUP BY a.id
+    """,
+    loc=False,
+)
+def v4(spark, d):
+    measured = vectors.mean_similarity(table(spark, d, "embeddings"), "embedding")
+    return measured.select("vec_id", F.round("mean_similarity", 6).alias("mean_similarity"))
+
+
+@query(
+    "v5_semantic_outliers",
+    """
+    , vec AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+    held AS (SELECT row_id, HIERARCHY, row_id % (SELECT count(*) FROM vec) AS id FROM loc WHERE NOT IS_GROUP),
+    counted AS (SELECT id, count(*) AS n FROM held GROUP BY id),
+    means AS (SELECT a.id, sum(n * list_cosine_similarity(a.v, b.v)) / sum(n) AS m FROM vec AS a, vec AS b JOIN counted ON counted.id = b.id GROUP BY a.id)
+    SELECT row_id, 'outside root' AS reason FROM held WHERE HIERARCHY IS NULL OR NOT starts_with(HIERARCHY, 'ALL')
+    UNION ALL SELECT row_id, 'low similarity' FROM held JOIN means USING (id) WHERE m < 0.001
+    """,
+)
+def v5(spark, d):
+    found = vectors.semantic_outliers(_with_vectors(spark, d), below=0.001, vector="embedding")
+    return found.select("row_id", "reason")
+
+
+@query("v5_semantic_outliers_encoded")
+def v5_encoded(spark, d):
+    return vectors.semantic_outliers(location_view(spark, d))
