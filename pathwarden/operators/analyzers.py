@@ -101,11 +101,8 @@ def measure(df: DataFrame, metrics: list[Metric]) -> DataFrame:
 
 def metrics_table(df: DataFrame, metrics: list[Metric]) -> DataFrame:
     """One row per metric: entity, instance, name, value."""
-    labels = F.array(*[F.struct(F.lit(m.instance).alias("instance"), F.lit(m.name).alias("name")) for m in metrics])
-    label = F.get(labels, F.col("position"))
-    return measure(df, metrics).select(
-        F.lit("Column").alias("entity"),
-        label["instance"].alias("instance"),
-        label["name"].alias("name"),
-        "value",
+    labels = df.sparkSession.createDataFrame(
+        [(i, "Column", m.instance, m.name) for i, m in enumerate(metrics)],
+        "position int, entity string, instance string, name string",
     )
+    return measure(df, metrics).join(F.broadcast(labels), "position").select("entity", "instance", "name", "value")

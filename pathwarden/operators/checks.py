@@ -160,18 +160,10 @@ def run_suite(df: DataFrame, checks: list[Check]) -> DataFrame:
     """
     listed = [(check, c) for check in checks for c in check.constraints]
     values = constraint_values(df, [c for _, c in listed])
-    labels = F.array(
-        *[
-            F.struct(
-                F.lit(check.description).alias("check"),
-                F.lit(check.level).alias("check_level"),
-                F.lit(c.text).alias("constraint"),
-                F.lit(c.kind).alias("kind"),
-                F.lit(c.column).alias("column"),
-                F.lit(c.name).alias("rule"),
-            )
-            for check, c in listed
-        ]
+    names = ["check", "check_level", "constraint", "kind", "column", "rule"]
+    labels = df.sparkSession.createDataFrame(
+        [(i, check.description, check.level, c.text, c.kind, c.column, c.name) for i, (check, c) in enumerate(listed)],
+        "position int, " + ", ".join(f"`{n}` string" for n in names),
     )
     outcome = F.lit(None).cast("boolean")
     for i, (_, c) in enumerate(listed):
@@ -180,21 +172,19 @@ def run_suite(df: DataFrame, checks: list[Check]) -> DataFrame:
     message = F.concat(
         F.lit("Value: "), F.col("value").cast("string"), F.lit(" does not meet the constraint requirement!")
     )
-    rows = values.select("position", "value", F.get(labels, F.col("position")).alias("label"), passed.alias("passed"))
-    failed_level = F.max(F.when(~F.col("passed"), F.col("label.check_level"))).over(
-        Window.partitionBy("label.check", "label.check_level")
-    )
+    rows = values.withColumn("passed", passed).join(F.broadcast(labels), "position")
+    failed_level = F.max(F.when(~F.col("passed"), F.col("check_level"))).over(Window.partitionBy("check", "check_level"))
     return rows.select(
         "position",
-        F.col("label.check").alias("check"),
-        F.col("label.check_level").alias("check_level"),
+        "check",
+        "check_level",
         F.coalesce(failed_level, F.lit("Success")).alias("check_status"),
-        F.col("label.constraint").alias("constraint"),
+        "constraint",
         F.when(F.col("passed"), "Success").otherwise("Failure").alias("constraint_status"),
         F.when(F.col("passed"), "").otherwise(F.coalesce(message, F.lit("Empty state for the metric"))).alias("constraint_message"),
-        F.col("label.kind").alias("kind"),
-        F.col("label.column").alias("column"),
-        F.col("label.rule").alias("rule"),
+        "kind",
+        "column",
+        "rule",
         "value",
     )
 

@@ -36,16 +36,16 @@ def covered_nodes(edges: DataFrame) -> DataFrame:
     of every component; edges of decided nodes leave.
     """
     open_edges = cut_lineage(edges.select("block", "a", "b").distinct())
-    decided = None
+    rounds = []
     while (size := open_edges.count()) > 0:
         big = size >= HOT_ROWS
-        blocked = _side(open_edges, "b")
-        seeds = _side(open_edges, "a").join(blocked, ["block", "id"], "left_anti")
-        covered = cut_lineage(_side(_join(open_edges, seeds, "a", "left_semi", big), "b"))
+        seeds = _side(open_edges, "a").join(_side(open_edges, "b"), ["block", "id"], "left_anti")
+        # Not stored: it hangs on this round's stored edges alone.
+        covered = _side(_join(open_edges, seeds, "a", "left_semi", big), "b")
         rest = _join(_join(open_edges, covered, "a", "left_anti", big), covered, "b", "left_anti", big)
         open_edges = cut_lineage(rest.select("block", "a", "b"))
-        decided = covered if decided is None else decided.unionByName(covered)
-    return decided if decided is not None else _side(edges, "b").where(F.lit(False))
+        rounds.append(covered)
+    return _union(rounds) if rounds else _side(edges, "b").where(F.lit(False))
 
 
 def seed_members(

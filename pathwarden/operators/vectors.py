@@ -25,11 +25,11 @@ WIDEST_REACH = 0.6
 SLACK = 1e-6
 
 
-def unit(vector: Column) -> Column:
-    """The vector in doubles at length 1; a zero vector stays zero."""
-    wide = vector.cast("array<double>")
-    norm = F.sqrt(F.aggregate(wide, F.lit(0.0), lambda s, x: s + x * x))
-    return F.when(norm > 0, F.transform(wide, lambda x: x / norm)).otherwise(wide)
+def with_unit(df: DataFrame, vector: str, name: str) -> DataFrame:
+    """Add the vector in doubles at length 1 (a zero vector stays zero); rows without a vector are left out."""
+    dense = df.where(F.col(vector).isNotNull()).withColumn("_dense", array_to_vector(F.col(vector)))
+    scaled = Normalizer(inputCol="_dense", outputCol="_scaled").transform(dense)
+    return scaled.withColumn(name, vector_to_array("_scaled")).drop("_dense", "_scaled")
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -107,7 +107,7 @@ def cosine_pairs(
     two parts and only pairs above the threshold leave it.
     """
     def prepared(df):
-        nodes = df.select(F.col(id).alias("id"), unit(F.col(vector)).alias("u")).dropna()
+        nodes = with_unit(df.select(F.col(id).alias("id"), F.col(vector).alias("_v")), "_v", "u").select("id", "u")
         return nodes.where(F.exists("u", lambda x: x != 0)) if threshold >= 0 else nodes
 
     first = prepared(left)
@@ -216,10 +216,8 @@ def mean_similarity(df: DataFrame, vector: str = "vector", name: str = "mean_sim
     The mean of the products is the product with the mean, so one aggregate gives the
     centre and each row is one product: linear, where the full matrix is quadratic.
     """
-    units = df.withColumn("_u", unit(F.col(vector)))
-    centre = units.where(F.col("_u").isNotNull()).agg(
-        vector_to_array(Summarizer.mean(array_to_vector(F.col("_u")))).alias("c")
-    )
+    units = with_unit(df, vector, "_u")
+    centre = units.agg(vector_to_array(Summarizer.mean(array_to_vector(F.col("_u")))).alias("c"))
     centred = units.withColumn("_centre", centre.scalar())
     return centred.withColumn(name, dot(F.col("_u"), F.col("_centre"))).drop("_u", "_centre")
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pathwarden.model import RAW_COLUMNS
@@ -14,99 +16,83 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _text(number) -> Column:
-    return (F.col(number) if isinstance(number, str) else number).cast("string")
-
-
 def _rows(
-    df: DataFrame, row_id, name, code, path, level_name, parent, level_number, is_group=None, children=None
+    df: DataFrame, row_id, name, code, path, level, parent, number, is_group="false", children="cast(null as string)"
 ) -> DataFrame:
-    return df.select(
-        row_id.cast("bigint").alias("row_id"),
-        name.alias("NAME"),
-        code.alias("CODE"),
-        path.alias("HIERARCHY"),
-        (F.lit(False) if is_group is None else is_group).alias("IS_GROUP"),
-        (F.lit(None) if children is None else children).cast("string").alias("CHILDREN"),
-        level_name.alias("LEVEL_NAME"),
-        parent.alias("PARENT"),
-        level_number.cast("int").alias("LEVEL_NUMBER"),
+    return df.selectExpr(
+        f"cast({row_id} as bigint) as row_id",
+        f"{name} as NAME",
+        f"{code} as CODE",
+        f"{path} as HIERARCHY",
+        f"{is_group} as IS_GROUP",
+        f"{children} as CHILDREN",
+        f"{level} as LEVEL_NAME",
+        f"{parent} as PARENT",
+        f"cast({number} as int) as LEVEL_NUMBER",
+        f"{level} as OFFICIAL_LEVEL_NAME",
     )
 
 
+def _every(n: int) -> str:
+    return f"(c_custkey > 0 AND c_custkey % {n} = 0)"
+
+
 def location_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The processed location table with `row_id` as its order."""
     region, nation, customer, supplier, part = (
         table(spark, sf_dir, t) for t in ("region", "nation", "customer", "supplier", "part")
     )
-    lit, col, concat = F.lit, F.col, F.concat
-    null = lit(None)
-    parts = part.agg(F.count("*")).scalar()
-
-    roots = spark.createDataFrame(
-        [(0, "ALL", "ALL"), (1, "WORLD", "ALL#WORLD")], "row_id bigint, code string, path string"
-    )
-    root_rows = _rows(
-        roots, col("row_id"), col("code"), col("code"), col("path"), null.cast("string"), null.cast("string"), null
-    )
-
-    region_code = concat(lit("R"), _text("r_regionkey"))
-    region_rows = _rows(
-        region, col("r_regionkey") + 10, col("r_name"), region_code, concat(lit("ALL#WORLD#"), region_code),
-        lit("CONTINENT"), lit("WORLD"), lit(-1),
-    )
-
-    country = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+    country = nation.join(region, F.expr("n_regionkey = r_regionkey")).selectExpr(
         "n_nationkey",
         "n_name",
         "r_name",
-        concat(lit("N"), _text("n_nationkey")).alias("n_code"),
-        concat(lit("ALL#WORLD#R"), _text("r_regionkey"), lit("#N"), _text("n_nationkey")).alias("n_path"),
-    )
-    country_path = F.when(col("n_nationkey") == 24, "ALL#WORLD#N24").otherwise(col("n_path"))
-    country_rows = _rows(
-        country, col("n_nationkey") + 100, col("n_name"), col("n_code"), country_path, lit("COUNTRY"), col("r_name"), lit(0)
+        "concat('N', n_nationkey) as n_code",
+        "concat('ALL#WORLD#R', r_regionkey, '#N', n_nationkey) as n_path",
     )
+    segments = customer.select("c_nationkey", "c_mktsegment").where("c_nationkey % 7 <> 0").distinct()
+    places = "array(" + ", ".join(f"'{s}'" for s in SEGMENTS) + ")"
+    names = part.selectExpr("p_partkey as part_key", "p_name")
+    parts = part.agg(F.count("*")).scalar()
 
-    places = F.array(*[lit(s) for s in SEGMENTS])
-    subregion = customer.select("c_nationkey", "c_mktsegment").distinct().where(col("c_nationkey") % 7 != 0)
-    subregion = subregion.join(country, subregion.c_nationkey == country.n_nationkey)
-    subregion_code = concat(col("n_code"), lit("_"), col("c_mktsegment"))
-    subregion_rows = _rows(
-        subregion, col("n_nationkey") * 10 + F.array_position(places, col("c_mktsegment")) + 1000, col("c_mktsegment"),
-        subregion_code, concat(col("n_path"), lit("#"), subregion_code), lit("REGION"), col("n_code"), lit(1),
-    )
+    def named(rows, key, nation_key):
+        """Rows with their country and the name of the part their key falls on."""
+        keyed = rows.withColumn("part_key", F.col(key) % parts)
+        return keyed.join(names, "part_key").join(country, F.expr(f"{nation_key} = n_nationkey"))
 
-    names = part.select(col("p_partkey").alias("part_key"), col("p_name"))
-    city = customer.withColumn("part_key", col("c_custkey") % parts).join(names, "part_key")
-    city = city.join(country, city.c_nationkey == country.n_nationkey)
-    city_code = concat(lit("C"), _text("c_custkey"))
-    city_path = concat(col("n_path"), lit("#"), col("n_code"), lit("_"), col("c_mktsegment"), lit("#"), city_code)
-    key = col("c_custkey")
-
-    def every(n):
-        return (key > 0) & (key % n == 0)
-
-    moved_code = F.when(every(73), concat(lit("C"), _text(key - 1))).otherwise(city_code)
-    city_rows = _rows(
-        city, key * 2 + 10000, col("p_name"), moved_code,
-        F.when(every(67), concat(lit("BAD_"), moved_code)).when(~every(83), city_path),
-        F.when(every(71), "COUNTRY").otherwise("CITY"),
-        F.when(~every(89), col("n_code")), F.when(every(97), 3).otherwise(2),
-        every(79), F.when(every(79), F.when(key % 3 == 0, "[]").when(key % 3 == 2, '["X"]')),
+    cities = named(customer, "c_custkey", "c_nationkey").selectExpr(
+        "*", f"concat('C', if({_every(73)}, c_custkey - 1, c_custkey)) as code"
     )
-    port = supplier.withColumn("part_key", col("s_suppkey") % parts).join(names, "part_key")
-    port = port.join(country, port.s_nationkey == country.n_nationkey)
-    port_code = concat(lit("S"), _text("s_suppkey"))
-    port_rows = _rows(
-        port, col("s_suppkey") * 2 + 10001, col("p_name"), port_code, concat(col("n_path"), lit("#"), port_code),
-        lit("PORT_TERMINAL"), col("n_code"), lit(1),
-    )
-
-    result = root_rows
-    for more in (region_rows, country_rows, subregion_rows, city_rows, port_rows):
-        result = result.unionByName(more)
-    return result.withColumn("OFFICIAL_LEVEL_NAME", col("LEVEL_NAME"))
+    roots = spark.sql("SELECT * FROM VALUES (0, 'ALL', 'ALL'), (1, 'WORLD', 'ALL#WORLD') AS t(id, code, path)")
+    null = "cast(null as string)"
+    sections = [
+        _rows(roots, "id", "code", "code", "path", null, null, "null"),
+        _rows(
+            region, "r_regionkey + 10", "r_name", "concat('R', r_regionkey)", "concat('ALL#WORLD#R', r_regionkey)",
+            "'CONTINENT'", "'WORLD'", "-1",
+        ),
+        _rows(
+            country, "n_nationkey + 100", "n_name", "n_code", "if(n_nationkey = 24, 'ALL#WORLD#N24', n_path)",
+            "'COUNTRY'", "r_name", "0",
+        ),
+        _rows(
+            segments.join(country, F.expr("c_nationkey = n_nationkey")),
+            f"n_nationkey * 10 + array_position({places}, c_mktsegment) + 1000", "c_mktsegment",
+            "concat(n_code, '_', c_mktsegment)", "concat(n_path, '#', n_code, '_', c_mktsegment)",
+            "'REGION'", "n_code", "1",
+        ),
+        _rows(
+            cities, "c_custkey * 2 + 10000", "p_name", "code",
+            f"CASE WHEN {_every(67)} THEN concat('BAD_', code) WHEN {_every(83)} THEN null"
+            " ELSE concat(n_path, '#', n_code, '_', c_mktsegment, '#C', c_custkey) END",
+            f"if({_every(71)}, 'COUNTRY', 'CITY')", f"if({_every(89)}, null, n_code)", f"if({_every(97)}, 3, 2)",
+            _every(79), f"CASE WHEN NOT {_every(79)} THEN null WHEN c_custkey % 3 = 0 THEN '[]' WHEN c_custkey % 3 = 2 THEN '[\"X\"]' END",
+        ),
+        _rows(
+            named(supplier, "s_suppkey", "s_nationkey"), "s_suppkey * 2 + 10001", "p_name", "concat('S', s_suppkey)",
+            "concat(n_path, '#S', s_suppkey)", "'PORT_TERMINAL'", "n_code", "1",
+        ),
+    ]
+    return reduce(lambda a, b: a.unionByName(b), sections)
 
 
 def raw_view(spark: SparkSession, sf_dir: str) -> DataFrame:
