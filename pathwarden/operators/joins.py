@@ -74,7 +74,8 @@ def lookup(df: DataFrame, dimension: DataFrame, keys: list[str], how: str = "lef
 
 def dimension(df: DataFrame, key: Column, key_name: str, values: dict[str, Column], order: Column) -> DataFrame:
     """One row per non-null key, the last one in `order` winning."""
-    last = F.max_by(F.struct(*[v.alias(k) for k, v in values.items()]), order)
+    # In a struct a null order is the lowest one; bare, max_by would skip the row.
+    last = F.max_by(F.struct(*[v.alias(k) for k, v in values.items()]), F.struct(order))
     return (
         df.where(key.isNotNull())
         .groupBy(key.alias(key_name))

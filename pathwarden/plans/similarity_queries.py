@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pathwarden.operators import fuzzy, vectors
+from pathwarden.operators import fuzzy, rows, vectors
 from pathwarden.operators.grouping import seed_members
+from pathwarden.plans import flows
 from pathwarden.plans.registry import query
 from pathwarden.plans.table_queries import score_sql
-from pathwarden.sources.location_view import location_view, table
+from pathwarden.sources.location_view import level_reference, location_view, raw_view, table
 
 
 def pages_view(spark, d):
@@ -314,3 +315,40 @@ def v5(spark, d):
 @query("v5_semantic_outliers_encoded")
 def v5_encoded(spark, d):
     return vectors.semantic_outliers(location_view(spark, d))
+
+
+# Whole runs
+
+
+def _processed(spark, d):
+    reference = level_reference(spark, d).withColumn("continent_name", F.initcap("continent_name"))
+    known = reference.where(F.col("continent_name").isin("Africa", "Asia")).select("country", F.col("continent_name").alias("continent"))
+    return flows.process_locations(raw_view(spark, d), reference, known)
+
+
+@query("flow_process_locations")
+def flow_process(spark, d):
+    return _processed(spark, d).processed
+
+
+@query("flow_location_outliers")
+def flow_outliers(spark, d):
+    return _processed(spark, d).outliers
+
+
+@query("flow_validate")
+def flow_validate(spark, d):
+    _, problems = flows.validate(_processed(spark, d).processed)
+    return problems
+
+
+@query("flow_problem_rows")
+def flow_problems(spark, d):
+    run = _processed(spark, d)
+    return flows.problem_rows(run.processed, run.outliers)
+
+
+@query("flow_compare_detectors")
+def flow_compare(spark, d):
+    parts = flows.compare_detectors(location_view(spark, d))
+    return rows.union_ragged(*[p.select(F.lit(side).alias("side"), "CODE") for side, p in parts.items()])
