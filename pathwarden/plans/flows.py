@@ -38,6 +38,8 @@ def process_locations(
     """
     place = F.col(order)
     found_continents, rest = H.build_continents(raw)
+    # The row for Oceania is made up, so it has no place in the raw order.
+    found_continents = found_continents.withColumn(order, F.coalesce(place, F.lit(-1)))
     found_continents, rest = cut_lineage(found_continents), cut_lineage(rest)
     named = H.assign_continent(rest.where(F.col("LEVEL_NAME") == "COUNTRY"), known, reference, continents)
     with_continent, without = H.split_found(cut_lineage(named), continents)
