@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pathwarden.operators.joins import HOT_ROWS, salted_join
 from pathwarden.operators.rows import top_k
-from pathwarden.session import cut_lineage
+from pathwarden.session import fix_layout
 
 PairFinder = Callable[..., DataFrame]
 
@@ -29,21 +29,51 @@ def _join(left: DataFrame, right: DataFrame, column: str, how: str, big: bool) -
     return salted_join(left, right, ["block", column], how) if big else left.join(right, ["block", column], how)
 
 
-def covered_nodes(edges: DataFrame) -> DataFrame:
+def _head_seeds(open_edges: DataFrame, head: int) -> DataFrame:
+    """The seeds among the first `head` undecided nodes of each block.
+
+    All undecided nodes that could precede one of them are among them, so their own
+    edges decide them. A task sweeps at most `head` nodes, whatever the size of the data.
+    """
+    nodes = _side(open_edges, "a").unionByName(_side(open_edges, "b")).distinct()
+    first = top_k(nodes, ["block"], [F.col("id")], head)
+    inner = open_edges.join(first.withColumnRenamed("id", "a"), ["block", "a"], "left_semi")
+    inner = inner.join(first.withColumnRenamed("id", "b"), ["block", "b"], "left_semi").select("block", "a", "b")
+
+    def sweep(edges):
+        covered = set()
+        for a, b in edges.sort_values(["a", "b"])[["a", "b"]].itertuples(index=False):
+            if a not in covered:
+                covered.add(b)
+        return edges[["block", "b"]][edges["b"].isin(covered)].drop_duplicates().rename(columns={"b": "id"})
+
+    # The block may be a struct, which pandas cannot hash: its text stands for it.
+    coded = inner.select(F.to_json(F.struct("block")).alias("block"), "a", "b")
+    covered = coded.groupBy("block").applyInPandas(sweep, "block string, id bigint")
+    keyed = first.withColumn("_key", F.to_json(F.struct("block")))
+    covered = covered.select(F.col("block").alias("_key"), "id")
+    return keyed.join(covered, ["_key", "id"], "left_anti").select("block", "id")
+
+
+def covered_nodes(edges: DataFrame, head: int = 1_000, plain_rounds: int = 4) -> DataFrame:
     """The (block, id) that some seed covers, for edges (block, a, b) with a < b.
 
-    Every other node is a seed. Each round decides at least the smallest undecided node
-    of every component; edges of decided nodes leave.
+    Every other node is a seed. Each round decides all nodes without an undecided smaller
+    neighbour; edges of decided nodes leave. Where long chains of similar rows
+    remain, the rounds also decide the first `head` nodes of each block, so their number
+    is bounded by the smaller of the longest chain and the nodes of a block over `head`.
     """
-    open_edges = cut_lineage(edges.select("block", "a", "b").distinct())
+    open_edges = fix_layout(edges.select("block", "a", "b").distinct())
     rounds = []
     while (size := open_edges.count()) > 0:
         big = size >= HOT_ROWS
         seeds = _side(open_edges, "a").join(_side(open_edges, "b"), ["block", "id"], "left_anti")
+        if len(rounds) >= plain_rounds:
+            seeds = fix_layout(seeds.unionByName(_head_seeds(open_edges, head)).distinct())
         # Not stored: it hangs on this round's stored edges alone.
         covered = _side(_join(open_edges, seeds, "a", "left_semi", big), "b")
         rest = _join(_join(open_edges, covered, "a", "left_anti", big), covered, "b", "left_anti", big)
-        open_edges = cut_lineage(rest.select("block", "a", "b"))
+        open_edges = fix_layout(rest.select("block", "a", "b"))
         rounds.append(covered)
     return _union(rounds) if rounds else _side(edges, "b").where(F.lit(False))
 
@@ -53,7 +83,7 @@ def seed_members(
     find_pairs: PairFinder,
     all_neighbours: bool = False,
     head: int = 1_000,
-    peel_above: int = 200_000,
+    peel_above: int = 20_000,
     min_yield: float = 0.1,
 ) -> DataFrame:
     """Groups (block, seed, id) of two or more nodes, the seed being a member of its group.
@@ -66,27 +96,27 @@ def seed_members(
     precede them is among them), and what their seeds cover is taken out with one
     comparison per seed. Only when a round takes out little are all pairs listed.
     """
-    remaining = cut_lineage(nodes)
+    remaining = fix_layout(nodes)
     left = remaining.count()
     parts: list[DataFrame] = []
     seeds: list[DataFrame] = []
     while left > peel_above:
-        heads = cut_lineage(top_k(remaining, ["block"], [F.col("id")], head))
-        opening = cut_lineage(heads.join(covered_nodes(find_pairs(heads)), ["block", "id"], "left_anti"))
+        heads = fix_layout(top_k(remaining, ["block"], [F.col("id")], head))
+        opening = fix_layout(heads.join(covered_nodes(find_pairs(heads)), ["block", "id"], "left_anti"))
         others = remaining.join(opening.select("block", "id"), ["block", "id"], "left_anti")
-        taken = cut_lineage(find_pairs(opening, others).select("block", "a", "b"))
+        taken = fix_layout(find_pairs(opening, others).select("block", "a", "b"))
         # A pair's smaller node is the seed: every seed of this head precedes what it takes,
         # except a head node covered by a smaller seed and similar to a larger one.
         by_a = taken.join(opening.select("block", F.col("id").alias("a")), ["block", "a"], "left_semi")
         parts.append(by_a.select("block", F.col("a").alias("seed"), F.col("b").alias("id")))
         seeds.append(opening)
         rest = others.join(_side(by_a, "b"), ["block", "id"], "left_anti")
-        remaining = cut_lineage(rest)
+        remaining = fix_layout(rest)
         before, left = left, remaining.count()
         if before - left < min_yield * before:
             break
-    edges = cut_lineage(find_pairs(remaining).select("block", "a", "b"))
-    covered = cut_lineage(covered_nodes(edges))
+    edges = fix_layout(find_pairs(remaining).select("block", "a", "b"))
+    covered = fix_layout(covered_nodes(edges))
     big = edges.count() >= HOT_ROWS
     from_seed = _join(edges, covered, "a", "left_anti", big)
     parts.append(from_seed.select("block", F.col("a").alias("seed"), F.col("b").alias("id")))
@@ -94,10 +124,10 @@ def seed_members(
     if all_neighbours and seeds:
         # Late seeds may be similar to nodes that early ones took.
         last = remaining.join(covered, ["block", "id"], "left_anti")
-        every_seed = cut_lineage(_union([*seeds, last]))
+        every_seed = fix_layout(_union([*seeds, last]))
         ids = every_seed.select("block", "id")
-        others = cut_lineage(nodes.join(ids, ["block", "id"], "left_anti"))
-        pairs = cut_lineage(find_pairs(every_seed, others).select("block", "a", "b"))
+        others = fix_layout(nodes.join(ids, ["block", "id"], "left_anti"))
+        pairs = fix_layout(find_pairs(every_seed, others).select("block", "a", "b"))
         parts = _both_ways(pairs, ids, True)
     elif all_neighbours:
         ends = _side(edges, "a").unionByName(_side(edges, "b")).distinct()

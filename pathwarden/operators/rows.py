@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pathwarden.functions.paths import path_depth
 from pathwarden.model import ROOT_CODES
-from pathwarden.session import cut_lineage
+from pathwarden.session import fix_layout
 
 LOW_BITS = (1 << 33) - 1
 
@@ -83,7 +83,7 @@ def with_ordinal(df: DataFrame, order: list[str], name: str = "ordinal") -> Data
     A row's number is its place in its partition plus the rows of the partitions
     before it; the table of counts has one row per partition.
     """
-    laid_out = cut_lineage(df.repartitionByRange(*order).sortWithinPartitions(*order))
+    laid_out = fix_layout(df.repartitionByRange(*order).sortWithinPartitions(*order))
     placed = laid_out.withColumn("_at", F.monotonically_increasing_id())
     partition = F.shiftright("_at", 33).cast("int")
     counts = placed.groupBy(partition.alias("p")).count().orderBy("p").collect()

@@ -3,7 +3,7 @@
 Cut the shorter of two texts into pieces. An edit touches one piece, so with `d` edits
 and `d + 1 + r` pieces at least `r + 1` pieces occur in the longer text too, at nearly the
 same place (after Li, Deng, Wang and Feng, 2011). Every text emits hashed pieces, an
-equi-join gives the candidates, and the exact score is checked in the same stage, so
+equi-join gives the candidates, and a bound on the score is checked in the same stage, so raw
 candidates are never shuffled or stored. The `r` spare pieces let each text leave out
 its most common ones, such as a shared beginning, and still meet every match. Keys that
 stay common are split into a grid of bounded cells.
@@ -19,9 +19,10 @@ from pyspark.sql import functions as F
 from pathwarden.functions.similarity import plain_text, score_of, sorted_tokens
 from pathwarden.operators.joins import spread
 
-CELL_ROWS = 20_000
+CELL_ROWS = 4_000
 HOT_TRACKED = 2_048
 COMMON_TRACKED = 256
+MOST_SPARE = 2
 TINY = 1e-9
 
 
@@ -46,9 +47,10 @@ def _shortest(length: Column, scorer: str, cutoff: float) -> Column:
     return F.ceil(length * share - TINY).cast("int")
 
 
-def _spare(length: Column, edits: Column) -> Column:
-    """How many pieces a text may leave out; short texts have none to spare."""
-    return F.when(length >= (edits + 3) * 5, 2).when(length >= (edits + 2) * 4, 1).otherwise(0)
+def _spare(length: Column, edits: Column, most: int) -> Column:
+    """How many pieces a text may leave out, up to `most`; short texts have none to spare."""
+    room = F.when(length >= (edits + 3) * 5, 2).when(length >= (edits + 2) * 4, 1).otherwise(0)
+    return F.least(room, F.lit(most))
 
 
 def _bounds(length: Column, count: Column, i: Column) -> tuple[Column, Column]:
@@ -57,11 +59,11 @@ def _bounds(length: Column, count: Column, i: Column) -> tuple[Column, Column]:
     return start, F.floor((i + 1) * length / count).cast("int") - start
 
 
-def _index_keys(nodes: DataFrame, scorer: str, cutoff: float, cell_rows: int | None) -> DataFrame:
-    """One key per piece of the text, the common ones left out as far as there are spare ones."""
+def _index_keys(nodes: DataFrame, scorer: str, cutoff: float, spare: int, common_above: int) -> DataFrame:
+    """One key per piece of the text, the most common ones left out as far as there are spare ones."""
     length = F.length("text")
     cut = nodes.withColumn("_edits", _edits(length, scorer, cutoff))
-    cut = cut.withColumn("_spare", _spare(length, F.col("_edits")))
+    cut = cut.withColumn("_spare", _spare(length, F.col("_edits"), spare))
     count = F.col("_edits") + 1 + F.col("_spare")
 
     def key(i):
@@ -70,8 +72,9 @@ def _index_keys(nodes: DataFrame, scorer: str, cutoff: float, cell_rows: int | N
 
     keyed = cut.withColumn("_keys", F.transform(F.sequence(F.lit(0), count - 1), key))
     kept = F.col("_keys")
-    if cell_rows is not None:
-        common = _common_keys(keyed.where("_spare > 0").select(F.explode("_keys").alias("sig")), COMMON_TRACKED, cell_rows)
+    if spare:
+        spared = keyed.where("_spare > 0").select(F.explode("_keys").alias("sig"))
+        common = _common_keys(spared, COMMON_TRACKED, common_above)
         if common:
             weight = F.create_map(*[F.lit(v) for entry in common.items() for v in entry])
             ranked = F.array_sort(
@@ -81,21 +84,29 @@ def _index_keys(nodes: DataFrame, scorer: str, cutoff: float, cell_rows: int | N
     return keyed.withColumn("sig", F.explode(kept)).select(*nodes.columns, "sig")
 
 
-def _probe_keys(nodes: DataFrame, scorer: str, cutoff: float) -> DataFrame:
+def _probe_keys(nodes: DataFrame, scorer: str, cutoff: float, spare: int) -> DataFrame:
     """The keys that a shorter or equally long match may have: pieces at the places its edits allow."""
     size = F.length("text")
     lengths = nodes.withColumn("_size", size).withColumn(
         "_len", F.explode(F.sequence(_shortest(size, scorer, cutoff), size))
     )
     cut = lengths.withColumn("_edits", _edits(F.col("_len"), scorer, cutoff))
-    cut = cut.withColumn("_count", F.col("_edits") + 1 + _spare(F.col("_len"), F.col("_edits")))
+    cut = cut.withColumn("_spare", _spare(F.col("_len"), F.col("_edits"), spare))
+    cut = cut.withColumn("_count", F.col("_edits") + 1 + F.col("_spare"))
     cut = cut.withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_count") - 1)))
     start, width = _bounds(F.col("_len"), F.col("_count"), F.col("_i"))
     cut = cut.withColumn("_start", start).withColumn("_width", width)
     # A shift by s costs at least |s| edits before the piece and |s - longer| after it.
     longer = F.col("_size") - F.col("_len")
-    low = F.greatest(F.lit(0), F.col("_start") - F.floor((F.col("_edits") - longer) / 2).cast("int"))
-    high = F.least(F.col("_size") - F.col("_width"), F.col("_start") + F.floor((F.col("_edits") + longer) / 2).cast("int"))
+    back = F.floor((F.col("_edits") - longer) / 2).cast("int")
+    forth = F.floor((F.col("_edits") + longer) / 2).cast("int")
+    # Without spare pieces one with at most `_i` edits before it is untouched: fewer shifts.
+    exact = F.col("_spare") == 0
+    before = F.when(exact, F.col("_i")).otherwise(F.col("_edits"))
+    after = F.when(exact, F.col("_edits") - F.col("_i")).otherwise(F.col("_edits"))
+    low = F.col("_start") + F.greatest(-back, -before, longer - after)
+    high = F.col("_start") + F.least(forth, before, longer + after)
+    low, high = F.greatest(F.lit(0), low), F.least(F.col("_size") - F.col("_width"), high)
     placed = cut.withColumn("_low", low).withColumn("_high", high)
     placed = placed.where((longer <= F.col("_edits")) & (F.col("_low") <= F.col("_high")))
     placed = placed.withColumn("_at", F.explode(F.sequence("_low", "_high")))
@@ -176,6 +187,19 @@ def _contained(a: Column, b: Column) -> Column:
     return (F.size(F.array_except(left, right)) <= _missable(a)) | (F.size(F.array_except(right, left)) <= _missable(b))
 
 
+def _cheaper_spare(nodes: DataFrame, scorer: str, cutoff: float, common_above: int) -> int:
+    """0 or 2 spare pieces, whichever makes for fewer pairs of texts with a key in common.
+
+    More pieces are shorter ones: they pay off where texts share long common parts.
+    """
+    pairs = {}
+    for spare in (0, MOST_SPARE):
+        keys = _index_keys(nodes, scorer, cutoff, spare, common_above)
+        counts = keys.groupBy("sig").agg(F.count("*").alias("n"))
+        pairs[spare] = counts.agg(F.sum(F.col("n").cast("double") * F.col("n"))).first()[0] or 0.0
+    return min(pairs, key=pairs.get)
+
+
 def _checked(pairs: DataFrame, scorer: str, name_cutoff: int, path_cutoff: int | None, extra: list[str]) -> DataFrame:
     """Candidates (aliases i and p) that reach the cutoffs, as (block, a, b) with a < b."""
     swap = F.col("i.id") > F.col("p.id")
@@ -189,13 +213,15 @@ def _checked(pairs: DataFrame, scorer: str, name_cutoff: int, path_cutoff: int |
     for name in ["id", "name", *(["path"] if path_cutoff is not None else []), *extra]:
         columns += [side(name, True).alias(f"a_{name}"), side(name, False).alias(f"b_{name}")]
     result = pairs.select(*columns)
+    if path_cutoff is not None:
+        result = result.where(_close(F.col("a_path"), F.col("b_path"), scorer, path_cutoff))
+    if scorer != "levenshtein":
+        # Python scores cost more than a shuffle of the few pairs left: each is scored once, on all tasks.
+        result = spread(result, "a_id", "b_id").dropDuplicates(["block", "a_id", "b_id"])
     for name, cutoff in [("name", name_cutoff), ("path", path_cutoff)]:
-        if cutoff is None:
-            continue
-        a, b = F.col(f"a_{name}"), F.col(f"b_{name}")
-        if name == "path":
-            result = result.where(_close(a, b, scorer, cutoff))
-        result = result.withColumn(f"{name}_score", score_of(a, b, scorer)).where(F.col(f"{name}_score") >= cutoff)
+        if cutoff is not None:
+            score = score_of(F.col(f"a_{name}"), F.col(f"b_{name}"), scorer)
+            result = result.withColumn(f"{name}_score", score).where(F.col(f"{name}_score") >= cutoff)
     return result.withColumnRenamed("a_id", "a").withColumnRenamed("b_id", "b")
 
 
@@ -231,7 +257,7 @@ def similar_pairs(
     found = []
     for text, family, cutoff in families:
         # The weighted score of a text without any letter or digit is 0.
-        sides = [s.withColumn("text", text) for s in ([left] if right is None else [left, right])]
+        sides = [spread(s.withColumn("text", text), "id") for s in ([left] if right is None else [left, right])]
         if scorer == "weighted":
             sides = [s.where(F.col("text") != "") for s in sides]
         if family == "token":
@@ -241,8 +267,10 @@ def similar_pairs(
             within = near & (F.col("i.id") != F.col("p.id"))
             across = near
         else:
-            index = partial(_index_keys, scorer=family, cutoff=cutoff, cell_rows=cells)
-            probe = partial(_probe_keys, scorer=family, cutoff=cutoff)
+            common_above = max(1, cell_rows // 100)
+            spare = 0 if cells is None else _cheaper_spare(sides[-1], family, cutoff, common_above)
+            index = partial(_index_keys, scorer=family, cutoff=cutoff, spare=spare, common_above=common_above)
+            probe = partial(_probe_keys, scorer=family, cutoff=cutoff, spare=spare)
             across = _close(F.col("i.text"), F.col("p.text"), family, cutoff)
             longer = F.length("p.text") > F.length("i.text")
             within = (longer | (F.col("p.id") > F.col("i.id"))) & across

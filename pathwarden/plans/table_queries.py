@@ -10,7 +10,7 @@ from pathwarden.operators import hierarchy as H
 from pathwarden.operators import joins as J
 from pathwarden.operators import report, rows
 from pathwarden.operators import violations as V
-from pathwarden.plans.basic_queries import _ALL_PROBLEMS_SQL, _EXACT
+from pathwarden.plans.basic_queries import _ALL_PROBLEMS_SQL, _EXACT, stored_view
 from pathwarden.operators import checks as C
 from pathwarden.plans.registry import query
 from pathwarden.sources.location_view import level_reference, location_view, raw_view, table
@@ -527,7 +527,7 @@ def u4(spark, d):
     """,
 )
 def u5(spark, d):
-    view = location_view(spark, d)
+    view = stored_view(spark, d)
     problems = V.extract_all(view, C.run_suite(view, _EXACT)).select("row_id", *PROCESSED_COLUMNS, "PROBLEM")
     processed = view.where("PARENT IS NOT NULL AND LEVEL_NAME <> 'PORT_TERMINAL'")
     outliers = H.find_outliers(raw_view(spark, d), processed)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,13 +24,12 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
     )
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint `df` eagerly in the folder that `spark.checkpoint.dir` names.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder on shared storage that `spark.checkpoint.dir` names.
 
-    Loops must survive lost executors, so the copy goes to shared storage. Only a
-    local session without that setting gets a folder made for it.
+    Loops must survive lost executors, so intermediate tables go there. Only a local
+    session without that setting gets a folder made for it.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -38,4 +38,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a shared folder")
             folder = tempfile.mkdtemp(prefix="pathwarden-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write `df` once to the checkpoint folder and read it back, as a table with its own statistics.
+
+    Readers prune its columns, and its size lets Spark choose joins.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def fix_layout(df: DataFrame) -> DataFrame:
+    """Checkpoint `df` with its partitions and their row order as they are."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
