@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from pathwarden.functions.similarity import levenshtein_score, plain_ratio, weighted_score
+from pathwarden.functions.similarity import plain_ratio, weighted_score
 from pathwarden.operators import joins as J
 from pathwarden.operators import rows as R
 
