@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathwarden.llm import byte_bpe, host_quality, sharding
+from pathwarden.llm import byte_bpe, host_quality, license_scan, sharding, url_filter
 from pathwarden.session import cut_lineage
 from pathwarden.sources.location_view import table
 
@@ -26,6 +26,71 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def _license_sql() -> str:
+    """The scan by brute force: every block against every template."""
+    needs = license_scan._needs(license_scan.PHRASES, license_scan.TEMPLATES, license_scan.THRESHOLD)
+    width = max(len(t.split()) for t in [*license_scan.PHRASES, *[t for t, _ in license_scan.TEMPLATES]])
+    templates = ", ".join(f"('{label}', {tokens}, {need})" for _, kind, label, tokens, need in needs if kind == "template")
+    places = " UNION ALL ".join(
+        f"SELECT row, i - 1 AS place, '{label}' AS label FROM (SELECT row, words, unnest(range(1, len(words) + 1)) AS i FROM w "
+        f"WHERE list_has_all(words, {phrase.split()})) WHERE " + " AND ".join(f"words[i + {k}] = '{word}'" for k, word in enumerate(phrase.split()))
+        for phrase, label in license_scan.PHRASES.items()
+    )
+    return rf"""
+WITH w AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), '{license_scan.UPPER}', '{license_scan.LOWER}'), '{license_scan.WORD}') AS words
+  FROM documents),
+blocks AS (
+  SELECT row, list_distinct(words[s + 1 : s + {2 * width}]) AS piece
+  FROM (SELECT row, words, unnest(range(0, len(words), {width})) AS s FROM w)),
+templates(label, tokens, need) AS (VALUES {templates}),
+met AS (SELECT row, label, len(list_intersect(piece, tokens)) AS met, len(tokens) AS size, need FROM blocks, templates),
+found AS (SELECT row, list(DISTINCT label) AS labels, max(met / size) AS score FROM met WHERE met >= need GROUP BY row),
+places AS ({places}),
+base AS (SELECT row, count(*) AS n, min(place) AS first_word, max(place) AS last_word, list(DISTINCT label) AS labels FROM places GROUP BY row)
+SELECT doc_id, len(words) AS n_words, coalesce(n, 0) AS n_base, first_word, last_word,
+       coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(base.labels, found.labels))), ','), '') AS labels,
+       CASE WHEN n > 0 THEN 1.0 ELSE coalesce(score, 0) END AS score
+FROM w LEFT JOIN base USING (row) LEFT JOIN found USING (row)
+"""
+
+
+@query("op2_license_scan", _license_sql())
+def op2(spark, d):
+    return license_scan.scan(table(spark, d, "documents"))
+
+
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+URL_SQL = rf"""
+WITH rules(host, path, verdict) AS (VALUES {", ".join(map(str, URL_RULES))}),
+cut AS (
+  SELECT row_number() OVER () AS row, page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+u AS (
+  SELECT row, page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{url_filter.UPPER}', '{url_filter.LOWER}') AS host,
+         regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM cut),
+fits AS (
+  SELECT row, r.host || r.path AS rule, verdict,
+         row_number() OVER (PARTITION BY row ORDER BY length(r.host || r.path) DESC, length(r.host) DESC) AS n
+  FROM u JOIN rules r ON (u.host = r.host OR ends_with(u.host, '.' || r.host)) AND starts_with(u.path, r.path))
+SELECT page_id, u.host, u.path, rule, coalesce(verdict, 'allow') AS verdict
+FROM u LEFT JOIN (SELECT * FROM fits WHERE n = 1) USING (row)
+"""
+
+
+@query("op3_url_rules", URL_SQL)
+def op3(spark, d):
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge_urls(table(spark, d, "pages"), rules)
+
+
 HOST_SQL = r"""
 WITH w AS (
   SELECT doc_id, source, coalesce(text, '') AS text, row_number() OVER () AS row,
