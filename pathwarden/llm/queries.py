@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathwarden.llm import byte_bpe, host_quality, license_scan, sharding, url_filter
+from pathwarden.llm import byte_bpe, chunk_dedup, decontaminate, host_quality, html_text, license_scan, sharding, url_filter
 from pathwarden.session import cut_lineage
 from pathwarden.sources.location_view import table
 
@@ -26,6 +26,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_qgram_leaks")
+def op1(spark, d):
+    return decontaminate.find_leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 def _license_sql() -> str:
     """The scan by brute force: every block against every template."""
     needs = license_scan._needs(license_scan.PHRASES, license_scan.TEMPLATES, license_scan.THRESHOLD)
@@ -91,6 +96,11 @@ def op3(spark, d):
     return url_filter.judge_urls(table(spark, d, "pages"), rules)
 
 
+@query("op6_html_text")
+def op6(spark, d):
+    return html_text.extract(table(spark, d, "pages").select("page_id", "url", "html")).drop("html")
+
+
 HOST_SQL = r"""
 WITH w AS (
   SELECT doc_id, source, coalesce(text, '') AS text, row_number() OVER () AS row,
@@ -166,3 +176,8 @@ def op9(spark, d):
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     docs = table(spark, d, "documents").select("doc_id", "text")
     return byte_bpe.digest_columns(docs, ranks, public_tokenizers.PATTERN).drop("text")
+
+
+@query("op10_chunk_dedup")
+def op10(spark, d):
+    return chunk_dedup.cut_repeats(table(spark, d, "documents").select("doc_id", "text"))
