@@ -49,7 +49,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def discard(stored: DataFrame) -> None:
+    """Delete a table that `cut_lineage` wrote. Nothing may read it any more."""
+    jvm = stored.sparkSession.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(stored.stored_at)
+    path.getFileSystem(stored.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fix_layout(df: DataFrame) -> DataFrame:
