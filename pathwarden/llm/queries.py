@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathwarden.llm import byte_bpe, chunk_dedup, decontaminate, host_quality, html_text, license_scan, sharding, url_filter
+from pathwarden.llm import bag_minhash, byte_bpe, chunk_dedup, decontaminate, host_quality, html_text, license_scan, sharding, url_filter
 from pathwarden.session import cut_lineage
 from pathwarden.sources.location_view import table
 
@@ -96,6 +96,12 @@ def op3(spark, d):
     return url_filter.judge_urls(table(spark, d, "pages"), rules)
 
 
+@query("op5_near_duplicates")
+def op5(spark, d):
+    found = bag_minhash.classes(table(spark, d, "documents"))
+    return found.withColumn("kept", F.col("class_id") == F.col("doc_id"))
+
+
 @query("op6_html_text")
 def op6(spark, d):
     return html_text.extract(table(spark, d, "pages").select("page_id", "url", "html")).drop("html")
