@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathwarden.llm import bag_minhash, byte_bpe, chunk_dedup, decontaminate, host_quality, html_text, license_scan, sharding, url_filter
+from pathwarden.llm import bag_minhash, byte_bpe, chunk_dedup, decontaminate, host_quality, html_text, license_scan, sharding, suffix_dedup, url_filter
 from pathwarden.session import cut_lineage
 from pathwarden.sources.location_view import table
 
@@ -96,6 +96,11 @@ def op3(spark, d):
     return url_filter.judge_urls(table(spark, d, "pages"), rules)
 
 
+@query("op4_suffix_dedup")
+def op4(spark, d):
+    return suffix_dedup.dedup(table(spark, d, "documents"), with_kept=False)
+
+
 @query("op5_near_duplicates")
 def op5(spark, d):
     found = bag_minhash.classes(table(spark, d, "documents"))
