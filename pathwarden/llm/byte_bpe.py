@@ -180,8 +180,8 @@ class Coder:
         for words in self.split(texts):
             yield list(chain.from_iterable(map(self.known.__getitem__, words)))
 
-    def digests(self, texts: list[str]) -> Iterator[dict]:
-        """For each text the number of ids, the digest of the ids and that of the bytes they decode to.
+    def digests(self, texts: list[str], with_ids: bool = False) -> Iterator[dict]:
+        """For each text the number of ids, the digest of the ids and that of the bytes they decode to; and the ids, if wanted.
 
         A word's ids are spelled out and decoded once a batch, not once a place.
         """
@@ -191,11 +191,14 @@ class Coder:
         decoded = {word: self.decode(self.known[word]) for word in used}
         for words in split:
             ids = " ".join(map(spelled.__getitem__, words))
-            yield {
+            row = {
                 "n_tokens": ids.count(" ") + 1 if ids else 0,
                 "ids_sha256": hashlib.sha256(ids.encode()).hexdigest(),
                 "decoded_sha256": hashlib.sha256(b"".join(map(decoded.__getitem__, words))).hexdigest(),
             }
+            if with_ids:
+                row["ids"] = list(chain.from_iterable(map(self.known.__getitem__, words)))
+            yield row
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -242,10 +245,12 @@ def decode_column(rows: DataFrame, ranks: dict[bytes, int], ids: str = "ids", to
     return rows.withColumn(to, decoded(F.col(ids)))
 
 
-def digest_columns(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text") -> DataFrame:
-    """Add n_tokens, ids_sha256 and decoded_sha256: what was encoded and what its ids decode to, without the ids."""
-    fields = ["n_tokens", "ids_sha256", "decoded_sha256"]
-
-    of_type = pa.struct([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
-    udf = _per_text(ranks, pattern, "struct<n_tokens: bigint, ids_sha256: string, decoded_sha256: string>", of_type, Coder.digests)
+def digest_columns(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", with_ids: bool = False) -> DataFrame:
+    """Add n_tokens, ids_sha256 and decoded_sha256: what was encoded and what its ids decode to; and the ids, if wanted."""
+    fields = {"n_tokens": ("bigint", pa.int64()), "ids_sha256": ("string", pa.string()), "decoded_sha256": ("string", pa.string())}
+    if with_ids:
+        fields["ids"] = ("array<int>", pa.list_(pa.int32()))
+    kind = f"struct<{', '.join(f'{name}: {ddl}' for name, (ddl, _) in fields.items())}>"
+    of_type = pa.struct([(name, arrow) for name, (_, arrow) in fields.items()])
+    udf = _per_text(ranks, pattern, kind, of_type, lambda coder, texts: coder.digests(texts, with_ids))
     return docs.withColumn("_coded", udf(F.col(text))).withColumns({f: F.col(f"_coded.{f}") for f in fields}).drop("_coded")

@@ -122,8 +122,13 @@ def without(text: str | None, spans: list[dict] | None) -> tuple[str | None, int
     return b"".join([*left, data[at:]]).decode(), gone, count
 
 
-def cut_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", least_run: int = LEAST_RUN) -> DataFrame:
-    """The documents with `text` freed of repeated passages, and n_removed (bytes) and n_spans after the other columns."""
+def cut_repeats(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", least_run: int = LEAST_RUN, counts: tuple[str, str] = ("n_removed", "n_spans")
+) -> DataFrame:
+    """The documents with `text` freed of repeated passages, and the bytes removed and spans after the other columns.
+
+    `counts` names the two; a column of the input with such a name gives way.
+    """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     packed = docs.select(row.alias("_row"), F.col(f"`{key}`").cast("long").alias("_id"), F.col(f"`{text}`").alias("_text"))
     spans = repeated_spans(docs, key, text, least_run)
@@ -136,5 +141,5 @@ def cut_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", least_
         return pa.array([dict(zip(kind.names, r, strict=True)) for r in rows], kind)
 
     result = joined.withColumn("_freed", freed(F.col("_text"), F.col("spans")))
-    columns = [F.col("_freed.text").alias(c) if c == text else F.col(f"_row.`{c}`") for c in docs.columns if c not in ("n_removed", "n_spans")]
-    return result.select(*columns, "_freed.n_removed", "_freed.n_spans")
+    columns = [F.col("_freed.text").alias(c) if c == text else F.col(f"_row.`{c}`") for c in docs.columns if c not in counts]
+    return result.select(*columns, F.col("_freed.n_removed").alias(counts[0]), F.col("_freed.n_spans").alias(counts[1]))
