@@ -49,6 +49,7 @@ DIVISIONS = LANDMARKS | {"section", "div", "td", "body"}
 #: What the start of a block ends, if open.
 ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
+UNFINISHED = re.compile(r"<[a-zA-Z/!?]")
 
 
 def _never(tag: str, attributes: list) -> bool:
@@ -179,6 +180,8 @@ def main_text(html: str | None) -> str:
         return ""
     lines = Lines()
     lines.feed(html)
+    if UNFINISHED.match(lines.rawdata):
+        lines.rawdata = ""  # a tag that the page ends in
     lines.close()
     lines.end_line()
     keep = content_regions(lines)
