@@ -128,16 +128,18 @@ def scan(
         F.max(F.when(F.col("kind") == "template", F.col("score"))).alias("best"),
     )
     rows = rows.drop("present").join(found, "row", "left")
-    for number, phrase in enumerate(phrases):
+    nowhere = F.expr("cast(array() as array<int>)")
+    every = []
+    for phrase in phrases:
         stands = " and ".join(f"get(words, i + {i}) = '{word}'" for i, word in enumerate(phrase.split()))
         places = F.expr(f"filter(sequence(0, size(words) - 1), i -> {stands})")
-        rows = rows.withColumn(f"places{number}", F.when(F.array_contains("asked", phrase), places).otherwise(F.expr("array()").cast("array<int>")))
-        rows = rows.withColumn(f"places{number}", F.coalesce(f"places{number}", F.expr("array()").cast("array<int>")))
-    every = [F.col(f"places{n}") for n in range(len(phrases))]
-    rows = rows.withColumn("places", F.concat(*every)).withColumn("n_base", F.size("places").cast("long"))
-    labels = F.array(*[F.when(F.size(p) > 0, F.lit(label)) for p, label in zip(every, phrases.values(), strict=True)])
-    base = F.array_sort(F.array_distinct(F.array_compact(labels)))
-    both = F.array_sort(F.array_union(base, F.coalesce("found", F.expr("array()").cast("array<string>"))))
+        every.append(f"places{len(every)}")
+        rows = rows.withColumn(every[-1], F.when(F.array_contains("asked", phrase), places))
+        rows = rows.withColumn(every[-1], F.coalesce(every[-1], nowhere))
+    rows = rows.withColumn("places", F.concat(nowhere, *every)).withColumn("n_base", F.size("places").cast("long"))
+    labels = [F.when(F.size(p) > 0, F.lit(label)) for p, label in zip(every, phrases.values(), strict=True)]
+    base = F.array_sort(F.array_distinct(F.array_compact(F.array(*labels, F.lit(None).cast("string")))))
+    both = F.array_sort(F.array_union(base, F.coalesce("found", F.expr("cast(array() as array<string>)"))))
     return rows.select(
         F.col("key").alias(key), "n_words", "n_base", F.array_min("places").cast("long").alias("first_word"), F.array_max("places").cast("long").alias("last_word"),
         F.array_join(base, ",").alias("base_labels"), F.array_join(both, ",").alias("labels"),
