@@ -68,5 +68,9 @@ def inferred_kind(value: Column) -> Column:
 
 
 def title_name(name: Column) -> Column:
-    """Lower-case, trimmed, underscores as blanks, then each word capitalised."""
-    return F.initcap(F.replace(F.trim(F.lower(name)), F.lit("_"), F.lit(" ")))
+    """Lower-case, trimmed, underscores as blanks, then each run of letters capitalised, wherever it begins."""
+    plain = F.replace(F.trim(F.lower(name)), F.lit("_"), F.lit(" "))
+    # A blank before each run makes it a word of its own; the mark tells which blanks to take out again.
+    mark = "\u0001 "
+    words = F.initcap(F.regexp_replace(plain, r"(?<!\p{L})(?=\p{L})", mark))
+    return F.replace(words, F.lit(mark), F.lit(""))

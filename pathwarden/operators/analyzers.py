@@ -20,16 +20,23 @@ def approx_count_distinct(column: Column, rsd: float = 0.05) -> Column:
     return F.approx_count_distinct(column, rsd).cast("double")
 
 
+def finds(column: Column, pattern: str) -> Column:
+    """The pattern finds a non-empty piece."""
+    return F.regexp_extract(column, pattern, 0) != ""
+
+
 def pattern_match(column: Column, pattern: str) -> Column:
     """Share of rows where the pattern finds a non-empty piece; null finds none."""
-    found = F.coalesce(F.regexp_extract(column, pattern, 0) != "", F.lit(False))
-    return F.avg(found.cast("double"))
+    return F.avg(F.coalesce(finds(column, pattern), F.lit(False)).cast("double"))
+
+
+def looks_like(column: Column, kind: str) -> Column:
+    return inferred_kind(column).isin({"Numeric": ["Fractional", "Integral"]}.get(kind, [kind]))
 
 
 def datatype_ratio(column: Column, kind: str) -> Column:
     """Share of the known values that look like `kind`; 0 if no value does."""
-    wanted = {"Numeric": ["Fractional", "Integral"]}.get(kind, [kind])
-    hits = F.count_if(inferred_kind(column).isin(wanted))
+    hits = F.count_if(looks_like(column, kind))
     return F.when(hits == 0, F.lit(0.0)).otherwise(hits / F.count(column))
 
 

@@ -16,11 +16,14 @@ from pathwarden.operators.rules import (
     RULES,
     STRING_COLUMNS,
 )
-from pathwarden.operators.violations import orphan_rows
+from pathwarden.operators.violations import SUITE_PATTERN, orphan_rows
 
 Assertion = Callable[[Column], Column]
 
 
+# The texts of constraints and the thresholds below are fixed values: stored results and scores depend on them.
+
+
 def is_one(value: Column) -> Column:
     return value == 1.0
 
@@ -30,7 +33,8 @@ class Constraint:
     """One expectation. `kind`, `column` and `name` drive dispatch; `text` is for people.
 
     `violations` replaces the metric where the offending rows come from a join: the
-    value is then the share of rows that are not among them.
+    value is then the share of rows that are not among them. `broken` tells whether a
+    row breaks the constraint; constraints on the table as a whole have none.
     """
 
     kind: str
@@ -40,6 +44,7 @@ class Constraint:
     assertion: Assertion = is_one
     name: str = ""
     violations: Callable[[DataFrame], DataFrame] | None = None
+    broken: Callable[[], Column] | None = None
 
 
 @dataclass
@@ -56,12 +61,13 @@ class Check:
     def has_data_type(self, column: str, kind: str, assertion: Assertion = is_one) -> Check:
         text = f"AnalysisBasedConstraint(DataType({column},None),<function1>,Some(<function1>),None)"
         metric = A.Metric("DataType", column, lambda: A.datatype_ratio(F.col(column), kind))
-        return self._add(Constraint("DataType", column, text, metric, assertion))
+        broken = lambda: ~F.coalesce(A.looks_like(F.col(column), kind), F.lit(False))
+        return self._add(Constraint("DataType", column, text, metric, assertion, broken=broken))
 
     def is_complete(self, column: str) -> Check:
         text = f"CompletenessConstraint(Completeness({column},None,None))"
         metric = A.Metric("Completeness", column, lambda: A.completeness(F.col(column)))
-        return self._add(Constraint("Completeness", column, text, metric))
+        return self._add(Constraint("Completeness", column, text, metric, broken=lambda: F.col(column).isNull()))
 
     def is_unique(self, column: str) -> Check:
         text = f"UniquenessConstraint(Uniqueness(List({column}),None,None))"
@@ -81,13 +87,18 @@ class Check:
     def has_pattern(self, column: str, pattern: str, assertion: Assertion = is_one) -> Check:
         text = f"PatternMatchConstraint({column}, {pattern})"
         metric = A.Metric("PatternMatch", column, lambda: A.pattern_match(F.col(column), pattern))
-        return self._add(Constraint("PatternMatch", column, text, metric, assertion))
+        broken = lambda: ~F.coalesce(A.finds(F.col(column), pattern), F.lit(False))
+        return self._add(Constraint("PatternMatch", column, text, metric, assertion, broken=broken))
 
-    def satisfies(self, predicate: str, name: str, assertion: Assertion = is_one, column: str = "") -> Check:
-        """A SQL predicate that every row should meet."""
-        text = f"ComplianceConstraint(Compliance({name},{predicate},None,List(),None))"
-        metric = A.Metric("Compliance", name, lambda: A.compliance(predicate))
-        return self._add(Constraint("Compliance", column, text, metric, assertion, name))
+    def satisfies(
+        self, predicate: str | Callable[[], Column], name: str, assertion: Assertion = is_one, column: str = "", shown: str = ""
+    ) -> Check:
+        """What every row should meet: SQL, or a function that gives a column. `shown` stands for the latter in texts."""
+        holds = (lambda: F.expr(predicate)) if isinstance(predicate, str) else predicate
+        text = f"ComplianceConstraint(Compliance({name},{predicate if isinstance(predicate, str) else shown},None,List(),None))"
+        metric = A.Metric("Compliance", name, lambda: A.compliance(holds()))
+        broken = lambda: ~F.coalesce(holds(), F.lit(False))
+        return self._add(Constraint("Compliance", column, text, metric, assertion, name, broken=broken))
 
     def has_no_rows(
         self, violations: Callable[[DataFrame], DataFrame], name: str, assertion: Assertion = is_one, column: str = ""
@@ -108,11 +119,12 @@ def error_check(placeholder: bool = False, approximate: bool = True) -> Check:
     check = check.is_unique("CODE").has_distinctness(["NAME"], lambda x: x >= 0.9)
     if approximate:
         check = check.has_approx_count_distinct("NAME", lambda x: x >= 12000)
-    check = check.has_pattern("HIERARCHY", "ALL#.*#.*")
+    check = check.has_pattern("HIERARCHY", SUITE_PATTERN)
     for name in RULE_COLUMNS:
         column = RULE_COLUMNS[name]
         if name != MISSING_PARENT:
-            check = check.satisfies(RULES[name], name, lambda x: x >= 1.0, column)
+            shown, rule = RULES[name]
+            check = check.satisfies(rule, name, lambda x: x >= 1.0, column, shown)
         elif placeholder:
             check = check.satisfies("false", name, lambda x: x >= 1.0, column)
         else:

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from pathwarden.functions.paths import strip_levels
 from pathwarden.model import RAW_COLUMNS
-from pathwarden.operators.grouping import covered_nodes, seed_members
-from pathwarden.operators.joins import salted_join
+from pathwarden.operators.grouping import covered_nodes, ordered_groups, seed_members
 from pathwarden.operators.rows import distinct_rows, keep_first, top_k
 from pathwarden.operators.similarity_join import similar_pairs
 from pathwarden.session import cut_lineage
@@ -35,22 +34,22 @@ def similar_names(
     travel with their first `k` rows, so a popular name costs no more than a rare one.
     """
     nodes = cut_lineage(_names(df, block, order, k))
-    pairs = similar_pairs(nodes, scorer=scorer, name_cutoff=cutoff, extra=("rows",), unique=False)
+    pairs = similar_pairs(nodes, scorer=scorer, name_cutoff=cutoff, extra=("rows",))
 
-    def directed(me, other):
+    def directed(me, other, score):
         return pairs.select(
             "block",
             F.col(me).alias("id"),
             F.col(f"{me}_name").alias("name"),
             F.col(f"{other}_name").alias("match"),
             F.col(f"{other}_rows").alias("rows"),
-            F.col("name_score").alias("score"),
-        )
+            F.col(score).alias("score"),
+        ).where(F.col("score") >= cutoff)
 
     own = nodes.select("block", "id", "name", F.col("name").alias("match"), "rows", F.lit(100).alias("score"))
     if scorer == "weighted":
         own = own.where(F.col("name").rlike(r"(?U)\w"))
-    matches = directed("a", "b").unionByName(directed("b", "a")).unionByName(own)
+    matches = directed("a", "b", "name_score").unionByName(directed("b", "a", "name_score_back")).unionByName(own)
     each = matches.withColumn("row", F.explode("rows")).drop("rows")
     # Copies of a pair share their rank, so the cut at k before the shuffle keeps what is needed.
     place = F.dense_rank().over(Window.partitionBy("block", "id").orderBy(F.desc("score"), "row"))
@@ -70,7 +69,7 @@ def group_by_name(matches: DataFrame) -> DataFrame:
     openers = matches.join(several.select("block", "id"), ["block", "id"], "left_semi")
     nodes = matches.select("block", F.col("name").alias("match"), F.col("id").alias("b")).distinct()
     edges = openers.select("block", F.col("id").alias("a"), "match").distinct()
-    edges = salted_join(edges, nodes, ["block", "match"]).where(F.col("a") < F.col("b"))
+    edges = edges.join(nodes, ["block", "match"]).where(F.col("a") < F.col("b"))
     seeds = openers.join(covered_nodes(edges.select("block", "a", "b")), ["block", "id"], "left_anti")
     return seeds.select("block", F.col("id").alias("group"), "rank", "row")
 
@@ -79,7 +78,7 @@ def group_rows(groups: DataFrame, df: DataFrame, order: str = "row_id", block: s
     """The rows of the groups, once each, with the columns `group` and `rank` of their first place."""
     first = groups.groupBy("row").agg(F.min(F.struct("group", "rank")).alias("_first"))
     placed = first.select(F.col("row").alias(order), F.col("_first.group").alias("group"), F.col("_first.rank").alias("rank"))
-    return salted_join(df, placed, [order])
+    return df.join(placed, [order])
 
 
 def similar_path_pairs(
@@ -107,7 +106,7 @@ def _similar_groups(nodes: DataFrame, scorer: str, name_cutoff: int, path_cutoff
     placed = first.withColumnRenamed("first", "id").join(grouped, ["block", "id"], "left")
     placed = placed.where(F.col("seed").isNotNull() | (F.col("copies") > 1))
     placed = placed.select("block", "name", "path", F.coalesce("seed", "id").alias("seed"))
-    return salted_join(nodes, placed, ["block", "name", "path"]).select("block", "seed", "id")
+    return nodes.join(placed, ["block", "name", "path"]).select("block", "seed", "id")
 
 
 def similar_groups(
@@ -124,6 +123,18 @@ def similar_groups(
     return _similar_groups(nodes, scorer, name_cutoff, path_cutoff, **options)
 
 
+def stripped_nodes(df: DataFrame, levels: list[int], block: str, order: str, more: list[str] | None = None) -> DataFrame:
+    """A node for each row and number of levels taken off its path; the block is its level and that number."""
+    nodes = df.withColumn("_levels", F.explode(F.array(*[F.lit(n) for n in levels]))).select(
+        F.struct(F.col(block).alias("level"), F.col("_levels").alias("removed")).alias("block"),
+        F.col(order).alias("id"),
+        F.col("NAME").alias("name"),
+        strip_levels(F.col("HIERARCHY"), F.col("_levels")).alias("path"),
+        *(more or []),
+    )
+    return nodes.where(F.col("block.level").isNotNull())
+
+
 def similar_groups_stripped(
     df: DataFrame,
     levels: int | list[int],
@@ -139,13 +150,7 @@ def similar_groups_stripped(
     Columns: block, levels, seed, id. All numbers of levels are grouped in the same rounds.
     """
     numbers = levels if isinstance(levels, list) else [levels]
-    nodes = df.withColumn("_levels", F.explode(F.array(*[F.lit(n) for n in numbers]))).select(
-        F.struct(F.col(block).alias("level"), F.col("_levels").alias("removed")).alias("block"),
-        F.col(order).alias("id"),
-        F.col("NAME").alias("name"),
-        strip_levels(F.col("HIERARCHY"), F.col("_levels")).alias("path"),
-    )
-    nodes = nodes.where(F.col("block.level").isNotNull())
+    nodes = stripped_nodes(df, numbers, block, order)
     groups = _similar_groups(nodes, scorer, name_cutoff, path_cutoff, **options)
     return groups.select(F.col("block.level").alias("block"), F.col("block.removed").alias("levels"), "seed", "id")
 
@@ -179,9 +184,14 @@ def static_detection(
     Adds LEVELS_REMOVED. A row (by its six raw columns) is listed once, at its first
     level, then its smallest number of removed levels.
     """
-    rows = cut_lineage(group_rows(name_groups(df, block, order, k, cutoff, scorer), df, order).select(*df.columns))
-    groups = similar_groups_stripped(rows, list(removed), block, order, path_cutoff, path_cutoff, pair_scorer)
-    placed = salted_join(rows, groups.withColumnRenamed("id", order).drop("block"), [order])
+    found = cut_lineage(group_rows(name_groups(df, block, order, k, cutoff, scorer), df, order).select(*df.columns, "group", "rank"))
+    rows = found.select(*df.columns)
+    # Rows are visited in the order of the name groups, as they were found there.
+    nodes = cut_lineage(stripped_nodes(found, list(removed), block, order, ["group", "rank"]).dropna())
+    pairs = similar_pairs(nodes, scorer=pair_scorer, name_cutoff=path_cutoff, path_cutoff=path_cutoff)
+    visited = nodes.select("block", "id", (F.col("group") * (k + 1) + F.col("rank")).alias("place"))
+    groups = ordered_groups(pairs, visited).select(F.col("block.removed").alias("levels"), "seed", F.col("id").alias(order))
+    placed = rows.join(groups, [order])
     tagged = placed.withColumn("LEVELS_REMOVED", F.concat(F.col("levels").cast("string"), F.lit(" LEVELS")))
     # The key holds the level, so rows of different levels never compete.
     kept = keep_first(tagged, RAW_COLUMNS, [F.col("levels"), F.col("seed"), F.col(order)])

@@ -10,23 +10,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathwarden.operators.joins import HOT_ROWS, salted_join
+from pathwarden.operators.components import components
 from pathwarden.operators.rows import top_k
-from pathwarden.session import fix_layout
+from pathwarden.session import cut_lineage, fix_layout
 
 PairFinder = Callable[..., DataFrame]
 
+#: The most edges of a component that one task sweeps.
+SWEEP_EDGES = 2_000_000
+
 
 def _side(df: DataFrame, column: str, to: str = "id") -> DataFrame:
     return df.select("block", F.col(column).alias(to)).distinct()
 
 
-def _join(left: DataFrame, right: DataFrame, column: str, how: str, big: bool) -> DataFrame:
-    right = right.withColumnRenamed("id", column)
-    return salted_join(left, right, ["block", column], how) if big else left.join(right, ["block", column], how)
+def _join(left: DataFrame, right: DataFrame, column: str, how: str) -> DataFrame:
+    return left.join(right.withColumnRenamed("id", column), ["block", column], how)
 
 
 def _head_seeds(open_edges: DataFrame, head: int) -> DataFrame:
@@ -55,29 +58,92 @@ def _head_seeds(open_edges: DataFrame, head: int) -> DataFrame:
     return keyed.join(covered, ["_key", "id"], "left_anti").select("block", "id")
 
 
-def covered_nodes(edges: DataFrame, head: int = 1_000, plain_rounds: int = 4) -> DataFrame:
-    """The (block, id) that some seed covers, for edges (block, a, b) with a < b.
+def _components(edges: DataFrame) -> DataFrame:
+    """The edges (block, a, b) with the component they belong to, as a number. Two components may share a number."""
+    end = lambda c: F.struct(F.col("block"), F.col(c).alias("id"))
+    placed = components(edges.select(end("a").alias("a"), end("b").alias("b")))
+    numbers = placed.select(F.col("id.block").alias("_block"), F.col("id.id").alias("a"), F.xxhash64("component").alias("component"))
+    same = [F.col("block").eqNullSafe(F.col("_block")), edges["a"] == numbers["a"]]
+    return edges.join(numbers, same).select("block", edges["a"], "b", "component")
+
+
+def covered_nodes(edges: DataFrame, sweep_edges: int = SWEEP_EDGES, head: int = 1_000, plain_rounds: int = 4) -> DataFrame:
+    """The (block, id) that some seed covers, for edges (block, a, b) with a < b. Every other node is a seed.
+
+    Components are independent, so each is swept in order by one task, however long its chains are. A component of more
+    than `sweep_edges` edges, too large for a task, is decided in rounds.
+    """
+    placed = cut_lineage(_components(cut_lineage(edges.select("block", "a", "b").distinct())))
+    large = placed.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") > sweep_edges).select("component")
+    large = cut_lineage(large)
+    coded = placed.join(large, "component", "left_anti").select("component", F.to_json(F.struct("block")).alias("_code"), "block", "a", "b")
 
-    Every other node is a seed. Each round decides all nodes without an undecided smaller
-    neighbour; edges of decided nodes leave. Where long chains of similar rows
-    remain, the rounds also decide the first `head` nodes of each block, so their number
-    is bounded by the smaller of the longest chain and the nodes of a block over `head`.
+    def sweep(part):
+        covered = set()
+        for code, a, b in part.sort_values(["a", "b"])[["_code", "a", "b"]].itertuples(index=False):
+            if (code, a) not in covered:
+                covered.add((code, b))
+        rows = [(code, b) in covered for code, b in zip(part["_code"], part["b"], strict=True)]
+        return part[["_code", "b"]][rows].drop_duplicates().rename(columns={"b": "id"})
+
+    # A block may be a struct, which pandas cannot hash: its text stands for it.
+    swept = coded.drop("block").groupBy("component").applyInPandas(sweep, "_code string, id bigint")
+    ends = coded.select("block", "_code", F.col("b").alias("id")).distinct()
+    swept = ends.join(swept, ["_code", "id"]).select("block", "id")
+    if large.isEmpty():
+        return swept
+    return swept.unionByName(_covered_in_rounds(placed.join(large, "component", "left_semi"), head, plain_rounds))
+
+
+def _covered_in_rounds(edges: DataFrame, head: int, plain_rounds: int) -> DataFrame:
+    """`covered_nodes` by rounds. Each decides all nodes without an undecided smaller neighbour; edges of decided nodes leave.
+
+    Where long chains of similar rows remain, the rounds also decide the first `head` nodes of each block, so their
+    number is bounded by the smaller of the longest chain and the nodes of a block over `head`.
     """
     open_edges = fix_layout(edges.select("block", "a", "b").distinct())
     rounds = []
-    while (size := open_edges.count()) > 0:
-        big = size >= HOT_ROWS
+    while not open_edges.isEmpty():
         seeds = _side(open_edges, "a").join(_side(open_edges, "b"), ["block", "id"], "left_anti")
         if len(rounds) >= plain_rounds:
             seeds = fix_layout(seeds.unionByName(_head_seeds(open_edges, head)).distinct())
         # Not stored: it hangs on this round's stored edges alone.
-        covered = _side(_join(open_edges, seeds, "a", "left_semi", big), "b")
-        rest = _join(_join(open_edges, covered, "a", "left_anti", big), covered, "b", "left_anti", big)
+        covered = _side(_join(open_edges, seeds, "a", "left_semi"), "b")
+        rest = _join(_join(open_edges, covered, "a", "left_anti"), covered, "b", "left_anti")
         open_edges = fix_layout(rest.select("block", "a", "b"))
         rounds.append(covered)
     return _union(rounds) if rounds else _side(edges, "b").where(F.lit(False))
 
 
+def ordered_groups(edges: DataFrame, order: DataFrame) -> DataFrame:
+    """Groups (block, seed, id) of a sweep in an order other than that of the ids.
+
+    `order` has (block, id, place). Rows are visited by place; a row that no group holds opens one with the rows of a
+    larger id that are similar to it and in no group yet. A component of similar rows is one task's work.
+    """
+    placed = _components(cut_lineage(edges.select("block", "a", "b").distinct()))
+    for side in ("a", "b"):
+        placed = placed.join(order.select("block", F.col("id").alias(side), F.col("place").alias(f"{side}_place")), ["block", side])
+    coded = placed.withColumn("_code", F.to_json(F.struct("block")))
+
+    def sweep(part):
+        places, larger = {}, {}
+        for code, a, b, a_place, b_place in part[["_code", "a", "b", "a_place", "b_place"]].itertuples(index=False):
+            places[code, a], places[code, b] = a_place, b_place
+            larger.setdefault((code, a), []).append(b)
+        taken, rows = set(), []
+        for code, a in sorted(places, key=lambda node: (places[node], node)):
+            free = sorted(b for b in larger.get((code, a), []) if (code, b) not in taken)
+            if (code, a) not in taken and free:
+                taken.update((code, x) for x in (a, *free))
+                rows += [(code, a, x) for x in (a, *free)]
+        return pd.DataFrame(rows, columns=["_code", "seed", "id"])
+
+    swept = coded.drop("block").groupBy("component").applyInPandas(sweep, "_code string, seed bigint, id bigint")
+    blocks = coded.select("block", "_code").distinct()
+    return swept.join(blocks, "_code").select("block", "seed", "id")
+
+
 def seed_members(
     nodes: DataFrame,
     find_pairs: PairFinder,
@@ -117,8 +183,7 @@ def seed_members(
             break
     edges = fix_layout(find_pairs(remaining).select("block", "a", "b"))
     covered = fix_layout(covered_nodes(edges))
-    big = edges.count() >= HOT_ROWS
-    from_seed = _join(edges, covered, "a", "left_anti", big)
+    from_seed = _join(edges, covered, "a", "left_anti")
     parts.append(from_seed.select("block", F.col("a").alias("seed"), F.col("b").alias("id")))
 
     if all_neighbours and seeds:
@@ -128,10 +193,10 @@ def seed_members(
         ids = every_seed.select("block", "id")
         others = fix_layout(nodes.join(ids, ["block", "id"], "left_anti"))
         pairs = fix_layout(find_pairs(every_seed, others).select("block", "a", "b"))
-        parts = _both_ways(pairs, ids, True)
+        parts = _both_ways(pairs, ids)
     elif all_neighbours:
         ends = _side(edges, "a").unionByName(_side(edges, "b")).distinct()
-        parts = _both_ways(edges, ends.join(covered, ["block", "id"], "left_anti"), big)
+        parts = _both_ways(edges, ends.join(covered, ["block", "id"], "left_anti"))
 
     members = _union(parts).distinct()
     if not all_neighbours:
@@ -140,11 +205,11 @@ def seed_members(
     return members.unionByName(own)
 
 
-def _both_ways(pairs: DataFrame, seeds: DataFrame, big: bool) -> list[DataFrame]:
+def _both_ways(pairs: DataFrame, seeds: DataFrame) -> list[DataFrame]:
     """Members of each seed, whichever side of the pair it is on. No two seeds are a pair."""
     return [
-        _join(pairs, seeds, "a", "left_semi", big).select("block", F.col("a").alias("seed"), F.col("b").alias("id")),
-        _join(pairs, seeds, "b", "left_semi", big).select("block", F.col("b").alias("seed"), F.col("a").alias("id")),
+        _join(pairs, seeds, "a", "left_semi").select("block", F.col("a").alias("seed"), F.col("b").alias("id")),
+        _join(pairs, seeds, "b", "left_semi").select("block", F.col("b").alias("seed"), F.col("a").alias("id")),
     ]
 
 

@@ -15,7 +15,7 @@ from pathwarden.operators.joins import (
     dimension,
     lookup,
     lookup_default,
-    salted_join,
+    small_table,
     under_prefix,
 )
 from pathwarden.operators.rows import continent_candidates, drop_groups, key_union, union_ragged
@@ -23,16 +23,21 @@ from pathwarden.operators.rows import continent_candidates, drop_groups, key_uni
 NOT_FOUND = "NOT FOUND"
 
 
-def first_ancestor_in(df: DataFrame, codes: DataFrame, name: str = "PARENT") -> DataFrame:
+def first_ancestor_in(df: DataFrame, codes: DataFrame, name: str = "PARENT", small: bool = True) -> DataFrame:
     """Add the first path segment that is one of `codes` (column CODE); null without one.
 
-    A path's answer depends on the path alone, so each distinct path is resolved once.
+    A `small` table of codes is looked up within each row, with no shuffle; a large one is joined with the distinct paths.
     """
+    others = [c for c in df.columns if c != name]
+    if small:
+        known = small_table(codes.select("CODE").dropna().distinct(), F.col("CODE"), "codes")
+        within = F.array_intersect(segments(F.col("HIERARCHY")), F.col("_codes"))
+        return df.withColumn("_codes", known).select(*others, F.get(within, F.lit(0)).alias(name))
     paths = df.select("HIERARCHY").where(F.col("HIERARCHY").isNotNull()).distinct()
     steps = paths.select("HIERARCHY", F.posexplode(segments(F.col("HIERARCHY"))).alias("_at", "CODE"))
-    hits = lookup(steps, codes.select("CODE").distinct(), ["CODE"], "inner")
+    hits = steps.join(codes.select("CODE").distinct(), ["CODE"])
     first = hits.groupBy("HIERARCHY").agg(F.min_by("CODE", "_at").alias(name))
-    return salted_join(df.drop(name), first, ["HIERARCHY"], "left").select(*[c for c in df.columns if c != name], name)
+    return df.drop(name).join(first, ["HIERARCHY"], "left").select(*others, name)
 
 
 def drop_unparented(df: DataFrame) -> DataFrame:
@@ -102,7 +107,7 @@ def build_continents(
     distinct = candidates.select("NAME").where(F.col("NAME").isNotNull()).distinct()
     compared = distinct.withColumn("_continent", F.explode(F.array(*[F.lit(n) for n in names])))
     scored = compared.withColumn("_score", score_of(F.col("_continent"), F.col("NAME"), scorer))
-    named = salted_join(candidates, scored.where(F.col("_score") > above).select("NAME"), ["NAME"]).select(*rows.columns)
+    named = candidates.join(scored.where(F.col("_score") > above).select("NAME"), ["NAME"]).select(*rows.columns)
     south = rows.where(F.col("CODE") == "SOAME").withColumn("HIERARCHY", F.lit("ALL#WORLD#SOAME"))
     oceania = raw.sparkSession.range(1).select(
         F.lit("Oceania").alias("NAME"),
@@ -139,10 +144,11 @@ def assign_continent(
         reference,
         F.col("country"),
         "country",
-        {"continent_name": F.col("continent_name"), "ordinal": F.col("ordinal")},
+        {"continent_name": F.col("continent_name")},
         F.col("ordinal"),
+        place="place",
     )
-    choices = entries.select(F.col("country").alias("choice"), "ordinal")
+    choices = entries.select(F.col("country").alias("choice"), F.col("place").alias("ordinal"))
     unknown = found.where(F.col("_exact").isNull() & F.col("NAME").isNotNull()).select("NAME").distinct()
     similar = best_match(unknown, "NAME", choices, scorer, above, strict=True).where(F.col("match").isNotNull())
     named = entries.select(F.col("country").alias("match"), "continent_name")
@@ -192,17 +198,17 @@ def official_level_name(
     cases = cases.withColumn("_code", F.trim("PARENT"))
 
     by_code = dimension(reference, F.col("code"), "_code", {"_country": F.col("country")}, F.col("ordinal"))
-    values = {c: F.col(c) for c in ("level_1", "level_2", "level_3", "ordinal")}
-    by_name = dimension(reference, F.col("country"), "country", values, F.col("ordinal"))
+    values = {c: F.col(c) for c in ("level_1", "level_2", "level_3")}
+    by_name = dimension(reference, F.col("country"), "country", values, F.col("ordinal"), place="place")
 
     # The country by its code, or by the name most similar to the code.
     codes = lookup_default(cases.select("_code").distinct(), "_code", by_code, "_country")
-    choices = by_name.select(F.col("country").alias("choice"), "ordinal")
+    choices = by_name.select(F.col("country").alias("choice"), F.col("place").alias("ordinal"))
     strange = best_match(codes.where(F.col("_country").isNull()), "_code", choices, scorer, country_cutoff)
     strange = strange.select("_code", F.col("match").alias("country")).where(F.col("country").isNotNull())
     exact = codes.where(F.col("_country").isNotNull()).select("_code", F.col("_country").alias("country"))
     entries = lookup(exact.unionByName(strange), by_name, ["country"], "inner")
-    resolved = salted_join(cases, entries, ["_code"])
+    resolved = cases.join(entries, ["_code"])
 
     single = lambda c: F.when(F.coalesce(F.col(c), F.lit("")) == "", F.array().cast("array<string>")).otherwise(F.array(c))
     names = F.coalesce(
@@ -211,14 +217,14 @@ def official_level_name(
         .otherwise(single("level_3")),
         F.array().cast("array<string>"),
     )
+    names = F.filter(names, lambda n: n.isNotNull())
     options = F.transform(names, lambda n, i: F.struct(i.alias("ordinal"), n.alias("choice")))
     scored = resolved.withColumn("_options", options).where(F.size("_options") > 0)
     scored = scored.withColumn("_best", best_of(level, F.col("_options"), scorer))
     chosen = F.when(F.col("_best.score") >= level_cutoff, F.col("_best.choice")).otherwise(
         F.get(F.col("_options"), F.lit(0))["choice"]
     )
-    # One text key, so that a missing LEVEL_NAME joins like any other value.
-    case_key = F.to_json(F.struct(*keys))
-    official = scored.select(case_key.alias("_case"), F.upper(chosen).alias("_official"))
-    found = salted_join(df.withColumn("_case", case_key), official, ["_case"], "left")
+    official = scored.select(*[F.col(k).alias(f"_{k}") for k in keys], F.upper(chosen).alias("_official"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    found = df.join(official, same, "left")
     return found.select(*df.columns, F.coalesce("_official", "LEVEL_NAME").alias("OFFICIAL_LEVEL_NAME"))

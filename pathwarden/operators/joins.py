@@ -1,4 +1,8 @@
-"""Joins that hold when one key has a third of the rows, and dimension lookups."""
+"""Joins by key, lookups in dimensions, and the most similar entry of a dimension.
+
+Joins are plain equi-joins: Spark chooses a broadcast by the size it knows or measures, and its adaptive skew
+handling splits a hot key of either side. Nothing here runs a job while a plan is built.
+"""
 
 from __future__ import annotations
 
@@ -8,79 +12,38 @@ from pyspark.sql import functions as F
 from pathwarden.functions.paths import path_prefixes
 from pathwarden.functions.similarity import best_of
 
-HOT_SHARE = 1 / 64
-HOT_ROWS = 1_000_000
-SALTS = 64
-BROADCAST_ROWS = 100_000
-
-
-def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE, min_rows: int = HOT_ROWS) -> list[int]:
-    """Hashes of the keys that hold at least `share` of the rows, at most 1/share of them.
-
-    One column-pruned pass with a fixed-size frequent-items sketch: no shuffle of the
-    keys. The list decides only how rows are spread, never which rows match.
-    """
-    wanted = int(1 / share)
-    top = (
-        df.select(F.xxhash64(*keys).alias("k"))
-        .agg(F.count("*").alias("n"), F.expr(f"approx_top_k(k, {wanted}, {wanted * 64})").alias("top"))
-        .first()
-    )
-    floor = max(min_rows, share * top["n"])
-    return [entry["item"] for entry in top["top"] or [] if entry["count"] >= floor]
-
-
-def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: list[str],
-    how: str = "inner",
-    salts: int = SALTS,
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Equi-join (inner, left, left_semi, left_anti) that splits the left side's hot keys.
-
-    Rows of a hot key go to `salts` tasks and only the matching right rows are copied.
-    The salt depends on the row and on the map task, so full copies spread as well and
-    a task that runs again places its rows as before. Null keys may be hot too.
-    """
-    hot = hot_keys(left, keys, share, min_rows)
-    if not hot:
-        return left.join(right, keys, how)
-    is_hot = F.xxhash64(*keys).isin(hot)
-    salt = F.pmod(F.xxhash64(*left.columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
-    salted_left = left.withColumn("_salt", F.when(is_hot, salt).otherwise(0))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = right.withColumn("_salt", F.explode(copies))
-    return salted_left.join(salted_right, keys + ["_salt"], how).drop("_salt")
-
+#: The most rows of a table that travels whole to every task; a larger one fails with a message.
+SMALL_ROWS = 10_000
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Keep the session's number of partitions ahead of work that costs more than its bytes suggest."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
-
-def is_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    return df.limit(limit + 1).count() <= limit
+def small_table(df: DataFrame, entry: Column, name: str) -> Column:
+    """All entries of a small table as one array, for use in any row. Its size is checked when it is read."""
+    few = df.select(entry.alias("e")).limit(SMALL_ROWS + 1)
+    too_many = F.raise_error(F.lit(f"{name}: over {SMALL_ROWS} rows; use the join for large tables"))
+    packed = few.agg(F.when(F.count("*") <= SMALL_ROWS, F.sort_array(F.collect_list("e"))).otherwise(too_many).alias("e"))
+    return packed.scalar()
 
 
 def lookup(df: DataFrame, dimension: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
-    """Join to a table with one row per key: broadcast if its size allows it, else salted."""
-    if is_small(dimension):
-        return df.join(F.broadcast(dimension), keys, how)
-    return salted_join(df, dimension, keys, how)
+    """Join to a table with one row per key."""
+    return df.join(dimension, keys, how)
+
 
+def dimension(
+    df: DataFrame, key: Column, key_name: str, values: dict[str, Column], order: Column, place: str | None = None
+) -> DataFrame:
+    """One row per non-null key, the last one in `order` winning; `place` adds the key's first `order`.
 
-def dimension(df: DataFrame, key: Column, key_name: str, values: dict[str, Column], order: Column) -> DataFrame:
-    """One row per non-null key, the last one in `order` winning."""
+    That is how a dictionary fills: a repeated key keeps its first place and takes the last value.
+    """
     # In a struct a null order is the lowest one; bare, max_by would skip the row.
     last = F.max_by(F.struct(*[v.alias(k) for k, v in values.items()]), F.struct(order))
+    first = [] if place is None else [F.min(order).alias(place)]
     return (
         df.where(key.isNotNull())
         .groupBy(key.alias(key_name))
-        .agg(last.alias("v"))
-        .select(key_name, *[F.col(f"v.{k}").alias(k) for k in values])
+        .agg(last.alias("v"), *first)
+        .select(key_name, *[F.col(f"v.{k}").alias(k) for k in values], *([place] if place else []))
     )
 
 
@@ -99,81 +62,69 @@ def inner_on_key(left: DataFrame, right: DataFrame, key: str, suffixes=("_x", "_
     shared = [c for c in left.columns if c in right.columns and c != key]
     a = left.withColumnsRenamed({c: c + suffixes[0] for c in shared})
     b = right.withColumnsRenamed({c: c + suffixes[1] for c in shared})
-    return salted_join(a, b, [key], "inner")
+    return a.join(b, [key])
 
 
 def semi_by_key(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
-    return salted_join(df, other.select(key).distinct(), [key], "left_semi").select(*df.columns)
+    return df.join(other.select(key).distinct(), [key], "left_semi").select(*df.columns)
 
 
 def anti_by_key(df: DataFrame, other: DataFrame, key: str, null_matches_null: bool = True) -> DataFrame:
     """Rows whose key the other side lacks. A null key counts as found if the other side has one too."""
-    keys = other.select(key).distinct()
-    if not null_matches_null:
-        return salted_join(df, keys, [key], "left_anti").select(*df.columns)
-    plain = [F.col(key).isNull().alias("_null"), F.coalesce(F.col(key).cast("string"), F.lit("")).alias("_key")]
-    left = df.select("*", *plain)
-    return salted_join(left, keys.select(*plain), ["_null", "_key"], "left_anti").select(*df.columns)
+    keys = other.select(F.col(key).alias("_key")).distinct()
+    same = F.col(key).eqNullSafe(F.col("_key")) if null_matches_null else F.col(key) == F.col("_key")
+    return df.join(keys, same, "left_anti")
 
 
 def keyed_update(df: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     """Overwrite columns with the non-null values of the row of `changes` that has the same key."""
     changed = [c for c in changes.columns if c != key]
     renamed = changes.select(key, *[F.col(c).alias(f"_new_{c}") for c in changed])
-    joined = salted_join(df, renamed, [key], "left")
+    joined = df.join(renamed, [key], "left")
     return joined.select(
         *[F.coalesce(F.col(f"_new_{c}"), F.col(c)).alias(c) if c in changed else F.col(c) for c in df.columns]
     )
 
 
-def under_prefix(df: DataFrame, path: str, prefixes: DataFrame, prefix: str, values: list[str]) -> DataFrame:
+def under_prefix(
+    df: DataFrame, path: str, prefixes: DataFrame, prefix: str, values: list[str], small: bool = True
+) -> DataFrame:
     """Add the `values` of the longest of `prefixes` that the path lies under, matched at separators.
 
-    Each distinct path is resolved once, whatever its number of rows.
+    A `small` table of prefixes (at most SMALL_ROWS) is looked up within each row, with no shuffle. A large one is
+    joined, each row with the steps of its path, and the longest match kept.
     """
+    if small:
+        entry = F.struct(F.col(prefix).alias("key"), F.struct(*values).alias("value"))
+        known = prefixes.where(F.col(prefix).isNotNull()).dropDuplicates([prefix])
+        rows = df.withColumn("_known", F.map_from_entries(small_table(known, entry, "prefixes")))
+        found = F.filter(F.transform(path_prefixes(F.col(path)), lambda p: F.try_element_at(F.col("_known"), p)), lambda v: v.isNotNull())
+        rows = rows.withColumn("_hit", F.try_element_at(found, F.lit(-1)))
+        return rows.select(*df.columns, *[F.col(f"_hit.{v}").alias(v) for v in values])
     paths = df.select(F.col(path)).where(F.col(path).isNotNull()).distinct()
     steps = paths.select(path, F.posexplode(path_prefixes(F.col(path))).alias("_step", prefix))
-    hits = lookup(steps, prefixes.select(prefix, *values), [prefix], "inner")
+    hits = steps.join(prefixes.select(prefix, *values), [prefix])
     best = hits.groupBy(path).agg(F.max_by(F.struct(*values), "_step").alias("_hit"))
-    found = salted_join(df, best, [path], "left")
+    found = df.join(best, [path], "left")
     return found.select(*df.columns, *[F.col(f"_hit.{v}").alias(v) for v in values])
 
 
-def best_match(
-    df: DataFrame, name: str, choices: DataFrame, scorer: str, cutoff: int, strict: bool = False, chunk: int = 256
-) -> DataFrame:
+def best_match(df: DataFrame, name: str, choices: DataFrame, scorer: str, cutoff: int, strict: bool = False) -> DataFrame:
     """Add the best of `choices` (choice, ordinal) for each `name`, with its score.
 
-    `match` is null where the best score is under the cutoff (`strict`: not above it).
-    Ties go to the lowest ordinal. Names are scored once per distinct value. The choices
-    travel as arrays of at most about `chunk` entries, each copied to many salts, and
-    only the best of an array leaves a task, so neither side has to fit in memory.
+    `match` is null where the best score is under the cutoff (`strict`: not above it). Ties go to the lowest ordinal.
+    The choices are a reference list of at most SMALL_ROWS entries, distinct ones counted, that travels to every task;
+    names are scored once per distinct value.
     """
-    groups = max(1, -(-choices.count() // chunk))
+    distinct = choices.where(F.col("choice").isNotNull()).groupBy("choice").agg(F.min("ordinal").alias("ordinal"))
+    packed = small_table(distinct, F.struct("ordinal", "choice"), "choices")
     names = df.select(F.col(name).alias("_name")).where(F.col(name).isNotNull()).distinct()
-    names = spread(names, "_name")
-    salted = names.select(
-        "_name",
-        F.pmod(F.xxhash64("_name"), F.lit(SALTS)).alias("_salt"),
-        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("_group"),
-    )
-    entry = F.struct(F.col("ordinal"), F.col("choice"))
-    packed = (
-        choices.where(F.col("choice").isNotNull())
-        .groupBy(F.pmod(F.xxhash64("choice"), F.lit(groups)).cast("int").alias("_group"))
-        .agg(F.sort_array(F.collect_list(entry)).alias("_choices"))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
-    )
-    scored = salted.join(packed, ["_group", "_salt"]).withColumn(
-        "_best", best_of(F.col("_name"), F.col("_choices"), scorer)
-    )
-    best = scored.groupBy("_name").agg(
-        F.max_by("_best", F.struct("_best.score", -F.col("_best.ordinal"))).alias("_b")
-    )
+    scored = names.withColumn("_choices", packed).where(F.size("_choices") > 0)
+    scored = scored.withColumn("_b", best_of(F.col("_name"), F.col("_choices"), scorer))
     accepted = F.col("_b.score") > cutoff if strict else F.col("_b.score") >= cutoff
-    best = best.select(
+    best = scored.select(
         F.col("_name").alias(name),
         F.when(accepted, F.col("_b.choice")).alias("match"),
         F.col("_b.score").alias("score"),
     )
-    return salted_join(df, best, [name], "left").select(*df.columns, "match", "score")
+    return df.join(best, [name], "left").select(*df.columns, "match", "score")

@@ -72,6 +72,12 @@ def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
     return top_k(df, keys, order, 1)
 
 
+def in_group_order(groups: DataFrame, group: str = "seed", member: str = "id", name: str = "place") -> DataFrame:
+    """Add a member's place in its group from 0: the row that opened it, then the others in order."""
+    order = Window.partitionBy(group).orderBy(F.col(member) != F.col(group), member)
+    return groups.withColumn(name, F.row_number().over(order) - 1)
+
+
 def distinct_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 

@@ -1,29 +1,25 @@
 """Joins of similar texts with full recall, from keys that similar texts must share.
 
-Cut the shorter of two texts into pieces. An edit touches one piece, so with `d` edits
-and `d + 1 + r` pieces at least `r + 1` pieces occur in the longer text too, at nearly the
-same place (after Li, Deng, Wang and Feng, 2011). Every text emits hashed pieces, an
-equi-join gives the candidates, and a bound on the score is checked in the same stage, so raw
-candidates are never shuffled or stored. The `r` spare pieces let each text leave out
-its most common ones, such as a shared beginning, and still meet every match. Keys that
-stay common are split into a grid of bounded cells.
+Cut the shorter of two texts into pieces, one more than the edits that may part it from a match. An edit touches one
+piece, so some piece occurs in the longer text too, at nearly the same place (after Li, Deng, Wang and Feng, 2011).
+Every text emits hashed pieces with its id, an equi-join gives the candidates, and a bound on the score is checked in
+the same stage, so raw candidates are never stored. Pairs found are made distinct as bare ids; what else belongs to a
+row is fetched for those alone. The joins are plain ones, so a key that many texts share is split by Spark's adaptive
+skew handling. Nothing runs while the plan is built.
 """
 
 from __future__ import annotations
 
-from functools import partial
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pathwarden.functions.similarity import plain_text, score_of, sorted_tokens
-from pathwarden.operators.joins import spread
 
-CELL_ROWS = 4_000
-HOT_TRACKED = 2_048
-COMMON_TRACKED = 256
-MOST_SPARE = 2
 TINY = 1e-9
+#: The weight of token scores in the weighted score.
+TOKEN_WEIGHT = 0.95
 
 
 def allowance(cutoff: float) -> float:
@@ -47,63 +43,37 @@ def _shortest(length: Column, scorer: str, cutoff: float) -> Column:
     return F.ceil(length * share - TINY).cast("int")
 
 
-def _spare(length: Column, edits: Column, most: int) -> Column:
-    """How many pieces a text may leave out, up to `most`; short texts have none to spare."""
-    room = F.when(length >= (edits + 3) * 5, 2).when(length >= (edits + 2) * 4, 1).otherwise(0)
-    return F.least(room, F.lit(most))
-
-
 def _bounds(length: Column, count: Column, i: Column) -> tuple[Column, Column]:
     """Start and width of piece `i` of `count` of a text of `length`."""
     start = F.floor(i * length / count).cast("int")
     return start, F.floor((i + 1) * length / count).cast("int") - start
 
 
-def _index_keys(nodes: DataFrame, scorer: str, cutoff: float, spare: int, common_above: int) -> DataFrame:
-    """One key per piece of the text, the most common ones left out as far as there are spare ones."""
-    length = F.length("text")
-    cut = nodes.withColumn("_edits", _edits(length, scorer, cutoff))
-    cut = cut.withColumn("_spare", _spare(length, F.col("_edits"), spare))
-    count = F.col("_edits") + 1 + F.col("_spare")
+def _index_keys(nodes: DataFrame, scorer: str, cutoff: float) -> DataFrame:
+    """One key per piece of the text."""
+    count = _edits(F.length("text"), scorer, cutoff) + 1
 
     def key(i):
         start, width = _bounds(F.length("text"), count, i)
         return F.xxhash64("block", F.length("text"), i, F.substring(F.col("text"), start + 1, width))
 
-    keyed = cut.withColumn("_keys", F.transform(F.sequence(F.lit(0), count - 1), key))
-    kept = F.col("_keys")
-    if spare:
-        spared = keyed.where("_spare > 0").select(F.explode("_keys").alias("sig"))
-        common = _common_keys(spared, COMMON_TRACKED, common_above)
-        if common:
-            weight = F.create_map(*[F.lit(v) for entry in common.items() for v in entry])
-            ranked = F.array_sort(
-                F.transform(kept, lambda k: F.struct((-F.coalesce(F.try_element_at(weight, k), F.lit(0))).alias("w"), k.alias("k")))
-            )
-            kept = F.transform(F.slice(ranked, F.col("_spare") + 1, F.size(ranked)), lambda e: e["k"])
-    return keyed.withColumn("sig", F.explode(kept)).select(*nodes.columns, "sig")
-
-
-def _probe_keys(nodes: DataFrame, scorer: str, cutoff: float, spare: int) -> DataFrame:
+    return nodes.withColumn("sig", F.explode(F.transform(F.sequence(F.lit(0), count - 1), key)))
+
+
+def _probe_keys(nodes: DataFrame, scorer: str, cutoff: float) -> DataFrame:
     """The keys that a shorter or equally long match may have: pieces at the places its edits allow."""
     size = F.length("text")
-    lengths = nodes.withColumn("_size", size).withColumn(
-        "_len", F.explode(F.sequence(_shortest(size, scorer, cutoff), size))
-    )
+    lengths = nodes.withColumn("_size", size).withColumn("_len", F.explode(F.sequence(_shortest(size, scorer, cutoff), size)))
     cut = lengths.withColumn("_edits", _edits(F.col("_len"), scorer, cutoff))
-    cut = cut.withColumn("_spare", _spare(F.col("_len"), F.col("_edits"), spare))
-    cut = cut.withColumn("_count", F.col("_edits") + 1 + F.col("_spare"))
-    cut = cut.withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_count") - 1)))
-    start, width = _bounds(F.col("_len"), F.col("_count"), F.col("_i"))
+    cut = cut.withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_edits"))))
+    start, width = _bounds(F.col("_len"), F.col("_edits") + 1, F.col("_i"))
     cut = cut.withColumn("_start", start).withColumn("_width", width)
-    # A shift by s costs at least |s| edits before the piece and |s - longer| after it.
+    # A shift by s costs at least |s| edits before the piece and |s - longer| after it, and some piece with at
+    # most as many edits before it as its number is untouched.
     longer = F.col("_size") - F.col("_len")
     back = F.floor((F.col("_edits") - longer) / 2).cast("int")
     forth = F.floor((F.col("_edits") + longer) / 2).cast("int")
-    # Without spare pieces one with at most `_i` edits before it is untouched: fewer shifts.
-    exact = F.col("_spare") == 0
-    before = F.when(exact, F.col("_i")).otherwise(F.col("_edits"))
-    after = F.when(exact, F.col("_edits") - F.col("_i")).otherwise(F.col("_edits"))
+    before, after = F.col("_i"), F.col("_edits") - F.col("_i")
     low = F.col("_start") + F.greatest(-back, -before, longer - after)
     high = F.col("_start") + F.least(forth, before, longer + after)
     low, high = F.greatest(F.lit(0), low), F.least(F.col("_size") - F.col("_width"), high)
@@ -114,115 +84,88 @@ def _probe_keys(nodes: DataFrame, scorer: str, cutoff: float, spare: int) -> Dat
     return placed.select(*nodes.columns, F.xxhash64("block", "_len", "_i", piece).alias("sig"))
 
 
-def _all_token_keys(nodes: DataFrame) -> DataFrame:
-    tokens = F.array_distinct(F.split("text", r"\s+"))
-    return nodes.withColumn("_token", F.explode(tokens)).select(
-        *nodes.columns, F.xxhash64("block", "_token").alias("sig")
-    )
+def _close(a: Column, b: Column, scorer: str, cutoff: float) -> Column:
+    """A necessary condition for the score, checked in the JVM ahead of it."""
+    longest = F.greatest(F.length(a), F.length(b)) if scorer == "levenshtein" else F.length(a) + F.length(b)
+    edits = F.floor(longest * allowance(cutoff) + TINY).cast("int")
+    return F.call_function("levenshtein", a, b, edits) >= 0
 
 
-def _rare_token_keys(nodes: DataFrame) -> DataFrame:
-    """The longest tokens, one more than a near-perfect token score lets a text miss."""
-    by_length = F.array_sort(
-        F.transform(F.array_distinct(F.split("text", r"\s+")), lambda t: F.struct((-F.length(t)).alias("n"), t.alias("t")))
-    )
-    picked = F.slice(by_length, F.lit(1), _missable(F.col("text")) + 1)
-    return nodes.withColumn("_token", F.explode(picked)).select(
-        *nodes.columns, F.xxhash64("block", "_token.t").alias("sig")
-    )
+def _tokens(text: Column) -> Column:
+    return F.array_distinct(F.split(text, r"\s+"))
 
 
-def _common_keys(sigs: DataFrame, tracked: int, more_than: int) -> dict[int, int]:
-    """Keys held by more than so many rows, with their counts: one pass with a fixed-size sketch."""
-    top = sigs.agg(F.expr(f"approx_top_k(sig, {tracked}, {tracked * 16})").alias("top")).first()["top"] or []
-    return {e["item"]: e["count"] for e in top if e["count"] > more_than}
+def _missable(text: Column, cutoff: float) -> Column:
+    """How many tokens a text may lack in the other one at a token score of `cutoff`.
 
+    A token without its equal has an unmatched character in it or beside it, and one beside it may serve two tokens.
+    """
+    c = allowance(cutoff)
+    return (2 * F.floor(F.length(text) * (1 + (1 + c) / (1 - c)) * c + TINY)).cast("int")
 
-def grid_join(index: DataFrame, probe: DataFrame, on: Column, cell_rows: int | None) -> DataFrame:
-    """Join on `sig` and `on` (aliases i and p), common keys as a grid of parts x parts cells.
 
-    A row of a common key goes to one row or column of the grid, so each pair meets once
-    and no cell holds more than about `cell_rows` rows of either side. The table of
-    such keys has at most HOT_TRACKED rows. `cell_rows` None: the inputs are too small.
-    """
-    spark = index.sparkSession
-    keys = ["sig"]
-    hot = {}
-    if cell_rows is not None:
-        hot = _common_keys(index.select("sig").unionAll(probe.select("sig")), HOT_TRACKED, cell_rows)
-    if hot:
-        cells = [(key, -(-count // cell_rows)) for key, count in hot.items()]
-        parts = spark.createDataFrame(cells, "sig bigint, _parts int")
-        own = F.pmod(F.xxhash64("id"), F.col("_parts")).cast("int")
-        every = F.sequence(F.lit(0), F.col("_parts") - 1)
-
-        def gridded(df, row, column):
-            known = df.join(F.broadcast(parts), "sig", "left").withColumn("_parts", F.coalesce("_parts", F.lit(1)))
-            return known.withColumn("_row", row).withColumn("_column", column).drop("_parts")
-
-        index = gridded(index, own, F.explode(every))
-        probe = gridded(probe, F.explode(every), own)
-        keys = ["sig", "_row", "_column"]
-    equal = (F.col("i.block") == F.col("p.block")) & on
-    for key in keys:
-        equal = equal & (F.col(f"i.{key}") == F.col(f"p.{key}"))
-    return spread(index, *keys).alias("i").join(spread(probe, *keys).alias("p"), equal)
+def _token_keys(nodes: DataFrame) -> DataFrame:
+    return nodes.withColumn("token", F.explode(_tokens(F.col("text"))))
 
 
-def _close(a: Column, b: Column, scorer: str, cutoff: float) -> Column:
-    """A necessary condition for the score, checked in the JVM ahead of it."""
-    longest = F.greatest(F.length(a), F.length(b)) if scorer == "levenshtein" else F.length(a) + F.length(b)
-    edits = F.floor(longest * allowance(cutoff) + TINY).cast("int")
-    return F.call_function("levenshtein", a, b, edits) >= 0
+def _rare_token_keys(nodes: DataFrame, index: DataFrame, cutoff: float) -> DataFrame:
+    """The tokens that the fewest texts of `index` have, one more than a text may lack."""
+    counts = index.groupBy("block", "token").agg(F.count(F.lit(1)).alias("_n"))
+    counted = _token_keys(nodes).join(counts, ["block", "token"], "left")
+    ranked = counted.groupBy(*nodes.columns).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "token"))).alias("_all"))
+    picked = F.slice("_all", F.lit(1), _missable(F.col("text"), cutoff) + 1)
+    return ranked.withColumn("_entry", F.explode(picked)).select(*nodes.columns, F.col("_entry.token").alias("token"))
 
 
-def _missable(text: Column) -> Column:
-    """How many tokens a text may lack in the other one at a near-perfect token score."""
-    return F.floor(F.length(text) * 0.013).cast("int")
+def _token_near(a: Column, b: Column, cutoff: float) -> Column:
+    """A necessary condition for a token score: like lengths, and one text has nearly all tokens of the other."""
+    left, right = _tokens(a), _tokens(b)
+    some = (F.size(F.array_except(left, right)) <= _missable(a, cutoff)) | (F.size(F.array_except(right, left)) <= _missable(b, cutoff))
+    return (F.greatest(F.length(a), F.length(b)) < 1.5 * F.least(F.length(a), F.length(b))) & some
 
 
-def _contained(a: Column, b: Column) -> Column:
-    """A necessary condition for a near-perfect token score: one text has nearly all tokens of the other."""
-    left, right = F.split(a, r"\s+"), F.split(b, r"\s+")
-    return (F.size(F.array_except(left, right)) <= _missable(a)) | (F.size(F.array_except(right, left)) <= _missable(b))
+def _families(scorer: str, cutoff: int) -> list[tuple[Column, str, int]]:
+    """The ways in which two names can reach the cutoff: text to compare, kind, cutoff on its own score."""
+    if scorer != "weighted":
+        return [(F.col("name"), scorer, cutoff)]
+    if cutoff <= 90:
+        raise ValueError("the weighted score is joined above 90 only, where partial matches cannot reach")
+    plain = plain_text(F.col("name"))
+    token_cutoff = ceil((cutoff - 0.5) / TOKEN_WEIGHT - TINY)
+    by_token = [(sorted_tokens(plain), "ratio", token_cutoff), (plain, "token", token_cutoff)]
+    return [(plain, "ratio", cutoff), *(by_token if token_cutoff <= 100 else [])]
 
 
-def _cheaper_spare(nodes: DataFrame, scorer: str, cutoff: float, common_above: int) -> int:
-    """0 or 2 spare pieces, whichever makes for fewer pairs of texts with a key in common.
+def _candidates(left: DataFrame, right: DataFrame | None, family: tuple, scorer: str, path_cutoff: int | None) -> list[DataFrame]:
+    """Distinct (block, a, b) that pass the JVM checks."""
+    text, kind, cutoff = family
+    thin = ["block", "id", "text", *(["path"] if path_cutoff is not None else [])]
 
-    More pieces are shorter ones: they pay off where texts share long common parts.
-    """
-    pairs = {}
-    for spare in (0, MOST_SPARE):
-        keys = _index_keys(nodes, scorer, cutoff, spare, common_above)
-        counts = keys.groupBy("sig").agg(F.count("*").alias("n"))
-        pairs[spare] = counts.agg(F.sum(F.col("n").cast("double") * F.col("n"))).first()[0] or 0.0
-    return min(pairs, key=pairs.get)
-
-
-def _checked(pairs: DataFrame, scorer: str, name_cutoff: int, path_cutoff: int | None, extra: list[str]) -> DataFrame:
-    """Candidates (aliases i and p) that reach the cutoffs, as (block, a, b) with a < b."""
-    swap = F.col("i.id") > F.col("p.id")
-
-    def side(name, first):
-        low = F.when(swap, F.col(f"p.{name}")).otherwise(F.col(f"i.{name}"))
-        high = F.when(swap, F.col(f"i.{name}")).otherwise(F.col(f"p.{name}"))
-        return low if first else high
-
-    columns = [F.col("i.block").alias("block")]
-    for name in ["id", "name", *(["path"] if path_cutoff is not None else []), *extra]:
-        columns += [side(name, True).alias(f"a_{name}"), side(name, False).alias(f"b_{name}")]
-    result = pairs.select(*columns)
-    if path_cutoff is not None:
-        result = result.where(_close(F.col("a_path"), F.col("b_path"), scorer, path_cutoff))
-    if scorer != "levenshtein":
-        # Python scores cost more than a shuffle of the few pairs left: each is scored once, on all tasks.
-        result = spread(result, "a_id", "b_id").dropDuplicates(["block", "a_id", "b_id"])
-    for name, cutoff in [("name", name_cutoff), ("path", path_cutoff)]:
-        if cutoff is not None:
-            score = score_of(F.col(f"a_{name}"), F.col(f"b_{name}"), scorer)
-            result = result.withColumn(f"{name}_score", score).where(F.col(f"{name}_score") >= cutoff)
-    return result.withColumnRenamed("a_id", "a").withColumnRenamed("b_id", "b")
+    def thinned(side):
+        rows = side.withColumn("text", text).select(*thin)
+        # The weighted score of a text without any letter or digit is 0.
+        return rows.where(F.col("text") != "") if scorer == "weighted" else rows
+
+    sides = [thinned(left)] if right is None else [thinned(left), thinned(right)]
+    found = []
+    for indexed, probed in [(0, 0)] if right is None else [(0, 1), (1, 0)]:
+        if kind == "token":
+            index = _token_keys(sides[indexed])
+            probe = _rare_token_keys(sides[probed], index, cutoff)
+            near = _token_near(F.col("i.text"), F.col("p.text"), cutoff) & (F.col("i.id") != F.col("p.id"))
+            keys = (F.col("i.block") == F.col("p.block")) & (F.col("i.token") == F.col("p.token"))
+        else:
+            index, probe = _index_keys(sides[indexed], kind, cutoff), _probe_keys(sides[probed], kind, cutoff)
+            near = _close(F.col("i.text"), F.col("p.text"), kind, cutoff)
+            if right is None:
+                near = ((F.length("p.text") > F.length("i.text")) | (F.col("p.id") > F.col("i.id"))) & near
+            keys = (F.col("i.block") == F.col("p.block")) & (F.col("i.sig") == F.col("p.sig"))
+        if path_cutoff is not None:
+            near = near & _close(F.col("i.path"), F.col("p.path"), scorer, path_cutoff)
+        pairs = index.alias("i").join(probe.alias("p"), keys & near)
+        ids = F.col("i.id"), F.col("p.id")
+        found.append(pairs.select(F.col("i.block").alias("block"), F.least(*ids).alias("a"), F.greatest(*ids).alias("b")))
+    return found
 
 
 def similar_pairs(
@@ -233,52 +176,29 @@ def similar_pairs(
     name_cutoff: int,
     path_cutoff: int | None = None,
     extra: tuple[str, ...] = (),
-    cell_rows: int = CELL_ROWS,
-    unique: bool = True,
 ) -> DataFrame:
-    """Pairs of one block whose names (and paths) reach the cutoffs.
+    """Pairs of one block whose names (and paths) reach the cutoffs, each once.
 
-    Nodes have (block, id, name[, path], extra...). Without `right` the pairs are those
-    within `left`; with it, those across, the two sides sharing no id. The result has
-    (block, a, b, a_name, b_name, name_score, ...) with a < b. A pair can be found
-    through several keys; `unique=False` leaves such copies in.
+    Nodes have (block, id, name[, path], extra...), ids unique in a block. Without `right` the pairs are those within
+    `left`; with it, those across, the two sides sharing no id. The result has (block, a, b, a_name, b_name,
+    name_score, ...) with a < b. Scores compare a's text with b's; where that is not symmetric, `name_score_back`
+    compares b's with a's, and a pair is kept if either reaches the cutoff.
     """
-    families = []
-    if scorer == "weighted":
-        if name_cutoff <= 90:
-            raise ValueError("the weighted score is joined above 90 only, where partial matches cannot reach")
-        plain, by_token = plain_text(F.col("name")), sorted_tokens(plain_text(F.col("name")))
-        families = [(plain, "ratio", name_cutoff), (by_token, "ratio", 100), (plain, "token", 100)]
-    else:
-        families = [(F.col("name"), scorer, name_cutoff)]
-
-    most_rows = max(side.count() for side in ([left] if right is None else [left, right]))
-    cells = cell_rows if most_rows > cell_rows // 4 else None
-    found = []
-    for text, family, cutoff in families:
-        # The weighted score of a text without any letter or digit is 0.
-        sides = [spread(s.withColumn("text", text), "id") for s in ([left] if right is None else [left, right])]
-        if scorer == "weighted":
-            sides = [s.where(F.col("text") != "") for s in sides]
-        if family == "token":
-            index, probe = _all_token_keys, _rare_token_keys
-            lengths = F.length("i.text"), F.length("p.text")
-            near = (F.greatest(*lengths) < 1.5 * F.least(*lengths)) & _contained(F.col("i.text"), F.col("p.text"))
-            within = near & (F.col("i.id") != F.col("p.id"))
-            across = near
-        else:
-            common_above = max(1, cell_rows // 100)
-            spare = 0 if cells is None else _cheaper_spare(sides[-1], family, cutoff, common_above)
-            index = partial(_index_keys, scorer=family, cutoff=cutoff, spare=spare, common_above=common_above)
-            probe = partial(_probe_keys, scorer=family, cutoff=cutoff, spare=spare)
-            across = _close(F.col("i.text"), F.col("p.text"), family, cutoff)
-            longer = F.length("p.text") > F.length("i.text")
-            within = (longer | (F.col("p.id") > F.col("i.id"))) & across
-        joins = [(sides[0], sides[0], within)] if right is None else [(sides[0], sides[1], across), (sides[1], sides[0], across)]
-        for indexed, probed, on in joins:
-            pairs = grid_join(index(indexed), probe(probed), on, cells)
-            found.append(_checked(pairs, scorer, name_cutoff, path_cutoff, list(extra)))
-    result = found[0]
-    for more in found[1:]:
-        result = result.unionByName(more)
-    return result.dropDuplicates(["block", "a", "b"]) if unique else result
+    parts = [p for family in _families(scorer, name_cutoff) for p in _candidates(left, right, family, scorer, path_cutoff)]
+    pairs = parts[0]
+    for part in parts[1:]:
+        pairs = pairs.unionByName(part)
+    pairs = pairs.distinct()
+    fields = ["name", *(["path"] if path_cutoff is not None else []), *extra]
+    nodes = left if right is None else left.unionByName(right)
+    for side in ("a", "b"):
+        own = nodes.select("block", F.col("id").alias(side), *[F.col(f).alias(f"{side}_{f}") for f in fields])
+        pairs = pairs.join(own, ["block", side])
+    a, b = F.col("a_name"), F.col("b_name")
+    pairs = pairs.withColumn("name_score", score_of(a, b, scorer))
+    pairs = pairs.withColumn("name_score_back", F.col("name_score") if scorer == "levenshtein" else score_of(b, a, scorer))
+    pairs = pairs.where(F.greatest("name_score", "name_score_back") >= name_cutoff)
+    if path_cutoff is not None:
+        pairs = pairs.withColumn("path_score", score_of(F.col("a_path"), F.col("b_path"), scorer))
+        pairs = pairs.where((F.col("path_score") >= path_cutoff) & (F.col("name_score") >= name_cutoff))
+    return pairs

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pathwarden.functions.paths import strip_own_code
 from pathwarden.functions.text import bucket_level_name, compose_text
 from pathwarden.operators.grouping import seed_members
-from pathwarden.operators.joins import salted_join
 from pathwarden.operators.rows import drop_groups, outside_root, tag_constant
 from pathwarden.session import cut_lineage
 
@@ -165,7 +164,7 @@ def semantic_groups(df: DataFrame, threshold: float = 0.98, id: str = "row_id",
 
     A row can be in several groups. Equal vectors are one node while grouping.
     """
-    rows = cut_lineage(df.select(F.col(id).alias("id"), F.to_json(vector).alias("_key"), F.col(vector).alias("vector")))
+    rows = cut_lineage(df.select(F.col(id).alias("id"), F.col(vector).alias("_key"), F.col(vector).alias("vector")))
     rows = rows.where(F.exists("vector", lambda x: x != 0))
     distinct = rows.groupBy("_key").agg(F.min("id").alias("id"), F.first("vector").alias("vector"))
     nodes = distinct.select(F.lit(0).alias("block"), "id", "vector")
@@ -180,7 +179,7 @@ def semantic_groups(df: DataFrame, threshold: float = 0.98, id: str = "row_id",
     lone = alone.join(grouped.select("id").distinct(), "id", "left_anti").select(F.col("id").alias("seed"), "id")
     placed = grouped.select("seed", "id").unionByName(lone).withColumnRenamed("id", "first")
     keyed = placed.join(copies.select("_key", "first"), "first")
-    return salted_join(rows.select("id", "_key"), keyed, ["_key"]).select("seed", "id")
+    return rows.select("id", "_key").join(keyed, ["_key"]).select("seed", "id")
 
 
 def drop_repeats(groups: DataFrame) -> DataFrame:
@@ -207,11 +206,11 @@ def semantic_duplicates(
     groups = semantic_groups(encoded, threshold, order, "_vector", **options)
     groups = groups if repeats else drop_repeats(groups)
     places = groups.select(F.col("id").alias(order), F.col("seed").alias("group"))
-    return salted_join(described.drop("text"), places, [order])
+    return described.drop("text").join(places, [order])
 
 
 def mean_similarity(df: DataFrame, vector: str = "vector", name: str = "mean_similarity") -> DataFrame:
-    """Add a row's mean cosine with all rows, itself included.
+    """Add a row's mean cosine with all rows that have a vector, itself included; null without a vector.
 
     The mean of the products is the product with the mean, so one aggregate gives the
     centre and each row is one product: linear, where the full matrix is quadratic.
@@ -219,7 +218,8 @@ def mean_similarity(df: DataFrame, vector: str = "vector", name: str = "mean_sim
     units = with_unit(df, vector, "_u")
     centre = units.agg(vector_to_array(Summarizer.mean(array_to_vector(F.col("_u")))).alias("c"))
     centred = units.withColumn("_centre", centre.scalar())
-    return centred.withColumn(name, dot(F.col("_u"), F.col("_centre"))).drop("_u", "_centre")
+    measured = centred.withColumn(name, dot(F.col("_u"), F.col("_centre"))).drop("_u", "_centre")
+    return measured.unionByName(df.where(F.col(vector).isNull()).withColumn(name, F.lit(None).cast("double")))
 
 
 def semantic_outliers(df: DataFrame, below: float = 0.27, vector: str | None = None) -> DataFrame:

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from pathwarden.functions.paths import parent_path, segment_count, segments_after
 from pathwarden.operators import rules as R
 from pathwarden.operators.analyzers import group_count_having
-from pathwarden.operators.joins import salted_join
 
+# The pattern of paths that the suite demands.
+SUITE_PATTERN = "ALL#.*#.*"
 # Problem names: fixed, because later steps and stored files use them.
-DUPLICATE_CODE = "UniquenessConstraint - Duplicate CODE entries"
 BAD_PATTERN = "PatternMatchConstraint - Incorrect HIERARCHY pattern"
 BAD_COUNTRY_DEPTH = "ComplianceConstraint - Incorrect COUNTRY level hierarchy structure"
 BAD_LEVEL_NUMBER = "ConsistencyConstraint - LEVEL_NUMBER mismatch with HIERARCHY after PARENT"
@@ -20,6 +20,10 @@ BAD_UNDER_WORLD = "ComplianceConstraint - Non-CONTINENT rows directly under WORL
 NO_CHILDREN = "ConsistencyConstraint - CHILDREN NULL"
 
 
+def duplicate_problem(column: str) -> str:
+    return f"UniquenessConstraint - Duplicate {column} entries"
+
+
 def null_problem(column: str) -> str:
     return f"CompletenessConstraint - Null values in {column}"
 
@@ -46,7 +50,7 @@ def not_an_array(column: str = "CHILDREN") -> Column:
 
 
 def bad_pattern() -> Column:
-    return ~F.col("HIERARCHY").rlike("^ALL#.*#.*")
+    return ~F.col("HIERARCHY").rlike(f"^{SUITE_PATTERN}")
 
 
 def bad_country_depth() -> Column:
@@ -98,7 +102,7 @@ def duplicate_key_rows(df: DataFrame, key: str = "CODE") -> DataFrame:
 
     The counts are pre-aggregated; a window over the key would put a hot key in one task.
     """
-    return salted_join(df, group_count_having(df.where(F.col(key).isNotNull()), [key]), [key])
+    return df.join(group_count_having(df.where(F.col(key).isNotNull()), [key]), [key])
 
 
 def pattern_rows(df: DataFrame) -> DataFrame:
@@ -117,7 +121,7 @@ def orphan_rows(df: DataFrame) -> DataFrame:
     """Numbered rows whose parent path is no row's path; a row without a path is one of them."""
     numbered = df.where(F.col("LEVEL_NUMBER") >= 0).withColumn("_parent_path", parent_path(F.col("HIERARCHY")))
     paths = df.select(F.col("HIERARCHY").alias("_parent_path")).distinct()
-    return salted_join(numbered, paths, ["_parent_path"], "left_anti").select(*df.columns)
+    return numbered.join(paths, ["_parent_path"], "left_anti").select(*df.columns)
 
 
 def under_world_rows(df: DataFrame) -> DataFrame:
@@ -155,25 +159,46 @@ def tag_rows(df: DataFrame, problems: dict[str, Column]) -> DataFrame:
     return df.withColumn("PROBLEM", F.explode(names))
 
 
-def extract_all(df: DataFrame, results: DataFrame) -> DataFrame:
+def _constraint_problems(row, constraint) -> dict[str, Column]:
+    """The problems of a failed constraint that rows show by themselves.
+
+    Constraints of the suite have fixed problems; any other is broken by the rows that its own test names.
+    """
+    own_pattern = row["kind"] == "PatternMatch" and constraint is not None and SUITE_PATTERN not in constraint.text
+    own_type = row["kind"] == "DataType" and constraint is not None and row["column"] not in (*_DATATYPE_TESTS, *R.STRING_COLUMNS)
+    known = {} if own_pattern or own_type else _row_problems(row["kind"], row["column"], row["rule"])
+    if known or constraint is None or constraint.broken is None:
+        return known
+    about = {"PatternMatch": f"Incorrect {row['column']} pattern", "DataType": f"{row['column']} has incorrect datatype"}
+    return {f"{row['kind']}Constraint - {about.get(row['kind'], row['rule'])}": constraint.broken()}
+
+
+def extract_all(df: DataFrame, results: DataFrame, checks: list | None = None) -> DataFrame:
     """The rows behind every failed constraint, each tagged with its PROBLEM.
 
-    `results` has one row per constraint, so the driver reads a few dozen rows at most;
-    knowing them keeps passing constraints out of the plan.
+    `results` comes from `run_suite` on `checks`; without `checks` only the suite's own constraints are known.
+    Distinctness and approximate counts are about the table as a whole, so no rows stand behind them. `results` has one
+    row per constraint, so the driver reads a few dozen rows at most; knowing them keeps passing constraints out of the plan.
     """
-    failed = results.where(F.col("constraint_status") == "Failure").select("kind", "column", "rule").collect()
+    listed = [c for check in checks or [] for c in check.constraints]
+    failed = results.where(F.col("constraint_status") == "Failure").select("position", "kind", "column", "rule")
     problems: dict[str, Column] = {}
-    for row in failed:
-        problems.update(_row_problems(row["kind"], row["column"], row["rule"]))
+    joined: dict[str, DataFrame] = {}
+    for row in failed.orderBy("position").collect():
+        constraint = listed[row["position"]] if listed else None
+        if row["kind"] == "Uniqueness":
+            joined[duplicate_problem(row["column"])] = duplicate_key_rows(df, row["column"])
+        elif row["rule"] == R.MISSING_PARENT:
+            joined[ORPHAN] = orphan_rows(df)
+        elif constraint is not None and constraint.violations is not None:
+            joined[f"{row['kind']}Constraint - {row['rule']}"] = constraint.violations(df)
+        else:
+            problems.update(_constraint_problems(row, constraint))
     parts = [tag_rows(df, problems)] if problems else [df.withColumn("PROBLEM", F.lit("")).where(F.lit(False))]
     if BAD_LEVEL_NUMBER in problems:
         shown = F.when(F.col("PROBLEM") == BAD_LEVEL_NUMBER, count_after_parent())
         parts[0] = parts[0].withColumn("count_after_parent", shown)
-    if any(row["kind"] == "Uniqueness" for row in failed):
-        parts.append(duplicate_key_rows(df).withColumn("PROBLEM", F.lit(DUPLICATE_CODE)))
-    if any(row["rule"] == R.MISSING_PARENT for row in failed):
-        parts.append(orphan_rows(df).withColumn("PROBLEM", F.lit(ORPHAN)))
     tagged = parts[0]
-    for part in parts[1:]:
-        tagged = tagged.unionByName(part, allowMissingColumns=True)
+    for problem, rows in joined.items():
+        tagged = tagged.unionByName(rows.withColumn("PROBLEM", F.lit(problem)), allowMissingColumns=True)
     return tagged

@@ -17,7 +17,7 @@ from pathwarden.operators import violations as V
 from pathwarden.plans.registry import query
 from pathwarden.session import checkpoint_folder, cut_lineage
 from pathwarden.sources import readers, writers
-from pathwarden.sources.location_view import location_view, raw_view, table
+from pathwarden.sources.location_view import level_reference, location_view, raw_view, table
 
 NINE = ", ".join(PROCESSED_COLUMNS)
 
@@ -78,20 +78,58 @@ def s7(spark, d):
     return readers.read_locations(spark, path, PROCESSED_SCHEMA).select("PROBLEM", "CODE", "NAME")
 
 
+@query(
+    "s3_read_level_reference",
+    """
+    SELECT 'N' || n_nationkey AS code, n_name AS country, r_name AS continent_name, string_agg(DISTINCT c_mktsegment, ',' ORDER BY c_mktsegment) AS level_1, 'CITY' AS level_2
+    FROM nation JOIN region ON n_regionkey = r_regionkey JOIN customer ON c_nationkey = n_nationkey GROUP BY ALL
+    """,
+    loc=False,
+)
+def s3(spark, d):
+    """The level reference written as JSON arrays, one per file, and read back."""
+    path = scratch(spark, "reference")
+    entry = F.to_json(F.collect_list(F.struct("code", "country", "continent_name", "level_1", "level_2", "level_3")))
+    level_reference(spark, d).where("level_1 is not null").groupBy("continent_name").agg(entry.alias("value")).select("value").write.text(path)
+    return readers.read_level_reference(spark, path).withColumn("level_1", F.array_join("level_1", ",")).drop("level_3")
+
+
+@query(
+    "s5_read_problem_dir",
+    """
+    SELECT CASE LEVEL_NAME WHEN 'CITY' THEN 'cities, 50% + more' ELSE 'other levels (all)' END AS PROBLEM, CODE, NAME, LEVEL_NUMBER
+    FROM loc WHERE PARENT IS NULL
+    """,
+)
+def s5(spark, d):
+    """Problem files of a folder, named by their problem, and read as one table."""
+    folder = scratch(spark, "problem-files")
+    names = {"cities, 50% + more": F.col("LEVEL_NAME") == "CITY", "other levels (all)": ~F.col("LEVEL_NAME").eqNullSafe("CITY")}
+    for name, chosen in names.items():
+        rows = V.null_rows(location_view(spark, d), "PARENT").where(chosen)
+        writers.write_csv(rows.select(*PROCESSED_COLUMNS).coalesce(1), f"{folder}/parts/{name}")
+        writers.as_file(spark, f"{folder}/parts/{name}", f"{folder}/files/{name}.csv")
+    return readers.read_problem_dir(spark, f"{folder}/files").select("PROBLEM", "CODE", "NAME", "LEVEL_NUMBER")
+
+
 @query(
     "s8_append_history_if_absent",
     """
-    SELECT strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M:00') AS date, max(value) AS total_score
-    FROM events
-    WHERE date_trunc('minute', ts) NOT IN (SELECT date_trunc('minute', ts) FROM events WHERE event_type = 'view')
-    GROUP BY 1
+    WITH minutes AS (SELECT date_trunc('minute', ts) AS m, value, event_type = 'view' AS old FROM events),
+    first AS (SELECT m, max(value) AS total_score FROM minutes WHERE old GROUP BY m),
+    second AS (SELECT m, max(value) AS total_score FROM minutes WHERE m NOT IN (SELECT m FROM first) GROUP BY m)
+    SELECT strftime(m, '%Y-%m-%d %H:%M:00') AS date, total_score FROM (SELECT * FROM first UNION ALL SELECT * FROM second)
     """,
     loc=False,
 )
 def s8(spark, d):
+    """The views' scores go to a new history, then all scores; minutes that are there stay as they are."""
+    path = scratch(spark, "history")
     scores = table(spark, d, "events").select(F.col("ts").alias("date"), F.col("value").alias("total_score"), "event_type")
-    fresh = writers.missing_history(scores, scores.where(F.col("event_type") == "view"))
-    return fresh.select(F.date_format("date", "yyyy-MM-dd HH:mm:00").alias("date"), "total_score")
+    writers.append_history_if_absent(spark, scores.where(F.col("event_type") == "view"), path)
+    writers.append_history_if_absent(spark, scores, path)
+    history = writers.read_history(spark, path)
+    return history.select(F.date_format("date", "yyyy-MM-dd HH:mm:00").alias("date"), "total_score")
 
 
 # Projections, filters and predicates
@@ -320,12 +358,20 @@ def a3(spark, d):
     return code.withColumn("name", F.round(name.scalar(), 9))
 
 
-@query("a4_approx_count_distinct")
+@query(
+    "a4_approx_count_distinct",
+    "SELECT count(DISTINCT l_orderkey) AS orders, true AS orders_close, count(DISTINCT l_partkey) AS parts, true AS parts_close FROM lineitem",
+    loc=False,
+)
 def a4(spark, d):
-    return table(spark, d, "lineitem").agg(
-        A.approx_count_distinct(F.col("l_orderkey")).alias("orders"),
-        A.approx_count_distinct(F.col("l_partkey")).alias("parts"),
+    """The exact counts, and whether the estimates are within 15 % of them."""
+    columns = {"orders": F.col("l_orderkey"), "parts": F.col("l_partkey")}
+    counted = table(spark, d, "lineitem").agg(
+        *[F.count_distinct(c).alias(n) for n, c in columns.items()],
+        *[A.approx_count_distinct(c).alias(f"{n}_guess") for n, c in columns.items()],
     )
+    close = lambda n: (F.abs(F.col(f"{n}_guess") / F.col(n) - 1) <= 0.15).alias(f"{n}_close")
+    return counted.select("orders", close("orders"), "parts", close("parts"))
 
 
 @query(
@@ -512,10 +558,20 @@ _register_check("c12_children_present", [_only("Compliance", R.CHILDREN_PRESENT)
 _register_check("c13_run_suite", _EXACT)
 
 
-@query("c5_has_approx_count_distinct")
+@query(
+    "c5_has_approx_count_distinct",
+    """
+    SELECT i AS position, CASE WHEN i = 0 THEN 'Success' ELSE 'Failure' END AS constraint_status FROM (SELECT unnest([0, 1]) AS i)
+    """,
+    loc=False,
+)
 def c5(spark, d):
-    check = C.Check("Error", "distinct").has_approx_count_distinct("NAME", lambda x: x >= 12000)
-    return C.results_table(C.run_suite(location_view(spark, d), [check]))
+    """Two constraints, one that any estimate within 15 % meets and one that none meets."""
+    view = location_view(spark, d)
+    exact = view.agg(F.count_distinct("NAME")).scalar()
+    check = C.Check("Error", "distinct").has_approx_count_distinct("NAME", lambda x: F.abs(x / exact - 1) <= 0.15)
+    check = check.has_approx_count_distinct("NAME", lambda x: x > 2 * exact)
+    return C.run_suite(view, [check]).select("position", "constraint_status")
 
 
 @query("c13_run_suite_full")
@@ -651,7 +707,7 @@ UNION ALL SELECT row_id, '{V.BAD_LEVEL_NUMBER}' FROM loc WHERE {_E_SQL['e9_level
 UNION ALL SELECT row_id, '{V.ORPHAN}' FROM loc AS l WHERE {_ORPHAN_SQL}
 UNION ALL SELECT row_id, '{V.BAD_UNDER_WORLD}' FROM loc WHERE {_E_SQL['e11_under_world_rows'][1]}
 UNION ALL SELECT row_id, '{V.NO_CHILDREN}' FROM loc WHERE {_E_SQL['e12_group_children_rows'][1]}
-UNION ALL SELECT row_id, '{V.DUPLICATE_CODE}' FROM (SELECT row_id, count(*) OVER (PARTITION BY CODE) AS n FROM loc) WHERE n > 1
+UNION ALL SELECT row_id, '{V.duplicate_problem('CODE')}' FROM (SELECT row_id, count(*) OVER (PARTITION BY CODE) AS n FROM loc) WHERE n > 1
 """
 
 
@@ -659,3 +715,22 @@ UNION ALL SELECT row_id, '{V.DUPLICATE_CODE}' FROM (SELECT row_id, count(*) OVER
 def e13(spark, d):
     view = stored_view(spark, d)
     return V.extract_all(view, C.run_suite(view, _EXACT)).select("row_id", "PROBLEM")
+
+
+@query(
+    "e13_extract_user_constraints",
+    """
+    SELECT row_id, 'UniquenessConstraint - Duplicate NAME entries' AS PROBLEM
+    FROM (SELECT row_id, NAME, count(*) OVER (PARTITION BY NAME) AS n FROM loc) WHERE n > 1 AND NAME IS NOT NULL
+    UNION ALL SELECT row_id, 'ComplianceConstraint - shallow' FROM loc WHERE NOT coalesce(LEVEL_NUMBER < 2, false)
+    UNION ALL SELECT row_id, 'PatternMatchConstraint - Incorrect NAME pattern' FROM loc WHERE NOT coalesce(regexp_matches(NAME, '^[a-m]'), false)
+    UNION ALL SELECT row_id, 'AnalysisBasedConstraint - LEVEL_NUMBER has incorrect datatype' FROM loc WHERE LEVEL_NUMBER IS NULL
+    UNION ALL SELECT row_id, 'ComplianceConstraint - known parent' FROM loc WHERE PARENT IS NULL
+    """,
+)
+def e13_user(spark, d):
+    """The rows behind constraints that are none of the suite's."""
+    view = stored_view(spark, d)
+    check = C.Check("Error", "own").is_unique("NAME").satisfies("LEVEL_NUMBER < 2", "shallow").has_pattern("NAME", "^[a-m]")
+    check = check.has_data_type("LEVEL_NUMBER", "Boolean").has_no_rows(lambda df: V.null_rows(df, "PARENT"), "known parent")
+    return V.extract_all(view, C.run_suite(view, [check]), [check]).select("row_id", "PROBLEM")

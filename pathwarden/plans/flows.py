@@ -14,6 +14,7 @@ from pathwarden.operators import hierarchy as H
 from pathwarden.operators import rows as R
 from pathwarden.operators.violations import extract_all
 from pathwarden.session import cut_lineage
+from pathwarden.sources import writers
 
 
 @dataclass(frozen=True)
@@ -56,8 +57,17 @@ def process_locations(
 def validate(processed: DataFrame, checks: list[C.Check] | None = None) -> tuple[DataFrame, DataFrame]:
     """The result of every constraint and the rows behind the failed ones, the roots left out."""
     rows = R.drop_roots(processed)
-    results = cut_lineage(C.run_suite(rows, checks or [C.error_check(), C.warning_check()]))
-    return results, extract_all(rows, results)
+    checks = checks or [C.error_check(), C.warning_check()]
+    results = cut_lineage(C.run_suite(rows, checks))
+    return results, extract_all(rows, results, checks)
+
+
+def report_run(spark, processed: DataFrame, history_path: str, at, checks: list[C.Check] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Validate, score the run, append the score to the history; the results with their attribute, and the history."""
+    results, _ = validate(processed, checks)
+    scores = report.quality_score(results).select(F.lit(at).cast("timestamp").alias("date"), "total_score")
+    writers.append_history_if_absent(spark, scores, history_path)
+    return report.with_column_name(results), writers.read_history(spark, history_path)
 
 
 def problem_rows(

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from pathwarden.operators import checks as C
 from pathwarden.operators import fuzzy, rows, vectors
 from pathwarden.operators.grouping import seed_members
 from pathwarden.plans import flows
 from pathwarden.plans.registry import query
 from pathwarden.plans.table_queries import score_sql
+from pathwarden.session import checkpoint_folder
 from pathwarden.sources.location_view import level_reference, location_view, raw_view, table
 
 
@@ -206,6 +210,30 @@ cosines AS MATERIALIZED (SELECT a.id AS a, b.id AS b, list_cosine_similarity(a.v
 """
 
 
+_TURNED = """
+WITH RECURSIVE unit AS (
+  SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  UNION ALL SELECT vec_id + 1000000, list_concat([embedding[1] + 0.02], CAST(embedding[2:] AS DOUBLE[])) FROM embeddings WHERE vec_id % 3 = 0
+  UNION ALL SELECT vec_id + 2000000, CAST(embedding AS DOUBLE[]) FROM embeddings WHERE vec_id % 7 = 0),
+cosines AS MATERIALIZED (SELECT a.id AS a, b.id AS b, list_cosine_similarity(a.v, b.v) AS cosine FROM unit AS a, unit AS b WHERE a.id < b.id)
+"""
+
+
+def _turned(spark, d):
+    """The vectors, slightly turned copies of some, and equal copies of others: pairs above 0.98 exist."""
+    vectors_ = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v"))
+    first = F.array(F.get("v", F.lit(0)) + F.lit(0.02))
+    turned = vectors_.where("id % 3 = 0").select((F.col("id") + 1000000).alias("id"), F.concat(first, F.slice("v", 2, F.size("v"))).alias("v"))
+    copies = vectors_.where("id % 7 = 0").select((F.col("id") + 2000000).alias("id"), "v")
+    return vectors_.unionByName(turned).unionByName(copies)
+
+
+@query("v2_cosine_pairs_near", _TURNED + "SELECT a, b, round(cosine, 6) AS cosine FROM cosines WHERE cosine > 0.98", loc=False)
+def v2_near(spark, d):
+    pairs = vectors.cosine_pairs(_turned(spark, d), threshold=0.98, vector="v")
+    return pairs.select("a", "b", F.round("cosine", 6).alias("cosine"))
+
+
 @query("v1_encode_text")
 def v1(spark, d):
     named = location_view(spark, d).select("row_id", F.col("NAME").alias("text"))
@@ -242,11 +270,9 @@ def g1(spark, d):
     return seed_members(nodes, find).select("seed", "id")
 
 
-@query(
-    "v3_semantic_groups",
-    _UNITS
-    + """
-    , near AS (SELECT a, b FROM cosines WHERE cosine > 0.33 UNION ALL SELECT b, a FROM cosines WHERE cosine > 0.33
+def _semantic_sql(threshold, shown):
+    return f"""
+    , near AS (SELECT a, b FROM cosines WHERE cosine > {threshold} UNION ALL SELECT b, a FROM cosines WHERE cosine > {threshold}
                UNION ALL SELECT id, id FROM unit),
     ordered AS MATERIALIZED (SELECT a AS id, row_number() OVER (ORDER BY a) AS pos, list(b) AS nb FROM near GROUP BY a HAVING count(*) > 1),
     sweep AS (
@@ -256,15 +282,31 @@ def g1(spark, d):
              CASE WHEN list_contains(visited, o.id) THEN visited ELSE list_concat(visited, o.nb) END,
              CASE WHEN list_contains(visited, o.id) THEN seeds ELSE list_append(seeds, o.id) END
       FROM sweep AS s JOIN ordered AS o ON o.pos = s.step + 1)
-    SELECT a AS seed, b AS id FROM near
+    SELECT a AS seed, b AS id{shown} FROM near
     WHERE a IN (SELECT unnest(seeds) FROM sweep WHERE step = (SELECT max(step) FROM sweep))
-    """,
-    loc=False,
-)
+    """
+
+
+@query("v3_semantic_groups", _UNITS + _semantic_sql(0.33, ""), loc=False)
 def v3_groups(spark, d):
     return vectors.semantic_groups(table(spark, d, "embeddings"), 0.33, "vec_id", "embedding")
 
 
+@query("v3_semantic_groups_near", _TURNED + _semantic_sql(0.98, ""), loc=False)
+def v3_groups_near(spark, d):
+    return vectors.semantic_groups(_turned(spark, d), 0.98, "id", "v")
+
+
+@query(
+    "w7_rows_in_group_order",
+    _TURNED + _semantic_sql(0.98, ", row_number() OVER (PARTITION BY a ORDER BY a <> b, b) - 1 AS place"),
+    loc=False,
+)
+def w7(spark, d):
+    """Each group's rows: the one that opened it, then the others."""
+    return rows.in_group_order(vectors.semantic_groups(_turned(spark, d), 0.98, "id", "v"))
+
+
 def _with_vectors(spark, d):
     """Locations with the vector of a row number; many rows share one."""
     embeddings = table(spark, d, "embeddings").select(F.col("vec_id").alias("_v"), "embedding")
@@ -352,3 +394,22 @@ def flow_problems(spark, d):
 def flow_compare(spark, d):
     parts = flows.compare_detectors(location_view(spark, d))
     return rows.union_ragged(*[p.select(F.lit(side).alias("side"), "CODE") for side, p in parts.items()])
+
+
+@query(
+    "flow_report",
+    """
+    SELECT count(*) AS constraints, true AS scored FROM (SELECT unnest(range(25)))
+    """,
+    loc=False,
+)
+def flow_report(spark, d):
+    """Validate, score and append in one run, then once more in the same minute: one score in the history."""
+    view = location_view(spark, d)
+    checks = [C.error_check(approximate=False), C.warning_check(approximate=False)]
+    path = f"{checkpoint_folder(spark)}/history-{uuid.uuid4().hex}"
+    for _ in range(2):
+        results, history = flows.report_run(spark, view, path, "2025-05-20 10:59:30", checks)
+    score = results.agg(F.avg((F.col("constraint_status") == "Success").cast("double")) * 100).scalar()
+    scored = history.agg((F.count("*") == 1) & (F.abs(F.max("total_score") - score) < 1e-9)).scalar()
+    return results.agg(F.count("*").alias("constraints"), scored.alias("scored"))

@@ -42,7 +42,7 @@ def j1(spark, d):
 def j1_orders(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("custkey"))
     customers = table(spark, d, "customer").select(F.col("c_custkey").alias("custkey"), "c_mktsegment")
-    return J.salted_join(orders, customers, ["custkey"]).select("o_orderkey", "custkey", "c_mktsegment")
+    return orders.join(customers, ["custkey"]).select("o_orderkey", "custkey", "c_mktsegment")
 
 
 @query(
@@ -54,7 +54,7 @@ def j2(spark, d):
     customers = table(spark, d, "customer").select(F.col("c_custkey").alias("custkey"))
     urgent = table(spark, d, "orders").where("o_orderpriority = '1-URGENT'")
     orders = urgent.select(F.col("o_custkey").alias("custkey")).distinct()
-    return J.salted_join(customers, orders, ["custkey"], "left_anti")
+    return customers.join(orders, ["custkey"], "left_anti")
 
 
 @query(

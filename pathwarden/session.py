@@ -16,6 +16,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
         .appName("pathwarden")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        # A join splits its hot keys even where that costs a shuffle after it.
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")

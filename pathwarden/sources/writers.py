@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pathwarden.model import HISTORY_SCHEMA
+from pathwarden.session import cut_lineage, discard
 from pathwarden.sources.readers import CSV_QUOTING
 
 
@@ -28,6 +30,16 @@ def write_problems(problems: DataFrame, path: str) -> None:
     )
 
 
+def as_file(spark: SparkSession, folder: str, file: str) -> None:
+    """Give a table written as one part file a name of its own, through Spark's file system."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    source, target = jvm.org.apache.hadoop.fs.Path(folder), jvm.org.apache.hadoop.fs.Path(file)
+    system = source.getFileSystem(conf)
+    system.mkdirs(target.getParent())
+    parts = sorted(s.getPath().toString() for s in system.listStatus(source) if s.getPath().getName().startswith("part-"))
+    system.rename(jvm.org.apache.hadoop.fs.Path(parts[0]), target)
+
+
 def missing_history(scores: DataFrame, history: DataFrame) -> DataFrame:
     """The (date, total_score) rows, one per minute, whose minute the history does not hold."""
     minute = F.date_trunc("minute", F.col("date"))
@@ -39,13 +51,26 @@ def missing_history(scores: DataFrame, history: DataFrame) -> DataFrame:
     return fresh.join(history.select(minute.alias("date")).distinct(), "date", "left_anti")
 
 
-def append_history_if_absent(spark: SparkSession, scores: DataFrame, path: str) -> None:
-    """Append to the parquet history at `path`, once per minute."""
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    """The history at `path`, empty where there is none yet."""
     try:
-        history = spark.read.schema(HISTORY_SCHEMA).parquet(path)
-        fresh = missing_history(scores, history)
-    except Exception as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
+        return spark.read.parquet(path).select("date", "total_score")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        fresh = missing_history(scores, spark.createDataFrame([], HISTORY_SCHEMA))
-    fresh.write.mode("append").parquet(path)
+        return spark.createDataFrame([], HISTORY_SCHEMA)
+
+
+def append_history_if_absent(spark: SparkSession, scores: DataFrame, path: str) -> None:
+    """Append to the parquet history at `path`, once per minute.
+
+    The history has a folder per day, and only the days of the new scores are looked at. The new rows are
+    stored before they are appended, so nothing reads the folder while it is written.
+    """
+    day = F.to_date("date").alias("day")
+    history = read_history(spark, path)
+    days = scores.select(day).distinct()
+    known = history.withColumn("day", day).join(days, "day", "left_semi").select("date", "total_score")
+    fresh = cut_lineage(missing_history(scores, known))
+    fresh.withColumn("day", day).write.mode("append").partitionBy("day").parquet(path)
+    discard(fresh)

@@ -54,7 +54,7 @@ def test_country_rules_with_null_path(spark):
     )
     assert codes(V.country_depth_rows(df)) == ["B"]
     assert codes(V.under_world_rows(df)) == ["W"]
-    share = df.agg(A.compliance(R.RULES[R.UNDER_WORLD]).alias("v")).first()["v"]
+    share = df.agg(A.compliance(R.RULES[R.UNDER_WORLD][1]()).alias("v")).first()["v"]
     assert share == 0.5
 
 
@@ -66,7 +66,7 @@ def test_level_rule_is_stricter_than_its_rows(spark):
         location("FRA", "ALL#WORLD#E#FRA", "COUNTRY", "Europe", 0),
         location("P", "ALL#P", "CITY", None, 1),
     )
-    assert df.agg(A.compliance(R.RULES[R.LEVEL_MATCHES]).alias("v")).first()["v"] == 0.5
+    assert df.agg(A.compliance(R.RULES[R.LEVEL_MATCHES][1]()).alias("v")).first()["v"] == 0.5
     rows = V.level_mismatch_rows(df).collect()
     assert [(r["CODE"], r["count_after_parent"]) for r in rows] == [("D", 1)]
 

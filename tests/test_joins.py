@@ -1,5 +1,6 @@
 """Joins with one key holding a third of the rows, and the fuzzy lookups."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from pathwarden.functions.similarity import plain_ratio, weighted_score
@@ -12,29 +13,34 @@ def skewed(spark):
     return spark.range(0, 3000, 1, 6).select(key.cast("int").alias("k"), F.lit("copy").alias("v"))
 
 
-def test_hot_keys_are_found_and_bounded(spark):
-    hot = J.hot_keys(skewed(spark), ["k"], share=0.05, min_rows=0)
-    expected = spark.range(1).select(F.xxhash64(F.lit(7)).alias("a"), F.xxhash64(F.lit(None).cast("int")).alias("b")).first()
-    assert set(hot) == {expected["a"], expected["b"]}
-    assert J.hot_keys(skewed(spark), ["k"]) == []
-
-
-def test_salted_joins_equal_plain_ones(spark):
-    left = skewed(spark)
-    right = spark.range(5, 30).select(F.col("id").cast("int").alias("k"), (F.col("id") * 2).alias("w"))
-    for how in ("inner", "left", "left_semi", "left_anti"):
-        plain = left.join(right, ["k"], how)
-        salted = J.salted_join(left, right, ["k"], how, salts=8, share=0.05, min_rows=0)
-        assert salted.columns == plain.columns
-        assert sorted(map(tuple, salted.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
-
-
-def test_copies_of_a_row_spread_over_salts(spark):
-    left = skewed(spark)
-    right = spark.createDataFrame([(7, 1)], "k int, w int")
-    joined = J.salted_join(left.where("k = 7"), right, ["k"], salts=8, share=0.05, min_rows=0)
-    assert joined.count() == left.where("k = 7").count() > 1000
-    assert "_salt" in joined._jdf.queryExecution().optimizedPlan().toString()
+@pytest.mark.parametrize("hot_side", ["left", "right"])
+def test_a_hot_key_of_either_side_is_split(spark, hot_side):
+    """A key with a third of the rows goes to several tasks, whichever side has it."""
+    hot = spark.range(0, 60_000, 1, 12).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("int").alias("k"), F.lit("x" * 50).alias("v"))
+    few = spark.range(0, 60_000, 1, 4).select(F.col("id").cast("int").alias("k"), F.lit("y" * 20).alias("w"))
+    settings = {"autoBroadcastJoinThreshold": "-1", "adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k"}
+    settings |= {"adaptive.advisoryPartitionSizeInBytes": "1k", "adaptive.skewJoin.skewedPartitionFactor": "1.2", "adaptive.coalescePartitions.enabled": "false"}
+    settings = {f"spark.sql.{k}": v for k, v in settings.items()}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        joined = J.inner_on_key(*((hot, few) if hot_side == "left" else (few, hot)), "k")
+        assert len(joined.collect()) == joined.where("k is not null").count() == 60_000
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_small_tables_are_checked(spark, monkeypatch):
+    monkeypatch.setattr(J, "SMALL_ROWS", 3)
+    df = spark.createDataFrame([("a#b",)], "path string")
+    large = spark.createDataFrame([(c, c) for c in "abcd"], "prefix string, v string")
+    assert J.under_prefix(df, "path", large, "prefix", ["v"], small=False).first()["v"] == "a"
+    with pytest.raises(Exception, match="over 3 rows"):
+        J.under_prefix(df, "path", large, "prefix", ["v"]).collect()
 
 
 def test_null_keys(spark):
@@ -61,11 +67,13 @@ def test_keyed_update_keeps_what_is_not_given(spark):
 def test_prefixes_match_at_separators(spark):
     df = spark.createDataFrame([("A#GBR#X",), ("A#GB#X",), ("A#GB",), ("Z",), (None,)], "path string")
     prefixes = spark.createDataFrame([("A#GB", "short"), ("A#GB#X", "long")], "prefix string, v string")
-    got = {r["path"]: r["v"] for r in J.under_prefix(df, "path", prefixes, "prefix", ["v"]).collect()}
-    assert got == {"A#GBR#X": None, "A#GB#X": "long", "A#GB": "short", "Z": None, None: None}
+    for small in (True, False):
+        got = {r["path"]: r["v"] for r in J.under_prefix(df, "path", prefixes, "prefix", ["v"], small).collect()}
+        assert got == {"A#GBR#X": None, "A#GB#X": "long", "A#GB": "short", "Z": None, None: None}
+    assert "Exchange hash" not in J.under_prefix(df, "path", prefixes, "prefix", ["v"])._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
 
 
-def test_best_match_is_exact_for_any_chunking(spark):
+def test_best_match_is_exact(spark):
     names = ["Frnace", "Germany ", "unite states", "xyz", "ITALY", "Frnace"]
     choices = ["France", "Germany", "United States", "Italy", "Greece", "Franc"]
     df = spark.createDataFrame([(n,) for n in names] + [(None,)], "n string")
@@ -75,9 +83,9 @@ def test_best_match_is_exact_for_any_chunking(spark):
         for n in names:
             top = max(score(n, c) for c in choices)
             expected.append((n, next(c for c in choices if score(n, c) == top) if top >= 60 else None, top))
-        for chunk in (2, 256):
-            got = J.best_match(df, "n", dim, scorer, 60, chunk=chunk).where("n is not null").collect()
-            assert sorted(map(tuple, got), key=repr) == sorted(expected, key=repr)
+        repeated = dim.unionByName(dim.selectExpr("ordinal + 10 as ordinal", "choice"))
+        got = J.best_match(df, "n", repeated, scorer, 60).where("n is not null").collect()
+        assert sorted(map(tuple, got), key=repr) == sorted(expected, key=repr)
 
 
 def test_best_match_levenshtein_ties_go_to_the_first(spark):

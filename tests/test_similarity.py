@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pathwarden.functions.similarity import _ratio, weighted_score
 from pathwarden.operators import fuzzy, vectors
-from pathwarden.operators.grouping import covered_nodes, seed_members
+from pathwarden.operators.grouping import covered_nodes, ordered_groups, seed_members
 from pathwarden.operators.similarity_join import similar_pairs
 
 STEMS = [
@@ -61,31 +61,43 @@ def levenshtein(a, b):
 SCORES = {"levenshtein": levenshtein, "ratio": _ratio, "weighted": weighted_score}
 
 
-@pytest.mark.parametrize("scorer,cutoff", [("levenshtein", 90), ("levenshtein", 60), ("ratio", 90), ("weighted", 95)])
-@pytest.mark.parametrize("cell_rows", [20_000, 15])
-def test_pairs_are_complete(spark, scorer, cutoff, cell_rows):
-    rnd = random.Random(1)
-    nodes = [(rnd.choice("AB"), i, n) for i, n in enumerate(some_names(160))]
+@pytest.mark.parametrize(
+    "scorer,cutoff", [("levenshtein", 90), ("levenshtein", 60), ("ratio", 90), ("ratio", 85), *[("weighted", c) for c in (91, 92, 93, 94, 95, 97)]]
+)
+def test_pairs_are_complete(spark, scorer, cutoff):
+    rnd = random.Random(cutoff)
+    nodes = [(rnd.choice("AB"), i, n) for i, n in enumerate([*some_names(140, cutoff), "new haven port authority x", "port authority new haven y"])]
+    score = SCORES[scorer]
     truth = {
-        (x[1], y[1]) for x in nodes for y in nodes if x[1] < y[1] and x[0] == y[0] and SCORES[scorer](x[2], y[2]) >= cutoff
+        (x[1], y[1])
+        for x in nodes
+        for y in nodes
+        if x[1] < y[1] and x[0] == y[0] and max(score(x[2], y[2]), score(y[2], x[2])) >= cutoff
     }
     df = spark.createDataFrame(nodes, "block string, id bigint, name string")
-    got = [(r["a"], r["b"]) for r in similar_pairs(df, scorer=scorer, name_cutoff=cutoff, cell_rows=cell_rows).collect()]
+    got = [(r["a"], r["b"]) for r in similar_pairs(df, scorer=scorer, name_cutoff=cutoff).collect()]
     assert len(got) == len(set(got)) and set(got) == truth
-    across = similar_pairs(df.where("id % 3 = 0"), df.where("id % 3 <> 0"), scorer=scorer, name_cutoff=cutoff, cell_rows=cell_rows)
+    across = similar_pairs(df.where("id % 3 = 0"), df.where("id % 3 <> 0"), scorer=scorer, name_cutoff=cutoff)
     assert {(r["a"], r["b"]) for r in across.collect()} == {(a, b) for a, b in truth if (a % 3 == 0) != (b % 3 == 0)}
 
 
-def test_a_shared_beginning_is_left_out(spark):
-    """Names that share a long prefix: the piece everyone has is not used as a key."""
-    rnd = random.Random(3)
-    names = ["ALL#WORLD#EUROPE#" + "".join(rnd.choice("abcdefgh") for _ in range(12)) for _ in range(120)]
-    names += [n[:-1] + "z" for n in names[:20]]
-    nodes = [("A", i, n) for i, n in enumerate(names)]
-    df = spark.createDataFrame(nodes, "block string, id bigint, name string")
-    truth = {(i, j) for i in range(140) for j in range(i + 1, 140) if levenshtein(names[i], names[j]) >= 95}
-    got = similar_pairs(df, scorer="levenshtein", name_cutoff=95, cell_rows=30)
-    assert {(r["a"], r["b"]) for r in got.collect()} == truth and len(truth) >= 20
+def test_moved_tokens_are_found_below_95(spark):
+    names = ["new haven port authority x", "port authority new haven y"]
+    df = spark.createDataFrame([("A", i, n) for i, n in enumerate(names)], "block string, id bigint, name string")
+    assert similar_pairs(df, scorer="weighted", name_cutoff=91).first()["name_score"] == weighted_score(*names) == 91
+
+
+def test_joins_are_plain_and_lazy(spark):
+    """No job runs while the plan is built, and Spark may split any exchange of the join."""
+    df = spark.createDataFrame([("A", i, n) for i, n in enumerate(some_names(40))], "block string, id bigint, name string")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "build")
+    try:
+        pairs = similar_pairs(df, scorer="weighted", name_cutoff=91)
+        assert tracker.getJobIdsForGroup("build") == []
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    assert "REPARTITION_BY" not in pairs._jdf.queryExecution().executedPlan().toString()
 
 
 def sweep(nodes, similar):
@@ -132,9 +144,39 @@ def test_groups_equal_the_sequential_sweep(spark, options):
         assert got == groups
 
 
-def test_chain_takes_every_second_node(spark):
+@pytest.mark.parametrize("sweep_edges", [2_000_000, 0])
+def test_chain_takes_every_second_node(spark, sweep_edges):
+    """In one task's sweep, and in rounds as for a component too large for a task."""
     edges = spark.createDataFrame([("g", i, i + 1) for i in range(9)], "block string, a bigint, b bigint")
-    assert sorted(r["id"] for r in covered_nodes(edges).collect()) == [1, 3, 5, 7, 9]
+    assert sorted(r["id"] for r in covered_nodes(edges, sweep_edges).collect()) == [1, 3, 5, 7, 9]
+
+
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    """10,000 links: the components are found in rounds that grow with the logarithm, and swept at once."""
+    from pathwarden.operators import components as C
+
+    rounds = []
+    store = C.cut_lineage
+    monkeypatch.setattr(C, "cut_lineage", lambda df: rounds.append(1) or store(df))
+    edges = spark.range(10_000).selectExpr("'g' as block", "id as a", "id + 1 as b")
+    got = covered_nodes(edges)
+    assert len(rounds) <= 20
+    assert got.count() == 5_000 and got.where("id % 2 = 0").count() == 0
+
+
+def test_groups_in_another_order(spark):
+    """Rows are visited by place and take rows of a larger id only, in no group yet."""
+    pairs = [(1, 2), (2, 3), (3, 4), (1, 4), (5, 6), (5, 7), (6, 7)]
+    edges = spark.createDataFrame([("g", a, b) for a, b in pairs], "block string, a bigint, b bigint")
+    for places in ([4, 3, 2, 1, 7, 6, 5], [1, 2, 3, 4, 5, 6, 7], [2, 1, 4, 3, 7, 5, 6]):
+        order = spark.createDataFrame([("g", i, p) for i, p in enumerate(places, 1)], "block string, id bigint, place bigint")
+        taken, expected = set(), set()
+        for i in sorted(range(1, 8), key=lambda n: places[n - 1]):
+            free = [j for j in range(i + 1, 8) if (i, j) in pairs and j not in taken]
+            if i not in taken and free:
+                taken.update([i, *free])
+                expected.update((i, j) for j in [i, *free])
+        assert {(r["seed"], r["id"]) for r in ordered_groups(edges, order).collect()} == expected
 
 
 def locations(names, paths=None, levels=None):
