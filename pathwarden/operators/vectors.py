@@ -18,7 +18,8 @@ from pathwarden.operators.rows import drop_groups, outside_root, tag_constant
 from pathwarden.session import cut_lineage
 
 CHUNK_ROWS = 2_000
-MAX_PIVOTS = 1_024
+#: Cells grow with the square root of the rows up to this; the pivots of all of them fit in any task.
+MAX_PIVOTS = 16_384
 # Pivot cells pay off only while a match must be close by.
 WIDEST_REACH = 0.6
 SLACK = 1e-6
@@ -66,7 +67,11 @@ def _with_cells(nodes: DataFrame, pivots: np.ndarray | None, threshold: float) -
     if pivots is None:
         return nodes.withColumn("home", F.lit(0)).withColumn("cell", F.lit(0))
     reach = float(np.sqrt(2 - 2 * threshold)) + SLACK
-    gaps = np.sqrt(np.maximum(((pivots[:, None, :] - pivots[None, :, :]) ** 2).sum(axis=2), 1e-18))
+
+    def gaps(homes: np.ndarray) -> np.ndarray:
+        """Distances from some pivots to all."""
+        square = (pivots[homes] ** 2).sum(1)[:, None] + (pivots * pivots).sum(1)[None, :] - 2 * pivots[homes] @ pivots.T
+        return np.sqrt(np.maximum(square, 1e-18))
 
     @F.pandas_udf("home int, cells array<int>")
     def cells(vectors: pd.Series) -> pd.DataFrame:
@@ -74,9 +79,12 @@ def _with_cells(nodes: DataFrame, pivots: np.ndarray | None, threshold: float) -
         square = np.maximum((u * u).sum(1)[:, None] + (pivots * pivots).sum(1)[None, :] - 2 * u @ pivots.T, 0)
         home = square.argmin(axis=1)
         nearest = square[np.arange(len(u)), home]
-        across = (square - nearest[:, None]) / (2 * gaps[home])
-        reachable = across <= reach
-        lists = [[int(h), *(int(c) for c in np.flatnonzero(ok[:h]))] for h, ok in zip(home, reachable)]
+        lists = []
+        for low in range(0, len(u), 1_024):
+            part = slice(low, low + 1_024)
+            own, at = np.unique(home[part], return_inverse=True)
+            reachable = square[part] - nearest[part][:, None] <= 2 * reach * gaps(own)[at]
+            lists += [[int(h), *np.flatnonzero(ok[:h]).tolist()] for h, ok in zip(home[part], reachable)]
         return pd.DataFrame({"home": home.astype("int32"), "cells": lists})
 
     placed = nodes.withColumn("_c", cells("u"))
