@@ -5,8 +5,8 @@ text moves the cuts next to it and no others. A chunk that stands in a document
 neighbouring copies of at least LEAST_RUN bytes are repeated passages; single short chunks, which clean texts share by
 chance, stay. What goes is cut back to whole words.
 
-Chunks are counted before they meet: a digest that one task saw many times is one row for it, and only digests seen in
-two documents or more are joined back, by a join that Spark may split where one chunk is very common.
+Chunks meet by digest, packed by the batch. What a batch of documents has several times it decides itself and sends for its
+smallest document alone, so a chunk that a third of all documents share is one entry per batch.
 
 Edge cases: null and empty texts have no chunks and stay as they are. Rows that share an id are one document, whose
 text does not repeat itself. Documents with a null id come after all others and repeat each other's passages in none. An
@@ -23,15 +23,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pathwarden.llm.packing import ddl_of, home_column, home_of, pack, read_packed, split_rows, table_of
+
 #: A chunk is LEAST_CHUNK to MOST_CHUNK bytes long, LEAST_CHUNK + 2 ** BITS on average.
 LEAST_CHUNK, MOST_CHUNK, BITS = 16, 128, 4
 #: Bytes of neighbouring copies that make a passage.
 LEAST_RUN = 96
 
+#: Chunks that a task compares at once. Any value gives the same result.
+BATCH_CHUNKS = 200_000
+DIGEST = np.dtype([("high", np.uint64), ("low", np.uint64)])
+
 _rng = np.random.default_rng(20240229)
 GEAR = _rng.integers(0, 1 << 16, 256, dtype=np.uint16)
 SPACES = b" \t\n\v\f\r"
-SPANS = "array<struct<first: int, end: int>>"
 
 
 def may_cut(data: np.ndarray) -> np.ndarray:
@@ -64,40 +69,85 @@ def chunk_ends(data: bytes) -> list[int]:
     return ends
 
 
-def chunks(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, place, first, end, digest) for each chunk of each text; bytes first to end."""
-    schema = pa.schema([("id", pa.int64()), ("place", pa.int32()), ("first", pa.int32()), ("end", pa.int32()), ("digest", pa.binary())])
+COPIES = pa.schema([("bucket", pa.int32()), ("told", pa.bool_()), ("count", pa.int32()), ("digests", pa.binary()), ("ids", pa.binary()), ("firsts", pa.binary()), ("ends", pa.binary())])
+HOMES = pa.schema([("bucket", pa.int32()), ("count", pa.int32()), ("ids", pa.binary()), ("firsts", pa.binary()), ("ends", pa.binary())])
+
+
+def chunk_rows(ids: list, texts) -> Iterator[tuple[np.ndarray, ...]]:
+    """(id, first, end, digest) of the chunks of texts, in batches of documents with an id."""
+    rows: list[list] = [[], [], [], []]
+    for id_, text in zip(ids, texts, strict=True):
+        data = (text.as_py() or "").encode() if id_ is not None else b""
+        ends = chunk_ends(data)
+        firsts = [0, *ends[:-1]] if ends else []
+        rows[0] += [id_] * len(ends)
+        rows[1] += firsts
+        rows[2] += ends
+        rows[3] += [hashlib.blake2b(data[a:b], digest_size=16).digest() for a, b in zip(firsts, ends, strict=True)]
+        if len(rows[0]) >= BATCH_CHUNKS:
+            yield *(np.array(x, np.int64) for x in rows[:3]), np.frombuffer(b"".join(rows[3]), DIGEST)
+            rows = [[], [], [], []]
+    if rows[0]:
+        yield *(np.array(x, np.int64) for x in rows[:3]), np.frombuffer(b"".join(rows[3]), DIGEST)
+
+
+def _by_digest(ids: np.ndarray, digests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order by digest, then id; and for each row in it the smallest id with its digest."""
+    order = np.lexsort((ids, digests["low"], digests["high"]))
+    sorted_ = digests[order]
+    head = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
+    return order, np.repeat(ids[order][head], np.diff(np.append(head, len(order))))
+
+
+def chunk_keys(docs: DataFrame, buckets: int) -> DataFrame:
+    """Packed chunks of rows (id, text) by bucket of their digest. Of the documents of a batch that share a chunk only the
+    smallest sends it; the others' are copies already (`told`) and go to the home of their id."""
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[list] = [[], [], [], [], []]
-            for doc, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                data = (value.as_py() or "").encode()
-                first = 0
-                for place, end in enumerate(chunk_ends(data)):
-                    for column, x in zip(rows, (doc, place, first, end, hashlib.blake2b(data[first:end], digest_size=16).digest()), strict=True):
-                        column.append(x)
-                    first = end
-                if len(rows[0]) > 100_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, schema, strict=True)], schema=schema)
-                    rows = [[], [], [], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, schema, strict=True)], schema=schema)
-
-    return docs.select(F.col(key).cast("long"), F.col(text)).mapInArrow(cut, "id long, place int, first int, end int, digest binary")
-
-
-def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", least_run: int = LEAST_RUN) -> DataFrame:
-    """(id, spans) for each document with repeated passages: the byte ranges that a document with a smaller id has too."""
-    cut = chunks(docs, key, text).where("id is not null")
-    seen = cut.groupBy("digest").agg(F.min("id").alias("original"), F.max("id").alias("_last")).where("original < _last").drop("_last")
-    copies = cut.join(seen, "digest").where("original < id").groupBy("id").agg(F.sort_array(F.collect_set(F.struct("place", "first", "end"))).alias("copies"))
-    # Neighbouring copies become one run.
-    runs = """aggregate(copies, cast(array() as array<struct<place: int, first: int, end: int>>), (runs, c) ->
-        if(size(runs) > 0 and element_at(runs, -1).place + 1 = c.place,
-           concat(slice(runs, 1, size(runs) - 1), array(named_struct('place', c.place, 'first', element_at(runs, -1).first, 'end', c.end))),
-           concat(runs, array(c))))"""
-    runs = copies.withColumn("spans", F.expr(f"transform(filter({runs}, r -> r.end - r.first >= {least_run}), r -> struct(r.first, r.end))"))
-    return runs.where(F.size("spans") > 0).select("id", "spans")
+            for ids, first, end, digests in chunk_rows(batch.column(0).to_pylist(), batch.column(1)):
+                order, smallest = _by_digest(ids, digests)
+                copy = ids[order] > smallest
+                rows = []
+                for b, at in split_rows((digests["low"][order[~copy]] % np.uint64(buckets)).astype(np.int64)):
+                    at = np.sort(order[~copy][at])
+                    rows.append((b, False, len(at), pack(digests[at].view(np.uint8)), pack(ids[at]), pack(first[at]), pack(end[at])))
+                for b, at in split_rows(home_of(ids[order[copy]], buckets)):
+                    at = np.sort(order[copy][at])
+                    rows.append((b, True, len(at), b"", pack(ids[at]), pack(first[at]), pack(end[at])))
+                yield from table_of(rows, COPIES).to_batches()
+
+    return docs.mapInArrow(emit, ddl_of(COPIES))
+
+
+def copied_chunks(keys: DataFrame, buckets: int) -> DataFrame:
+    """Packed (id, first, end) of the chunks that a document with a smaller id has, by the home of the id."""
+
+    def match(table: pa.Table) -> pa.Table:
+        rows = list(zip(*(table.filter(table.column("told")).column(c).to_pylist() for c in HOMES.names), strict=True))
+        asked = table.filter(pa.compute.invert(table.column("told")))
+        if len(asked):
+            ids, first, end = (read_packed(asked, c, np.int64) for c in ("ids", "firsts", "ends"))
+            order, smallest = _by_digest(ids, read_packed(asked, "digests", np.uint8, 16).view(DIGEST))
+            copies = order[ids[order] > smallest]
+            for b, at in split_rows(home_of(ids[copies], buckets)):
+                at = np.sort(copies[at])
+                rows.append((b, len(at), pack(ids[at]), pack(first[at]), pack(end[at])))
+        return table_of(rows, HOMES)
+
+    return keys.groupBy("bucket").applyInArrow(match, ddl_of(HOMES))
+
+
+def runs_of(first: np.ndarray, end: np.ndarray, least_run: int) -> list[tuple[int, int]]:
+    """Neighbouring copied chunks as one run, where it is long enough."""
+    order = np.argsort(first, kind="stable")
+    first, end = first[order], end[order]
+    if len(first):
+        fresh = np.concatenate([[True], first[1:] != first[:-1]])  # repeated rows have the same chunks
+        first, end = first[fresh], end[fresh]
+    head = np.flatnonzero(np.concatenate([[True], first[1:] != end[:-1]])) if len(first) else np.empty(0, np.int64)
+    starts, stops = first[head], end[np.append(head[1:], len(end)) - 1] if len(head) else head
+    return [(a, b) for a, b in zip(starts.tolist(), stops.tolist(), strict=True) if b - a >= least_run]
 
 
 def whole_words(data: bytes, first: int, end: int) -> tuple[int, int]:
@@ -109,13 +159,13 @@ def whole_words(data: bytes, first: int, end: int) -> tuple[int, int]:
     return first, end
 
 
-def without(text: str | None, spans: list[dict] | None) -> tuple[str | None, int, int]:
+def without(text: str | None, spans: list[tuple[int, int]]) -> tuple[str | None, int, int]:
     """The text that is left, the bytes that went, and in how many spans."""
     if not text or not spans:
         return text, 0, 0
     data, left, at, gone, count = text.encode(), [], 0, 0, 0
-    for span in spans:
-        first, end = whole_words(data, span["first"], span["end"])
+    for first, end in spans:
+        first, end = whole_words(data, first, end)
         if first < end:
             left.append(data[at:first])
             at, gone, count = end, gone + end - first, count + 1
@@ -129,17 +179,29 @@ def cut_repeats(
 
     `counts` names the two; a column of the input with such a name gives way.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    packed = docs.select(row.alias("_row"), F.col(f"`{key}`").cast("long").alias("_id"), F.col(f"`{text}`").alias("_text"))
-    spans = repeated_spans(docs, key, text, least_run)
-    joined = packed.join(spans, F.col("_id") == F.col("id"), "left")
-    kind = pa.struct([("text", pa.string()), ("n_removed", pa.int64()), ("n_spans", pa.int64())])
-
-    @F.arrow_udf("struct<text: string, n_removed: bigint, n_spans: bigint>")
-    def freed(texts: pa.Array, spans: pa.Array) -> pa.Array:
-        rows = [without(t.as_py(), s.as_py()) for t, s in zip(texts, spans, strict=True)]
-        return pa.array([dict(zip(kind.names, r, strict=True)) for r in rows], kind)
-
-    result = joined.withColumn("_freed", freed(F.col("_text"), F.col("spans")))
-    columns = [F.col("_freed.text").alias(c) if c == text else F.col(f"_row.`{c}`") for c in docs.columns if c not in counts]
-    return result.select(*columns, F.col("_freed.n_removed").alias(counts[0]), F.col("_freed.n_spans").alias(counts[1]))
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
+    found = copied_chunks(chunk_keys(rows, buckets), buckets)
+    others = [c for c in docs.columns if c not in counts]
+    renamed = {c: f"c{n}" for n, c in enumerate(others)}
+    packed = docs.select(F.col(f"`{key}`").cast("long").alias("id"), *[F.col(f"`{c}`").alias(n) for c, n in renamed.items()])
+    homed = packed.withColumn("home", home_column(buckets)(F.col("id")))
+    place = 1 + others.index(text)
+
+    def free(table: pa.Table, copies: pa.Table) -> pa.Table:
+        ids, first, end = (read_packed(copies, c, np.int64) if len(copies) else np.empty(0, np.int64) for c in HOMES.names[2:])
+        order = np.argsort(ids, kind="stable")
+        ids, first, end = ids[order], first[order], end[order]
+        freed = []
+        for id_, value in zip(table.column("id").to_pylist(), table.column(place), strict=True):
+            low, high = (0, 0) if id_ is None else np.searchsorted(ids, [id_, id_ + 1])
+            freed.append(without(value.as_py(), runs_of(first[low:high], end[low:high], least_run)))
+        texts, removed, spans = zip(*freed, strict=True) if freed else ([], [], [])
+        kept = table.drop_columns(["id", "home"])
+        kept = kept.set_column(place - 1, kept.field(place - 1).name, pa.array(texts, pa.string()))
+        return kept.append_column("_removed", pa.array(removed, pa.int64())).append_column("_spans", pa.array(spans, pa.int64()))
+
+    kinds = ", ".join(f"{n} {packed.schema[n].dataType.simpleString()}" for n in renamed.values())
+    result = homed.groupBy("home").cogroup(found.groupBy("bucket")).applyInArrow(free, f"{kinds}, _removed long, _spans long")
+    names = {n: c for c, n in renamed.items()} | {"_removed": counts[0], "_spans": counts[1]}
+    return result.select(*[F.col(n).alias(c) for n, c in names.items()])

@@ -139,10 +139,12 @@ def test_classes_equal_brute_force(documents, prose):
     assert [r.class_id for r in got if r.doc_id is None] == [None, None]
 
 
-def test_lots_do_not_change_links(documents, prose, monkeypatch):
+def test_lots_and_cells_do_not_change_classes(documents, prose, monkeypatch):
     base = prose(150, 5)
-    rows = [(n, changed(base, n % 3, n)) for n in range(30)]
+    # Many edits: most copies are similar to few others and to neither end of a bucket.
+    rows = [(n, changed(base, (n * 7) % 12, n)) for n in range(70)]
     monkeypatch.setattr(bag_minhash, "LOT", 3)
+    monkeypatch.setattr(bag_minhash, "CELL", 4)
     assert {r.doc_id: r.class_id for r in bag_minhash.classes(documents(rows)).collect()} == plain_classes(rows)
 
 
@@ -220,10 +222,13 @@ def chunk_rows(prose):
     return rows + [(100 + n, t) for n, t in enumerate(ODD)]
 
 
-def test_spans_equal_brute_force(documents, prose):
+@pytest.mark.parametrize("batch", [40, chunk_dedup.BATCH_CHUNKS])
+def test_removal_of_chunks_equals_brute_force(documents, prose, monkeypatch, batch):
+    monkeypatch.setattr(chunk_dedup, "BATCH_CHUNKS", batch)
     rows = chunk_rows(prose)
-    got = {r.id: [(s.first, s.end) for s in r.spans] for r in chunk_dedup.repeated_spans(documents(rows)).collect()}
-    assert got == plain_spans(rows)
+    spans = plain_spans(rows)
+    got = {r.doc_id: (r.text, r.n_removed, r.n_spans) for r in chunk_dedup.cut_repeats(documents(rows).repartition(3)).collect()}
+    assert got == {i: chunk_dedup.without(t, spans.get(i, [])) for i, t in rows}
 
 
 def test_passages_go_and_clean_texts_stay(documents, prose):

@@ -24,7 +24,7 @@ def test_pipeline_equals_brute_force(spark):
     classes = plain_classes(docs)
     docs = [(i, t) for i, t in docs if classes[i] == i]
     spans = plain_spans(docs)
-    docs = [(i, chunk_dedup.without(t, [{"first": a, "end": b} for a, b in spans.get(i, [])])[0]) for i, t in docs]
+    docs = [(i, chunk_dedup.without(t, spans.get(i, []))[0]) for i, t in docs]
     folded = {i: "".join(map(chr, decontaminate.fold(t)[0])) for i, t in benchmark}
     docs = [(i, t) for i, t in docs if not any(f in "".join(map(chr, decontaminate.fold(t)[0])) for f in folded.values())]
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
