@@ -7,10 +7,12 @@ level's length. A point carries a component of the signature and the unit cell o
 counts for a text whose weight covers the cell. A component keeps its earliest point, so two texts agree in one with a
 probability that is their similarity. Points come in order of time and stop where the latest component is reached.
 
-Texts with equal bags are one before anything is compared. The members of a band's bucket are verified against the
-smallest and the largest of them; only pairs of a bucket that this leaves in different classes are verified one by one.
-So a group of n near copies costs some n pairs, and no pair that could join two classes is left out. All bags that meet
-one centre are dealt to tasks in lots of bounded size.
+Texts with equal bags are one before anything is compared. The members of a band's bucket are compared with the
+smallest and the largest of them first, which makes some n pairs of a group of n near copies. What is left are members
+of one bucket in different classes. They meet in the cells of a grid over the bucket, as rows of a bounded number, and
+leave a cell only as links that join two classes, so no pair that could join two is left out and none is listed
+otherwise. Before bags are sent anywhere, signatures that agree in less than LIKELY of their components are dropped:
+at a similarity of 0.8 that happens once in 20,000 pairs.
 
 Edge cases: a text of fewer than five words is one run; texts without words (null and empty ones too) are equal. Rows
 that share an id share a class. Documents without an id are left alone (class null). An empty table gives no rows. Only
@@ -24,18 +26,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pathwarden.operators.components import components
-from pathwarden.session import cut_lineage, discard
+from pathwarden.session import cut_lineage
 
 SHINGLE = 5
 SIMILARITY = 0.8
 #: 25 bands of 5 components miss a pair of similarity 0.8 with a probability of 0.00005.
 BANDS, ROWS = 25, 5
-#: Bags compared with one centre in one group of a task, about. Any value gives the same links.
+#: The share of equal components that a pair needs to be verified: 3.9 standard deviations below 0.8.
+LIKELY = 0.66
+#: Bags compared with one centre in one group of a task, and rows of a side of a cell, about. Any value gives the same classes.
 LOT = 200
+CELL = 700
 #: Shingles sketched at once in a task.
 BATCH_SHINGLES = 300_000
 
@@ -132,8 +137,9 @@ def band_keys(point: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(id, bag, bands) for rows (id, text): a digest of the bag and the keys of its bands, none for texts without words."""
-    schema = pa.schema([("id", pa.int64()), ("bag", pa.binary()), ("bands", pa.list_(pa.int64()))])
+    """(id, bag, bands, signature) for rows (id, text): a digest of the bag, the keys of its bands (none for texts without
+    words), and 16 bits of each component."""
+    schema = pa.schema([("id", pa.int64()), ("bag", pa.binary()), ("bands", pa.list_(pa.int64())), ("signature", pa.binary())])
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bags = Bags()
@@ -152,24 +158,17 @@ def sketches(docs: DataFrame) -> DataFrame:
     def packed(ids: list, found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         sizes = [len(runs) for runs, _ in found]
         runs, weights = (np.concatenate(x) for x in zip(*found, strict=True))
-        keys = band_keys(signatures(runs, weights, np.repeat(np.arange(len(ids)), sizes), len(ids))).view(np.int64)
+        point = signatures(runs, weights, np.repeat(np.arange(len(ids)), sizes), len(ids))
+        keys = band_keys(point).view(np.int64)
         digests = [xxhash.xxh3_128_digest(r.tobytes() + w.astype(np.int64).tobytes()) for r, w in found]
-        columns = [ids, digests, [k if n else [] for k, n in zip(keys, sizes, strict=True)]]
+        columns = [ids, digests, [k if n else [] for k, n in zip(keys, sizes, strict=True)], [row.tobytes() for row in (point >> np.uint64(20)).astype(np.uint16)]]
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-    return docs.select("id", "text").mapInArrow(sketch, "id long, bag binary, bands array<long>")
+    return docs.select("id", "text").mapInArrow(sketch, "id long, bag binary, bands array<long>, signature binary")
 
 
-def verified(docs: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The pairs (a, b) whose bags overlap enough, with their similarity, for rows (id, text) and distinct pairs.
-
-    The bag of b is sent to a, in lots: the bag of a goes to each of them.
-    """
-    loads = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / LOT).cast("long").alias("lots"))
-    to_centre = pairs.join(loads, "a").select(F.col("b").alias("id"), "a", F.pmod(F.xxhash64("b"), F.col("lots")).cast("long").alias("lot"))
-    own = loads.select(F.col("a").alias("id"), "a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lots") - 1)).alias("lot"))
-    # Each text is read once and its bag sent to all its centres.
-    routes = cut_lineage(to_centre.unionByName(own).groupBy("id").agg(F.collect_list(F.struct("a", "lot")).alias("routes")))
+def elements_of(text: Column) -> Column:
+    """The bag of each text as a sorted set."""
 
     @F.arrow_udf("array<long>")
     def elements(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -177,27 +176,135 @@ def verified(docs: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY)
         for part in parts:
             yield pa.array([bags.elements(t.as_py()).view(np.int64) for t in part], pa.list_(pa.int64()))
 
-    sent = docs.join(routes, "id").select("id", elements(F.col("text")).alias("bag"), "routes")
-    sent = sent.select("id", "bag", F.explode("routes").alias("route")).select("route.a", "route.lot", "id", "bag")
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("similarity", pa.float64())])
+    return elements(text)
+
+
+def sent_bags(docs: DataFrame, routes: DataFrame) -> DataFrame:
+    """The bag of each text with each of its routes, rows (id, route). A text is read and cut up once for all of them."""
+    routes = cut_lineage(routes.groupBy("id").agg(F.collect_list("route").alias("routes")))
+    # A plain shuffle at any size: routes grow with the documents.
+    sent = docs.join(routes.hint("merge"), "id").select("id", elements_of(F.col("text")).alias("bag"), "routes")
+    return sent.select("id", "bag", F.explode("routes").alias("route")).select("id", "bag", "route.*")
+
+
+def likely(pairs: DataFrame, signatures_: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose signatures agree well enough to be verified."""
+
+    @F.arrow_udf("boolean")
+    def alike(a: pa.Array, b: pa.Array) -> pa.Array:
+        left, right = (np.frombuffer(b"".join(x.to_pylist()), np.uint16).reshape(len(x), -1) for x in (a, b))
+        return pa.array((left == right).mean(1) >= LIKELY if len(a) else [], pa.bool_())
+
+    for side in ("a", "b"):
+        pairs = pairs.join(signatures_.select(F.col("id").alias(side), F.col("signature").alias(f"of_{side}")), side)
+    return pairs.where(alike("of_a", "of_b")).select("a", "b")
+
+
+def similarity_of(a: np.ndarray, b: np.ndarray) -> float:
+    """The weighted Jaccard similarity of two bags as sorted sets."""
+    small, large = (a, b) if len(a) <= len(b) else (b, a)
+    if not len(small):
+        return 0.0
+    both = int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
+    return both / (len(a) + len(b) - both)
+
+
+def _bags_of(table: pa.Table) -> list[np.ndarray]:
+    return [np.asarray(bag.values).view(np.uint64) for bag in table.column("bag")]
+
+
+def verified(docs: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The pairs (a, b) whose bags overlap enough, for rows (id, text) and distinct pairs.
+
+    The bag of b is sent to a, in lots: the bag of a goes to each of them.
+    """
+    loads = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / LOT).cast("long").alias("lots"))
+    lot = F.pmod(F.xxhash64("b"), F.col("lots")).cast("long")
+    to_centre = pairs.join(loads, "a").select(F.col("b").alias("id"), F.struct("a", lot.alias("lot")).alias("route"))
+    lots = F.explode(F.sequence(F.lit(0).cast("long"), F.col("lots") - 1))
+    own = loads.withColumn("lot", lots).select(F.col("a").alias("id"), F.struct("a", "lot").alias("route"))
 
     def compare(lot: pa.Table) -> pa.Table:
         centre = lot.column("a")[0].as_py()
-        ids = lot.column("id").to_pylist()
-        bags = [np.asarray(bag.values).view(np.uint64) for bag in lot.column("bag")]
+        ids, bags = lot.column("id").to_pylist(), _bags_of(lot)
         own = bags[ids.index(centre)]
-        rows = []
-        for id_, bag in zip(ids, bags, strict=True):
-            if id_ != centre:
-                small, large = (own, bag) if len(own) < len(bag) else (bag, own)
-                at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                both = int((large[at] == small).sum())
-                rows.append((centre, id_, both / (len(own) + len(bag) - both)))
-        rows = [r for r in rows if r[2] >= similarity]
-        columns = list(zip(*rows, strict=True)) if rows else [[], [], []]
-        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+        close = [id_ for id_, bag in zip(ids, bags, strict=True) if id_ != centre and similarity_of(own, bag) >= similarity]
+        return pa.table({"a": pa.array([centre] * len(close), pa.int64()), "b": pa.array(close, pa.int64())})
 
-    return sent.groupBy("a", "lot").applyInArrow(compare, "a long, b long, similarity double").groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
+    return sent_bags(docs, to_centre.unionByName(own)).groupBy("a", "lot").applyInArrow(compare, "a long, b long").distinct()
+
+
+def agreeing(signatures_: np.ndarray, others: np.ndarray, band: np.ndarray) -> np.ndarray:
+    """Share of equal components of each pair of two sides; 0 where the two share a band before `band`, as they met there."""
+    equal = np.zeros((len(signatures_), len(others)), np.uint8)
+    before = np.zeros(equal.shape, bool)
+    for number in range(BANDS):
+        whole = np.ones(equal.shape, bool)
+        for column in range(number, BANDS * ROWS, BANDS):
+            same = signatures_[:, column][:, None] == others[:, column][None, :]
+            equal += same
+            whole &= same
+        if number < band:
+            before |= whole
+    return np.where(before, 0, equal / (BANDS * ROWS))
+
+
+def leftover_links(docs: DataFrame, placed: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Links (a, b) between classes for the members of buckets that hold several: rows (bucket, band, id, class, signature).
+
+    A bucket of n members is a grid of cells, each with two of its n / CELL parts. A cell first tells which of its members
+    have a likely partner in another class; only their bags are sent, and pairs are verified there, the likeliest first,
+    until two classes are one.
+    """
+    sizes = placed.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("parts"))
+    rows = placed.join(sizes, "bucket").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    cell = [F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y")]
+    rows = rows.select("bucket", *cell, "part", "band", "id", "class", "signature")
+
+    def sides(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        part = np.array(table.column("part").to_pylist())
+        x, y = table.column("x")[0].as_py(), table.column("y")[0].as_py()
+        return np.flatnonzero(part == x), np.flatnonzero(part == y), np.array(table.column("class").to_pylist(), np.int64)
+
+    def worth(table: pa.Table, left: np.ndarray, right: np.ndarray, group: np.ndarray) -> np.ndarray:
+        signature = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16).reshape(len(table), -1)
+        share = agreeing(signature[left], signature[right], table.column("band")[0].as_py())
+        share[(group[left][:, None] == group[right][None, :]) | (share < LIKELY)] = 0
+        return share
+
+    def partnered(table: pa.Table) -> pa.Table:
+        left, right, group = sides(table)
+        share = worth(table, left, right, group)
+        return table.take(np.unique(np.concatenate([left[share.any(1)], right[share.any(0)]])))
+
+    kinds = "bucket long, x int, y int, part int, band int, id long, class long, signature binary"
+    wanted = cut_lineage(rows.groupBy("bucket", "x", "y").applyInArrow(partnered, kinds))
+
+    def link(table: pa.Table) -> pa.Table:
+        left, right, group = sides(table)
+        share = worth(table, left, right, group)
+        ids, bags = table.column("id").to_pylist(), _bags_of(table)
+        root = {g: g for g in group.tolist()}
+
+        def find(g: int) -> int:
+            while root[g] != g:
+                root[g] = g = root[root[g]]
+            return g
+
+        found = []
+        i, j = np.nonzero(share)
+        for n in np.argsort(-share[i, j], kind="stable").tolist():
+            a, b = int(left[i[n]]), int(right[j[n]])
+            first, second = find(int(group[a])), find(int(group[b]))
+            if first != second and similarity_of(bags[a], bags[b]) >= similarity:
+                root[max(first, second)] = min(first, second)
+                found.append((ids[a], ids[b]))
+        columns = zip(*found, strict=True) if found else ([], [])
+        return pa.table({n: pa.array(c, pa.int64()) for n, c in zip("ab", columns, strict=True)})
+
+    routes = wanted.select("id", F.struct("bucket", "x", "y", "part", "band", "class", "signature").alias("route"))
+    return sent_bags(docs, routes).groupBy("bucket", "x", "y").applyInArrow(link, "a long, b long")
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -206,27 +313,24 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity
     sketched = cut_lineage(sketches(rows))
     named = sketched.where("id is not null")
     # Equal bags are one from here on.
-    bags = named.groupBy("bag").agg(F.min(F.struct("id", "bands")).alias("first"))
-    members = cut_lineage(bags.select(F.col("first.id").alias("id"), F.explode("first.bands").alias("bucket")).distinct())
+    firsts = named.groupBy("bag").agg(F.min("id").alias("id"))
+    chosen = cut_lineage(named.join(firsts, ["bag", "id"], "left_semi").dropDuplicates(["id"]))
+    members = cut_lineage(chosen.select("id", F.posexplode("bands").alias("band", "bucket")))
     ends = members.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
     meet = members.join(ends, "bucket")
     pairs = meet.select(F.col("low").alias("a"), F.col("id").alias("b")).where("a < b")
-    pairs = pairs.unionByName(meet.select(F.col("high").alias("a"), F.col("id").alias("b")).where("b < a and b > low"))
-    pairs = cut_lineage(pairs.distinct())
-    links = cut_lineage(verified(rows, pairs, similarity).select("a", "b"))
+    pairs = pairs.unionByName(meet.select(F.col("high").alias("a"), F.col("id").alias("b")).where("b < a and b > low")).distinct()
+    links = cut_lineage(verified(rows, cut_lineage(likely(pairs, chosen)), similarity))
     grouped = cut_lineage(components(links))
 
     # What is left: members of one bucket in different classes.
     placed = members.join(grouped, "id", "left").withColumn("class", F.coalesce("component", "id")).drop("component")
-    split = placed.groupBy("bucket").agg(F.min("class").alias("x"), F.max("class").alias("y"), F.mode("class", True).alias("most")).where("x < y").select("bucket", "most")
-    placed = cut_lineage(placed.join(split, "bucket"))
-    others = placed.select("bucket", F.col("id").alias("b"), F.col("class").alias("class_b"))
-    rest = placed.where("class != most").join(others, "bucket").where("class != class_b")
-    rest = rest.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    more = cut_lineage(verified(rows, cut_lineage(rest), similarity).select("a", "b"))
-    final = components(links.unionByName(more)) if not more.isEmpty() else grouped
-
-    first = bags.select("bag", F.col("first.id").alias("same_bag"))
+    split = placed.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("bucket")
+    placed = placed.join(split, "bucket", "left_semi").join(chosen.select("id", "signature"), "id")
+    more = cut_lineage(leftover_links(rows, placed, similarity))
+    final = grouped if more.isEmpty() else components(links.unionByName(more))
+
+    first = firsts.select("bag", F.col("id").alias("same_bag"))
     result = sketched.select("id", "bag").join(first, "bag", "left").join(final.withColumnRenamed("id", "same_bag"), "same_bag", "left")
     alone = F.col("id").isNull()
     return result.select(
