@@ -33,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pathwarden.llm.packing import ddl_of, home_column, home_of, pack, read_packed, scramble, split_rows, table_of
+
 LEAST = 50
 K = 24
 #: Places of the anchor in a string, and columns of a context.
@@ -40,30 +42,11 @@ SPAN = LEAST - K + 1
 WIDTH = SPAN - 1 + LEAST
 #: Bytes of text whose anchors a task compares at once. Any value gives the same result.
 BATCH_BYTES = 4_000_000
-#: Buckets per shuffle partition, so a bucket's contexts are a small part of a task's memory.
-BUCKETS_PER_PARTITION = 4
 
 LOW = np.uint64((1 << 40) - 1)
 NOBODY = np.iinfo(np.int64).max
 
 
-def _pack(values: np.ndarray) -> bytes:
-    return pa.compress(np.ascontiguousarray(values).tobytes(), "zstd", asbytes=True)
-
-
-def _unpack(parts: list[tuple[int, bytes]], kind, row: int = 1) -> np.ndarray:
-    """Packed arrays, each with its number of rows, as one array."""
-    size = np.dtype(kind).itemsize * row
-    raw = b"".join(pa.decompress(data, count * size, "zstd", asbytes=True) for count, data in parts if count)
-    return np.frombuffer(raw, kind)
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
-
-
 def _grams(data: np.ndarray) -> np.ndarray:
     """A scrambled hash of the K bytes from each place on."""
     with np.errstate(over="ignore"):
@@ -73,7 +56,7 @@ def _grams(data: np.ndarray) -> np.ndarray:
             power, size = power * power % 2**64, 2 * size
         eight, once = part, np.uint64(power)
         whole = eight[: len(eight) - 16] + once * (eight[8 : len(eight) - 8] + once * eight[16:])
-        return _mix(whole)
+        return scramble(whole)
 
 
 def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -141,49 +124,12 @@ def _anchored(ids: np.ndarray, data: np.ndarray, ends: np.ndarray, buckets: int)
     return owner, bucket, (hashes & LOW).astype(np.int64), place, first, last
 
 
-def _split(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """The rows of each bucket, in their order."""
-    order = np.argsort(bucket, kind="stable")
-    cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-    for rows in np.split(order, cuts):
-        if len(rows):
-            yield int(bucket[rows[0]]), rows
-
-
-def _home(ids: np.ndarray, buckets: int) -> np.ndarray:
-    """The bucket that a document's findings go to."""
-    with np.errstate(over="ignore"):
-        return (_mix(ids.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-
-
-def home_column(buckets: int):
-    @F.arrow_udf("int")
-    def home(ids: pa.Array) -> pa.Array:
-        return pa.array(_home(np.array(ids.fill_null(0).to_pylist(), np.int64), buckets), pa.int32())
-
-    return home
-
-
 KEYS = pa.schema([("bucket", pa.int32()), ("told", pa.bool_()), ("count", pa.int32()), ("keys", pa.binary()), ("ids", pa.binary())])
 SHARED = pa.schema([("bucket", pa.int32()), ("count", pa.int32()), ("keys", pa.binary()), ("ids", pa.binary())])
 CONTEXTS = pa.schema([(n, pa.int32()) for n in ("bucket", "count")] + [(n, pa.binary()) for n in ("contexts", "ids", "places", "firsts", "lasts")])
 SPANS = pa.schema([("bucket", pa.int32()), ("count", pa.int32()), ("ids", pa.binary()), ("starts", pa.binary()), ("ends", pa.binary())])
 
 
-def _table(rows: list, schema: pa.Schema) -> pa.Table:
-    columns = list(zip(*rows, strict=True)) if rows else [[] for _ in schema]
-    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-
-
-def _ddl(schema: pa.Schema) -> str:
-    kinds = {pa.int32(): "int", pa.int64(): "long", pa.bool_(): "boolean", pa.binary(): "binary"}
-    return ", ".join(f"{f.name} {kinds[f.type]}" for f in schema)
-
-
-def _read(table: pa.Table, name: str, kind, row: int = 1) -> np.ndarray:
-    return _unpack(list(zip(table.column("count").to_pylist(), table.column(name).to_pylist(), strict=True)), kind, row)
-
-
 def anchor_keys(docs: DataFrame, buckets: int) -> DataFrame:
     """Packed (key, id) of the anchors of rows (id, text), by bucket. `told` rows are known to be shared, and go to the home of their id."""
 
@@ -202,18 +148,18 @@ def anchor_keys(docs: DataFrame, buckets: int) -> DataFrame:
                 several = ~head
                 several[:-1] |= ~head[1:]
                 rows = []
-                for b, at in _split(bucket[head]):
+                for b, at in split_rows(bucket[head]):
                     at = np.flatnonzero(head)[at]
                     at = at[np.argsort(id_[at], kind="stable")]
-                    rows.append((b, False, len(at), _pack(key[at].view(np.uint8).reshape(-1, 8)[:, :5]), _pack(id_[at])))
+                    rows.append((b, False, len(at), pack(key[at].view(np.uint8).reshape(-1, 8)[:, :5]), pack(id_[at])))
                 told = np.flatnonzero(several)
-                for b, at in _split(_home(id_[told], buckets)):
+                for b, at in split_rows(home_of(id_[told], buckets)):
                     at = told[at]
-                    rows.append((b, True, len(at), _pack(key[at] + (bucket[at] << 40)), _pack(id_[at])))
+                    rows.append((b, True, len(at), pack(key[at] + (bucket[at] << 40)), pack(id_[at])))
                 if rows:
-                    yield from _table(rows, KEYS).to_batches()
+                    yield from table_of(rows, KEYS).to_batches()
 
-    return docs.mapInArrow(emit, _ddl(KEYS))
+    return docs.mapInArrow(emit, ddl_of(KEYS))
 
 
 def shared_keys(keys: DataFrame, buckets: int) -> DataFrame:
@@ -228,19 +174,19 @@ def shared_keys(keys: DataFrame, buckets: int) -> DataFrame:
         if len(asked):
             count = int(pa.compute.sum(asked.column("count")).as_py())
             wide = np.zeros((count, 8), np.uint8)
-            wide[:, :5] = _read(asked, "keys", np.uint8, 5).reshape(-1, 5)
-            key, ids = wide.view(np.int64).ravel(), _read(asked, "ids", np.int64)
+            wide[:, :5] = read_packed(asked, "keys", np.uint8, 5).reshape(-1, 5)
+            key, ids = wide.view(np.int64).ravel(), read_packed(asked, "ids", np.int64)
             order = np.argsort(key, kind="stable")
             key, ids = key[order], ids[order]
             head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             many = np.minimum.reduceat(ids, head) < np.maximum.reduceat(ids, head)
             hit = np.repeat(many, np.diff(np.append(head, len(key))))
             key, ids = key[hit] + (asked.column("bucket")[0].as_py() << 40), ids[hit]
-            for b, at in _split(_home(ids, buckets)):
-                rows.append((b, len(at), _pack(key[at]), _pack(ids[at])))
-        return _table(rows, SHARED)
+            for b, at in split_rows(home_of(ids, buckets)):
+                rows.append((b, len(at), pack(key[at]), pack(ids[at])))
+        return table_of(rows, SHARED)
 
-    return keys.groupBy("bucket").applyInArrow(match, _ddl(SHARED))
+    return keys.groupBy("bucket").applyInArrow(match, ddl_of(SHARED))
 
 
 def contexts(docs: DataFrame, shared: DataFrame, buckets: int) -> DataFrame:
@@ -250,8 +196,8 @@ def contexts(docs: DataFrame, shared: DataFrame, buckets: int) -> DataFrame:
     def cut(texts: pa.Table, keys: pa.Table) -> pa.Table:
         rows = []
         if not len(keys):
-            return _table(rows, CONTEXTS)
-        wanted_key, wanted_id = _read(keys, "keys", np.int64), _read(keys, "ids", np.int64)
+            return table_of(rows, CONTEXTS)
+        wanted_key, wanted_id = read_packed(keys, "keys", np.int64), read_packed(keys, "ids", np.int64)
         order = np.lexsort((wanted_key, wanted_id))
         wanted_key, wanted_id = wanted_key[order], wanted_id[order]
         have = np.unique(wanted_id)
@@ -260,8 +206,8 @@ def contexts(docs: DataFrame, shared: DataFrame, buckets: int) -> DataFrame:
         for ids, data, ends in _texts(few.column("id").to_pylist(), few.column("text")):
             owner, bucket, key, place, first, last = _anchored(ids, data, ends, buckets)
             number = np.searchsorted(have, ids[owner])
-            mine = np.unique(np.searchsorted(have, wanted_id).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ _mix(wanted_key.view(np.uint64)))
-            asked = number.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ _mix((key + (bucket << 40)).view(np.uint64))
+            mine = np.unique(np.searchsorted(have, wanted_id).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ scramble(wanted_key.view(np.uint64)))
+            asked = number.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ scramble((key + (bucket << 40)).view(np.uint64))
             hit = np.flatnonzero(mine[np.minimum(np.searchsorted(mine, asked), len(mine) - 1)] == asked)
             if not len(hit):
                 continue
@@ -280,18 +226,18 @@ def contexts(docs: DataFrame, shared: DataFrame, buckets: int) -> DataFrame:
             head[1:] = alike[1:] != alike[:-1]
             smallest = np.repeat(columns[0][by_text][head], np.diff(np.append(np.flatnonzero(head), len(head))))
             decided = by_text[columns[0][by_text] > smallest]
-            for b, part in _split(_home(columns[0][decided], buckets)):
+            for b, part in split_rows(home_of(columns[0][decided], buckets)):
                 part = decided[part]
-                rows.append((buckets + b, len(part), b"", _pack(columns[0][part]), b"", _pack(columns[2][part]), _pack(columns[3][part] + LEAST)))
+                rows.append((buckets + b, len(part), b"", pack(columns[0][part]), b"", pack(columns[2][part]), pack(columns[3][part] + LEAST)))
             sent = by_text[columns[0][by_text] == smallest]
-            for b, part in _split(bucket[sent]):
+            for b, part in split_rows(bucket[sent]):
                 part = sent[part]
                 part = part[np.argsort(columns[0][part], kind="stable")]
-                rows.append((b, len(part), _pack(matrix[part]), *[_pack(c[part]) for c in columns]))
-        return _table(rows, CONTEXTS)
+                rows.append((b, len(part), pack(matrix[part]), *[pack(c[part]) for c in columns]))
+        return table_of(rows, CONTEXTS)
 
     left = docs.groupBy("home")
-    return left.cogroup(shared.groupBy("bucket")).applyInArrow(cut, _ddl(CONTEXTS))
+    return left.cogroup(shared.groupBy("bucket")).applyInArrow(cut, ddl_of(CONTEXTS))
 
 
 def _range_least(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -358,22 +304,22 @@ def spans(found: DataFrame, buckets: int) -> DataFrame:
     def judge(table: pa.Table) -> pa.Table:
         rows = []
         bucket = table.column("bucket")[0].as_py()
-        ids = _read(table, "ids", np.int64)
+        ids = read_packed(table, "ids", np.int64)
         if bucket >= buckets:  # decided already
-            return _table([(bucket - buckets, len(ids), _pack(ids), _pack(_read(table, "firsts", np.int64)), _pack(_read(table, "lasts", np.int64)))], SPANS)
-        place = _read(table, "places", np.int64)
+            return table_of([(bucket - buckets, len(ids), pack(ids), pack(read_packed(table, "firsts", np.int64)), pack(read_packed(table, "lasts", np.int64)))], SPANS)
+        place = read_packed(table, "places", np.int64)
         begin = place - (SPAN - 1)
-        matrix = _read(table, "contexts", np.uint8, WIDTH).reshape(-1, WIDTH)
-        goes = removable(matrix, ids, _read(table, "firsts", np.int64) - begin, _read(table, "lasts", np.int64) - begin)
+        matrix = read_packed(table, "contexts", np.uint8, WIDTH).reshape(-1, WIDTH)
+        goes = removable(matrix, ids, read_packed(table, "firsts", np.int64) - begin, read_packed(table, "lasts", np.int64) - begin)
         edge = np.diff(np.pad(goes, ((0, 0), (1, 1))).astype(np.int8), axis=1)
         row, start = np.nonzero(edge == 1)
         end = np.nonzero(edge == -1)[1] - 1 + LEAST
         ids, start, end = ids[row], begin[row] + start, begin[row] + end
-        for b, at in _split(_home(ids, buckets)):
-            rows.append((b, len(at), _pack(ids[at]), _pack(start[at]), _pack(end[at])))
-        return _table(rows, SPANS)
+        for b, at in split_rows(home_of(ids, buckets)):
+            rows.append((b, len(at), pack(ids[at]), pack(start[at]), pack(end[at])))
+        return table_of(rows, SPANS)
 
-    return found.groupBy("bucket").applyInArrow(judge, _ddl(SPANS))
+    return found.groupBy("bucket").applyInArrow(judge, ddl_of(SPANS))
 
 
 def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -388,8 +334,8 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", with_kept: bool = True) -> DataFrame:
     """One row per document: key, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 and, if wanted, kept (bytes)."""
-    spark = docs.sparkSession
-    buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # As many buckets as the session has shuffle partitions: every task packs one row for each at most.
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     shared = shared_keys(anchor_keys(rows, buckets), buckets)
     homed = rows.withColumn("home", home_column(buckets)(F.col("id")))
@@ -400,7 +346,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", with_kept: b
     )
 
     def remove(texts: pa.Table, found: pa.Table) -> pa.Table:
-        ids, starts, ends = (_read(found, c, np.int64) for c in ("ids", "starts", "ends")) if len(found) else (np.empty(0, np.int64),) * 3
+        ids, starts, ends = (read_packed(found, c, np.int64) for c in ("ids", "starts", "ends")) if len(found) else (np.empty(0, np.int64),) * 3
         order = np.argsort(ids, kind="stable")
         ids, starts, ends = ids[order], starts[order], ends[order]
         result = []
@@ -414,7 +360,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", with_kept: b
                 at = b
             kept = b"".join([*kept, data[at:]])
             result.append((id_, len(data), len(data) - len(kept), len(first), hashlib.sha256(kept).hexdigest(), *[kept] * with_kept))
-        return _table(result, schema)
+        return table_of(result, schema)
 
     kinds = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_kept
     return homed.groupBy("home").cogroup(gone.groupBy("bucket")).applyInArrow(remove, kinds).withColumnRenamed("id", key)
