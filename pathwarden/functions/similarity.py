@@ -131,10 +131,11 @@ def best_of(text: Column, choices: Column, scorer: str) -> Column:
 
         rows = []
         for value, names in zip(texts, options):
-            scores = [compare(value, name) for name in names]
-            top = max(scores)
-            rows.append((top, scores.index(top)))
-        return pd.DataFrame(rows, columns=["score", "at"])
+            # A missing text or an empty list has no best entry.
+            scores = [] if pd.isna(value) or names is None else [compare(value, name) for name in names]
+            top = max(scores, default=None)
+            rows.append((top, None if top is None else scores.index(top)))
+        return pd.DataFrame(rows, columns=["score", "at"]).astype("Int32")
 
     found = best(text, F.transform(choices, lambda c: c["choice"]))
     chosen = F.get(choices, found["at"])

@@ -71,12 +71,14 @@ def covered_nodes(edges: DataFrame, sweep_edges: int = SWEEP_EDGES, head: int =
     """The (block, id) that some seed covers, for edges (block, a, b) with a < b. Every other node is a seed.
 
     Components are independent, so each is swept in order by one task, however long its chains are. A component of more
-    than `sweep_edges` edges, too large for a task, is decided in rounds.
+    than `sweep_edges` edges, too large for a task, is decided in rounds; that many edges in all are one sweep.
     """
-    placed = cut_lineage(_components(cut_lineage(edges.select("block", "a", "b").distinct())))
+    edges = cut_lineage(edges.select("block", "a", "b").distinct())
+    few = edges.count() <= sweep_edges
+    placed = edges.withColumn("component", F.lit(0).cast("bigint")) if few else cut_lineage(_components(edges))
     large = placed.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") > sweep_edges).select("component")
-    large = cut_lineage(large)
-    coded = placed.join(large, "component", "left_anti").select("component", F.to_json(F.struct("block")).alias("_code"), "block", "a", "b")
+    large = None if few else cut_lineage(large)
+    coded = (placed if few else placed.join(large, "component", "left_anti")).select("component", F.to_json(F.struct("block")).alias("_code"), "block", "a", "b")
 
     def sweep(part):
         covered = set()
@@ -90,7 +92,7 @@ def covered_nodes(edges: DataFrame, sweep_edges: int = SWEEP_EDGES, head: int =
     swept = coded.drop("block").groupBy("component").applyInPandas(sweep, "_code string, id bigint")
     ends = coded.select("block", "_code", F.col("b").alias("id")).distinct()
     swept = ends.join(swept, ["_code", "id"]).select("block", "id")
-    if large.isEmpty():
+    if few or large.isEmpty():
         return swept
     return swept.unionByName(_covered_in_rounds(placed.join(large, "component", "left_semi"), head, plain_rounds))
 

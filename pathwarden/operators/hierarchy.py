@@ -197,30 +197,33 @@ def official_level_name(
     cases = cases.where(~level.isin("country", "continent", "all", "world"))
     cases = cases.withColumn("_code", F.trim("PARENT"))
 
-    by_code = dimension(reference, F.col("code"), "_code", {"_country": F.col("country")}, F.col("ordinal"))
+    # The reference is small: both its sides travel as arrays, so each case is resolved within its row.
+    by_code = dimension(reference, F.col("code"), "code", {"country": F.col("country")}, F.col("ordinal"))
     values = {c: F.col(c) for c in ("level_1", "level_2", "level_3")}
     by_name = dimension(reference, F.col("country"), "country", values, F.col("ordinal"), place="place")
+    codes = small_table(by_code, F.struct("code", "country"), "codes")
+    entries = small_table(by_name, F.struct("place", "country", *values), "countries")
 
+    # Bound by a lambda, the two arrays stand in the plan once, however often they are used.
+    def looked_up(bound):
+        exact = F.try_element_at(F.map_from_entries(bound["codes"]), F.col("_code"))
+        choices = F.transform(bound["entries"], lambda e: F.struct(e["place"].alias("ordinal"), e["country"].alias("choice")))
+        return F.struct(exact.alias("country"), F.when(exact.isNull(), choices).alias("choices"), bound["entries"].alias("entries"))
+
+    cases = cases.withColumn("_both", F.struct(codes.alias("codes"), entries.alias("entries")))
+    cases = cases.withColumn("_found", F.get(F.transform(F.array("_both"), looked_up), F.lit(0)))
     # The country by its code, or by the name most similar to the code.
-    codes = lookup_default(cases.select("_code").distinct(), "_code", by_code, "_country")
-    choices = by_name.select(F.col("country").alias("choice"), F.col("place").alias("ordinal"))
-    strange = best_match(codes.where(F.col("_country").isNull()), "_code", choices, scorer, country_cutoff)
-    strange = strange.select("_code", F.col("match").alias("country")).where(F.col("country").isNotNull())
-    exact = codes.where(F.col("_country").isNotNull()).select("_code", F.col("_country").alias("country"))
-    entries = lookup(exact.unionByName(strange), by_name, ["country"], "inner")
-    resolved = cases.join(entries, ["_code"])
-
-    single = lambda c: F.when(F.coalesce(F.col(c), F.lit("")) == "", F.array().cast("array<string>")).otherwise(F.array(c))
-    names = F.coalesce(
-        F.when(F.col("LEVEL_NUMBER") == 1, F.col("level_1"))
-        .when(F.col("LEVEL_NUMBER") == 2, single("level_2"))
-        .otherwise(single("level_3")),
-        F.array().cast("array<string>"),
-    )
-    names = F.filter(names, lambda n: n.isNotNull())
-    options = F.transform(names, lambda n, i: F.struct(i.alias("ordinal"), n.alias("choice")))
-    scored = resolved.withColumn("_options", options).where(F.size("_options") > 0)
-    scored = scored.withColumn("_best", best_of(level, F.col("_options"), scorer))
+    cases = cases.withColumn("_similar", best_of(F.when(F.col("_found.country").isNull(), F.col("_code")), F.col("_found.choices"), scorer))
+
+    similar = F.when(F.col("_similar.score") >= country_cutoff, F.col("_similar.choice"))
+    by_country = F.map_from_entries(F.transform("_found.entries", lambda e: F.struct(e["country"], e)))
+    cases = cases.withColumn("_entry", F.try_element_at(by_country, F.coalesce("_found.country", similar)))
+    single = lambda c: F.when(F.coalesce(F.col(c), F.lit("")) != "", F.array(c))
+    names = F.when(F.col("LEVEL_NUMBER") == 1, F.col("_entry.level_1")).when(F.col("LEVEL_NUMBER") == 2, single("_entry.level_2"))
+    named = F.filter(names.otherwise(single("_entry.level_3")), lambda n: n.isNotNull())
+    options = F.transform(named, lambda n, i: F.struct(i.alias("ordinal"), n.alias("choice")))
+    scored = cases.select(*keys, level.alias("_level"), options.alias("_options"))
+    scored = scored.withColumn("_best", best_of(F.col("_level"), F.col("_options"), scorer))
     chosen = F.when(F.col("_best.score") >= level_cutoff, F.col("_best.choice")).otherwise(
         F.get(F.col("_options"), F.lit(0))["choice"]
     )
