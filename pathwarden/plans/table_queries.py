@@ -353,7 +353,7 @@ def h13_weighted(spark, d):
     reference = level_reference(spark, d)
     regions = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
     countries = location_view(spark, d).where("LEVEL_NAME = 'COUNTRY'")
-    known = reference.where("ordinal < 0").select("country", F.col("continent_name").alias("continent"))
+    known = reference.where(F.col("continent_name") == "AFRICA").select("country", F.col("continent_name").alias("continent"))
     similar = reference.withColumn("country", F.concat(F.lower("country"), F.lit(" (official)")))
     found, missing = H.split_found(H.assign_continent(countries, known, similar, regions), regions)
     return found.withColumn("found", F.lit(True)).unionByName(missing.withColumn("found", F.lit(False)))
