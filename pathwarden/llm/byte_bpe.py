@@ -197,7 +197,7 @@ class Coder:
                 "decoded_sha256": hashlib.sha256(b"".join(map(decoded.__getitem__, words))).hexdigest(),
             }
             if with_ids:
-                row["ids"] = list(chain.from_iterable(map(self.known.__getitem__, words)))
+                row["ids"] = np.fromiter(chain.from_iterable(map(self.known.__getitem__, words)), np.int32, row["n_tokens"])
             yield row
 
     def decode(self, ids) -> bytes:
@@ -216,7 +216,7 @@ def in_batches(texts: list[str], most: int = BATCH_CHARS) -> Iterator[list[str]]
         yield batch
 
 
-def _per_text(ranks: dict[bytes, int], pattern: str, kind: str, of_type: pa.DataType, rows_of):
+def _per_text(ranks: dict[bytes, int], pattern: str, kind: str, of_type: pa.DataType, rows_of, most: int = BATCH_CHARS):
     """A UDF over a text column that gives `rows_of(coder, texts)`, with one coder for a task."""
 
     @F.arrow_udf(kind)
@@ -224,7 +224,7 @@ def _per_text(ranks: dict[bytes, int], pattern: str, kind: str, of_type: pa.Data
         coder = Coder(ranks, pattern)
         for part in parts:
             texts = [t.as_py() or "" for t in part]
-            yield pa.array([row for batch in in_batches(texts) for row in rows_of(coder, batch)], of_type)
+            yield pa.array([row for batch in in_batches(texts, most) for row in rows_of(coder, batch)], of_type)
 
     return coded
 
@@ -252,5 +252,6 @@ def digest_columns(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text:
         fields["ids"] = ("array<int>", pa.list_(pa.int32()))
     kind = f"struct<{', '.join(f'{name}: {ddl}' for name, (ddl, _) in fields.items())}>"
     of_type = pa.struct([(name, arrow) for name, (_, arrow) in fields.items()])
-    udf = _per_text(ranks, pattern, kind, of_type, lambda coder, texts: coder.digests(texts, with_ids))
+    # The ids of a batch are held beside its words, so it is smaller then.
+    udf = _per_text(ranks, pattern, kind, of_type, lambda coder, texts: coder.digests(texts, with_ids), BATCH_CHARS // 3 if with_ids else BATCH_CHARS)
     return docs.withColumn("_coded", udf(F.col(text))).withColumns({f: F.col(f"_coded.{f}") for f in fields}).drop("_coded")
