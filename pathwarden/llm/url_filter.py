@@ -72,7 +72,9 @@ def innermost(targets: DataFrame, rules: DataFrame, sweep_rows: int = SWEEP_ROWS
         F.lit(1).alias("_kind"), F.when(F.lit(False), nothing).alias("top"), "host", "path",
     )
     order = Window.partitionBy("site", "_sweep").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    swept = begins.unionByName(closes).unionByName(asked).withColumn("top", F.last("top", ignorenulls=True).over(order))
+    # Without this the urls of a site would stay in the task that the join on the site put them in, whatever their sweep.
+    dealt = begins.unionByName(closes).unionByName(asked).repartition("site", "_sweep")
+    swept = dealt.withColumn("top", F.last("top", ignorenulls=True).over(order))
     hits = swept.where("_kind = 1 and top.rule is not null")
     size = F.struct(F.length("top.rule"), F.length("site"), F.col("top.rule"))
     best = hits.groupBy("host", "path").agg(F.max_by("top", size).alias("top"))
