@@ -127,12 +127,18 @@ def signatures(runs: np.ndarray, weights: np.ndarray, owner: np.ndarray, texts:
     return point
 
 
+def band_columns(band: int) -> range:
+    """The components of a band, for its key and for the comparison of two signatures alike."""
+    return range(band * ROWS, (band + 1) * ROWS)
+
+
 def band_keys(point: np.ndarray) -> np.ndarray:
     """One key per band and text, different for each band."""
+    columns = np.array([band_columns(band) for band in range(BANDS)])
     with np.errstate(over="ignore"):
         keys = np.arange(1, BANDS + 1, dtype=np.uint64)[None, :] * np.uint64(0xA24BAED4963EE407)
         for row in range(ROWS):
-            keys = mix(keys + point[:, row::ROWS][:, :BANDS] * GOLDEN)
+            keys = mix(keys + point[:, columns[:, row]].astype(np.uint64) * GOLDEN)
     return keys
 
 
@@ -159,9 +165,11 @@ def sketches(docs: DataFrame) -> DataFrame:
         sizes = [len(runs) for runs, _ in found]
         runs, weights = (np.concatenate(x) for x in zip(*found, strict=True))
         point = signatures(runs, weights, np.repeat(np.arange(len(ids)), sizes), len(ids))
-        keys = band_keys(point).view(np.int64)
+        # Bands are of the bits that are kept, so two signatures agree in a band exactly where their keys do.
+        kept = (point >> np.uint64(20)).astype(np.uint16)
+        keys = band_keys(kept).view(np.int64)
         digests = [xxhash.xxh3_128_digest(r.tobytes() + w.astype(np.int64).tobytes()) for r, w in found]
-        columns = [ids, digests, [k if n else [] for k, n in zip(keys, sizes, strict=True)], [row.tobytes() for row in (point >> np.uint64(20)).astype(np.uint16)]]
+        columns = [ids, digests, [k if n else [] for k, n in zip(keys, sizes, strict=True)], [row.tobytes() for row in kept]]
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     return docs.select("id", "text").mapInArrow(sketch, "id long, bag binary, bands array<long>, signature binary")
@@ -240,7 +248,7 @@ def agreeing(signatures_: np.ndarray, others: np.ndarray, band: np.ndarray) -> n
     before = np.zeros(equal.shape, bool)
     for number in range(BANDS):
         whole = np.ones(equal.shape, bool)
-        for column in range(number, BANDS * ROWS, BANDS):
+        for column in band_columns(number):
             same = signatures_[:, column][:, None] == others[:, column][None, :]
             equal += same
             whole &= same

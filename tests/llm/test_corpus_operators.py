@@ -148,6 +148,28 @@ def test_lots_and_cells_do_not_change_classes(documents, prose, monkeypatch):
     assert {r.doc_id: r.class_id for r in bag_minhash.classes(documents(rows)).collect()} == plain_classes(rows)
 
 
+def test_agreeing_knows_the_bands_of_the_keys():
+    """A pair counts in the first band whose keys are equal, and in no later one."""
+    signatures = np.random.default_rng(5).choice(4, (60, bag_minhash.BANDS * bag_minhash.ROWS), p=[0.85, 0.05, 0.05, 0.05]).astype(np.uint16)
+    keys = bag_minhash.band_keys(signatures)
+    equal = (signatures[:, None] == signatures[None, :]).mean(2)
+    for band in range(bag_minhash.BANDS):
+        before = (keys[:, None, :band] == keys[None, :, :band]).any(2)
+        assert (bag_minhash.agreeing(signatures, signatures, band) == np.where(before, 0, equal)).all()
+
+
+def test_leftover_pair_with_no_other_path(spark, documents, prose):
+    """Two near copies that agree in components 1, 26, 51, 76 and 101, which are no band, and first share band 3."""
+    text = prose(200, 3)
+    first = np.arange(bag_minhash.BANDS * bag_minhash.ROWS, dtype=np.uint16)
+    second = first.copy()
+    second[[0, 5, 10]] = 999
+    rows = [(7, 3, 1, 1, first.tobytes()), (7, 3, 2, 2, second.tobytes())]
+    placed = spark.createDataFrame(rows, "bucket long, band int, id long, class long, signature binary")
+    docs = documents([(1, text), (2, text + " end")]).selectExpr("doc_id as id", "text")
+    assert [set(r) for r in bag_minhash.leftover_links(docs, placed).collect()] == [{1, 2}]
+
+
 def test_keep_first(documents, prose):
     rows = [(1, prose(60, 1)), (1, prose(60, 1)), (2, prose(60, 1) + " end"), (3, prose(60, 3)), (None, "x"), (None, "x"), (5, None), (6, "")]
     docs = documents(rows, extra=["_row", "class_id"])
