@@ -6,7 +6,8 @@ notices, reader comments; by tag, role and class words) counts for nothing. The
 text by its tags; a Gaussian blurs the ratios along the page, and the lines above the threshold (their standard
 deviation, or the top where all are alike) mark the content. A region is the innermost article or main element around a
 marked line, or else the innermost division; regions with a fair share of the best region's text are kept, and all
-their lines with them, short ones included.
+their lines with them, short ones included. A class word is a
+hint only: it does not count on an article, on what holds an article, main or most of the text, nor behind has-, no- or with-.
 
 Edge cases: null and empty pages, and pages without text outside such elements, give an empty text. Elements that are
 never closed end with the element around them. Repeated pages are read one by one. An empty table gives an empty
@@ -43,6 +44,9 @@ NEVER_WORDS = frozenset(
     "promotion related replies reply respond share sharing sidebar sidebars signup skip social sponsor sponsored subscribe teaser teasers toolbar widget "
     "widgets".split()
 )
+#: Words of reader comments, which may be longer than the article, and words that turn what follows into a remark on the layout.
+READERS = frozenset("comment comments commentlist disqus replies reply respond".split())
+MODIFIERS = frozenset("has no not with without".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 LANDMARKS = frozenset(["article", "main"])
 DIVISIONS = LANDMARKS | {"section", "div", "td", "body"}
@@ -64,38 +68,74 @@ def _never(tag: str, attributes: list) -> bool:
             continue
         if name == "role" and value.lower() in NEVER_ROLES:
             return True
-        if name in ("class", "id") and any(w.lower() in NEVER_WORDS for w in WORD.findall(value)):
-            return True
         if name == "style" and "display:none" in value.replace(" ", "").lower():
             return True
     return False
 
 
+def hint_words(attributes: list) -> set[str]:
+    """The words of class and id that hint at something else than content; not those behind has-, no-, with-."""
+    found = set()
+    for name, value in attributes:
+        if name in ("class", "id") and value:
+            for part in value.split():
+                for word in map(str.lower, WORD.findall(part)):
+                    if word in MODIFIERS:
+                        break
+                    if word in NEVER_WORDS:
+                        found.add(word)
+    return found
+
+
 class Lines(HTMLParser):
-    """Collects the lines of a page: text, number of tags, and the region that each belongs to."""
+    """Collects the lines of a page: text, number of tags, and the region that each belongs to.
+
+    Whether an element with a hint word goes is known once the page is read, so pieces of text carry their innermost one.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, int, bool, bool]] = []  # tag, region, never content, in a landmark
+        self.open: list[tuple[str, int, bool, bool, int]] = []  # tag, region, never content, in a landmark, hint
         self.texts: list[str] = []
+        self.pieces: list[list[tuple[str, int]]] = []
+        # By hint, the first stands for none: the hint around it, its words, its characters, whether it holds an article or main.
+        self.around, self.words, self.sizes, self.holds = [0], [set()], [0], [True]
         self.tags: list[int] = []
         self.regions: list[int] = []
         self.landmarks: set[int] = set()
-        self.parts: list[str] = []
+        self.parts: list[tuple[str, int]] = []
         self.count = 0
         self.region_count = 0
 
-    def _state(self) -> tuple[int, bool, bool]:
-        return self.open[-1][1:] if self.open else (0, False, False)
+    def _state(self) -> tuple[int, bool, bool, int]:
+        return self.open[-1][1:] if self.open else (0, False, False, 0)
 
     def end_line(self) -> None:
-        text = " ".join("".join(self.parts).split())
-        if text or self.count:
-            self.texts.append(text)
+        if self.count or any(text.strip() for text, _ in self.parts):
+            self.pieces.append(self.parts)
             self.tags.append(self.count)
             self.regions.append(self._state()[0])
         self.parts, self.count = [], 0
 
+    def resolve(self) -> None:
+        """Make the texts of the lines without the elements whose hints hold.
+
+        A hint is void where its element holds an article or main without hint words, or most of the page's text. Reader
+        comments are often longer than the article, so they stay only if there is nothing else.
+        """
+        for parts in self.pieces:
+            for text, hint in parts:
+                self.sizes[hint] += len("".join(text.split()))
+        for hint in range(len(self.sizes) - 1, 0, -1):
+            self.sizes[self.around[hint]] += self.sizes[hint]
+        total = self.sizes[0]
+        gone = [False]
+        for hint in range(1, len(self.sizes)):
+            size = self.sizes[hint]
+            void = self.holds[hint] or (size == total if self.words[hint] & READERS else 2 * size > total)
+            gone.append(gone[self.around[hint]] or not void)
+        self.texts = [" ".join("".join(text for text, hint in parts if not gone[hint]).split()) for parts in self.pieces]
+
     def _close(self, depth: int) -> None:
         del self.open[depth:]
 
@@ -113,22 +153,34 @@ class Lines(HTMLParser):
                 elif name in BLOCKS:
                     break
         self.count += 1
+        region, never, landmark, hint = self._state()
         if tag == "br":
-            self.parts.append(" ")
+            self.parts.append((" ", hint))
         if tag in VOID:
             return
-        region, never, landmark = self._state()
-        if never and landmark and tag in HEADINGS and any(name == "header" for name, *_ in self.open) and all(not n or name == "header" for name, _, n, _ in self.open if name not in LANDMARKS):
+        if never and landmark and tag in HEADINGS and any(name == "header" for name, *_ in self.open) and all(not n or name == "header" for name, _, n, *_ in self.open if name not in LANDMARKS):
             never = False  # the title in an article's own header
         elif not never:
             never = _never(tag, attrs)
+        words = hint_words(attrs) if attrs and not never and tag not in ("html", "body", "main") else set()
+        if words and tag != "article":
+            self.around.append(hint)
+            self.words.append(words)
+            self.sizes.append(0)
+            self.holds.append(False)
+            hint = len(self.around) - 1
+        if tag in LANDMARKS and not never and not words:
+            outer = hint
+            while not self.holds[outer]:
+                self.holds[outer] = True
+                outer = self.around[outer]
         if tag in DIVISIONS and not never and (tag in LANDMARKS or not landmark):
             self.region_count += 1
             region = self.region_count
             if tag in LANDMARKS:
                 landmark = True
                 self.landmarks.add(region)
-        self.open.append((tag, region, never, landmark))
+        self.open.append((tag, region, never, landmark, hint))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -148,8 +200,9 @@ class Lines(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
-        if not self._state()[1]:
-            self.parts.append(data)
+        _, never, _, hint = self._state()
+        if not never:
+            self.parts.append((data, hint))
 
 
 def blur(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -184,6 +237,7 @@ def main_text(html: str | None) -> str:
         lines.rawdata = ""  # a tag that the page ends in
     lines.close()
     lines.end_line()
+    lines.resolve()
     keep = content_regions(lines)
     return " ".join(t for t, r in zip(lines.texts, lines.regions, strict=True) if t and r in keep)
 

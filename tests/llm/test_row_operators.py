@@ -130,6 +130,23 @@ def test_odd_pages(html, text):
     assert html_text.main_text(html) == text
 
 
+LONG = "<p>%s</p>" % ("a long paragraph of the page " * 40)
+LONG_TEXT = ("a long paragraph of the page " * 40).strip()
+
+
+@pytest.mark.parametrize("name", ["content has-sidebar", "no-sidebar", "page-with-nav", "widget-area-off site", "related-article"])
+@pytest.mark.parametrize("around", ["<div class='%s'>{}</div>", "<article class='%s'>{}</article>", "<div class='%s'><main>{}</main></div>", "<div class='%s'><article>{}</article></div>"])
+def test_hint_words_around_the_content(name, around):
+    inner = LONG + "<div class='share'>Share this</div>"
+    assert html_text.main_text((around % name).format(inner)) == LONG_TEXT
+
+
+def test_comments_longer_than_the_article_go():
+    comments = "<section id='comments'><article class='comment'>%s</article></section>" % (LONG * 3)
+    assert html_text.main_text(f"<article>{LONG}</article>{comments}") == LONG_TEXT
+    assert html_text.main_text(f"<div class='post'>{LONG}</div><div id='comments'>{LONG * 3}</div>") == LONG_TEXT
+
+
 def test_given_articles(spark):
     """All pages of the table hold an article; its text is what the tags leave."""
     import html as escapes
