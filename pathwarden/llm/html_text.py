@@ -4,9 +4,8 @@ The standard library's parser streams events. Each block element begins a new li
 source is wrapped. Text of elements that are never content (menus, headers, footers, asides, forms, scripts, adverts,
 notices, reader comments; by tag, role and class words) counts for nothing. The ratio of a line is its characters of
 text by its tags; a Gaussian blurs the ratios along the page, and the lines above the threshold (their standard
-deviation, or the top where all are alike) mark the content. A region is the innermost article or main element around a
-marked line, or else the innermost division; regions with a fair share of the best region's text are kept, and all
-their lines with them, short ones included. A class word is a
+deviation, or the top where all are alike) are its seeds. All lines of the division around the seeds are kept, short
+ones included, but not menus. On a page with article or main elements, all their lines are the content. A class word is a
 hint only: it does not count on an article, on what holds an article, main or most of the text, nor behind has-, no- or with-.
 
 Edge cases: null and empty pages, and pages without text outside such elements, give an empty text. Elements that are
@@ -17,6 +16,7 @@ result. Whole pages are read, whatever their length. Other columns stay as they
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -24,9 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Blur in lines, and the share of the best region's text that another region needs.
+#: Blur in lines.
 SIGMA = 2.0
-REGION_SHARE = 0.2
 
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header "
@@ -102,6 +101,8 @@ class Lines(HTMLParser):
         self.around, self.words, self.sizes, self.holds = [0], [set()], [0], [True]
         self.tags: list[int] = []
         self.regions: list[int] = []
+        self.parents = [0]
+        self.linked = [0]
         self.landmarks: set[int] = set()
         self.parts: list[tuple[str, int]] = []
         self.count = 0
@@ -176,6 +177,8 @@ class Lines(HTMLParser):
                 outer = self.around[outer]
         if tag in DIVISIONS and not never and (tag in LANDMARKS or not landmark):
             self.region_count += 1
+            self.parents.append(region)
+            self.linked.append(0)
             region = self.region_count
             if tag in LANDMARKS:
                 landmark = True
@@ -200,9 +203,11 @@ class Lines(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
-        _, never, _, hint = self._state()
+        region, never, _, hint = self._state()
         if not never:
             self.parts.append((data, hint))
+            if any(name == "a" for name, *_ in self.open[-4:]):
+                self.linked[region] += len("".join(data.split()))
 
 
 def blur(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -213,19 +218,40 @@ def blur(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
 
 
 def content_regions(lines: Lines) -> set[int]:
-    """The regions around the lines above the threshold that hold a fair share of text."""
+    """The regions of the content: all landmarks with text or, without any, all divisions under the one around the seeds.
+
+    Seeds are the divisions around the lines above the threshold; where there is one alone, its siblings belong to it.
+    Only menus, divisions whose own text is mostly links, are left out, unless there is nothing else.
+    """
     chars = np.array([len(t) for t in lines.texts], float)
-    if lines.landmarks and any(c and r in lines.landmarks for c, r in zip(chars, lines.regions, strict=True)):
-        chars[[r not in lines.landmarks for r in lines.regions]] = 0
     if not chars.any():
         return set()
+    if any(c and r in lines.landmarks for c, r in zip(chars, lines.regions, strict=True)):
+        return lines.landmarks
     smooth = blur(chars / np.maximum(np.array(lines.tags), 1))
     smooth[chars == 0] = 0
     marked = smooth >= min(smooth.std(), smooth.max())
     regions = np.array(lines.regions)
-    size = np.bincount(regions, chars)
-    chosen = set(regions[marked & (chars > 0)].tolist())
-    return {r for r in chosen if size[r] >= REGION_SHARE * max(size[c] for c in chosen)}
+    letters = Counter()
+    for text, region in zip(lines.texts, lines.regions, strict=True):
+        letters[region] += len("".join(text.split()))
+    menus = {r for r, n in letters.items() if 2 * lines.linked[r] > n}
+    seeds = set(regions[marked & (chars > 0)].tolist())
+    seeds = seeds - menus or seeds
+    # Regions are numbered in order of their starts, so the greatest of several is not around the others.
+    tops = set(seeds)
+    while len(tops) > 1:
+        last = max(tops)
+        tops.remove(last)
+        tops.add(lines.parents[last])
+    container = tops.pop()
+    if seeds == {container}:
+        container = lines.parents[container]
+    under = {container}
+    for region in range(container + 1, lines.region_count + 1):
+        if lines.parents[region] in under:
+            under.add(region)
+    return under - (menus - seeds)
 
 
 def main_text(html: str | None) -> str:

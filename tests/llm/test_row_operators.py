@@ -134,6 +134,24 @@ LONG = "<p>%s</p>" % ("a long paragraph of the page " * 40)
 LONG_TEXT = ("a long paragraph of the page " * 40).strip()
 
 
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<main><h1>The title</h1><p>A lead.</p><article>%s</article><article>Short post.</article></main>",
+        "<body><article>The title A lead.</article><article>%s</article><article>Short post.</article></body>",
+        "<body><div class='page'><div>The title</div><div>A lead.</div><div>%s</div><div>Short post.</div></div></body>",
+        "<body><section><h1>The title</h1><p>A lead.</p></section><section>%s</section><section>Short post.</section></body>",
+    ],
+)
+def test_short_parts_beside_long_ones_stay(html):
+    assert html_text.main_text(html % LONG) == f"The title A lead. {LONG_TEXT} Short post."
+
+
+def test_menus_beside_content_go():
+    menu = "<div><a href='/'>Home</a> <a href='/x'>More</a></div>"
+    assert html_text.main_text(f"<body>{menu}<div>{LONG}</div><div>Short.</div></body>") == f"{LONG_TEXT} Short."
+
+
 @pytest.mark.parametrize("name", ["content has-sidebar", "no-sidebar", "page-with-nav", "widget-area-off site", "related-article"])
 @pytest.mark.parametrize("around", ["<div class='%s'>{}</div>", "<article class='%s'>{}</article>", "<div class='%s'><main>{}</main></div>", "<div class='%s'><article>{}</article></div>"])
 def test_hint_words_around_the_content(name, around):
