@@ -3,7 +3,7 @@
 The hash of a place covers the 16 bytes up to it, so where a text may be cut depends on its own bytes nearby: inserted
 text moves the cuts next to it and no others. A chunk that stands in a document with a smaller id is a copy. Runs of
 neighbouring copies of at least LEAST_RUN bytes are repeated passages; single short chunks, which clean texts share by
-chance, stay. What goes is cut back to whole words.
+chance, stay. What goes is cut back to whole words, or to whole characters where a word is longer than LONGEST_CUT.
 
 Chunks meet by digest, packed by the batch. What a batch of documents has several times it decides itself and sends for its
 smallest document alone, so a chunk that a third of all documents share is one entry per batch.
@@ -29,6 +29,8 @@ from pathwarden.llm.packing import ddl_of, home_column, home_of, pack, read_pack
 LEAST_CHUNK, MOST_CHUNK, BITS = 16, 128, 4
 #: Bytes of neighbouring copies that make a passage.
 LEAST_RUN = 96
+#: Bytes at the end of a passage that stay so that a word is whole, an average chunk; scripts without spaces have longer ones.
+LONGEST_CUT = LEAST_CHUNK + 2**BITS
 
 #: Chunks that a task compares at once. Any value gives the same result.
 BATCH_CHUNKS = 200_000
@@ -151,11 +153,20 @@ def runs_of(first: np.ndarray, end: np.ndarray, least_run: int) -> list[tuple[in
 
 
 def whole_words(data: bytes, first: int, end: int) -> tuple[int, int]:
-    """The span without the parts of words at its ends that go on outside."""
-    while 0 < first < end and data[first - 1] not in SPACES:
-        first += 1
-    while first < end < len(data) and data[end] not in SPACES:
-        end -= 1
+    """The span without the parts of words at its ends that go on outside; of words longer than LONGEST_CUT only without the
+    part of a character."""
+    after = [p for p in range(first, min(first + LONGEST_CUT, end) + 1) if p == 0 or data[p - 1] in SPACES]
+    before = [p for p in range(end, max(end - LONGEST_CUT, first) - 1, -1) if p == len(data) or data[p] in SPACES]
+    if after:
+        first = after[0]
+    else:
+        while first < end and data[first] & 0xC0 == 0x80:
+            first += 1
+    if before:
+        end = before[0]
+    else:
+        while first < end and data[end] & 0xC0 == 0x80:
+            end -= 1
     return first, end
 
 

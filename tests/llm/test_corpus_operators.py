@@ -1,6 +1,7 @@
 """Substring removal, near duplicates, chunk dedup and sharding against brute force."""
 
 import hashlib
+import os
 import random
 from collections import Counter
 
@@ -253,6 +254,26 @@ def test_removal_of_chunks_equals_brute_force(documents, prose, monkeypatch, bat
     assert got == {i: chunk_dedup.without(t, spans.get(i, [])) for i, t in rows}
 
 
+@pytest.mark.parametrize("first, count", [(0x4E00, 3_000), (0x61, 26)])
+def test_passages_without_spaces_go(documents, first, count):
+    def text(n, seed):
+        pick = random.Random(seed)
+        return "".join(chr(first + pick.randrange(count)) for _ in range(n))
+
+    shared = text(600, 1)
+    rows = [(1, text(200, 2) + shared + text(200, 3)), (2, text(200, 4) + shared + text(200, 5)), (3, text(100, 6) + "\n" + shared + "\n" + text(100, 7))]
+    got = {r.doc_id: r for r in chunk_dedup.cut_repeats(documents(rows)).collect()}
+    assert got[1].n_removed == 0
+    for id_, value in rows[1:]:
+        data = value.encode()
+        (a, b), = plain_spans(rows)[id_]
+        # Whole characters of the span, but for the ends that a line break lies close to.
+        whole = len(data[a:b].decode(errors="ignore").encode())
+        assert whole - 2 * chunk_dedup.LONGEST_CUT * (id_ == 3) <= got[id_].n_removed <= whole
+        assert got[id_].n_removed > len(shared.encode()) - 2 * chunk_dedup.MOST_CHUNK - 2 * chunk_dedup.LONGEST_CUT
+        assert got[id_].text.encode() == data[: (at := len(os.path.commonprefix([data, got[id_].text.encode()])))] + data[at + got[id_].n_removed :]
+
+
 def test_passages_go_and_clean_texts_stay(documents, prose):
     rows = [*chunk_rows(prose), (None, prose(60, 1)), (3, chunk_rows(prose)[3][1])]
     docs = documents(rows, extra=["id", "spans", "n_spans"])
