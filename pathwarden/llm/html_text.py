@@ -24,8 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Blur in lines.
+#: Blur in lines, and the share of the largest seed's text under which a division of links is a menu.
 SIGMA = 2.0
+MENU_SHARE = 0.2
 
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header "
@@ -221,7 +222,7 @@ def content_regions(lines: Lines) -> set[int]:
     """The regions of the content: all landmarks with text or, without any, all divisions under the one around the seeds.
 
     Seeds are the divisions around the lines above the threshold; where there is one alone, its siblings belong to it.
-    Only menus, divisions whose own text is mostly links, are left out, unless there is nothing else.
+    Only menus, small divisions whose own text is mostly links, are left out, unless there is nothing else.
     """
     chars = np.array([len(t) for t in lines.texts], float)
     if not chars.any():
@@ -235,8 +236,9 @@ def content_regions(lines: Lines) -> set[int]:
     letters = Counter()
     for text, region in zip(lines.texts, lines.regions, strict=True):
         letters[region] += len("".join(text.split()))
-    menus = {r for r, n in letters.items() if 2 * lines.linked[r] > n}
     seeds = set(regions[marked & (chars > 0)].tolist())
+    largest = max(letters[r] for r in seeds)
+    menus = {r for r, n in letters.items() if 2 * lines.linked[r] > n and n < MENU_SHARE * largest}
     seeds = seeds - menus or seeds
     # Regions are numbered in order of their starts, so the greatest of several is not around the others.
     tops = set(seeds)

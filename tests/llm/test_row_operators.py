@@ -150,6 +150,8 @@ def test_short_parts_beside_long_ones_stay(html):
 def test_menus_beside_content_go():
     menu = "<div><a href='/'>Home</a> <a href='/x'>More</a></div>"
     assert html_text.main_text(f"<body>{menu}<div>{LONG}</div><div>Short.</div></body>") == f"{LONG_TEXT} Short."
+    linked = f"<div><a href='/'>{LONG_TEXT[:400]}</a></div>"
+    assert html_text.main_text(f"<body>{menu}<div>{LONG}</div>{linked}</body>") == f"{LONG_TEXT} {LONG_TEXT[:400].strip()}"
 
 
 @pytest.mark.parametrize("name", ["content has-sidebar", "no-sidebar", "page-with-nav", "widget-area-off site", "related-article"])
