@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathwarden.llm import bag_minhash, byte_bpe, chunk_dedup, decontaminate, host_quality, html_text, license_scan, sharding, suffix_dedup, url_filter
+from pathwarden.llm import bag_minhash, bk_tree, byte_bpe, chunk_dedup, decontaminate, host_quality, html_text, license_scan, sharding, suffix_dedup, turn_repair, url_filter, whitening
 from pathwarden.session import cut_lineage
 from pathwarden.sources.location_view import table
 
@@ -192,3 +192,90 @@ def op9(spark, d):
 @query("op10_chunk_dedup")
 def op10(spark, d):
     return chunk_dedup.cut_repeats(table(spark, d, "documents").select("doc_id", "text"))
+
+
+#: The damage of op11 by crc32 of `conv_id:turn` modulo 20: 0 drops, 1 empties, 2 takes the sentence ends, 3 repeats, 4 makes user.
+def _damaged(rows: DataFrame) -> DataFrame:
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    drawn = rows.select("conv_id", "turn", text("role").alias("role"), text("text").alias("text"), (F.crc32(F.concat(text("conv_id"), F.lit(":"), text("turn"))) % 20).alias("fate"))
+    copies = F.when(F.col("fate") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    left = drawn.where("fate != 0").withColumn("copy", F.explode(copies))
+    new_text = F.when(F.col("fate") == 1, "").when(F.col("fate") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    return left.select("conv_id", "turn", F.when(F.col("fate") == 4, "user").otherwise(F.col("role")).alias("role"), new_text.alias("text"))
+
+
+def _repair_sql() -> str:
+    """All lists of edits of each rest of a conversation, the best of each state of the grammar kept as text."""
+    never = 1_000_000_000
+    state = lambda cost, audit, said: f"{{'c': {cost}, 'a': {audit}, 't': {said}}}"
+    said = lambda role: f"[{role} || ':' || text]"
+    keep = {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}
+    fill = {0: (2, "user"), 1: (2, "user"), 2: (3, "assistant"), 3: (2, "user")}
+
+    def options(s):
+        to, role = fill[s]
+        yield state(f"4 + g{s}.c", f"'D' || g{s}.a", f"g{s}.t")
+        yield state(f"CASE WHEN must THEN {never} ELSE 3 + extra + g{to}.c END", f"'R' || g{to}.a", f"list_concat([{chr(39)}{role}:{chr(39)} || text], g{to}.t)")
+        for initial, to in keep[s].items():
+            yield state(f"CASE WHEN must OR initial <> '{initial}' THEN {never} ELSE extra + g{to}.c END", f"'K' || g{to}.a", f"list_concat({said('role')}, g{to}.t)")
+
+    inserted = lambda g, role: state(f"3 + {g}.c", f"'I' || {g}.a", f"list_concat(['{role}:'], {g}.t)")
+    least = ", ".join(f"list_min([{', '.join(options(s))}]) AS b{s}" for s in range(4))
+    return rf"""
+WITH RECURSIVE drawn AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+fated AS (
+  SELECT *, xor(list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(range(1, length(k) + 1), lambda i: CAST(ascii(k[i]) AS BIGINT)),
+         lambda c, b: list_reduce([xor(c, b)] || [CAST(0 AS BIGINT)] || list_transform(range(7), lambda i: CAST(0 AS BIGINT)),
+                                  lambda x, y: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 20 AS fate FROM drawn),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+         CASE fate WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(CASE WHEN fate = 3 THEN [1, 2] ELSE [1] END) AS copy FROM fated WHERE fate <> 0),
+placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS conv,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS place FROM damaged),
+fault AS (
+  SELECT *, NOT regexp_matches(text, '[^ 	-
+]') AS blank,
+         row_number() OVER (PARTITION BY conv, role, text ORDER BY place) > 1 AS again,
+         NOT regexp_matches(text, '[.!?][ 	-
+]*$') AS cut, left(role, 1) AS initial,
+         lag(left(role, 1)) OVER (PARTITION BY conv ORDER BY place) AS previous FROM placed),
+turns AS (
+  SELECT conv, place, role, text, initial, blank OR again AS must, CASE WHEN cut AND NOT blank AND NOT again THEN 3 ELSE 0 END AS extra FROM fault),
+rest AS (
+  SELECT conv, max(place) AS place, {state("0", "''", "CAST([] AS VARCHAR[])")} AS g0, {state("6", "'II'", "['user:', 'assistant:']")} AS g1,
+         {state("3", "'I'", "['assistant:']")} AS g2, {state("0", "''", "CAST([] AS VARCHAR[])")} AS g3 FROM turns GROUP BY conv
+  UNION ALL
+  SELECT conv, place - 1, list_min([b0, {inserted("f2", "user")}]), list_min([b1, {inserted("f2", "user")}]), f2, f3 FROM (
+    SELECT *, list_min([b2, {inserted("b3", "assistant")}]) AS f2, list_min([b3, {inserted("b2", "user")}]) AS f3 FROM (
+      SELECT turns.conv, turns.place, {least} FROM rest JOIN turns USING (conv, place)))),
+figures AS (
+  SELECT conv_id, min(conv) AS conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank,
+         count(*) FILTER (WHERE NOT blank AND again) AS duplicate, count(*) FILTER (WHERE NOT blank AND NOT again AND cut) AS truncated,
+         count(*) FILTER (WHERE previous || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM fault GROUP BY conv_id)
+SELECT ids.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, CAST(coalesce(g0.c, 0) AS BIGINT) AS cost, coalesce(g0.a, '') AS audit,
+       sha256(coalesce(array_to_string(g0.t, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) ids LEFT JOIN figures ON ids.conv_id IS NOT DISTINCT FROM figures.conv_id
+LEFT JOIN rest ON rest.conv = figures.conv AND rest.place = 0
+"""
+
+
+@query("op11_turn_repair", _repair_sql())
+def op11(spark, d):
+    rows = table(spark, d, "conversations")
+    return turn_repair.audits(_damaged(rows), also=rows)
+
+
+@query("op12_bk_trees")
+def op12(spark, d):
+    found = bk_tree.near_components(table(spark, d, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op13_whitening")
+def op13(spark, d):
+    return whitening.whiten(table(spark, d, "embeddings"))
