@@ -1,26 +1,27 @@
-"""Greedy groups over a similarity graph, as rounds of joins.
+"""Greedy groups over a similarity graph, as sweeps of place ranges.
 
 Sweep the rows in order; a row that no earlier group took opens a group and takes its
 similar rows. The rows that open groups (seeds) are the first maximal independent
-set in that order, which rounds find without a sequential sweep: a row with no undecided
-smaller neighbour is a seed, its neighbours are covered, repeat.
+set in that order. A block's rows are cut into ranges of the order, and each round sweeps one range of every
+block, streaming its edges in order; only marks on later rows leave a range. The number of ranges is fixed
+beforehand by the edges of the largest block, whatever the shape of the graph.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import math
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathwarden.operators.components import components
 from pathwarden.operators.rows import top_k
 from pathwarden.session import cut_lineage, fix_layout
 
 PairFinder = Callable[..., DataFrame]
 
-#: The most edges of a component that one task sweeps.
+#: The edges of a range, about: what one task sweeps in a round.
 SWEEP_EDGES = 2_000_000
 
 
@@ -32,118 +33,119 @@ def _join(left: DataFrame, right: DataFrame, column: str, how: str) -> DataFrame
     return left.join(right.withColumnRenamed("id", column), ["block", column], how)
 
 
-def _head_seeds(open_edges: DataFrame, head: int) -> DataFrame:
-    """The seeds among the first `head` undecided nodes of each block.
+def _without(edges: DataFrame, nodes: DataFrame | None, *sides: str) -> DataFrame:
+    """The edges none of whose sides is among the nodes (code, id)."""
+    for side in sides if nodes is not None else ():
+        edges = edges.join(nodes.select("code", F.col("id").alias(side)), ["code", side], "left_anti")
+    return edges
 
-    All undecided nodes that could precede one of them are among them, so their own
-    edges decide them. A task sweeps at most `head` nodes, whatever the size of the data.
+
+def place_ranges(edges: DataFrame, place: str, others: dict[str, str], sweep_edges: int) -> tuple[DataFrame, int]:
+    """Number the ranges of a block's places so that each has about `sweep_edges` edges; the table is stored by range.
+
+    `edges` has `code`, the block. Adds `range`, that of `place`, and a number for each of `others` (name to column).
     """
-    nodes = _side(open_edges, "a").unionByName(_side(open_edges, "b")).distinct()
-    first = top_k(nodes, ["block"], [F.col("id")], head)
-    inner = open_edges.join(first.withColumnRenamed("id", "a"), ["block", "a"], "left_semi")
-    inner = inner.join(first.withColumnRenamed("id", "b"), ["block", "b"], "left_semi").select("block", "a", "b")
-
-    def sweep(edges):
-        covered = set()
-        for a, b in edges.sort_values(["a", "b"])[["a", "b"]].itertuples(index=False):
-            if a not in covered:
-                covered.add(b)
-        return edges[["block", "b"]][edges["b"].isin(covered)].drop_duplicates().rename(columns={"b": "id"})
-
-    # The block may be a struct, which pandas cannot hash: its text stands for it.
-    coded = inner.select(F.to_json(F.struct("block")).alias("block"), "a", "b")
-    covered = coded.groupBy("block").applyInPandas(sweep, "block string, id bigint")
-    keyed = first.withColumn("_key", F.to_json(F.struct("block")))
-    covered = covered.select(F.col("block").alias("_key"), "id")
-    return keyed.join(covered, ["_key", "id"], "left_anti").select("block", "id")
-
-
-def _components(edges: DataFrame) -> DataFrame:
-    """The edges (block, a, b) with the component they belong to, as a number. Two components may share a number."""
-    end = lambda c: F.struct(F.col("block"), F.col(c).alias("id"))
-    placed = components(edges.select(end("a").alias("a"), end("b").alias("b")))
-    numbers = placed.select(F.col("id.block").alias("_block"), F.col("id.id").alias("a"), F.xxhash64("component").alias("component"))
-    same = [F.col("block").eqNullSafe(F.col("_block")), edges["a"] == numbers["a"]]
-    return edges.join(numbers, same).select("block", edges["a"], "b", "component")
-
-
-def covered_nodes(edges: DataFrame, sweep_edges: int = SWEEP_EDGES, head: int = 1_000, plain_rounds: int = 4) -> DataFrame:
+    largest = edges.groupBy("code").count().agg(F.max("count")).first()[0] or 0
+    number = max(1, math.ceil(largest / sweep_edges))
+    if number == 1:
+        return edges.withColumns({name: F.lit(0) for name in ("range", *others)}), 1
+    shares = F.array(*[F.lit(k / number) for k in range(1, number)])
+    cuts = edges.groupBy("code").agg(F.percentile_approx(place, shares, max(10_000, 100 * number)).alias("cuts"))
+    numbered = lambda column: F.size(F.filter("cuts", lambda cut: cut < F.col(column)))
+    tagged = edges.join(cuts, "code").withColumns({"range": numbered(place)} | {name: numbered(c) for name, c in others.items()})
+    return cut_lineage(tagged.drop("cuts"), by="range"), number
+
+
+def _sweep_covered(edges: DataFrame) -> DataFrame:
+    """The (code, id) that the seeds among the first sides cover, for edges (code, a, b)."""
+
+    def sweep(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        of, covered = None, set()
+        for part in parts:
+            found = []
+            for code, a, b in zip(part["code"].tolist(), part["a"].tolist(), part["b"].tolist(), strict=True):
+                if code != of:
+                    of, covered = code, set()
+                if a not in covered and b not in covered:
+                    covered.add(b)
+                    found.append((code, b))
+            yield pd.DataFrame(found, columns=["code", "id"])
+
+    ordered = edges.select("code", "a", "b").repartition("code").sortWithinPartitions("code", "a", "b")
+    return ordered.mapInPandas(sweep, "code string, id bigint")
+
+
+def covered_nodes(edges: DataFrame, sweep_edges: int = SWEEP_EDGES) -> DataFrame:
     """The (block, id) that some seed covers, for edges (block, a, b) with a < b. Every other node is a seed.
 
-    Components are independent, so each is swept in order by one task, however long its chains are. A component of more
-    than `sweep_edges` edges, too large for a task, is decided in rounds; that many edges in all are one sweep.
+    A range is swept once all ranges before it are: what they cover in it is known by then.
     """
-    edges = cut_lineage(edges.select("block", "a", "b").distinct())
-    few = edges.count() <= sweep_edges
-    placed = edges.withColumn("component", F.lit(0).cast("bigint")) if few else cut_lineage(_components(edges))
-    large = placed.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") > sweep_edges).select("component")
-    large = None if few else cut_lineage(large)
-    coded = (placed if few else placed.join(large, "component", "left_anti")).select("component", F.to_json(F.struct("block")).alias("_code"), "block", "a", "b")
-
-    def sweep(part):
-        covered = set()
-        for code, a, b in part.sort_values(["a", "b"])[["_code", "a", "b"]].itertuples(index=False):
-            if (code, a) not in covered:
-                covered.add((code, b))
-        rows = [(code, b) in covered for code, b in zip(part["_code"], part["b"], strict=True)]
-        return part[["_code", "b"]][rows].drop_duplicates().rename(columns={"b": "id"})
-
     # A block may be a struct, which pandas cannot hash: its text stands for it.
-    swept = coded.drop("block").groupBy("component").applyInPandas(sweep, "_code string, id bigint")
-    ends = coded.select("block", "_code", F.col("b").alias("id")).distinct()
-    swept = ends.join(swept, ["_code", "id"]).select("block", "id")
-    if few or large.isEmpty():
-        return swept
-    return swept.unionByName(_covered_in_rounds(placed.join(large, "component", "left_semi"), head, plain_rounds))
-
-
-def _covered_in_rounds(edges: DataFrame, head: int, plain_rounds: int) -> DataFrame:
-    """`covered_nodes` by rounds. Each decides all nodes without an undecided smaller neighbour; edges of decided nodes leave.
-
-    Where long chains of similar rows remain, the rounds also decide the first `head` nodes of each block, so their
-    number is bounded by the smaller of the longest chain and the nodes of a block over `head`.
-    """
-    open_edges = fix_layout(edges.select("block", "a", "b").distinct())
-    rounds = []
-    while not open_edges.isEmpty():
-        seeds = _side(open_edges, "a").join(_side(open_edges, "b"), ["block", "id"], "left_anti")
-        if len(rounds) >= plain_rounds:
-            seeds = fix_layout(seeds.unionByName(_head_seeds(open_edges, head)).distinct())
-        # Not stored: it hangs on this round's stored edges alone.
-        covered = _side(_join(open_edges, seeds, "a", "left_semi"), "b")
-        rest = _join(_join(open_edges, covered, "a", "left_anti"), covered, "b", "left_anti")
-        open_edges = fix_layout(rest.select("block", "a", "b"))
-        rounds.append(covered)
-    return _union(rounds) if rounds else _side(edges, "b").where(F.lit(False))
-
-
-def ordered_groups(edges: DataFrame, order: DataFrame) -> DataFrame:
+    coded = cut_lineage(edges.select(F.to_json(F.struct("block")).alias("code"), "block", "a", "b").distinct())
+    blocks = coded.select("code", "block").distinct()
+    tagged, number = place_ranges(coded.drop("block"), "a", {"to": "b"}, sweep_edges)
+    swept, reached = [], []
+    for turn in range(number):
+        own = tagged.where(F.col("range") == turn)
+        before = _union(reached).where(F.col("to") == turn).select("code", "id").distinct() if reached else None
+        inside = _sweep_covered(_without(own.where(F.col("to") == turn), before, "a", "b"))
+        if number == 1:
+            return inside.join(blocks, "code").select("block", "id")
+        inside = cut_lineage(inside)
+        swept.append(inside)
+        leaving = own.where(F.col("to") > turn).select("code", "a", F.col("b").alias("id"), "to")
+        leaving = _without(leaving, inside if before is None else inside.unionByName(before), "a")
+        reached.append(cut_lineage(leaving.select("code", "id", "to").distinct()))
+    found = _union([*swept, *[r.select("code", "id") for r in reached]]).distinct()
+    return found.join(blocks, "code").select("block", "id")
+
+
+def ordered_groups(edges: DataFrame, order: DataFrame, sweep_edges: int = SWEEP_EDGES) -> DataFrame:
     """Groups (block, seed, id) of a sweep in an order other than that of the ids.
 
     `order` has (block, id, place). Rows are visited by place; a row that no group holds opens one with the rows of a
-    larger id that are similar to it and in no group yet. A component of similar rows is one task's work.
+    larger id that are similar to it and in no group yet. The ranges are those of the places of the rows that may open one.
     """
-    placed = _components(cut_lineage(edges.select("block", "a", "b").distinct()))
-    for side in ("a", "b"):
-        placed = placed.join(order.select("block", F.col("id").alias(side), F.col("place").alias(f"{side}_place")), ["block", side])
-    coded = placed.withColumn("_code", F.to_json(F.struct("block")))
-
-    def sweep(part):
-        places, larger = {}, {}
-        for code, a, b, a_place, b_place in part[["_code", "a", "b", "a_place", "b_place"]].itertuples(index=False):
-            places[code, a], places[code, b] = a_place, b_place
-            larger.setdefault((code, a), []).append(b)
-        taken, rows = set(), []
-        for code, a in sorted(places, key=lambda node: (places[node], node)):
-            free = sorted(b for b in larger.get((code, a), []) if (code, b) not in taken)
-            if (code, a) not in taken and free:
-                taken.update((code, x) for x in (a, *free))
-                rows += [(code, a, x) for x in (a, *free)]
-        return pd.DataFrame(rows, columns=["_code", "seed", "id"])
-
-    swept = coded.drop("block").groupBy("component").applyInPandas(sweep, "_code string, seed bigint, id bigint")
-    blocks = coded.select("block", "_code").distinct()
-    return swept.join(blocks, "_code").select("block", "seed", "id")
+    coded = edges.select(F.to_json(F.struct("block")).alias("code"), "block", "a", "b").distinct()
+    places = order.select(F.to_json(F.struct("block")).alias("code"), F.col("id").alias("a"), "place")
+    coded = cut_lineage(coded.join(places, ["code", "a"]))
+    blocks = coded.select("code", "block").distinct()
+    tagged, number = place_ranges(coded.drop("block"), "place", {}, sweep_edges)
+
+    def sweep(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        of, taken, free, opened = (None, None), set(), [], []
+
+        def closed():
+            """The group of the row whose edges have all been read."""
+            code, seed = of
+            if free and seed not in taken:
+                taken.update((seed, *free))
+                opened.extend((code, seed, x) for x in (seed, *free))
+            free.clear()
+
+        for part in parts:
+            for code, a, b in zip(part["code"].tolist(), part["a"].tolist(), part["b"].tolist(), strict=True):
+                if (code, a) != of:
+                    closed()
+                    if code != of[0]:
+                        taken = set()
+                    of = code, a
+                if b not in taken:
+                    free.append(b)
+            if opened:
+                yield pd.DataFrame(opened, columns=["code", "seed", "id"])
+                opened.clear()
+        closed()
+        yield pd.DataFrame(opened, columns=["code", "seed", "id"])
+
+    groups: list[DataFrame] = []
+    for turn in range(number):
+        taken = _union(groups).select("code", "id") if groups else None
+        own = _without(tagged.where(F.col("range") == turn).select("code", "place", "a", "b"), taken, "a", "b")
+        ordered = own.repartition("code").sortWithinPartitions("code", "place", "a", "b").select("code", "a", "b")
+        found = ordered.mapInPandas(sweep, "code string, seed bigint, id bigint")
+        groups.append(found if number == 1 else cut_lineage(found))
+    return _union(groups).join(blocks, "code").select("block", "seed", "id")
 
 
 def seed_members(

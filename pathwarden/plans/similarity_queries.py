@@ -48,10 +48,10 @@ def _pairs_sql(source, name_cutoff, path_cutoff):
     """
 
 
-def _sweep_sql(nodes, neighbours):
+def _sweep_sql(nodes, neighbours, order="id"):
     """The sequential sweep over `nodes` (id) in order; a node takes its untaken larger neighbours."""
     return f"""
-    , ordered AS MATERIALIZED (SELECT id, row_number() OVER (ORDER BY id) AS pos,
+    , ordered AS MATERIALIZED (SELECT id, row_number() OVER (ORDER BY {order}) AS pos,
                   coalesce((SELECT list(b ORDER BY b) FROM {neighbours} AS e WHERE e.a = n.id), []) AS nb FROM {nodes} AS n),
     sweep AS (
       SELECT CAST(0 AS BIGINT) AS step, CAST([] AS BIGINT[]) AS taken, CAST([] AS STRUCT(seed BIGINT, id BIGINT)[]) AS found
@@ -169,6 +169,35 @@ def f6(spark, d):
     return fuzzy.static_detection(location_view(spark, d), scorer="weighted")
 
 
+_STATIC_SQL = (
+    # The names' sweep stands beside the rows', so its tables get names of their own.
+    _NAME_SWEEP_SQL.replace("ordered", "ordered_names").replace("sweep", "name_sweep")
+    + """
+    , firsts AS (SELECT row, "group" * 6 + rank AS place FROM name_groups QUALIFY row_number() OVER (PARTITION BY row ORDER BY "group", rank) = 1),
+    stripped AS MATERIALIZED (SELECT k * 1000000000 + row_id AS row_id, k, place, LEVEL_NAME || k AS LEVEL_NAME, NAME,
+        CASE WHEN k = 0 THEN HIERARCHY ELSE array_to_string(
+          list_slice(string_split(HIERARCHY, '#'), 1, greatest(len(string_split(HIERARCHY, '#')) - k, 0)), '#') END AS HIERARCHY
+        FROM loc JOIN firsts ON row = row_id, (SELECT unnest([CAST(0 AS BIGINT), 1, 2, 3]) AS k) WHERE HIERARCHY IS NOT NULL),
+    edges AS MATERIALIZED (SELECT a.row_id AS a, b.row_id AS b FROM stripped AS a JOIN stripped AS b
+        ON a.LEVEL_NAME = b.LEVEL_NAME AND a.row_id < b.row_id
+        WHERE {names} >= 90 AND coalesce({paths}, 100) >= 90)
+    """.format(names=score_sql("a.NAME", "b.NAME"), paths=score_sql("a.HIERARCHY", "b.HIERARCHY"))
+    + _sweep_sql("(SELECT row_id AS id, place FROM stripped)", "edges", "place, id")
+    + """
+    , listed AS (SELECT loc.*, seed // 1000000000 AS levels, seed % 1000000000 AS opener FROM grouped JOIN loc ON row_id = id % 1000000000)
+    SELECT row_id, CODE, levels || ' LEVELS' AS LEVELS_REMOVED FROM listed
+    QUALIFY row_number() OVER (PARTITION BY NAME, CODE, HIERARCHY, IS_GROUP, CHILDREN, LEVEL_NAME ORDER BY levels, opener, row_id) = 1
+    """
+)
+
+
+@query("f6_static_detection_levenshtein", _STATIC_SQL)
+def f6_levenshtein(spark, d):
+    """Name groups, then similar paths in the order of the name groups, all four strippings."""
+    found = fuzzy.static_detection(location_view(spark, d), cutoff=85, scorer="levenshtein", pair_scorer="levenshtein")
+    return found.select("row_id", "CODE", "LEVELS_REMOVED")
+
+
 @query("f6_static_detection_pages")
 def f6_pages(spark, d):
     return fuzzy.static_detection(pages_view(spark, d))

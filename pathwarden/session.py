@@ -43,14 +43,14 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, by: str | None = None) -> DataFrame:
     """Write `df` once to the checkpoint folder and read it back, as a table with its own statistics.
 
-    Readers prune its columns, and its size lets Spark choose joins.
+    Readers prune its columns, and the values of the column `by`; its size lets Spark choose joins.
     """
     spark = df.sparkSession
     path = f"{checkpoint_folder(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write if by is None else df.write.partitionBy(by)).parquet(path)
     stored = spark.read.schema(df.schema).parquet(path)
     stored.stored_at = path
     return stored

@@ -144,39 +144,72 @@ def test_groups_equal_the_sequential_sweep(spark, options):
         assert got == groups
 
 
-@pytest.mark.parametrize("sweep_edges", [2_000_000, 8, 0])
+@pytest.mark.parametrize("sweep_edges", [2_000_000, 4])
 def test_chain_takes_every_second_node(spark, sweep_edges):
-    """In one task's sweep, and in rounds as for a component too large for a task."""
+    """In one sweep, and by ranges of the chain."""
     edges = spark.createDataFrame([("g", i, i + 1) for i in range(9)], "block string, a bigint, b bigint")
     assert sorted(r["id"] for r in covered_nodes(edges, sweep_edges).collect()) == [1, 3, 5, 7, 9]
 
 
-def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
-    """10,000 links: the components are found in rounds that grow with the logarithm, and swept at once."""
-    from pathwarden.operators import components as C
-
-    rounds = []
-    store = C.cut_lineage
-    monkeypatch.setattr(C, "cut_lineage", lambda df: rounds.append(1) or store(df))
-    edges = spark.range(10_000).selectExpr("'g' as block", "id as a", "id + 1 as b")
-    got = covered_nodes(edges, sweep_edges=9_999)
-    assert 0 < len(rounds) <= 20
-    assert got.count() == 5_000 and got.where("id % 2 = 0").count() == 0
+def test_a_long_chain_takes_as_many_rounds_as_ranges(spark, monkeypatch):
+    """100,000 links, one hanging on the other: the rounds are the ranges, not the links."""
+    from pathwarden.operators import grouping as G
+
+    stored, store = [], G.cut_lineage
+    monkeypatch.setattr(G, "cut_lineage", lambda df, by=None: stored.append(by) or store(df, by))
+    edges = spark.range(100_000).selectExpr("'g' as block", "id as a", "id + 1 as b")
+    got = covered_nodes(edges, sweep_edges=20_000)
+    # The edges, the edges by range, and two tables for each of five ranges.
+    assert len(stored) == 12 and stored.count("range") == 1
+    assert got.count() == 50_000 and got.where("id % 2 = 0").count() == 0
+
+
+def ordered_sweep(pairs, places):
+    taken, expected = set(), set()
+    for i in sorted(places, key=lambda n: (places[n], n)):
+        free = [j for j in sorted(places) if (i, j) in pairs and j not in taken]
+        if i not in taken and free:
+            taken.update([i, *free])
+            expected.update((i, j) for j in [i, *free])
+    return expected
+
+
+@pytest.mark.parametrize("sweep_edges", [2_000_000, 40])
+def test_ranges_give_the_sequential_sweep(spark, sweep_edges):
+    """Random graphs in several blocks of other sizes, a hub among them, by id and by another order."""
+    rnd = random.Random(sweep_edges)
+    graphs = {}
+    for block, size in (("x", 40), ("y", 12), ("z", 3)):
+        pairs = {(a, b) for a in range(size) for b in range(a + 1, size) if rnd.random() < 0.1} | {(1, b) for b in range(2, size)}
+        graphs[block] = pairs, {i: rnd.randrange(size) for i in range(size)}
+    block = lambda g: (g, 1)
+    edges = spark.createDataFrame([(block(g), a, b) for g, (pairs, _) in graphs.items() for a, b in pairs], "block struct<level: string, n: int>, a bigint, b bigint")
+    order = spark.createDataFrame([(block(g), i, p) for g, (_, places) in graphs.items() for i, p in places.items()], "block struct<level: string, n: int>, id bigint, place bigint")
+    covered, groups = covered_nodes(edges, sweep_edges).collect(), ordered_groups(edges, order, sweep_edges).collect()
+    for g, (pairs, places) in graphs.items():
+        seeds = []
+        for i in places:
+            if not any((s, i) in pairs for s in seeds):
+                seeds.append(i)
+        assert sorted(r["id"] for r in covered if r["block"]["level"] == g) == [i for i in places if i not in seeds]
+        assert {(r["seed"], r["id"]) for r in groups if r["block"]["level"] == g} == ordered_sweep(pairs, places)
+    assert len(groups) == len({(r["block"], r["id"]) for r in groups})
+
+
+def test_no_edges_give_no_groups(spark):
+    edges = spark.createDataFrame([], "block string, a bigint, b bigint")
+    order = spark.createDataFrame([("g", 1, 1)], "block string, id bigint, place bigint")
+    assert covered_nodes(edges).count() == ordered_groups(edges, order).count() == 0
 
 
 def test_groups_in_another_order(spark):
     """Rows are visited by place and take rows of a larger id only, in no group yet."""
-    pairs = [(1, 2), (2, 3), (3, 4), (1, 4), (5, 6), (5, 7), (6, 7)]
+    pairs = {(1, 2), (2, 3), (3, 4), (1, 4), (5, 6), (5, 7), (6, 7)}
     edges = spark.createDataFrame([("g", a, b) for a, b in pairs], "block string, a bigint, b bigint")
     for places in ([4, 3, 2, 1, 7, 6, 5], [1, 2, 3, 4, 5, 6, 7], [2, 1, 4, 3, 7, 5, 6]):
-        order = spark.createDataFrame([("g", i, p) for i, p in enumerate(places, 1)], "block string, id bigint, place bigint")
-        taken, expected = set(), set()
-        for i in sorted(range(1, 8), key=lambda n: places[n - 1]):
-            free = [j for j in range(i + 1, 8) if (i, j) in pairs and j not in taken]
-            if i not in taken and free:
-                taken.update([i, *free])
-                expected.update((i, j) for j in [i, *free])
-        assert {(r["seed"], r["id"]) for r in ordered_groups(edges, order).collect()} == expected
+        placed = dict(enumerate(places, 1))
+        order = spark.createDataFrame([("g", i, p) for i, p in placed.items()], "block string, id bigint, place bigint")
+        assert {(r["seed"], r["id"]) for r in ordered_groups(edges, order).collect()} == ordered_sweep(pairs, placed)
 
 
 def locations(names, paths=None, levels=None):
