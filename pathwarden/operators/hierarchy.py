@@ -23,10 +23,11 @@ from pathwarden.operators.rows import continent_candidates, drop_groups, key_uni
 NOT_FOUND = "NOT FOUND"
 
 
-def first_ancestor_in(df: DataFrame, codes: DataFrame, name: str = "PARENT", small: bool = True) -> DataFrame:
+def first_ancestor_in(df: DataFrame, codes: DataFrame, name: str = "PARENT", small: bool = False) -> DataFrame:
     """Add the first path segment that is one of `codes` (column CODE); null without one.
 
-    A `small` table of codes is looked up within each row, with no shuffle; a large one is joined with the distinct paths.
+    The segments of the distinct paths are joined with the codes. A table of codes that is known to be `small` (checked)
+    is looked up within each row instead, with no shuffle.
     """
     others = [c for c in df.columns if c != name]
     if small:
@@ -197,27 +198,17 @@ def official_level_name(
     cases = cases.where(~level.isin("country", "continent", "all", "world"))
     cases = cases.withColumn("_code", F.trim("PARENT"))
 
-    # The reference is small: both its sides travel as arrays, so each case is resolved within its row.
-    by_code = dimension(reference, F.col("code"), "code", {"country": F.col("country")}, F.col("ordinal"))
+    # The country by its code, or by the name most similar to the code.
+    by_code = dimension(reference, F.col("code"), "_code", {"_country": F.col("country")}, F.col("ordinal"))
     values = {c: F.col(c) for c in ("level_1", "level_2", "level_3")}
     by_name = dimension(reference, F.col("country"), "country", values, F.col("ordinal"), place="place")
-    codes = small_table(by_code, F.struct("code", "country"), "codes")
-    entries = small_table(by_name, F.struct("place", "country", *values), "countries")
-
-    # Bound by a lambda, the two arrays stand in the plan once, however often they are used.
-    def looked_up(bound):
-        exact = F.try_element_at(F.map_from_entries(bound["codes"]), F.col("_code"))
-        choices = F.transform(bound["entries"], lambda e: F.struct(e["place"].alias("ordinal"), e["country"].alias("choice")))
-        return F.struct(exact.alias("country"), F.when(exact.isNull(), choices).alias("choices"), bound["entries"].alias("entries"))
-
-    cases = cases.withColumn("_both", F.struct(codes.alias("codes"), entries.alias("entries")))
-    cases = cases.withColumn("_found", F.get(F.transform(F.array("_both"), looked_up), F.lit(0)))
-    # The country by its code, or by the name most similar to the code.
-    cases = cases.withColumn("_similar", best_of(F.when(F.col("_found.country").isNull(), F.col("_code")), F.col("_found.choices"), scorer))
-
-    similar = F.when(F.col("_similar.score") >= country_cutoff, F.col("_similar.choice"))
-    by_country = F.map_from_entries(F.transform("_found.entries", lambda e: F.struct(e["country"], e)))
-    cases = cases.withColumn("_entry", F.try_element_at(by_country, F.coalesce("_found.country", similar)))
+    cases = lookup(cases, by_code, ["_code"])
+    choices = by_name.select(F.col("country").alias("choice"), F.col("place").alias("ordinal"))
+    unknown = cases.where(F.col("_country").isNull()).select("_code").distinct()
+    similar = best_match(unknown, "_code", choices, scorer, country_cutoff).select("_code", F.col("match").alias("_similar"))
+    cases = lookup(cases, similar, ["_code"])
+    entries = by_name.select(F.col("country").alias("_named"), F.struct(*values).alias("_entry"))
+    cases = cases.join(entries, F.coalesce("_country", "_similar") == F.col("_named"), "left")
     single = lambda c: F.when(F.coalesce(F.col(c), F.lit("")) != "", F.array(c))
     names = F.when(F.col("LEVEL_NUMBER") == 1, F.col("_entry.level_1")).when(F.col("LEVEL_NUMBER") == 2, single("_entry.level_2"))
     named = F.filter(names.otherwise(single("_entry.level_3")), lambda n: n.isNotNull())

@@ -1,7 +1,8 @@
 """Joins by key, lookups in dimensions, and the most similar entry of a dimension.
 
 Joins are plain equi-joins: Spark chooses a broadcast by the size it knows or measures, and its adaptive skew
-handling splits a hot key of either side. Nothing here runs a job while a plan is built.
+handling splits a hot key of either side, so lookups work for tables of any size. Nothing here runs a job while a plan
+is built.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from pathwarden.functions.paths import path_prefixes
 from pathwarden.functions.similarity import best_of
 
-#: The most rows of a table that travels whole to every task; a larger one fails with a message.
+#: The most rows of a table that travels whole to every task, and about the choices that a name is compared with at once.
 SMALL_ROWS = 10_000
 
 
@@ -87,12 +88,12 @@ def keyed_update(df: DataFrame, changes: DataFrame, key: str) -> DataFrame:
 
 
 def under_prefix(
-    df: DataFrame, path: str, prefixes: DataFrame, prefix: str, values: list[str], small: bool = True
+    df: DataFrame, path: str, prefixes: DataFrame, prefix: str, values: list[str], small: bool = False
 ) -> DataFrame:
     """Add the `values` of the longest of `prefixes` that the path lies under, matched at separators.
 
-    A `small` table of prefixes (at most SMALL_ROWS) is looked up within each row, with no shuffle. A large one is
-    joined, each row with the steps of its path, and the longest match kept.
+    The steps of the distinct paths are joined with the prefixes, and the longest match of each path is kept. A table that
+    is known to be `small` (at most SMALL_ROWS, checked) is looked up within each row instead, with no shuffle.
     """
     if small:
         entry = F.struct(F.col(prefix).alias("key"), F.struct(*values).alias("value"))
@@ -102,9 +103,9 @@ def under_prefix(
         rows = rows.withColumn("_hit", F.try_element_at(found, F.lit(-1)))
         return rows.select(*df.columns, *[F.col(f"_hit.{v}").alias(v) for v in values])
     paths = df.select(F.col(path)).where(F.col(path).isNotNull()).distinct()
-    steps = paths.select(path, F.posexplode(path_prefixes(F.col(path))).alias("_step", prefix))
-    hits = steps.join(prefixes.select(prefix, *values), [prefix])
-    best = hits.groupBy(path).agg(F.max_by(F.struct(*values), "_step").alias("_hit"))
+    steps = paths.select(path, F.posexplode(path_prefixes(F.col(path))).alias("_step", "_prefix"))
+    marks = prefixes.where(F.col(prefix).isNotNull()).select(F.col(prefix).alias("_prefix"), F.struct(*values).alias("_value"))
+    best = steps.join(marks, ["_prefix"]).groupBy(path).agg(F.max_by("_value", "_step").alias("_hit"))
     found = df.join(best, [path], "left")
     return found.select(*df.columns, *[F.col(f"_hit.{v}").alias(v) for v in values])
 
@@ -113,16 +114,19 @@ def best_match(df: DataFrame, name: str, choices: DataFrame, scorer: str, cutoff
     """Add the best of `choices` (choice, ordinal) for each `name`, with its score.
 
     `match` is null where the best score is under the cutoff (`strict`: not above it). Ties go to the lowest ordinal.
-    The choices are a reference list of at most SMALL_ROWS entries, distinct ones counted, that travels to every task;
-    names are scored once per distinct value.
+    Names and choices are taken once per distinct value. The choices are cut into arrays of about SMALL_ROWS by their hash,
+    one array for a short list; each name meets every array, in different tasks, and the best of the arrays' bests stays.
     """
     distinct = choices.where(F.col("choice").isNotNull()).groupBy("choice").agg(F.min("ordinal").alias("ordinal"))
-    packed = small_table(distinct, F.struct("ordinal", "choice"), "choices")
+    parts = F.greatest(F.ceil(distinct.agg(F.count("*")).scalar() / SMALL_ROWS), F.lit(1)).cast("int")
+    arrays = distinct.groupBy(F.pmod(F.xxhash64("choice"), parts).cast("int").alias("_part"))
+    arrays = arrays.agg(F.sort_array(F.collect_list(F.struct("ordinal", "choice"))).alias("_choices"))
     names = df.select(F.col(name).alias("_name")).where(F.col(name).isNotNull()).distinct()
-    scored = names.withColumn("_choices", packed).where(F.size("_choices") > 0)
-    scored = scored.withColumn("_b", best_of(F.col("_name"), F.col("_choices"), scorer))
+    met = names.withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).join(arrays, "_part")
+    scored = met.select("_name", best_of(F.col("_name"), F.col("_choices"), scorer).alias("_b"))
+    top = scored.groupBy("_name").agg(F.max_by("_b", F.struct("_b.score", -F.col("_b.ordinal"))).alias("_b"))
     accepted = F.col("_b.score") > cutoff if strict else F.col("_b.score") >= cutoff
-    best = scored.select(
+    best = top.select(
         F.col("_name").alias(name),
         F.when(accepted, F.col("_b.choice")).alias("match"),
         F.col("_b.score").alias("score"),

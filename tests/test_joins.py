@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pathwarden.functions.similarity import plain_ratio, weighted_score
+from pathwarden.operators import hierarchy as H
 from pathwarden.operators import joins as J
 from pathwarden.operators import rows as R
 
@@ -38,9 +39,51 @@ def test_small_tables_are_checked(spark, monkeypatch):
     monkeypatch.setattr(J, "SMALL_ROWS", 3)
     df = spark.createDataFrame([("a#b",)], "path string")
     large = spark.createDataFrame([(c, c) for c in "abcd"], "prefix string, v string")
-    assert J.under_prefix(df, "path", large, "prefix", ["v"], small=False).first()["v"] == "a"
+    assert J.under_prefix(df, "path", large, "prefix", ["v"]).first()["v"] == "a"
     with pytest.raises(Exception, match="over 3 rows"):
-        J.under_prefix(df, "path", large, "prefix", ["v"]).collect()
+        J.under_prefix(df, "path", large, "prefix", ["v"], small=True).collect()
+
+
+def test_lookups_take_a_million_codes(spark):
+    codes = spark.range(1_000_000).selectExpr("concat('C', id) as CODE", "concat('ALL#W#C', id) as HIERARCHY", "false as IS_GROUP")
+    paths = ["ALL#W#C7#C999999#X", "ALL#W#C999999", "ALL#W#X", "ALL", None, "ALL#W#C1234567#C5", "ALL#W#C55#a#b"]
+    df = spark.createDataFrame([(p, False) for p in paths], "HIERARCHY string, IS_GROUP boolean")
+    got = {r["HIERARCHY"]: r["PARENT"] for r in H.first_ancestor_in(df, codes).collect()}
+    assert got == dict(zip(paths, ["C7", "C999999", None, None, None, "C5", "C55"], strict=True))
+    got = {r["HIERARCHY"]: r["LEVEL_NUMBER"] for r in H.assign_level_number(df, codes).collect()}
+    assert got == dict(zip(paths, [2, 0, None, None, None, None, 2], strict=True))
+
+
+@pytest.mark.parametrize("rows", [1, 7, 10_000])
+def test_best_match_over_choices_in_parts(spark, monkeypatch, rows):
+    """However the choices are cut, the result is that of all of them."""
+    import random
+
+    monkeypatch.setattr(J, "SMALL_ROWS", rows)
+    pick = random.Random(1)
+    words = sorted({"".join(pick.choice("abc") for _ in range(4)) for _ in range(25)})
+    choices = [(pick.randrange(9), w) for w in words]
+    dim = spark.createDataFrame(choices + [(20, words[0])], "ordinal bigint, choice string")
+    names = sorted({"".join(pick.choice("abc") for _ in range(4)) for _ in range(12)})
+    df = spark.createDataFrame([(n,) for n in [*names, names[0], None]], "n string")
+    got = J.best_match(df, "n", dim, "levenshtein", 60).collect()
+    assert len(got) == len(names) + 2 and [r["score"] for r in got if r["n"] is None] == [None]
+
+    def distance(a, b):
+        line = list(range(len(b) + 1))
+        for x in a:
+            before, line[0] = line[0], line[0] + 1
+            for n, y in enumerate(b, 1):
+                before, line[n] = line[n], min(line[n] + 1, line[n - 1] + 1, before + (x != y))
+        return line[-1]
+
+    for r in got:
+        if r["n"] is not None:
+            least, ordinal = min((distance(r["n"], w), o) for o, w in choices)
+            best = {w for o, w in choices if distance(r["n"], w) == least and o == ordinal}
+            assert r["score"] == 100 - 25 * least
+            assert r["match"] in best if r["score"] >= 60 else r["match"] is None
+    assert J.best_match(df, "n", dim.limit(0), "levenshtein", 60).where("score is not null").count() == 0
 
 
 def test_null_keys(spark):
@@ -70,7 +113,7 @@ def test_prefixes_match_at_separators(spark):
     for small in (True, False):
         got = {r["path"]: r["v"] for r in J.under_prefix(df, "path", prefixes, "prefix", ["v"], small).collect()}
         assert got == {"A#GBR#X": None, "A#GB#X": "long", "A#GB": "short", "Z": None, None: None}
-    assert "Exchange hash" not in J.under_prefix(df, "path", prefixes, "prefix", ["v"])._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
+    assert "Exchange hash" not in J.under_prefix(df, "path", prefixes, "prefix", ["v"], small=True)._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
 
 
 def test_best_match_is_exact(spark):

@@ -8,9 +8,11 @@ from pathwarden.functions.text import title_name
 from pathwarden.model import PROCESSED_SCHEMA
 from pathwarden.operators import checks as C
 from pathwarden.operators import hierarchy as H
+from pathwarden.operators import joins
 from pathwarden.operators import rules as R
 from pathwarden.operators import vectors as V
 from pathwarden.operators import violations
+from pathwarden.operators.joins import under_prefix
 
 SF = "/root/testdata/sf0.001"
 
@@ -26,10 +28,20 @@ def test_building_a_plan_runs_no_query(spark, name):
 
 
 def test_small_lookups_do_not_shuffle(spark):
-    for name in ("h6_first_ancestor_in", "j7_under_prefix"):
-        plan = queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
-        main = plan.split("Subquery")[0]
-        assert "SortMergeJoin" not in main and "posexplode" not in main
+    df = spark.createDataFrame([("A#B", "x")], "HIERARCHY string, v string")
+    codes = spark.createDataFrame([("A",)], "CODE string")
+    prefixes = codes.selectExpr("CODE as prefix", "1 as n")
+    for found in (H.first_ancestor_in(df, codes, small=True), under_prefix(df, "HIERARCHY", prefixes, "prefix", ["n"], small=True)):
+        main = found._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
+        assert "Join" not in main and "posexplode" not in main and found.count() == 1
+
+
+@pytest.mark.parametrize("name", ["h6_first_ancestor_in", "h10_assign_level_number", "h16_official_level_name", "j6_best_match", "j7_under_prefix"])
+def test_lookups_have_no_limit(spark, monkeypatch, name):
+    """The same rows if no table counts as small."""
+    usual = sorted(map(str, queries()[name](spark, SF).collect()))
+    monkeypatch.setattr(joins, "SMALL_ROWS", 1)
+    assert sorted(map(str, queries()[name](spark, SF).collect())) == usual
 
 
 def test_titles_begin_after_any_other_character(spark):
