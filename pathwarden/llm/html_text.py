@@ -4,19 +4,22 @@ The standard library's parser streams events. Each block element begins a new li
 source is wrapped. Text of elements that are never content (menus, headers, footers, asides, forms, scripts, adverts,
 notices, reader comments; by tag, role and class words) counts for nothing. The ratio of a line is its characters of
 text by its tags; a Gaussian blurs the ratios along the page, and the lines above the threshold (their standard
-deviation, or the top where all are alike) are its seeds. All lines of the division around the seeds are kept, short
-ones included, but not menus. On a page with article or main elements, all their lines are the content. A class word is a
-hint only: it does not count on an article, on what holds an article, main or most of the text, nor behind has-, no- or with-.
+deviation, or the top where all are alike) are its seeds. Lines of an article or main element count twice in that, and
+where such elements hold at least as much of the seeds' text as the rest, all their lines are the content. Else it is all lines
+of the division around the seeds, short ones included, but not menus, nor articles without a seed (teasers). A class word
+is a hint only: it does not count on an article, on what holds an article, main or most of the text, nor behind has-, no- or with-.
 
 Edge cases: null and empty pages, and pages without text outside such elements, give an empty text. Elements that are
-never closed end with the element around them. Repeated pages are read one by one. An empty table gives an empty
+never closed end with the element around them, and a declaration that cannot be read is a comment up to its next `>`. The work
+grows with the length of a page, whatever its tags. Repeated pages are read one by one. An empty table gives an empty
 result. Whole pages are read, whatever their length. Other columns stay as they are.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from html.parser import HTMLParser
 
 import numpy as np
@@ -27,6 +30,8 @@ from pyspark.sql import functions as F
 #: Blur in lines, and the share of the largest seed's text under which a division of links is a menu.
 SIGMA = 2.0
 MENU_SHARE = 0.2
+#: What the ratio of a line in an article or main element counts.
+PRIOR = 2.0
 
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header "
@@ -44,8 +49,11 @@ NEVER_WORDS = frozenset(
     "promotion related replies reply respond share sharing sidebar sidebars signup skip social sponsor sponsored subscribe teaser teasers toolbar widget "
     "widgets".split()
 )
-#: Words of reader comments, which may be longer than the article, and words that turn what follows into a remark on the layout.
-READERS = frozenset("comment comments commentlist disqus replies reply respond".split())
+#: Words of reader comments, adverts and notices, which may be longer than the article, and words that turn what follows into a remark on the layout.
+APART = frozenset(
+    "ad ads adbox adslot advert advertisement adverts comment comments commentlist consent cookie cookies disclaimer disqus gdpr newsletter notice notices "
+    "popup promo promos promotion replies reply respond signup sponsor sponsored subscribe".split()
+)
 MODIFIERS = frozenset("has no not with without".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 LANDMARKS = frozenset(["article", "main"])
@@ -96,6 +104,10 @@ class Lines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, int, bool, bool, int]] = []  # tag, region, never content, in a landmark, hint
+        # Where each tag and where blocks stand in it, and how many elements other than headers are never content.
+        self.depths: dict[str, list[int]] = defaultdict(list)
+        self.blocks: list[int] = []
+        self.never_others = 0
         self.texts: list[str] = []
         self.pieces: list[list[tuple[str, int]]] = []
         # By hint, the first stands for none: the hint around it, its words, its characters, whether it holds an article or main.
@@ -123,7 +135,7 @@ class Lines(HTMLParser):
         """Make the texts of the lines without the elements whose hints hold.
 
         A hint is void where its element holds an article or main without hint words, or most of the page's text. Reader
-        comments are often longer than the article, so they stay only if there is nothing else.
+        comments, adverts and notices may be longer than the article, so they stay only if there is nothing else.
         """
         for parts in self.pieces:
             for text, hint in parts:
@@ -134,25 +146,37 @@ class Lines(HTMLParser):
         gone = [False]
         for hint in range(1, len(self.sizes)):
             size = self.sizes[hint]
-            void = self.holds[hint] or (size == total if self.words[hint] & READERS else 2 * size > total)
+            void = self.holds[hint] or (size == total if self.words[hint] & APART else 2 * size > total)
             gone.append(gone[self.around[hint]] or not void)
         self.texts = [" ".join("".join(text for text, hint in parts if not gone[hint]).split()) for parts in self.pieces]
 
+    def _counts(self, tag: str, never: bool) -> bool:
+        return never and tag != "header" and tag not in LANDMARKS
+
     def _close(self, depth: int) -> None:
-        del self.open[depth:]
+        while len(self.open) > depth:
+            tag, _, never, *_ = self.open.pop()
+            self.depths[tag].pop()
+            if tag in BLOCKS:
+                self.blocks.pop()
+            self.never_others -= self._counts(tag, never)
+
+    def parse_html_declaration(self, i: int) -> int:
+        """As in browsers, `<![...` is a comment up to the next `>`."""
+        if self.rawdata.startswith("<![", i):
+            return self.parse_bogus_comment(i)
+        return super().parse_html_declaration(i)
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        block = tag in BLOCKS
-        if block:
+        if tag in BLOCKS:
             self.end_line()
-            ends = ENDED_BY.get(tag, ()) if tag in ENDED_BY else ()
-            for depth in range(len(self.open) - 1, -1, -1):
-                name = self.open[depth][0]
-                if name == "p" or name in ends:
-                    self._close(depth)
-                    if name != "p":
-                        break
-                elif name in BLOCKS:
+            ends = ENDED_BY.get(tag, ())
+            while self.blocks:
+                name = self.open[self.blocks[-1]][0]
+                if name != "p" and name not in ends:
+                    break
+                self._close(self.blocks[-1])
+                if name != "p":
                     break
         self.count += 1
         region, never, landmark, hint = self._state()
@@ -160,7 +184,7 @@ class Lines(HTMLParser):
             self.parts.append((" ", hint))
         if tag in VOID:
             return
-        if never and landmark and tag in HEADINGS and any(name == "header" for name, *_ in self.open) and all(not n or name == "header" for name, _, n, *_ in self.open if name not in LANDMARKS):
+        if never and landmark and tag in HEADINGS and self.depths["header"] and not self.never_others:
             never = False  # the title in an article's own header
         elif not never:
             never = _never(tag, attrs)
@@ -184,6 +208,10 @@ class Lines(HTMLParser):
             if tag in LANDMARKS:
                 landmark = True
                 self.landmarks.add(region)
+        self.depths[tag].append(len(self.open))
+        if tag in BLOCKS:
+            self.blocks.append(len(self.open))
+        self.never_others += self._counts(tag, never)
         self.open.append((tag, region, never, landmark, hint))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
@@ -195,13 +223,12 @@ class Lines(HTMLParser):
         if tag in BLOCKS:
             self.end_line()
         self.count += 1
-        for depth in range(len(self.open) - 1, -1, -1):
-            if self.open[depth][0] == tag:
-                self._close(depth)
-                return
-            # The end of an inline element does not end the block around it.
-            if tag not in BLOCKS and self.open[depth][0] in BLOCKS and tag not in NEVER:
-                return
+        if not self.depths[tag]:
+            return
+        depth = self.depths[tag][-1]
+        # The end of an inline element does not end the block around it.
+        if tag in BLOCKS or tag in NEVER or not self.blocks or self.blocks[-1] < depth:
+            self._close(depth)
 
     def handle_data(self, data: str) -> None:
         region, never, _, hint = self._state()
@@ -218,34 +245,48 @@ def blur(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(values, weights / weights.sum())[reach : reach + len(values)]
 
 
+def smoothed_ratios(lines: Lines) -> tuple[np.ndarray, float]:
+    """The blurred ratio of each line, nothing for lines without text, and the threshold."""
+    chars = np.array([len(t) for t in lines.texts], float)
+    inside = np.array([r in lines.landmarks for r in lines.regions])
+    smooth = blur(chars / np.maximum(np.array(lines.tags), 1)) * np.where(inside, PRIOR, 1)
+    smooth[chars == 0] = 0
+    return smooth, min(smooth.std(), smooth.max())
+
+
 def content_regions(lines: Lines) -> set[int]:
-    """The regions of the content: all landmarks with text or, without any, all divisions under the one around the seeds.
+    """The regions of the content: all landmarks, if they hold most of the seeds' text, or all divisions under the one around the seeds.
 
     Seeds are the divisions around the lines above the threshold; where there is one alone, its siblings belong to it.
-    Only menus, small divisions whose own text is mostly links, are left out, unless there is nothing else.
+    Left out are menus (small divisions whose own text is mostly links), unless there is nothing else, and landmarks without a seed.
     """
-    chars = np.array([len(t) for t in lines.texts], float)
-    if not chars.any():
-        return set()
-    if any(c and r in lines.landmarks for c, r in zip(chars, lines.regions, strict=True)):
-        return lines.landmarks
-    smooth = blur(chars / np.maximum(np.array(lines.tags), 1))
-    smooth[chars == 0] = 0
-    marked = smooth >= min(smooth.std(), smooth.max())
-    regions = np.array(lines.regions)
     letters = Counter()
     for text, region in zip(lines.texts, lines.regions, strict=True):
         letters[region] += len("".join(text.split()))
-    seeds = set(regions[marked & (chars > 0)].tolist())
+    if not any(letters.values()):
+        return set()
+    smooth, threshold = smoothed_ratios(lines)
+    seeds, found = set(), Counter()
+    for text, region, ratio in zip(lines.texts, lines.regions, smooth, strict=True):
+        if text and ratio >= threshold:
+            seeds.add(region)
+            found[region in lines.landmarks] += len(text)
+    if found[True] >= found[False]:
+        return lines.landmarks
+    seeds -= lines.landmarks
     largest = max(letters[r] for r in seeds)
     menus = {r for r, n in letters.items() if 2 * lines.linked[r] > n and n < MENU_SHARE * largest}
     seeds = seeds - menus or seeds
     # Regions are numbered in order of their starts, so the greatest of several is not around the others.
-    tops = set(seeds)
+    tops, queue = set(seeds), [-r for r in seeds]
+    heapq.heapify(queue)
     while len(tops) > 1:
-        last = max(tops)
+        last = -heapq.heappop(queue)
         tops.remove(last)
-        tops.add(lines.parents[last])
+        outer = lines.parents[last]
+        if outer not in tops:
+            tops.add(outer)
+            heapq.heappush(queue, -outer)
     container = tops.pop()
     if seeds == {container}:
         container = lines.parents[container]
@@ -253,7 +294,7 @@ def content_regions(lines: Lines) -> set[int]:
     for region in range(container + 1, lines.region_count + 1):
         if lines.parents[region] in under:
             under.add(region)
-    return under - (menus - seeds)
+    return under - (menus - seeds) - (lines.landmarks - {container})
 
 
 def main_text(html: str | None) -> str:
@@ -279,5 +320,9 @@ def extract(pages: DataFrame, html: str = "html") -> DataFrame:
         texts = [main_text(s.as_py()) for s in sources]
         return pa.array([{"text": t, "n_chars": len(t)} for t in texts], kind)
 
-    result = pages.withColumn("_main", extracted(F.col(html)))
-    return result.withColumn("text", F.col("_main.text")).withColumn("n_chars", F.col("_main.n_chars")).drop("_main")
+    # Another name than those that are there: all of them stay.
+    name = "_main"
+    while name in pages.columns:
+        name += "_"
+    result = pages.withColumn(name, extracted(F.col(f"`{html}`")))
+    return result.withColumns({"text": F.col(f"{name}.text"), "n_chars": F.col(f"{name}.n_chars")}).drop(name)

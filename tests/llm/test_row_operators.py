@@ -1,8 +1,10 @@
 """Quality measures, byte-level BPE, main text, url rules, license scan and decontamination."""
 
 import hashlib
+import math
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -340,3 +342,70 @@ def test_blocks_of_the_benchmark(documents, spark, prose, monkeypatch):
     monkeypatch.setattr(decontaminate.blocks, "__defaults__", ("item_id", "text", 200))
     assert sorted((r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, benchmark).collect()) == [(i, i) for i, _ in items]
     assert [r.doc_id for r in decontaminate.drop_leaking(docs, benchmark).collect()] == [99]
+
+
+def test_html_never_raises(prose):
+    pick = random.Random(1)
+    bits = ["<", ">", "</", "/>", "<!", "<![", "<!--", "-->", "<p", "<div", "<article>", "</article>", "<main", "<a href=x", "&amp;", "&", "&#", "x y", '"', "'", "=", " ", "\n"]
+    bits += ["<script>", "</script>", "<style", "<title>", "<?", "?>", "]]>", "\0", "é", "<li", "<td", "<br/>", "<textarea>", "<h1>", "<header>", 'class="comment"', "[ x ]", "%y;"]
+    for _ in range(10_000):
+        assert isinstance(html_text.main_text("".join(pick.choice(bits) for _ in range(pick.randint(1, 40)))), str)
+    assert html_text.main_text("<p>a</p><![ x ]>") == "a" and html_text.main_text("<p>a</p><![%y;]]>b") == "a b"
+
+
+def test_html_of_many_tags_is_linear():
+    """Twice the tags take about twice the time, where a walk over the open elements would take four times."""
+    pages = {
+        "ends": lambda n: "<b>" * n + "</i>" * n + "x",
+        "ends behind a block": lambda n: "<i><p>" + "<b>" * n + "</i>" * n + "x",
+        "blocks": lambda n: "<b>" * n + "<div>" * n + "x",
+        "headings": lambda n: "<article><header>" + "<b>" * n + "<h1>x" * n,
+        "divisions": lambda n: "<div><p>some words here</div>" * n,
+    }
+    for make in pages.values():
+        begun = time.process_time()
+        html_text.main_text(make(10_000))
+        assert time.process_time() - begun < 5
+
+
+def test_an_article_does_not_win_over_longer_text(prose):
+    body = f"<div class=body><h1>{prose(5, 1)}</h1><p>{prose(120, 2)}</p><p>{prose(3, 3)}</p><p>{prose(90, 4)}</p></div>"
+    wanted = " ".join([prose(5, 1), prose(120, 2), prose(3, 3), prose(90, 4)])
+    teaser = "<article><a href=/x>Read also this</a></article>"
+    for page in (body + teaser, teaser + body, f"<section>{body}{teaser}</section>"):
+        assert html_text.main_text(f"<body><nav><a>Home</a></nav>{page}</body>") == wanted
+    # A short article beside a longer advert or below a lead stays the content.
+    assert html_text.main_text(f"<div class=ad>{prose(40, 5)}</div><article><p>{prose(8, 6)}</p></article>") == prose(8, 6)
+    assert html_text.main_text(f"<main><p>{prose(20, 7)}</p><article><p>{prose(80, 8)}</p></article></main>") == f"{prose(20, 7)} {prose(80, 8)}"
+
+
+def test_ratios_and_threshold_line_by_line(prose):
+    """Ratio, blur and threshold by the plain formulas, on pages where they decide."""
+    decided = 0
+    for seed in range(30):
+        pick = random.Random(seed)
+        parts = []
+        for n in range(pick.randint(3, 12)):
+            text = prose(pick.choice([1, 2, 30, 80]), 100 * seed + n)
+            parts.append(pick.choice([f"<p>{text}</p>", f"<div><p><a href=/x>{text}</a></div>", f"<td><i>{text}</i>", f"<article>{text}</article>" if seed % 3 == 0 else f"<p>{text}"]))
+        lines = html_text.Lines()
+        lines.feed("<body>" + "".join(parts))
+        lines.close()
+        lines.end_line()
+        lines.resolve()
+        raw = [len(t) / max(tags, 1) for t, tags in zip(lines.texts, lines.tags, strict=True)]
+        weight = [math.exp(-0.5 * (k / html_text.SIGMA) ** 2) for k in range(-6, 7)]
+        plain = []
+        for n, text in enumerate(lines.texts):
+            near = sum(w / sum(weight) * raw[n + k] for k, w in zip(range(-6, 7), weight, strict=True) if 0 <= n + k < len(raw))
+            plain.append((near * (html_text.PRIOR if lines.regions[n] in lines.landmarks else 1)) if text else 0)
+        smooth, threshold = html_text.smoothed_ratios(lines)
+        assert np.allclose(smooth, plain) and threshold == pytest.approx(min(np.std(plain), max(plain)))
+        decided += html_text.content_regions(lines) is not lines.landmarks
+    assert decided > 15
+
+
+def test_html_keeps_columns_of_any_name(spark):
+    pages = spark.createDataFrame([("<p>words here</p>", "own", "own too")], "html string, _main string, _main_ string")
+    row = html_text.extract(pages).first()
+    assert (row["_main"], row["_main_"], row["text"], row["n_chars"]) == ("own", "own too", "words here", 10)
