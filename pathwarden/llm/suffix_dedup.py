@@ -8,7 +8,8 @@ the same distance from its start. So the strings around an anchor are the suffix
 SPAN - 1 before the anchor to LEAST after its start, and equal strings begin in the same column of contexts with one
 anchor. First the anchors alone are compared, packed to five bytes each; contexts are sent only for anchors that two
 documents have. What a task finds twice among its own documents it decides itself and sends once, so a passage that a
-third of all documents share is one row per task.
+third of all documents share is one row per task. In a run of one byte every place is an anchor, and all contexts inside
+the run are equal, so such a stretch is one row with its length. Contexts are made in slices of `SLICE`.
 
 Column-wise construction. The contexts of a bucket of anchors lie in a file, last column first. Each round reads the
 next column, one symbol per context, puts it before the suffixes sorted so far, and updates the order, the transform
@@ -42,6 +43,8 @@ SPAN = LEAST - K + 1
 WIDTH = SPAN - 1 + LEAST
 #: Bytes of text whose anchors a task compares at once. Any value gives the same result.
 BATCH_BYTES = 4_000_000
+#: Contexts that a task makes and compares at once. Any value gives the same result.
+SLICE = 200_000
 
 LOW = np.uint64((1 << 40) - 1)
 NOBODY = np.iinfo(np.int64).max
@@ -126,7 +129,7 @@ def _anchored(ids: np.ndarray, data: np.ndarray, ends: np.ndarray, buckets: int)
 
 KEYS = pa.schema([("bucket", pa.int32()), ("told", pa.bool_()), ("count", pa.int32()), ("keys", pa.binary()), ("ids", pa.binary())])
 SHARED = pa.schema([("bucket", pa.int32()), ("count", pa.int32()), ("keys", pa.binary()), ("ids", pa.binary())])
-CONTEXTS = pa.schema([(n, pa.int32()) for n in ("bucket", "count")] + [(n, pa.binary()) for n in ("contexts", "ids", "places", "firsts", "lasts")])
+CONTEXTS = pa.schema([(n, pa.int32()) for n in ("bucket", "count")] + [(n, pa.binary()) for n in ("contexts", "ids", "places", "firsts", "lasts", "repeats")])
 SPANS = pa.schema([("bucket", pa.int32()), ("count", pa.int32()), ("ids", pa.binary()), ("starts", pa.binary()), ("ends", pa.binary())])
 
 
@@ -189,6 +192,20 @@ def shared_keys(keys: DataFrame, buckets: int) -> DataFrame:
     return keys.groupBy("bucket").applyInArrow(match, ddl_of(SHARED))
 
 
+def stretches(data: np.ndarray, place: np.ndarray, first: np.ndarray, last: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The first of each stretch of anchors, place after place, whose contexts are inside one run of one byte, so are equal."""
+    alike = np.concatenate([[0], np.cumsum(data[1:] == data[:-1])])
+    low, high = place - (SPAN - 1), place + (LEAST - 1)
+    inside = (low >= start) & (high < end)
+    at = np.flatnonzero(inside)
+    inside[at] = alike[high[at]] - alike[low[at]] == WIDTH - 1
+    follows = np.zeros(len(place), bool)
+    follows[1:] = inside[1:] & inside[:-1]
+    for x in (place, first, last):
+        follows[1:] &= x[1:] == x[:-1] + 1
+    return np.flatnonzero(~follows)
+
+
 def contexts(docs: DataFrame, shared: DataFrame, buckets: int) -> DataFrame:
     """The contexts of shared anchors, by the anchor's bucket. Of equal contexts in a group of documents only those of the
     smallest document are sent; the others' strings are decided and come as spans, at the end of the buckets."""
@@ -211,29 +228,40 @@ def contexts(docs: DataFrame, shared: DataFrame, buckets: int) -> DataFrame:
             hit = np.flatnonzero(mine[np.minimum(np.searchsorted(mine, asked), len(mine) - 1)] == asked)
             if not len(hit):
                 continue
-            owner, bucket, place, first, last = (x[hit] for x in (owner, bucket, place, first, last))
+            owner, bucket, key, place, first, last = (x[hit] for x in (owner, bucket, key, place, first, last))
             starts = np.concatenate([[0], ends[:-1]])
-            # Bytes beyond the text are zero; no string reaches them.
-            at = place[:, None] - (SPAN - 1) + np.arange(WIDTH)
-            matrix = data[np.clip(at, 0, len(data) - 1)]
-            matrix[(at < starts[owner][:, None]) | (at >= ends[owner][:, None])] = 0
-            at = place - starts[owner]
-            columns = [ids[owner], at, first - starts[owner], last - starts[owner]]
-            alike = matrix.view(f"V{WIDTH}").ravel()
-            by_text = np.lexsort((columns[0], np.unique(alike, return_inverse=True)[1]))
-            alike = alike[by_text]
-            head = np.ones(len(alike), bool)
-            head[1:] = alike[1:] != alike[:-1]
-            smallest = np.repeat(columns[0][by_text][head], np.diff(np.append(np.flatnonzero(head), len(head))))
-            decided = by_text[columns[0][by_text] > smallest]
-            for b, part in split_rows(home_of(columns[0][decided], buckets)):
-                part = decided[part]
-                rows.append((buckets + b, len(part), b"", pack(columns[0][part]), b"", pack(columns[2][part]), pack(columns[3][part] + LEAST)))
-            sent = by_text[columns[0][by_text] == smallest]
-            for b, part in split_rows(bucket[sent]):
-                part = sent[part]
-                part = part[np.argsort(columns[0][part], kind="stable")]
-                rows.append((b, len(part), pack(matrix[part]), *[pack(c[part]) for c in columns]))
+            heads = stretches(data, place, first, last, starts[owner], ends[owner])
+            repeats = np.diff(np.append(heads, len(place)))
+            # Equal contexts have one key, so a slice has most of them together.
+            heads, repeats = (x[np.argsort(key[heads], kind="stable")] for x in (heads, repeats))
+            padded = np.concatenate([np.zeros(SPAN - 1, np.uint8), data, np.zeros(LEAST, np.uint8)])
+            windows = np.lib.stride_tricks.sliding_window_view(padded, WIDTH)
+            for cut_at in range(0, len(heads), SLICE):
+                some, times = heads[cut_at : cut_at + SLICE], repeats[cut_at : cut_at + SLICE]
+                here, begin, end = place[some], starts[owner[some]], ends[owner[some]]
+                # Columns of the text; those beyond it are zero, and no string reaches them.
+                low, high = np.maximum(begin - here + SPAN - 1, 0), np.minimum(end - here + SPAN - 1, WIDTH)
+                matrix = windows[here]
+                columns_ = np.arange(WIDTH)
+                matrix[(columns_ < low[:, None]) | (columns_ >= high[:, None])] = 0
+                columns = [ids[owner[some]], here - begin, first[some] - begin, last[some] - begin, times.astype(np.int64)]
+                # A zero beyond the text is not equal to one in it.
+                ranged = np.concatenate([matrix, low[:, None].astype(np.uint8), high[:, None].astype(np.uint8)], 1)
+                alike = ranged.view(f"V{WIDTH + 2}").ravel()
+                by_text = np.lexsort((columns[0], np.unique(alike, return_inverse=True)[1]))
+                alike = alike[by_text]
+                head = np.ones(len(alike), bool)
+                head[1:] = alike[1:] != alike[:-1]
+                smallest = np.repeat(columns[0][by_text][head], np.diff(np.append(np.flatnonzero(head), len(head))))
+                decided = by_text[columns[0][by_text] > smallest]
+                for b, part in split_rows(home_of(columns[0][decided], buckets)):
+                    part = decided[part]
+                    rows.append((buckets + b, len(part), b"", pack(columns[0][part]), b"", pack(columns[2][part]), pack(columns[3][part] + columns[4][part] - 1 + LEAST), b""))
+                sent = by_text[columns[0][by_text] == smallest]
+                for b, part in split_rows(bucket[some][sent]):
+                    part = sent[part]
+                    part = part[np.argsort(columns[0][part], kind="stable")]
+                    rows.append((b, len(part), pack(matrix[part]), *[pack(c[part]) for c in columns]))
         return table_of(rows, CONTEXTS)
 
     left = docs.groupBy("home")
@@ -314,6 +342,8 @@ def spans(found: DataFrame, buckets: int) -> DataFrame:
         edge = np.diff(np.pad(goes, ((0, 0), (1, 1))).astype(np.int8), axis=1)
         row, start = np.nonzero(edge == 1)
         end = np.nonzero(edge == -1)[1] - 1 + LEAST
+        # A stretch's spans, each a byte further, are one.
+        end = end + read_packed(table, "repeats", np.int64)[row] - 1
         ids, start, end = ids[row], begin[row] + start, begin[row] + end
         for b, at in split_rows(home_of(ids, buckets)):
             rows.append((b, len(at), pack(ids[at]), pack(start[at]), pack(end[at])))

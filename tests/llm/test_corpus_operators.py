@@ -44,6 +44,35 @@ def removal_rows(prose):
     return rows + [(100 + n, t) for n, t in enumerate([*ODD, *ODD])]
 
 
+def control_rows(prose):
+    """Texts that only control characters tell apart, and runs of one byte of other lengths."""
+    rows = []
+    for n in range(12):
+        text = prose(11, 200 + n)
+        rows += [(2 * n, text), (2 * n + 1, "\0" * (n * 4) + text), (40 + n, text + "\0" * 30), (60 + n, "\x01" * n + text[:55] + "\0")]
+    rows += [(100, "\0" * 90), (101, "\0" * 70 + "a"), (102, "b" + "\0" * 49), (103, "b" + "\0" * 60), (104, "\0")]
+    runs = [("x" * n, "y" * (n // 2) + "x" * n + "z") for n in (49, 50, 75, 76, 77, 78, 130, 200)]
+    return rows + [(200 + i, t) for i, t in enumerate(t for pair in runs for t in pair)] + [(300, "x" * 90 + prose(9, 1) + "x" * 140), (301, "xy" * 120), (302, "yx" * 99)]
+
+
+@pytest.mark.parametrize("batch, piece", [(300, 7), (suffix_dedup.BATCH_BYTES, suffix_dedup.SLICE)])
+def test_removal_tells_zeros_from_the_end_of_a_text(documents, prose, monkeypatch, batch, piece):
+    monkeypatch.setattr(suffix_dedup, "BATCH_BYTES", batch)
+    monkeypatch.setattr(suffix_dedup, "SLICE", piece)
+    for turned in (False, True):
+        rows = [(500 - i if turned else i, t) for i, t in control_rows(prose)]
+        expected = plain_removal(rows)
+        got = suffix_dedup.dedup(documents(rows).repartition(3)).collect()
+        assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == Counter((i, *expected[i, t]) for i, t in rows)
+
+
+def test_a_long_run_of_one_byte_is_one_row():
+    data = np.frombuffer(b"start" + b"x" * 1_000_000 + b"end", np.uint8)
+    _, place, first, last = suffix_dedup.anchors(data, np.array([len(data)]))
+    heads = suffix_dedup.stretches(data, place, first, last, np.zeros(len(place), int), np.full(len(place), len(data)))
+    assert len(place) > 900_000 and len(heads) < 200
+
+
 @pytest.mark.parametrize("batch", [300, suffix_dedup.BATCH_BYTES])
 def test_removal_equals_brute_force(documents, prose, monkeypatch, batch):
     monkeypatch.setattr(suffix_dedup, "BATCH_BYTES", batch)
