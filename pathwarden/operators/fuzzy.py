@@ -95,11 +95,11 @@ def similar_path_pairs(
     return pairs.select("block", "a", "b", "name_score", "path_score")
 
 
-def _similar_groups(nodes: DataFrame, scorer: str, name_cutoff: int, path_cutoff: int, **options) -> DataFrame:
+def _similar_groups(nodes: DataFrame, scorer: str, name_cutoff: int, path_cutoff: int, name_block: str = "block", **options) -> DataFrame:
     """Groups (block, seed, id) of nodes (block, id, name, path). Full copies are one node while grouping."""
     nodes = cut_lineage(nodes.dropna())
     distinct = nodes.groupBy("block", "name", "path").agg(F.min("id").alias("id"))
-    find = partial(similar_pairs, scorer=scorer, name_cutoff=name_cutoff, path_cutoff=path_cutoff)
+    find = partial(similar_pairs, scorer=scorer, name_cutoff=name_cutoff, path_cutoff=path_cutoff, name_block=name_block)
     grouped = seed_members(distinct, find, **options)
     # A copy is similar to whatever its first row is similar to, and to that row.
     first = nodes.groupBy("block", "name", "path").agg(F.min("id").alias("first"), F.count("*").alias("copies"))
@@ -151,7 +151,7 @@ def similar_groups_stripped(
     """
     numbers = levels if isinstance(levels, list) else [levels]
     nodes = stripped_nodes(df, numbers, block, order)
-    groups = _similar_groups(nodes, scorer, name_cutoff, path_cutoff, **options)
+    groups = _similar_groups(nodes, scorer, name_cutoff, path_cutoff, "block.level", **options)
     return groups.select(F.col("block.level").alias("block"), F.col("block.removed").alias("levels"), "seed", "id")
 
 
@@ -188,7 +188,7 @@ def static_detection(
     rows = found.select(*df.columns)
     # Rows are visited in the order of the name groups, as they were found there.
     nodes = cut_lineage(stripped_nodes(found, list(removed), block, order, ["group", "rank"]).dropna())
-    pairs = similar_pairs(nodes, scorer=pair_scorer, name_cutoff=path_cutoff, path_cutoff=path_cutoff)
+    pairs = similar_pairs(nodes, scorer=pair_scorer, name_cutoff=path_cutoff, path_cutoff=path_cutoff, name_block="block.level")
     visited = nodes.select("block", "id", (F.col("group") * (k + 1) + F.col("rank")).alias("place"))
     groups = ordered_groups(pairs, visited).select(F.col("block.removed").alias("levels"), "seed", F.col("id").alias(order))
     placed = rows.join(groups, [order])

@@ -10,6 +10,7 @@ skew handling. Nothing runs while the plan is built.
 
 from __future__ import annotations
 
+from functools import reduce
 from math import ceil
 
 from pyspark.sql import Column, DataFrame
@@ -136,13 +137,12 @@ def _families(scorer: str, cutoff: int) -> list[tuple[Column, str, int]]:
     return [(plain, "ratio", cutoff), *(by_token if token_cutoff <= 100 else [])]
 
 
-def _candidates(left: DataFrame, right: DataFrame | None, family: tuple, scorer: str, path_cutoff: int | None) -> list[DataFrame]:
-    """Distinct (block, a, b) that pass the JVM checks."""
+def _candidates(left: DataFrame, right: DataFrame | None, family: tuple, scorer: str) -> list[DataFrame]:
+    """The (block, a, b) whose names pass the JVM checks."""
     text, kind, cutoff = family
-    thin = ["block", "id", "text", *(["path"] if path_cutoff is not None else [])]
 
     def thinned(side):
-        rows = side.withColumn("text", text).select(*thin)
+        rows = side.withColumn("text", text).select("block", "id", "text")
         # The weighted score of a text without any letter or digit is 0.
         return rows.where(F.col("text") != "") if scorer == "weighted" else rows
 
@@ -160,14 +160,42 @@ def _candidates(left: DataFrame, right: DataFrame | None, family: tuple, scorer:
             if right is None:
                 near = ((F.length("p.text") > F.length("i.text")) | (F.col("p.id") > F.col("i.id"))) & near
             keys = (F.col("i.block") == F.col("p.block")) & (F.col("i.sig") == F.col("p.sig"))
-        if path_cutoff is not None:
-            near = near & _close(F.col("i.path"), F.col("p.path"), scorer, path_cutoff)
         pairs = index.alias("i").join(probe.alias("p"), keys & near)
         ids = F.col("i.id"), F.col("p.id")
         found.append(pairs.select(F.col("i.block").alias("block"), F.least(*ids).alias("a"), F.greatest(*ids).alias("b")))
     return found
 
 
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+def _pairs_by_name(left: DataFrame, right: DataFrame | None, scorer: str, name_cutoff: int, path_cutoff: int, name_block: str) -> DataFrame:
+    """Distinct (block, a, b) of rows whose names and paths pass the JVM checks.
+
+    Names meet once for each distinct name, in `name_block`, without any path; the rows of two names that met are then
+    compared by their paths, once.
+    """
+    rows = [side.select("block", F.expr(name_block).alias("_in"), "id", "name", "path") for side in ([left] if right is None else [left, right])]
+    names = _union(rows).groupBy("_in", "name").agg(F.min("id").alias("_name"))
+    nodes = names.select(F.col("_in").alias("block"), F.col("_name").alias("id"), "name")
+    near = _union([p for family in _families(scorer, name_cutoff) for p in _candidates(nodes, None, family, scorer)]).distinct()
+    near = near.select(F.col("block").alias("_in"), F.col("a").alias("_x"), F.col("b").alias("_y"))
+    own = names.select("_in", F.col("_name").alias("_x"), F.col("_name").alias("_y"))
+    met = _union([near, near.select("_in", F.col("_y").alias("_x"), F.col("_x").alias("_y")), own])
+
+    def named(side, prefix, name):
+        columns = [F.col(c).alias(f"{prefix}_{c}") for c in ("block", "id", "path")]
+        return side.join(names, ["_in", "name"]).select("_in", F.col("_name").alias(name), *columns)
+
+    one, two = named(rows[0], "i", "_x"), named(rows[-1], "p", "_y")
+    pairs = one.join(met, ["_in", "_x"]).join(two, ["_in", "_y"])
+    pairs = pairs.where((F.col("i_block") == F.col("p_block")) & _close(F.col("i_path"), F.col("p_path"), scorer, path_cutoff))
+    if right is None:
+        pairs = pairs.where(F.col("i_id") < F.col("p_id"))
+    return pairs.select(F.col("i_block").alias("block"), F.least("i_id", "p_id").alias("a"), F.greatest("i_id", "p_id").alias("b"))
+
+
 def similar_pairs(
     left: DataFrame,
     right: DataFrame | None = None,
@@ -176,19 +204,20 @@ def similar_pairs(
     name_cutoff: int,
     path_cutoff: int | None = None,
     extra: tuple[str, ...] = (),
+    name_block: str = "block",
 ) -> DataFrame:
     """Pairs of one block whose names (and paths) reach the cutoffs, each once.
 
     Nodes have (block, id, name[, path], extra...), ids unique in a block. Without `right` the pairs are those within
     `left`; with it, those across, the two sides sharing no id. The result has (block, a, b, a_name, b_name,
     name_score, ...) with a < b. Scores compare a's text with b's; where that is not symmetric, `name_score_back`
-    compares b's with a's, and a pair is kept if either reaches the cutoff.
+    compares b's with a's, and a pair is kept if either reaches the cutoff. Where a name's rows are in several blocks,
+    `name_block` is what these share, an expression of `block`: names are compared there, once.
     """
-    parts = [p for family in _families(scorer, name_cutoff) for p in _candidates(left, right, family, scorer, path_cutoff)]
-    pairs = parts[0]
-    for part in parts[1:]:
-        pairs = pairs.unionByName(part)
-    pairs = pairs.distinct()
+    if path_cutoff is None:
+        pairs = _union([p for family in _families(scorer, name_cutoff) for p in _candidates(left, right, family, scorer)]).distinct()
+    else:
+        pairs = _pairs_by_name(left, right, scorer, name_cutoff, path_cutoff, name_block)
     fields = ["name", *(["path"] if path_cutoff is not None else []), *extra]
     nodes = left if right is None else left.unionByName(right)
     for side in ("a", "b"):

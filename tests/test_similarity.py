@@ -272,6 +272,23 @@ def test_path_groups_with_copies(spark):
         assert {(r["seed"], r["id"]) for r in stripped.where(F.col("levels") == k).collect()} == sweep(range(60), similar)
 
 
+def test_names_in_several_blocks_meet_once(spark):
+    """Pairs by names of the level equal those by names of each block, for one side and for two."""
+    rnd = random.Random(4)
+    names = ["alpha beta", "alpha bet", "alpha", "gamma delta", "gamma delt", ""]
+    rows = [(("x" if i % 3 else "y", i % 4 // 2), i, rnd.choice(names), rnd.choice(["A#B#C1", "A#B#C2", "A#LONGER#Y", ""])) for i in range(80)]
+    nodes = spark.createDataFrame(rows, "block struct<level: string, n: int>, id bigint, name string, path string")
+    close = lambda a, b: _ratio(a, b) >= 90
+    # Two empty texts are alike.
+    wanted = {(i, j) for b, i, n, p in rows for c, j, m, q in rows if b == c and i < j and (n == m or close(n, m)) and (p == q or close(p, q))}
+    for right in (False, True):
+        sides = (nodes,) if not right else (nodes.where("id % 2 = 0"), nodes.where("id % 2 = 1"))
+        for block in ("block", "block.level"):
+            found = similar_pairs(*sides, scorer="ratio", name_cutoff=90, path_cutoff=90, name_block=block).collect()
+            pairs = [(r["a"], r["b"]) for r in found]
+            assert len(pairs) == len(set(pairs)) and set(pairs) == {(i, j) for i, j in wanted if not right or (i - j) % 2}
+
+
 def test_static_detection_lists_a_row_once(spark):
     names = ["alpha beta"] * 3 + ["gamma delta"] * 2 + ["lonely one"]
     paths = ["A#B#C1", "A#B#C2", "A#Q#LONGCODE", "A#SOMEWHERE#X", "A#ELSEWHERE#YY", "A#B"]
