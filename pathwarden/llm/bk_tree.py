@@ -261,5 +261,6 @@ def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", ce
     linked = cut_lineage(components(print_links(prints.select("print"), cell)).withColumnRenamed("id", "print"))
     named = linked.join(prints, "print").groupBy("component").agg(F.min("least").alias("component_id"))
     placed = linked.join(named, "component").select("print", "component_id")
-    placed = prints.join(placed, "print", "left").select("print", F.coalesce("component_id", "least").alias("component_id"))
+    # Stored, so that the last join is one of two tables, whose hot prints Spark can split.
+    placed = cut_lineage(prints.join(placed, "print", "left").select("print", F.coalesce("component_id", "least").alias("component_id")))
     return printed.join(placed, "print").select(key, "print", "component_id")
