@@ -6,7 +6,7 @@ neighbours only. Words repeat, so a corpus of many texts costs little more than
 costs n log n.
 
 Edge cases: a null text is an empty one and gives no ids. Repeated rows are encoded one by one. An empty table gives an
-empty result. Whole texts are encoded, whatever their length.
+empty result. Whole texts are encoded, whatever their length. Other columns stay; only those named like a result are replaced.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pathwarden.llm.packing import free_name
+
 #: Memory of a task: characters of text encoded at once, and words remembered between batches. Neither changes ids.
 BATCH_CHARS = 8_000_000
 KNOWN_WORDS = 400_000
@@ -253,4 +255,5 @@ def digest_columns(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text:
     kind = f"struct<{', '.join(f'{name}: {ddl}' for name, (ddl, _) in fields.items())}>"
     of_type = pa.struct([(name, arrow) for name, (_, arrow) in fields.items()])
     udf = _per_text(ranks, pattern, kind, of_type, lambda coder, texts: coder.digests(texts, with_ids))
-    return docs.withColumn("_coded", udf(F.col(text))).withColumns({f: F.col(f"_coded.{f}") for f in fields}).drop("_coded")
+    name = free_name(docs.columns, "_coded")
+    return docs.withColumn(name, udf(F.col(text))).withColumns({f: F.col(f"{name}.{f}") for f in fields}).drop(name)

@@ -2,7 +2,7 @@
 
 Edge cases: a null or empty text has no words and fails the word count. A null host is a host of its own. Repeated rows
 are measured one by one and count one by one. An empty table gives an empty result. Columns that the input has besides
-stay as they are; only those named like the measures are replaced.
+stay as they are; only those named like the measures and verdicts are replaced.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pathwarden.llm.packing import free_name
+
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: Failures that count against the host only: symbols per word and repeated lines per line, in percent.
@@ -66,8 +68,9 @@ def measure(text: Column) -> Column:
 
 def with_measures(docs: DataFrame) -> DataFrame:
     """Add the measures of `text`, `base_failed` and `rule_failed` (any rule, those for hosts included)."""
-    rows = docs.withColumn("_measures", measure(F.col("text")))
-    rows = rows.withColumns({m: F.col(f"_measures.{m}") for m in MEASURES}).drop("_measures")
+    name = free_name(docs.columns, "_measures")
+    rows = docs.withColumn(name, measure(F.col("text")))
+    rows = rows.withColumns({m: F.col(f"{name}.{m}") for m in MEASURES}).drop(name)
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     symbols = 100 * F.col("n_symbols") > MAX_SYMBOL_PERCENT * F.col("n_words")
     lines = 100 * F.col("n_dup_lines") > MAX_DUP_LINE_PERCENT * F.col("n_lines")
@@ -97,9 +100,10 @@ def host_verdicts(measured: DataFrame, host: str = "source", reject_rate: float
 
 def judge(measured: DataFrame, verdicts: DataFrame, host: str = "source") -> DataFrame:
     """Add the host's rate and `kept`: no base rule failed and the host is not rejected."""
-    verdicts = verdicts.select("_host", "host_rate", "host_rejected")
-    joined = measured.drop("host_rate", "host_rejected", "kept").join(verdicts, F.col(host).eqNullSafe(F.col("_host")), "left")
-    return joined.withColumn("kept", ~F.col("base_failed") & ~F.col("host_rejected")).drop("_host")
+    name = free_name(measured.columns, "_host")
+    verdicts = verdicts.select(F.col("_host").alias(name), "host_rate", "host_rejected")
+    joined = measured.drop("host_rate", "host_rejected", "kept").join(verdicts, F.col(host).eqNullSafe(F.col(name)), "left")
+    return joined.withColumn("kept", ~F.col("base_failed") & ~F.col("host_rejected")).drop(name)
 
 
 def keep_good(docs: DataFrame, host: str = "source", reject_rate: float = REJECT_RATE) -> DataFrame:

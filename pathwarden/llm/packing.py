@@ -11,6 +11,14 @@ from pyspark.sql import functions as F
 KINDS = {pa.int32(): "int", pa.int64(): "long", pa.bool_(): "boolean", pa.binary(): "binary"}
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """`name`, with underscores until no column has it in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def pack(values: np.ndarray) -> bytes:
     return pa.compress(np.ascontiguousarray(values).tobytes(), "zstd", asbytes=True)
 

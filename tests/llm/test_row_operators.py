@@ -5,6 +5,7 @@ import math
 import random
 import re
 import time
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -47,6 +48,15 @@ def test_bad_hosts_go_and_clean_ones_stay(documents, prose):
     assert {r.source for r in got} == {"good", None} and len(got) == 80 and {r.n_words for r in got} == {"x"}
 
 
+def test_columns_of_any_name_stay(documents, prose):
+    docs = documents([(1, prose(80, 1), "h"), (2, "short", "h")], extra=["_host", "_Measures", "_coded"])
+    measured = host_quality.with_measures(docs)
+    judged = host_quality.judge(measured, host_quality.host_verdicts(measured))
+    assert {r.doc_id: (r.kept, r["_host"], r["_Measures"]) for r in judged.collect()} == {1: (True, "x", "x"), 2: (False, "x", "x")}
+    coded = byte_bpe.digest_columns(docs, RANKS, public_tokenizers.PATTERN)
+    assert {(r["_coded"], r["_host"], r.n_tokens > 0) for r in coded.collect()} == {("x", "x", True)}
+
+
 def test_rates_are_shrunk(spark):
     rows = [(f"h{n}", k < 2 + n % 8) for n in range(30) for k in range(50)] + [("one", True)] + [("bad", k < 990) for k in range(1_000)]
     frame = spark.createDataFrame(rows, "source string, rule_failed boolean")
@@ -304,15 +314,76 @@ def test_every_window_within_the_bound_is_found(prose):
     found = passages.search(texts)
     for text, leaks in zip(texts, found, strict=True):
         folded = "".join(map(chr, decontaminate.fold(text)[0]))
-        expected = {}
+        expected = {i: 0 for i, words in items if len(words) < decontaminate.SHORTEST and f" {words} " in f" {folded} "}
         for number, size in enumerate(passages.size):
-            distance = plain_distance("".join(map(chr, passages.chars[number, :size])), folded)
+            start = passages.start[number]
+            distance = plain_distance("".join(map(chr, passages.bench[start : start + size])), folded)
             if distance <= passages.edits[number]:
                 item = passages.items[number]
                 expected[item] = min(expected.get(item, 99), distance)
         assert {x["item_id"]: x["edits"] for x in leaks} == expected
 
 
+def test_excerpts_are_found_at_every_offset(prose):
+    item = prose(80, 11)
+    passages = decontaminate.Passages([(1, item)])
+    size = decontaminate.WINDOW + decontaminate.STRIDE - 1
+    assert size <= 100 < len(item) / 2
+    texts = [prose(6, n) + " " + item[n : n + size + 2] + " " + prose(6, 500 + n) for n in range(len(item) - size - 2)]
+    assert all(len(leaks) == 1 for leaks in passages.search(texts))
+
+
+def test_short_items_are_found_as_whole_words(documents, spark):
+    items = [(1, "What is the capital of?"), (2, "ab"), (3, "what is the capital of"), (4, "..."), (5, ""), (6, "x y")]
+    texts = ["Tell me: what is the CAPITAL, of Peru", "the capital of", "cab abc a b", "say ab", "(ab)", "x\ny x y", "overwhat is the capital of", "ab ab"]
+    expected = {(n, i) for n, t in enumerate(texts) for i, w in items if (f := re.sub(r"\W+", " ", w.lower()).strip()) and f" {f} " in f" {re.sub(r'\W+', ' ', t.lower()).strip()} "}
+    docs = documents(list(enumerate(texts)))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.find_leaks(docs, benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == expected and len(found) == len(expected) and {r.edits for r in found} == {0}
+    assert [(r.first_char, r.end_char) for r in found if (r.doc_id, r.item_id) == (5, 6)] == [(0, 7)]
+    assert decontaminate.drop_leaking(docs, benchmark).count() == len(texts)
+    assert decontaminate.drop_leaking(docs, benchmark, shortest=3).count() == len(texts) - 2
+
+
+def test_runs_of_one_character_take_little_memory():
+    passages = decontaminate.Passages([(1, "x" * 200), (2, "ab" * 50)])
+    tracemalloc.start()
+    found = passages.search(["x" * 300_000, "ab" * 500, "x" * 50 + "ab" * 20])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [[(leak["item_id"], leak["edits"]) for leak in leaks] for leaks in found] == [[(1, 0)], [(2, 0)], []]
+    assert found[0][0]["first_char"] < 100 and found[0][0]["end_char"] > 299_900
+    assert peak < 300_000_000
+
+
+def test_the_whole_search_by_brute_force(documents, spark, prose):
+    """All documents and items, each window against each text, items shorter than a window and runs included."""
+    items = [(n, prose(size, 300 + n)) for n, size in enumerate((5, 7, 12, 18, 25))] + [(10, "ha " * 40), (11, "z" * 90)]
+    pick, rows = random.Random(5), []
+    for n in range(40):
+        item = items[n % 7][1]
+        at = pick.randrange(len(item))
+        piece = edited(item, n % 9, n) if n % 3 else item[at : at + 90]
+        rows.append((n, f"{prose(4, n)} {piece} {prose(4, 700 + n)}"))
+    rows += [(100 + n, t) for n, t in enumerate([None, "", "ha " * 200, "z" * 2_000, "Z" * 85, prose(60, 1)])]
+    expected = {}
+    for item, text in items:
+        words = re.sub(r"\W+", " ", text.lower()).strip()
+        last = max(0, len(words) - decontaminate.WINDOW)
+        for start in sorted({*range(0, last, decontaminate.STRIDE), last}):
+            window = words[start : start + decontaminate.WINDOW]
+            most = min(int(len(window) * decontaminate.EDIT_RATE), (len(window) - decontaminate.Q) // decontaminate.Q)
+            for doc, t in rows:
+                distance = plain_distance(window, re.sub(r"\W+", " ", (t or "").lower()))
+                if distance <= most:
+                    windows, edits = expected.get((doc, item), (0, 99))
+                    expected[doc, item] = windows + 1, min(edits, distance)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.find_leaks(documents(rows), benchmark).collect()
+    assert {(r.doc_id, r.item_id): (r.windows, r.edits) for r in found} == expected and len(expected) > 20
+
+
 def test_matches_do_not_cross_documents(prose):
     item = prose(25, 7)
     half = len(item) // 2
@@ -321,6 +392,13 @@ def test_matches_do_not_cross_documents(prose):
     assert passages.search([item[:half], item[half:], "", item])[3][0]["end_char"] == len(item)
 
 
+def test_a_match_cut_at_either_end_belongs_to_its_own_text(prose):
+    item = prose(40, 12)
+    passages = decontaminate.Passages([(1, item[:60])])
+    found = passages.search(["before", item[2:60], "between", item[:58], "after"])
+    assert [[(leak["item_id"], leak["edits"]) for leak in leaks] for leaks in found] == [[], [(1, 2)], [], [(1, 2)], []]
+
+
 def test_find_and_drop(documents, spark, prose):
     item = prose(30, 8)
     benchmark = spark.createDataFrame([(5, item), (6, item.upper()), (7, None), (8, "short"), (None, prose(40, 9))], "item_id long, text string")
