@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import UTC, datetime
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pathwarden.model import HISTORY_SCHEMA
 from pathwarden.session import cut_lineage, discard
@@ -51,26 +55,41 @@ def missing_history(scores: DataFrame, history: DataFrame) -> DataFrame:
     return fresh.join(history.select(minute.alias("date")).distinct(), "date", "left_anti")
 
 
-def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """The history at `path`, empty where there is none yet."""
+def _history_rows(spark: SparkSession, path: str) -> DataFrame:
+    """All rows at `path` with the day and the run they were written by, none where there is no history yet."""
+    schema = T.StructType([*HISTORY_SCHEMA.fields, T.StructField("day", T.DateType()), T.StructField("run", T.StringType())])
     try:
-        return spark.read.parquet(path).select("date", "total_score")
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], HISTORY_SCHEMA)
+        return spark.createDataFrame([], schema)
+
+
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    """The history at `path`, empty where there is none yet: of each minute the row of the first run that wrote it."""
+    rows = _history_rows(spark, path)
+    return rows.groupBy("date").agg(F.min_by("total_score", "run").alias("total_score"))
 
 
 def append_history_if_absent(spark: SparkSession, scores: DataFrame, path: str) -> None:
     """Append to the parquet history at `path`, once per minute.
 
-    The history has a folder per day, and only the days of the new scores are looked at. The new rows are
-    stored before they are appended, so nothing reads the folder while it is written.
+    The history has a folder per day, and only the days of the new scores are read. A run writes to folders of its own,
+    which appear as a whole at its end, so runs at the same time neither lose nor mix files; of two that both found a
+    minute absent, `read_history` takes the first. The new rows are stored before they are appended, so nothing reads the
+    history while it is written.
     """
-    day = F.to_date("date").alias("day")
-    history = read_history(spark, path)
-    days = scores.select(day).distinct()
-    known = history.withColumn("day", day).join(days, "day", "left_semi").select("date", "total_score")
+    run = f"{datetime.now(UTC):%Y%m%dT%H%M%S.%f}-{uuid.uuid4().hex}"
+    days = scores.select(F.to_date("date").alias("day")).distinct()
+    known = _history_rows(spark, path).join(days, "day", "left_semi").select("date")
     fresh = cut_lineage(missing_history(scores, known))
-    fresh.withColumn("day", day).write.mode("append").partitionBy("day").parquet(path)
+    (
+        fresh.withColumn("day", F.to_date("date"))
+        .withColumn("run", F.lit(run))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("day", "run")
+        .parquet(path)
+    )
     discard(fresh)

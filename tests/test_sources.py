@@ -2,6 +2,7 @@
 
 import datetime
 import json
+import threading
 
 from pyspark.sql import functions as F
 
@@ -69,3 +70,42 @@ def test_history_is_appended_once_per_minute(spark, tmp_path):
     later = spark.createDataFrame([(at, 81.0), (at + datetime.timedelta(minutes=1), 82.0)], HISTORY_SCHEMA)
     writers.append_history_if_absent(spark, later, path)
     assert [r["total_score"] for r in spark.read.parquet(path).orderBy("date").collect()] == [80.0, 82.0]
+
+
+def test_racing_writers_leave_one_row(spark, tmp_path, monkeypatch):
+    """Both find the minute absent before either writes."""
+    path = f"{tmp_path}/history"
+    at = datetime.datetime(2025, 5, 20, 10, 59, 30)
+    writers.append_history_if_absent(spark, spark.createDataFrame([(at - datetime.timedelta(hours=1), 70.0)], HISTORY_SCHEMA), path)
+    both, store, failed = threading.Barrier(2, timeout=120), writers.cut_lineage, []
+
+    def stored_by_both(rows):
+        result = store(rows)
+        both.wait()
+        return result
+
+    def write(score):
+        try:
+            writers.append_history_if_absent(spark, spark.createDataFrame([(at, score)], HISTORY_SCHEMA), path)
+        except Exception as problem:
+            failed.append(problem)
+
+    monkeypatch.setattr(writers, "cut_lineage", stored_by_both)
+    threads = [threading.Thread(target=write, args=(score,)) for score in (80.0, 81.0)]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    assert not failed
+    rows = [r["total_score"] for r in writers.read_history(spark, path).orderBy("date").collect()]
+    runs = sorted((r["run"], r["total_score"]) for r in writers._history_rows(spark, path).where(F.col("total_score") >= 80).collect())
+    assert rows == [70.0, runs[0][1]] and len(runs) == 2
+    monkeypatch.undo()
+    writers.append_history_if_absent(spark, spark.createDataFrame([(at, 99.0)], HISTORY_SCHEMA), path)
+    assert writers.read_history(spark, path).count() == 2
+
+
+def test_history_without_new_rows(spark, tmp_path):
+    path = f"{tmp_path}/history"
+    writers.append_history_if_absent(spark, spark.createDataFrame([], HISTORY_SCHEMA), path)
+    assert writers.read_history(spark, path).count() == 0
