@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathwarden.llm.packing import ddl_of, home_column, home_of, pack, read_packed, split_rows, table_of
+from pathwarden.llm.packing import BUCKET_BYTES, buckets_for, ddl_of, home_column, home_of, pack, read_packed, split_rows, table_of
 
 #: A chunk is LEAST_CHUNK to MOST_CHUNK bytes long, LEAST_CHUNK + 2 ** BITS on average.
 LEAST_CHUNK, MOST_CHUNK, BITS = 16, 128, 4
@@ -184,13 +184,19 @@ def without(text: str | None, spans: list[tuple[int, int]]) -> tuple[str | None,
 
 
 def cut_repeats(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", least_run: int = LEAST_RUN, counts: tuple[str, str] = ("n_removed", "n_spans")
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    least_run: int = LEAST_RUN,
+    counts: tuple[str, str] = ("n_removed", "n_spans"),
+    bucket_bytes: int = BUCKET_BYTES,
 ) -> DataFrame:
     """The documents with `text` freed of repeated passages, and the bytes removed and spans after the other columns.
 
-    `counts` names the two; a column of the input with such a name gives way.
+    `counts` names the two; a column of the input with such a name gives way. The buckets follow the bytes of
+    text, so one holds about `bucket_bytes` of it at any size of the table.
     """
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets_for(docs, text, bucket_bytes)
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     found = copied_chunks(chunk_keys(rows, buckets), buckets)
     others = [c for c in docs.columns if c not in counts]

@@ -6,8 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Text that a bucket holds on the average, at most. A task has one bucket in memory at a time.
+BUCKET_BYTES = 64_000_000
+
 KINDS = {pa.int32(): "int", pa.int64(): "long", pa.bool_(): "boolean", pa.binary(): "binary"}
 
 
@@ -19,6 +23,15 @@ def free_name(columns: list[str], name: str) -> str:
     return name
 
 
+def buckets_for(docs: DataFrame, text: str, most: int = BUCKET_BYTES) -> int:
+    """So many buckets that none holds over `most` bytes of text on the average, and one for each shuffle partition at least.
+
+    The bytes are summed up by a job of its own that reads the text column.
+    """
+    size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")).cast("long"))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // most))
+
+
 def pack(values: np.ndarray) -> bytes:
     return pa.compress(np.ascontiguousarray(values).tobytes(), "zstd", asbytes=True)
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathwarden.llm.packing import ddl_of, home_column, home_of, pack, read_packed, scramble, split_rows, table_of
+from pathwarden.llm.packing import BUCKET_BYTES, buckets_for, ddl_of, home_column, home_of, pack, read_packed, scramble, split_rows, table_of
 
 LEAST = 50
 K = 24
@@ -362,10 +362,12 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts[heads], reach[np.append(heads[1:], len(starts)) - 1]
 
 
-def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", with_kept: bool = True) -> DataFrame:
-    """One row per document: key, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 and, if wanted, kept (bytes)."""
-    # As many buckets as the session has shuffle partitions: every task packs one row for each at most.
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", with_kept: bool = True, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """One row per document: key, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 and, if wanted, kept (bytes).
+
+    The buckets follow the bytes of text, so one holds about `bucket_bytes` of it at any size of the table.
+    """
+    buckets = buckets_for(docs, text, bucket_bytes)
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     shared = shared_keys(anchor_keys(rows, buckets), buckets)
     homed = rows.withColumn("home", home_column(buckets)(F.col("id")))

@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from pathwarden.llm import bag_minhash, chunk_dedup, sharding, suffix_dedup
+from pathwarden.llm import bag_minhash, chunk_dedup, packing, sharding, suffix_dedup
 from tests.llm.conftest import ODD
 
 # Suffix sorting
@@ -79,13 +79,20 @@ def test_removal_equals_brute_force(documents, prose, monkeypatch, batch):
     rows = removal_rows(prose)
     frame = documents(rows, extra=["id", "home", "bucket"]).repartition(3)
     expected = plain_removal(rows)
-    got = suffix_dedup.dedup(frame).collect()
+    got = suffix_dedup.dedup(frame, bucket_bytes=5_000).collect()
     assert len(got) == len(rows)
     texts = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got)
     assert texts == Counter((id_, *expected[id_, text]) for id_, text in rows)
     assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in got)
 
 
+def test_buckets_follow_the_bytes(documents, spark):
+    docs = documents([(n, "\u00e9" * 500) for n in range(40)] + [(40, None)])
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert [packing.buckets_for(docs, "text", most) for most in (1_000, 40_000, 999)] == [40, least, 41]
+    assert packing.buckets_for(documents([]), "text") == least
+
+
 def test_removal_of_nothing(documents):
     assert suffix_dedup.dedup(documents([])).count() == 0
 
@@ -279,7 +286,7 @@ def test_removal_of_chunks_equals_brute_force(documents, prose, monkeypatch, bat
     monkeypatch.setattr(chunk_dedup, "BATCH_CHUNKS", batch)
     rows = chunk_rows(prose)
     spans = plain_spans(rows)
-    got = {r.doc_id: (r.text, r.n_removed, r.n_spans) for r in chunk_dedup.cut_repeats(documents(rows).repartition(3)).collect()}
+    got = {r.doc_id: (r.text, r.n_removed, r.n_spans) for r in chunk_dedup.cut_repeats(documents(rows).repartition(3), bucket_bytes=5_000).collect()}
     assert got == {i: chunk_dedup.without(t, spans.get(i, [])) for i, t in rows}
 
 
