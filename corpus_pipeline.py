@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pathwarden.llm import bag_minhash, byte_bpe, chunk_dedup, decontaminate, host_quality
-from pathwarden.session import cut_lineage
+from pathwarden.session import cut_lineage, discard
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,10 +53,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; each reads what the one before it has written."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over `documents`; each reads what the one before it has written, which then is deleted."""
+    docs, read = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for number, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if number < len(STAGES) - 1:
             docs = cut_lineage(docs)
+            if read is not None:
+                discard(read)
+            read = docs
     return docs
