@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -18,10 +20,16 @@ from pathwarden.operators.rows import drop_groups, outside_root, tag_constant
 from pathwarden.session import cut_lineage
 
 CHUNK_ROWS = 2_000
-#: Cells grow with the square root of the rows up to this; the pivots of all of them fit in any task.
-MAX_PIVOTS = 16_384
-# Pivot cells pay off only while a match must be close by.
-WIDEST_REACH = 0.6
+#: Cells grow with the square root of the rows up to this; the centres of all of them fit in any task.
+MAX_CENTRES = 16_384
+#: Numbers in the table of bounds that every task gets: cells times the centres they are bounded by.
+TABLE = 4_000_000
+#: Below any product of rows, in place of one with a cell that has no rows.
+EMPTY = -1e9
+#: Rows that a task measures against all centres at once.
+SLICE_ROWS = 1_024
+#: Cells are used if the sample needs at most this share of all comparisons.
+WORTHWHILE = 0.9
 SLACK = 1e-6
 
 
@@ -48,56 +56,204 @@ def encode_text(df: DataFrame, text: str = "text", vector: str = "vector", size:
     return result.withColumn(vector, vector_to_array("_scaled", "float32")).drop("_letters", "_grams", "_hashed", "_scaled")
 
 
-def _pivots(nodes: DataFrame, threshold: float, rows: int) -> np.ndarray | None:
-    """A bounded set of rows as cell centres, the same ones on every run; None if cells cannot help."""
-    reach = np.sqrt(2 - 2 * threshold)
-    wanted = min(MAX_PIVOTS, int(np.sqrt(rows / 100)))
-    if reach >= WIDEST_REACH or wanted < 2:
-        return None
-    picked = nodes.orderBy(F.xxhash64("id"), "id").limit(wanted).select("u").collect()
-    return np.unique(np.array([row["u"] for row in picked]), axis=0)
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
 
+@dataclass(frozen=True)
+class Cells:
+    """Cells of rows around centres, with what bounds a product with any row of a cell.
 
-def _with_cells(nodes: DataFrame, pivots: np.ndarray | None, threshold: float) -> DataFrame:
-    """Rows with the cell of their nearest pivot (`home`), copied to each lower cell a match may be at home in.
+    `highest` has, for each cell, the highest product of its rows with each of the first centres, `radius` how far the
+    farthest of them is from the cell's own centre.
+    """
 
-    A row nearer to pivot h than to c by more than the reach, measured across the plane
-    between the two, has no match at home in c.
+    centres: np.ndarray
+    highest: np.ndarray
+    radius: np.ndarray
+
+    def distances(self, u: np.ndarray, first: int | None = None) -> np.ndarray:
+        """The squared distance of each row to each centre (or the first ones), less the row's own square."""
+        centres = self.centres[:first]
+        return (centres * centres).sum(1)[None, :] - 2 * u @ centres.T
+
+    def homes(self, u: np.ndarray) -> np.ndarray:
+        """The cell of each row: that of the nearest centre."""
+        return self.distances(u).argmin(axis=1)
+
+    def unbounded(self) -> Cells:
+        """With the bounds of cells without rows, which no row can match."""
+        return replace(self, highest=np.full_like(self.highest, EMPTY), radius=np.zeros(len(self.centres)))
+
+    def widen(self, u: np.ndarray, home: np.ndarray) -> None:
+        """Raise the bounds, in place, to hold for these rows too."""
+        np.maximum.at(self.highest, home, u @ self.centres[: self.highest.shape[1]].T)
+        np.maximum.at(self.radius, home, np.linalg.norm(u - self.centres[home], axis=1))
+
+    def reachable(self, u: np.ndarray, home: np.ndarray, threshold: float) -> np.ndarray:
+        """Whether a cell may hold a row of a product above the threshold, by two bounds, for each row and cell.
+
+        Written as its nearest first centre g and a rest, a row x has with a row y of the cell of centre c the product
+        y.g + (x - g).c + (x - g).(y - c): at most the highest y.g of the cell, one product, and one of two lengths.
+        And a row nearer to its own centre than to c by more than the reach, measured across the plane between the two,
+        has no match at home in c.
+        """
+        nearest = self.distances(u, self.highest.shape[1]).argmin(axis=1)
+        rest = u - self.centres[nearest]
+        most = self.highest.T[nearest] + rest @ self.centres.T + np.linalg.norm(rest, axis=1)[:, None] * self.radius[None, :]
+        distance = self.distances(u)
+        nearer = distance - distance[np.arange(len(u)), home][:, None]
+        own = self.centres[home]
+        between = np.sqrt(np.maximum((own * own).sum(1)[:, None] + self.distances(own), 0))
+        reach = np.sqrt(2 - 2 * threshold) + SLACK
+        return (most > threshold - SLACK) & (nearer <= 2 * reach * between + SLACK)
+
+
+def _far_apart(sample: np.ndarray, wanted: int) -> np.ndarray:
+    """Rows of the sample, each the farthest from those before it, so that every cluster gets a centre."""
+    squares = (sample * sample).sum(1)
+    picked, far = [0], np.full(len(sample), np.inf)
+    while len(picked) < min(wanted, len(sample)):
+        far = np.minimum(far, squares + squares[picked[-1]] - 2 * sample @ sample[picked[-1]])
+        far[picked[-1]] = -np.inf
+        picked.append(int(far.argmax()))
+    return sample[picked]
+
+
+def _cells(nodes: DataFrame, threshold: float, rows: int) -> Cells | None:
+    """Cells around centres from a bounded sample, the same one on every run; None if the sample needs about all comparisons.
+
+    Neither the choice of the centres nor that of using cells touches the result.
     """
-    if pivots is None:
-        return nodes.withColumn("home", F.lit(0)).withColumn("cell", F.lit(0))
-    reach = float(np.sqrt(2 - 2 * threshold)) + SLACK
-
-    def gaps(homes: np.ndarray) -> np.ndarray:
-        """Distances from some pivots to all."""
-        square = (pivots[homes] ** 2).sum(1)[:, None] + (pivots * pivots).sum(1)[None, :] - 2 * pivots[homes] @ pivots.T
-        return np.sqrt(np.maximum(square, 1e-18))
-
-    @F.pandas_udf("home int, cells array<int>")
-    def cells(vectors: pd.Series) -> pd.DataFrame:
-        u = np.stack(vectors.to_numpy())
-        square = np.maximum((u * u).sum(1)[:, None] + (pivots * pivots).sum(1)[None, :] - 2 * u @ pivots.T, 0)
-        home = square.argmin(axis=1)
-        nearest = square[np.arange(len(u)), home]
+    wanted = min(MAX_CENTRES, int(np.sqrt(rows)))
+    if wanted < 2:
+        return None
+    picked = nodes.orderBy(F.xxhash64("id"), "id").limit(min(MAX_CENTRES, 8 * wanted)).select("u").collect()
+    sample = np.unique(np.array([row["u"] for row in picked]), axis=0)
+    centres = _far_apart(sample, wanted)
+    count = len(centres)
+    cells = Cells(centres, np.zeros((count, min(count, TABLE // count))), np.zeros(count))
+    home = cells.homes(sample)
+    # The middle of the rows near a centre has them closer to it than a row of their rim has.
+    middles = np.zeros_like(centres)
+    np.add.at(middles, home, sample)
+    size = np.bincount(home, minlength=count)
+    cells = replace(cells, centres=np.where(size[:, None] > 0, middles / np.maximum(size, 1)[:, None], centres))
+
+    home = cells.homes(sample)
+    tried = cells.unbounded()
+    tried.widen(sample, home)
+    inside = np.bincount(home, minlength=count)
+    probes = slice(None, None, -(-len(sample) // SLICE_ROWS))
+    lower = np.arange(count)[None, :] < home[probes][:, None]
+    visits = tried.reachable(sample[probes], home[probes], threshold) & lower
+    compared = (visits * inside[None, :]).sum() + inside[home[probes]].sum() / 2
+    return cells if compared <= WORTHWHILE * len(home[probes]) * len(sample) / 2 else None
+
+
+def _at_home(nodes: DataFrame, cells: Cells | None) -> DataFrame:
+    """Rows with their cell (`home`), stored once: later steps must agree on it."""
+    if cells is None:
+        return nodes.withColumn("home", F.lit(0))
+
+    @F.pandas_udf("int")
+    def home(vectors: pd.Series) -> pd.Series:
+        slices = (np.stack(vectors.iloc[low : low + SLICE_ROWS].to_numpy()) for low in range(0, len(vectors), SLICE_ROWS))
+        return pd.Series(np.concatenate([cells.homes(u) for u in slices]).astype("int32"))
+
+    return cut_lineage(nodes.select("id", "u", home("u").alias("home")))
+
+
+def _measured(cells: Cells, placed: DataFrame) -> Cells:
+    """The cells with the bounds of all their rows: a table of at most TABLE numbers a task, made one by Spark."""
+
+    def extremes(batches):
+        own, seen = cells.unbounded(), set()
+        for batch in batches:
+            for low in range(0, len(batch), SLICE_ROWS):
+                part = batch.iloc[low : low + SLICE_ROWS]
+                home = part["home"].to_numpy()
+                own.widen(np.stack(part["u"].to_numpy()), home)
+                seen.update(home.tolist())
+        for h in sorted(seen):
+            yield pd.DataFrame({"home": [h], "radius": [own.radius[h]], "highest": [own.highest[h]]})
+
+    parts = placed.select("home", "u").mapInPandas(extremes, "home int, radius double, highest array<double>")
+    merged = parts.groupBy("home").agg(
+        F.max("radius").alias("radius"), vector_to_array(Summarizer.max(array_to_vector(F.col("highest")))).alias("highest")
+    )
+    whole = cells.unbounded()
+    for row in merged.collect():
+        whole.highest[row["home"]], whole.radius[row["home"]] = row["highest"], row["radius"]
+    return whole
+
+
+def _visitors(placed: DataFrame, cells: Cells, threshold: float) -> DataFrame:
+    """Rows (id, u, cell), once for each lower cell than their own that a match may be at home in."""
+
+    @F.pandas_udf("array<int>")
+    def lower(vectors: pd.Series, homes: pd.Series) -> pd.Series:
         lists = []
-        for low in range(0, len(u), 1_024):
-            part = slice(low, low + 1_024)
-            own, at = np.unique(home[part], return_inverse=True)
-            reachable = square[part] - nearest[part][:, None] <= 2 * reach * gaps(own)[at]
-            lists += [[int(h), *np.flatnonzero(ok[:h]).tolist()] for h, ok in zip(home[part], reachable)]
-        return pd.DataFrame({"home": home.astype("int32"), "cells": lists})
+        for low in range(0, len(vectors), SLICE_ROWS):
+            u, home = np.stack(vectors.iloc[low : low + SLICE_ROWS].to_numpy()), homes.iloc[low : low + SLICE_ROWS].to_numpy()
+            lists += [np.flatnonzero(ok[:h]).tolist() for h, ok in zip(home, cells.reachable(u, home, threshold))]
+        return pd.Series(lists)
 
-    placed = nodes.withColumn("_c", cells("u"))
-    return placed.select("id", "u", F.col("_c.home").alias("home"), F.explode("_c.cells").alias("cell"))
+    return placed.select("id", "u", F.explode(lower("u", "home")).alias("cell"))
 
 
-def _chunked(cells: DataFrame, chunk: int) -> DataFrame:
-    """Cut every cell into parts of about `chunk` rows. There are at most MAX_PIVOTS cells."""
-    sizes = cells.groupBy("cell").agg(F.count("*").alias("n")).select("cell", F.ceil(F.col("n") / chunk).cast("int").alias("parts"))
-    parts = cells.join(F.broadcast(sizes), "cell")
+def _parts(rows: DataFrame, chunk: int) -> DataFrame:
+    """Cut every cell into parts of about `chunk` rows. There are at most MAX_CENTRES cells."""
+    sizes = rows.groupBy("cell").agg(F.count("*").alias("n")).select("cell", F.ceil(F.col("n") / chunk).cast("int").alias("parts"))
+    parts = rows.join(F.broadcast(sizes), "cell")
     return parts.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
 
 
+def _within(rows: DataFrame, chunk: int) -> tuple[DataFrame, DataFrame]:
+    """Two sides whose parts of one cell meet once: the lower part in the first, the higher in the second."""
+    parts = _parts(rows, chunk)
+    first = parts.withColumn("y", F.explode(F.sequence("part", F.col("parts") - 1))).withColumnRenamed("part", "x")
+    second = parts.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("part")))).withColumnRenamed("part", "y")
+    return first, second
+
+
+def _across(one: DataFrame, two: DataFrame, chunk: int) -> tuple[DataFrame, DataFrame]:
+    """Two sides of which each part meets every part of the other side in its cell."""
+    one, two = _parts(one, chunk), _parts(two, chunk)
+
+    def numbered(side, other, own, theirs):
+        n = other.select("cell", F.col("parts").alias("_n")).distinct()
+        met = side.join(F.broadcast(n), "cell")
+        return met.withColumn(theirs, F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).withColumnRenamed("part", own)
+
+    return numbered(one, two, "x", "y"), numbered(two, one, "y", "x")
+
+
+def compared_blocks(
+    left: DataFrame, right: DataFrame | None, threshold: float, chunk: int = CHUNK_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """The two sides (kind, cell, x, y, id, u) of the block products that hold all pairs above the threshold, each once.
+
+    Rows at home in a cell meet each other there (kind 0) and those at home in a higher cell that may match one of them
+    (kind 1; 2 the other way round), so rows that only visit a cell are not compared with each other.
+    """
+    wider = left if right is None else right
+    cells = _cells(wider, threshold, wider.count())
+    sides = [_at_home(side, cells) for side in ([left] if right is None else [left, right])]
+    homes = [side.select("id", "u", F.col("home").alias("cell")) for side in sides]
+    grids = [_within(homes[0], chunk) if right is None else _across(*homes, chunk)]
+    if cells is not None:
+        cells = _measured(cells, _union([side.select("home", "u") for side in sides]))
+        visitors = [_visitors(side, cells, threshold) for side in sides]
+        grids += [_across(home, visitor, chunk) for home, visitor in zip(homes, reversed(visitors))]
+    fields = ["cell", "x", "y", "id", "u"]
+    # Fresh names for both sides: they may stem from the same table.
+    return tuple(
+        _union([grid[side].select(F.lit(kind).alias("kind"), *[F.col(f).alias(f) for f in fields]) for kind, grid in enumerate(grids)])
+        for side in (0, 1)
+    )
+
+
 def cosine_pairs(
     left: DataFrame,
     right: DataFrame | None = None,
@@ -109,61 +265,33 @@ def cosine_pairs(
 ) -> DataFrame:
     """Pairs (a, b, cosine) above the threshold, a < b: within `left`, or across two sides with no shared id.
 
-    Exact. Rows meet in the cells of nearby pivots only; a cell of any size is cut into
-    parts and each pair of parts is one task's block product, so no task holds more than
-    two parts and only pairs above the threshold leave it.
+    Exact at any threshold. Rows meet in the cells that may hold a match only; a cell of any size is cut into parts and
+    each pair of parts is one task's block product, so no task holds more than two parts and only pairs above the
+    threshold leave it.
     """
+
     def prepared(df):
         nodes = with_unit(df.select(F.col(id).alias("id"), F.col(vector).alias("_v")), "_v", "u").select("id", "u")
         return nodes.where(F.exists("u", lambda x: x != 0)) if threshold >= 0 else nodes
 
-    first = prepared(left)
-    second = None if right is None else prepared(right)
-    rows = first.count() if second is None else second.count()
-    pivots = _pivots(first if second is None else second, threshold, rows)
-
-    def chunks(nodes):
-        return _chunked(_with_cells(nodes, pivots, threshold), chunk)
-
-    within = second is None
-    rows_side = chunks(first)
-    columns_side = rows_side if within else chunks(second)
-    if within:
-        # Parts of one cell meet once: the lower part in the rows, the higher in the columns.
-        grid_rows = rows_side.withColumn("y", F.explode(F.sequence("part", F.col("parts") - 1))).withColumnRenamed("part", "x")
-        grid_columns = rows_side.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("part")))).withColumnRenamed("part", "y")
-    else:
-        def numbered(side, other, own, theirs):
-            n = other.select("cell", F.col("parts").alias("_n")).distinct()
-            met = side.join(F.broadcast(n), "cell")
-            return met.withColumn(theirs, F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).withColumnRenamed("part", own)
-
-        grid_rows = numbered(rows_side, columns_side, "x", "y")
-        grid_columns = numbered(columns_side, rows_side, "y", "x")
+    within = right is None
+    first, second = compared_blocks(prepared(left), None if within else prepared(right), threshold, chunk)
 
     def product(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
             return pd.DataFrame({"a": [], "b": [], "cosine": []}).astype({"a": "int64", "b": "int64"})
         cosine = np.stack(a["u"].to_numpy()) @ np.stack(b["u"].to_numpy()).T
         i, j = np.nonzero(cosine > threshold)
-        ids_a, ids_b = a["id"].to_numpy()[i], b["id"].to_numpy()[j]
-        # A pair meets in the lower of its two home cells, and there once.
-        here = np.minimum(a["home"].to_numpy()[i], b["home"].to_numpy()[j]) == key[0]
-        keep = here & (ids_a != ids_b)
-        if within and key[1] == key[2]:
-            keep &= ids_a < ids_b
-        ids_a, ids_b, values = ids_a[keep], ids_b[keep], cosine[i, j][keep]
+        ids_a, ids_b, values = a["id"].to_numpy()[i], b["id"].to_numpy()[j], cosine[i, j]
+        kind, _, x, y = key
+        if within and kind == 0 and x == y:
+            keep = ids_a < ids_b
+            ids_a, ids_b, values = ids_a[keep], ids_b[keep], values[keep]
         return pd.DataFrame({"a": np.minimum(ids_a, ids_b), "b": np.maximum(ids_a, ids_b), "cosine": values})
 
-    keys = ["cell", "x", "y"]
-    fields = [*keys, "id", "u", "home"]
-    # Fresh names for one side: both may stem from the same table.
-    others = grid_columns.select(*[F.col(c).alias(c) for c in fields])
+    keys = ["kind", "cell", "x", "y"]
     return (
-        grid_rows.select(*fields)
-        .groupBy(*keys)
-        .cogroup(others.groupBy(*keys))
-        .applyInPandas(product, "a bigint, b bigint, cosine double")
+        first.groupBy(*keys).cogroup(second.groupBy(*keys)).applyInPandas(product, "a bigint, b bigint, cosine double")
     )
 
 

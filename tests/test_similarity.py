@@ -326,11 +326,49 @@ def test_cosine_pairs_are_complete(spark, threshold, chunk):
     assert {(r["a"], r["b"]) for r in across.collect()} == {(a, b) for a, b in truth if (a % 5 == 0) != (b % 5 == 0)}
 
 
-def test_pivot_cells_are_used(spark):
-    nodes = vectors.with_unit(spark.createDataFrame(unit_rows(900, 8, 1), "id bigint, vector array<double>"), "vector", "u")
-    pivots = vectors._pivots(nodes.select("id", "u"), 0.98, 900)
-    assert pivots is not None and len(pivots) == 3
-    assert vectors._pivots(nodes.select("id", "u"), 0.3, 900) is None
+def unit_nodes(spark, rows):
+    nodes = vectors.with_unit(spark.createDataFrame(rows, "id bigint, vector array<double>"), "vector", "u")
+    return nodes.select("id", "u").where(F.exists("u", lambda x: x != 0))
+
+
+def compared(blocks):
+    """The number of pairs that the block products compare."""
+    keys = ["kind", "cell", "x", "y"]
+    one, two = (side.groupBy(*keys).agg(F.count("*").alias(name)) for side, name in zip(blocks, ("one", "two")))
+    return one.join(two, keys).agg(F.sum(F.col("one") * F.col("two"))).first()[0]
+
+
+@pytest.mark.parametrize("threshold", [0.45, 0.9])
+def test_clustered_vectors_are_hardly_compared(spark, threshold):
+    count = 6000
+    nodes = unit_nodes(spark, unit_rows(count, 64, 2, clusters=40, noise=0.3))
+    assert compared(vectors.compared_blocks(nodes, None, threshold, chunk=100)) < count * count / 20
+    some, rest = nodes.where("id % 3 = 0"), nodes.where("id % 3 <> 0")
+    assert compared(vectors.compared_blocks(some, rest, threshold, chunk=100)) < count * count / 20
+
+
+def test_vectors_without_clusters_are_one_cell(spark):
+    rng = np.random.default_rng(4)
+    nodes = unit_nodes(spark, [(i, rng.normal(size=64).tolist()) for i in range(700)])
+    assert vectors._cells(nodes, 0.3, 700) is None
+    assert compared(vectors.compared_blocks(nodes, None, 0.3)) == 700 * 700
+
+
+@pytest.mark.parametrize("threshold", [-0.2, 0.05, 0.4, 0.7])
+def test_bounds_lose_no_pair_at_low_thresholds(spark, threshold):
+    rng = np.random.default_rng(8)
+    # Small clusters, some of them near to each other, loose rows between them, ties and a zero vector.
+    rows = unit_rows(1200, 24, 9, clusters=30, noise=0.4)
+    rows += [(1200 + i, rng.normal(size=24).tolist()) for i in range(60)] + [(1260 + i, np.eye(24)[i % 5].tolist()) for i in range(40)]
+    cosine = cosine_matrix(rows)
+    truth = {(i, j) for i, j in zip(*np.nonzero(cosine > threshold)) if i < j}
+    unsure = {(i, j) for i, j in zip(*np.nonzero(np.abs(cosine - threshold) < 1e-9))}
+    df = spark.createDataFrame(rows, "id bigint, vector array<double>")
+    got = [(r["a"], r["b"]) for r in vectors.cosine_pairs(df, threshold=threshold, chunk=70).collect()]
+    assert len(got) == len(set(got)) and not (set(got) ^ truth) - unsure
+    across = vectors.cosine_pairs(df.where("id % 4 = 0"), df.where("id % 4 <> 0"), threshold=threshold).collect()
+    crossing = {(a, b) for a, b in truth if (a % 4 == 0) != (b % 4 == 0)}
+    assert not ({(r["a"], r["b"]) for r in across} ^ crossing) - unsure
 
 
 @pytest.mark.parametrize("options", [{}, {"head": 20, "peel_above": 50}])
