@@ -29,20 +29,28 @@ class Locations:
 
 
 def process_locations(
-    raw: DataFrame, reference: DataFrame, known: DataFrame, order: str = "row_id", continents: list[str] = CONTINENTS
+    raw: DataFrame,
+    reference: DataFrame,
+    known: DataFrame,
+    order: str = "row_id",
+    continents: list[str] = CONTINENTS,
+    scorer: str = "weighted",
+    level_scorer: str = "ratio_plain",
+    names: list[str] = CONTINENTS,
 ) -> Locations:
     """Rebuild the hierarchy of a raw location table.
 
     `raw` has the raw columns and an order column, `reference` the level reference with
-    `ordinal`, `known` (country, continent). Tables that later steps read several times
-    are stored once.
+    `ordinal`, `known` (country, continent). `scorer` compares names, those of continents
+    with `names`, and `level_scorer` the names of levels. Tables that later steps read
+    several times are stored once.
     """
     place = F.col(order)
-    found_continents, rest = H.build_continents(raw)
+    found_continents, rest = H.build_continents(raw, names, scorer)
     # The row for Oceania is made up, so it has no place in the raw order.
     found_continents = found_continents.withColumn(order, F.coalesce(place, F.lit(-1)))
     found_continents, rest = cut_lineage(found_continents), cut_lineage(rest)
-    named = H.assign_continent(rest.where(F.col("LEVEL_NAME") == "COUNTRY"), known, reference, continents)
+    named = H.assign_continent(rest.where(F.col("LEVEL_NAME") == "COUNTRY"), known, reference, continents, scorer)
     with_continent, without = H.split_found(cut_lineage(named), continents)
     countries = cut_lineage(H.build_country_path(with_continent, found_continents, place))
 
@@ -50,7 +58,7 @@ def process_locations(
     below = cut_lineage(H.rebase_path(below, countries, place))
     below = H.assign_level_number(below, countries)
     merged = cut_lineage(H.fix_port_paths(H.merge_levels(below, countries, found_continents), place))
-    processed = cut_lineage(H.official_level_name(merged, reference))
+    processed = cut_lineage(H.official_level_name(merged, reference, level_scorer))
     return Locations(processed, found_continents, countries, without, H.find_outliers(raw, merged))
 
 

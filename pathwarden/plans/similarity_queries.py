@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from pathwarden.model import CONTINENTS, PROCESSED_COLUMNS
 from pathwarden.operators import checks as C
 from pathwarden.operators import fuzzy, rows, vectors
 from pathwarden.operators.grouping import seed_members
@@ -397,6 +398,111 @@ def _processed(spark, d):
     return flows.process_locations(raw_view(spark, d), reference, known)
 
 
+_CONTINENT_ROWS = ", ".join(f"'{c}'" for c in CONTINENTS)
+# The whole repair of the raw table, with Levenshtein scores: continents, countries, parents, paths, levels, level names.
+_REPAIR_SQL = """
+, kept AS (SELECT * FROM raw WHERE IS_GROUP = false),
+continents AS (
+  SELECT row_id, CASE WHEN NAME LIKE '% %' THEN 'Middle East' ELSE upper(NAME[1]) || lower(NAME[2:]) END AS NAME,
+         CODE, HIERARCHY, IS_GROUP, CHILDREN, 'CONTINENT' AS LEVEL_NAME
+  FROM kept, (SELECT unnest([{continents}]) AS continent)
+  WHERE LEVEL_NAME = 'REGION' AND HIERARCHY LIKE 'ALL#WORLD%' AND length(HIERARCHY) - length(replace(HIERARCHY, '#', '')) = 2
+    AND {continent_score} > 90
+  UNION ALL SELECT -1, 'Oceania', 'OCE', 'ALL#WORLD#OCE', false, NULL, 'CONTINENT'),
+rest AS (SELECT * FROM kept WHERE CODE NOT IN (SELECT CODE FROM continents)),
+named AS (SELECT * FROM rest WHERE LEVEL_NAME = 'COUNTRY'),
+reference AS (
+  SELECT n_code, n_name, n_nationkey, CASE WHEN r_name LIKE '% %' THEN 'Middle East' ELSE r_name[1] || lower(r_name[2:]) END AS continent
+  FROM country),
+alike AS (
+  SELECT NAME, continent FROM (SELECT DISTINCT NAME FROM named), reference WHERE {country_score} > 80
+  QUALIFY row_number() OVER (PARTITION BY NAME ORDER BY {country_score} DESC, n_nationkey) = 1),
+placed AS (
+  SELECT named.*, coalesce(known.continent, alike.continent, 'NOT FOUND') AS CONTINENT FROM named
+  LEFT JOIN (SELECT * FROM reference WHERE continent IN ('Africa', 'Asia')) AS known ON n_name = named.NAME
+  LEFT JOIN alike ON alike.NAME = named.NAME),
+missing AS (SELECT * FROM placed WHERE CONTINENT NOT IN ({continents_as_written})),
+countries AS (
+  SELECT placed.* REPLACE (coalesce(continents.HIERARCHY, '') || '#' || placed.CODE AS HIERARCHY)
+  FROM placed LEFT JOIN continents ON continents.NAME = placed.CONTINENT
+  WHERE placed.CODE NOT IN (SELECT CODE FROM missing)),
+lower_rows AS (
+  SELECT * FROM rest WHERE CODE NOT IN (SELECT CODE FROM missing UNION ALL SELECT CODE FROM countries)),
+steps AS (
+  SELECT row_id, unnest(string_split(HIERARCHY, '#')) AS step, generate_subscripts(string_split(HIERARCHY, '#'), 1) AS place
+  FROM lower_rows),
+ancestors AS (SELECT row_id, arg_min(step, place) AS PARENT FROM steps WHERE step IN (SELECT CODE FROM countries) GROUP BY row_id),
+parented AS (
+  SELECT lower_rows.*, PARENT FROM lower_rows LEFT JOIN ancestors USING (row_id) WHERE PARENT IS NOT NULL OR CODE IN ('ALL', 'WORLD')),
+country_paths AS (SELECT CODE AS country_code, arg_max(HIERARCHY, row_id) AS country_path FROM countries GROUP BY CODE),
+rebased AS (
+  SELECT parented.* REPLACE (CASE
+    WHEN country_path IS NULL OR upper(coalesce(LEVEL_NAME, '')) = 'COUNTRY' THEN HIERARCHY
+    WHEN HIERARCHY IS NULL THEN country_path
+    WHEN list_contains(string_split(HIERARCHY, '#'), PARENT) THEN array_to_string(list_concat([country_path],
+         list_slice(string_split(HIERARCHY, '#'), list_position(string_split(HIERARCHY, '#'), PARENT) + 1, 1000)), '#')
+    ELSE HIERARCHY END AS HIERARCHY)
+  FROM parented LEFT JOIN country_paths ON PARENT = country_code),
+depths AS (
+  SELECT row_id, max(length(prefix) - length(replace(prefix, '#', ''))) AS depth
+  FROM rebased JOIN (SELECT DISTINCT HIERARCHY AS prefix FROM countries) ON HIERARCHY = prefix OR starts_with(HIERARCHY, prefix || '#')
+  GROUP BY row_id),
+merged AS (
+  SELECT rebased.*, length(HIERARCHY) - length(replace(HIERARCHY, '#', '')) - depth AS LEVEL_NUMBER FROM rebased LEFT JOIN depths USING (row_id)
+  UNION ALL SELECT * EXCLUDE (CONTINENT), CONTINENT, 0 FROM countries
+  UNION ALL SELECT *, 'WORLD', -1 FROM continents),
+merged_paths AS (SELECT CODE AS country_code, arg_max(HIERARCHY, row_id) AS country_path FROM merged WHERE LEVEL_NAME = 'COUNTRY' GROUP BY CODE),
+fixed AS (
+  SELECT merged.* REPLACE (
+    CASE WHEN LEVEL_NAME = 'PORT_TERMINAL' AND LEVEL_NUMBER <> 1 THEN coalesce(country_path, '') || '#' || CODE ELSE HIERARCHY END AS HIERARCHY,
+    CASE WHEN LEVEL_NAME = 'PORT_TERMINAL' AND LEVEL_NUMBER <> 1 THEN 1 ELSE LEVEL_NUMBER END AS LEVEL_NUMBER)
+  FROM merged LEFT JOIN merged_paths ON PARENT = country_code),
+level_names AS (
+  SELECT n_code, 1 AS level, lower(c_mktsegment) AS word, row_number() OVER (PARTITION BY n_code ORDER BY c_mktsegment) AS place
+  FROM (SELECT DISTINCT n_code, c_mktsegment FROM customer JOIN country ON c_nationkey = n_nationkey)
+  UNION ALL SELECT n_code, 2, 'cities', 1 FROM country),
+cases AS (
+  SELECT DISTINCT PARENT, LEVEL_NAME, LEVEL_NUMBER, lower(trim(coalesce(LEVEL_NAME, 'nan'))) AS text FROM fixed
+  WHERE PARENT IS NOT NULL AND lower(trim(coalesce(LEVEL_NAME, 'nan'))) NOT IN ('country', 'continent', 'all', 'world')),
+level_scores AS (
+  SELECT cases.*, word AS option, place, {level_score} AS score FROM cases JOIN level_names ON n_code = trim(PARENT) AND level = LEVEL_NUMBER),
+official AS (
+  SELECT PARENT, LEVEL_NAME, LEVEL_NUMBER,
+         CASE WHEN max(score) >= 50 THEN arg_max(option, score * 1000 - place) ELSE arg_min(option, place) END AS option
+  FROM level_scores GROUP BY ALL),
+processed AS (
+  SELECT fixed.*, coalesce(upper(option), fixed.LEVEL_NAME) AS OFFICIAL_LEVEL_NAME FROM fixed
+  LEFT JOIN official ON official.PARENT = fixed.PARENT AND official.LEVEL_NUMBER = fixed.LEVEL_NUMBER
+   AND official.LEVEL_NAME IS NOT DISTINCT FROM fixed.LEVEL_NAME)
+""".format(
+    continents=_CONTINENT_ROWS.upper(),
+    continents_as_written=_CONTINENT_ROWS,
+    continent_score=score_sql("continent", "NAME"),
+    country_score=score_sql("NAME", "n_name"),
+    level_score=score_sql("text", "word"),
+)
+
+
+def _processed_by_edits(spark, d):
+    """The repair with Levenshtein scores, which stay in the JVM; the reference's level names are in lower case."""
+    reference = level_reference(spark, d).withColumns(
+        {"continent_name": F.initcap("continent_name"), "level_1": F.transform("level_1", F.lower), "level_2": F.lit("cities")}
+    )
+    known = reference.where(F.col("continent_name").isin("Africa", "Asia")).select("country", F.col("continent_name").alias("continent"))
+    names = [c.upper() for c in CONTINENTS]
+    return flows.process_locations(raw_view(spark, d), reference, known, scorer="levenshtein", level_scorer="levenshtein", names=names)
+
+
+@query("flow_process_locations_levenshtein", _REPAIR_SQL + f"SELECT row_id, {', '.join(PROCESSED_COLUMNS)} FROM processed")
+def flow_process_levenshtein(spark, d):
+    return _processed_by_edits(spark, d).processed.select("row_id", *PROCESSED_COLUMNS)
+
+
+@query("flow_location_outliers_levenshtein", _REPAIR_SQL + "SELECT raw.* FROM raw WHERE CODE NOT IN (SELECT CODE FROM merged)")
+def flow_outliers_levenshtein(spark, d):
+    return _processed_by_edits(spark, d).outliers
+
+
 @query("flow_process_locations")
 def flow_process(spark, d):
     return _processed(spark, d).processed
