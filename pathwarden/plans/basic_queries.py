@@ -695,7 +695,7 @@ def e6(spark, d):
     return V.duplicate_key_rows(location_view(spark, d)).select("row_id", "CODE", "count")
 
 
-_ALL_PROBLEMS_SQL = f"""
+ALL_PROBLEMS_SQL = f"""
 SELECT row_id, 'CompletenessConstraint - Null values in HIERARCHY' AS PROBLEM FROM loc WHERE HIERARCHY IS NULL
 UNION ALL SELECT row_id, 'CompletenessConstraint - Null values in LEVEL_NAME' FROM loc WHERE LEVEL_NAME IS NULL
 UNION ALL SELECT row_id, 'CompletenessConstraint - Null values in OFFICIAL_LEVEL_NAME' FROM loc WHERE OFFICIAL_LEVEL_NAME IS NULL
@@ -711,7 +711,7 @@ UNION ALL SELECT row_id, '{V.duplicate_problem('CODE')}' FROM (SELECT row_id, co
 """
 
 
-@query("e13_extract_all", _ALL_PROBLEMS_SQL)
+@query("e13_extract_all", ALL_PROBLEMS_SQL)
 def e13(spark, d):
     view = stored_view(spark, d)
     return V.extract_all(view, C.run_suite(view, _EXACT)).select("row_id", "PROBLEM")

@@ -11,7 +11,8 @@ from pathwarden.operators import checks as C
 from pathwarden.operators import fuzzy, rows, vectors
 from pathwarden.operators.grouping import seed_members
 from pathwarden.plans import flows
-from pathwarden.plans.registry import query
+from pathwarden.plans.basic_queries import ALL_PROBLEMS_SQL
+from pathwarden.plans.registry import LOC, query
 from pathwarden.plans.table_queries import score_sql
 from pathwarden.session import checkpoint_folder
 from pathwarden.sources.location_view import level_reference, location_view, raw_view, table
@@ -503,6 +504,22 @@ def flow_outliers_levenshtein(spark, d):
     return _processed_by_edits(spark, d).outliers
 
 
+# The rows behind the exact constraints, of which each asks for all rows, over the repaired table without its roots.
+_VALIDATE_SQL = (
+    LOC.replace("loc AS (", "view_rows AS (")
+    + _REPAIR_SQL
+    + ", loc AS (SELECT * FROM processed WHERE CODE NOT IN ('ALL', 'WORLD'))"
+    + ALL_PROBLEMS_SQL
+)
+
+
+@query("flow_validate_levenshtein", _VALIDATE_SQL, loc=False)
+def flow_validate_levenshtein(spark, d):
+    checks = [C.error_check(approximate=False), C.warning_check(approximate=False)]
+    _, problems = flows.validate(_processed_by_edits(spark, d).processed, checks)
+    return problems.select("row_id", "PROBLEM")
+
+
 @query("flow_process_locations")
 def flow_process(spark, d):
     return _processed(spark, d).processed

@@ -10,7 +10,7 @@ from pathwarden.operators import hierarchy as H
 from pathwarden.operators import joins as J
 from pathwarden.operators import report, rows
 from pathwarden.operators import violations as V
-from pathwarden.plans.basic_queries import _ALL_PROBLEMS_SQL, _EXACT, stored_view
+from pathwarden.plans.basic_queries import ALL_PROBLEMS_SQL, _EXACT, stored_view
 from pathwarden.operators import checks as C
 from pathwarden.plans.registry import query
 from pathwarden.sources.location_view import level_reference, location_view, raw_view, table
@@ -518,7 +518,7 @@ def u4(spark, d):
 @query(
     "u5_merge_problems",
     f"""
-    , found AS ({_ALL_PROBLEMS_SQL}),
+    , found AS ({ALL_PROBLEMS_SQL}),
     merged AS (SELECT row_id, PROBLEM FROM found
       UNION ALL SELECT row_id, '{report.DUPLICATE}' FROM loc WHERE LEVEL_NAME = 'PORT_TERMINAL'
       UNION ALL SELECT row_id, '{report.OUTLIER}' FROM raw WHERE CODE NOT IN {_PROCESSED_SQL})
