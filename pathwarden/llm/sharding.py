@@ -4,6 +4,8 @@ The rows of each source are put in a seeded order; the row of rank r of n gets t
 rows sorted by it are cut into shards whose row counts differ by one at most (law `rows`). Any stretch of that order
 holds each source by its share, rounded, so each shard does.
 
+The rows of each ranking are stored, cut into ranges of the whole order, in the folder of `spark.checkpoint.dir`.
+
 Edge cases: a null source is a source of its own; a null text has no bytes (size 1, checksum 0). Rows with one id get
 neighbouring ranks, told apart by checksum and size; full copies are alike and may swap. An empty table gives no rows.
 Only the columns named in the call are read.
@@ -11,35 +13,38 @@ Only the columns named in the call are read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pathwarden.session import cut_lineage
+
 SHARDS = 8
 SEED = "interleave-1"
-#: Rows that one window task sorts, about. Any value gives the same result.
-BUCKET_ROWS = 5_000
+#: Rows of a range, about, if there are more than the shuffle partitions take. Any value gives the same result.
+BUCKET_ROWS = 1_000_000
 
 
-def _ranked(rows: DataFrame, group: list[str], share: Column, n: Column, order: list[Column], to: str) -> DataFrame:
-    """Add the rank from 1 within each group, without sorting a group in one task.
+def _ranked(rows: DataFrame, n: int, group: list[str], order: list[str], to: str) -> DataFrame:
+    """Add the rank from 1 within each group of the `n` rows, without sorting a group in one task.
 
-    `share` (0 to 1, not falling along the order) cuts a group of `n` rows into buckets of about BUCKET_ROWS. Only the
-    counts of the buckets are summed up in one window, then rows are numbered in their bucket.
+    The rows are cut into ranges of the whole order and stored with their range, so ties in its first columns spread over
+    ranges too. Rows are numbered in their range; a window over no more rows than ranges and groups meet adds up the counts.
     """
-    buckets = F.ceil(n / BUCKET_ROWS)
-    rows = rows.withColumn("_bucket", F.least(F.floor(share * buckets), buckets - 1))
-    keys = [*group, "_bucket"]
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_in"))
-    before = Window.partitionBy(*(group or [F.lit(0)])).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // BUCKET_ROWS))
+    ranges = cut_lineage(rows.repartitionByRange(parts, *group, *order).withColumn("_range", F.spark_partition_id()))
+    keys = [*group, "_range"]
+    counts = ranges.groupBy(*keys).agg(F.count(F.lit(1)).alias("_in"))
+    before = Window.partitionBy(*(group or [F.lit(0)])).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.withColumn("_start", F.coalesce(F.sum("_in").over(before), F.lit(0))).drop("_in")
     starts = starts.withColumnsRenamed({k: f"_of_{k}" for k in keys})
     match = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
-    numbered = rows.withColumn(to, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return numbered.join(starts, match, "left").withColumn(to, F.col(to) + F.col("_start")).drop("_bucket", "_start", *[f"_of_{k}" for k in keys])
+    numbered = ranges.withColumn(to, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return numbered.join(starts, match, "left").withColumn(to, F.col(to) + F.col("_start")).drop("_range", "_start", *[f"_of_{k}" for k in keys])
 
 
 def interleave(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", shards: int = SHARDS, seed: str = SEED) -> DataFrame:
     """One row per document: key, source, size, text_crc32, position from 0, shard and slot in the shard from 0."""
+    n = docs.count()
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
     rows = docs.select(
         F.col(key).alias("_key"),
@@ -50,13 +55,11 @@ def interleave(docs: DataFrame, key: str = "doc_id", source: str = "source", tex
     )
     totals = docs.groupBy(F.col(source).alias("_of")).agg(F.count(F.lit(1)).alias("_n"))
     rows = rows.join(totals, F.col("_source").eqNullSafe(F.col("_of")), "left").drop("_of")
-    ties = [F.col(c) for c in ("_order", "_key", "text_crc32", "size")]
-    spread = F.conv(F.substring("_order", 1, 8), 16, 10).cast("long") / F.lit(2**32)
-    rows = _ranked(rows, ["_source"], spread, F.col("_n"), ties, "_rank")
+    ties = ["_order", "_key", "text_crc32", "size"]
+    rows = _ranked(rows, n, ["_source"], ties, "_rank")
     rows = rows.withColumn("_share", (2 * F.col("_rank") - 1) / (2 * F.col("_n")))
-    total = docs.agg(F.count(F.lit(1))).scalar()
-    rows = _ranked(rows.withColumn("_all", total), [], F.col("_share"), F.col("_all"), [F.col("_share"), F.col("_source"), *ties], "_place")
-    place, n = F.col("_place") - 1, F.col("_all")
+    rows = _ranked(rows, n, [], ["_share", "_source", *ties], "_place").withColumn("_all", F.lit(n))
+    place = F.col("_place") - 1
     # Shard s takes the places from ceil(s n / k) to ceil((s + 1) n / k).
     shard = F.expr(f"(_place - 1) * {shards} div _all")
     start = F.expr(f"(shard * _all + {shards - 1}) div {shards}")

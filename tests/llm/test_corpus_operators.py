@@ -3,12 +3,15 @@
 import hashlib
 import os
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pathwarden.llm import bag_minhash, chunk_dedup, packing, sharding, suffix_dedup
+from pathwarden.session import cut_lineage
 from tests.llm.conftest import ODD
 
 # Suffix sorting
@@ -356,3 +359,29 @@ def test_shards(documents, monkeypatch, bucket_rows):
 def test_few_rows_and_none(documents):
     assert sharding.interleave(documents([])).count() == 0
     assert sorted(r.slot for r in sharding.interleave(documents([(1, "a"), (2, "b")])).collect()) == [0, 0]
+
+
+def test_interleave_of_ties_equals_a_plain_sort(documents):
+    """Many sources of one row share one fraction, rows of one id one seed."""
+    rows = [(i, f"text {i}", f"s{i}") for i in range(1500)] + [(3000, f"again {i}", "big") for i in range(1500)]
+    ranked = {}
+    for id_, text, source in rows:
+        seed = hashlib.md5(f"{sharding.SEED}:{id_}".encode()).hexdigest()
+        ranked.setdefault(source, []).append((seed, id_, zlib.crc32(text.encode()), len(text.encode()) + 1))
+    placed = []
+    for source, members in ranked.items():
+        placed += [((2 * rank - 1) / (2 * len(members)), source, *m) for rank, m in enumerate(sorted(members), 1)]
+    expected = {p: (row[1], row[4]) for p, row in enumerate(sorted(placed))}
+    got = sharding.interleave(documents(rows)).collect()
+    assert {r.position: (r.source, r.text_crc32) for r in got} == expected
+    assert Counter(r.shard for r in got) == {s: 375 for s in range(8)}
+
+
+def test_ranges_split_ties(documents, monkeypatch):
+    """A first column without any difference leaves no range with all rows."""
+    stored = []
+    monkeypatch.setattr(sharding, "cut_lineage", lambda df: stored.append(cut_lineage(df)) or stored[-1])
+    rows = documents([(1, f"text {i}") for i in range(2000)]).select("source", "text", F.lit(0.5).alias("share"))
+    placed = sharding._ranked(rows, 2000, [], ["share", "source", "text"], "place")
+    assert [r.text for r in placed.orderBy("place").collect()] == sorted(f"text {i}" for i in range(2000))
+    assert stored[0].groupBy("_range").count().agg(F.max("count")).first()[0] < 1000
