@@ -5,7 +5,10 @@ piece, so some piece occurs in the longer text too, at nearly the same place (af
 Every text emits hashed pieces with its id, an equi-join gives the candidates, and a bound on the score is checked in
 the same stage, so raw candidates are never stored. Pairs found are made distinct as bare ids; what else belongs to a
 row is fetched for those alone. The joins are plain ones, so a key that many texts share is split by Spark's adaptive
-skew handling. Nothing runs while the plan is built.
+skew handling.
+
+Where a sample shows that the keys bring most texts of a block together, the texts are compared in parts instead (see
+text_blocks.py); the choice is made as the query runs and does not touch the result. Nothing runs while the plan is built.
 """
 
 from __future__ import annotations
@@ -13,12 +16,17 @@ from __future__ import annotations
 from functools import reduce
 from math import ceil
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pathwarden.functions.similarity import plain_text, score_of, sorted_tokens
+from pathwarden.operators.text_blocks import near_pairs
 
 TINY = 1e-9
+#: The texts that tell whether keys are worthwhile, and the candidates they may give for each pair of a block.
+SAMPLE_TEXTS = 1_000
+CROWDED = 0.1
 #: The weight of token scores in the weighted score.
 TOKEN_WEIGHT = 0.95
 
@@ -92,6 +100,37 @@ def _close(a: Column, b: Column, scorer: str, cutoff: float) -> Column:
     return F.call_function("levenshtein", a, b, edits) >= 0
 
 
+def _needed(scorer: str, cutoff: float):
+    """The least common subsequence of two texts that may match, from their lengths."""
+    c = allowance(cutoff)
+
+    def needed(a, b):
+        if scorer == "levenshtein":
+            longest = np.maximum(a, b)
+            return longest - np.floor(longest * c + TINY)
+        return np.ceil((a + b - np.floor((a + b) * c + TINY)) / 2)
+
+    return needed
+
+
+def _reach(scorer: str, cutoff: float) -> float:
+    """How many times as long as the other one the longer of two texts that match may be."""
+    c = allowance(cutoff)
+    return 1 / (1 - c) if scorer == "levenshtein" else (1 + c) / (1 - c)
+
+
+def _crowded(sides: list[DataFrame], scorer: str, cutoff: float) -> Column:
+    """Whether keys bring many texts of a block together that need not match, by a bounded sample of them."""
+    some = [side.orderBy(F.xxhash64("id", "text"), "id").limit(SAMPLE_TEXTS) for side in sides]
+    counts = lambda rows, key, name: rows.groupBy(key).agg(F.count("*").alias(name))
+    index, probe = _index_keys(some[0], scorer, cutoff), _probe_keys(some[-1], scorer, cutoff)
+    met = counts(index, "sig", "n").join(counts(probe, "sig", "m"), "sig").select((F.col("n") * F.col("m")).alias("met"), F.lit(0).alias("all"))
+    pairs = counts(some[0], "block", "n").join(counts(some[-1], "block", "m"), "block")
+    pairs = pairs.select(F.lit(0).alias("met"), (F.col("n") * F.col("m") / (2 if len(sides) == 1 else 1)).alias("all"))
+    total = met.unionByName(pairs).agg(F.sum("met") > CROWDED * F.sum("all"))
+    return F.coalesce(total.scalar(), F.lit(False))
+
+
 def _tokens(text: Column) -> Column:
     return F.array_distinct(F.split(text, r"\s+"))
 
@@ -147,6 +186,11 @@ def _candidates(left: DataFrame, right: DataFrame | None, family: tuple, scorer:
         return rows.where(F.col("text") != "") if scorer == "weighted" else rows
 
     sides = [thinned(left)] if right is None else [thinned(left), thinned(right)]
+    parts = []
+    if kind != "token" and dict(left.dtypes)["id"] in ("int", "bigint"):
+        crowded = _crowded(sides, kind, cutoff)
+        in_parts, sides = [side.where(crowded) for side in sides], [side.where(~crowded) for side in sides]
+        parts = [near_pairs(in_parts[0], None if right is None else in_parts[1], _needed(kind, cutoff), _reach(kind, cutoff))]
     found = []
     for indexed, probed in [(0, 0)] if right is None else [(0, 1), (1, 0)]:
         if kind == "token":
@@ -163,37 +207,52 @@ def _candidates(left: DataFrame, right: DataFrame | None, family: tuple, scorer:
         pairs = index.alias("i").join(probe.alias("p"), keys & near)
         ids = F.col("i.id"), F.col("p.id")
         found.append(pairs.select(F.col("i.block").alias("block"), F.least(*ids).alias("a"), F.greatest(*ids).alias("b")))
-    return found
+    return found + parts
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def _pairs_by_name(left: DataFrame, right: DataFrame | None, scorer: str, name_cutoff: int, path_cutoff: int, name_block: str) -> DataFrame:
-    """Distinct (block, a, b) of rows whose names and paths pass the JVM checks.
+def _pairs_by_name(
+    left: DataFrame, right: DataFrame | None, scorer: str, name_cutoff: int, path_cutoff: int, name_block: str, fields: list[str]
+) -> DataFrame:
+    """The (block, a, b) of rows whose names and paths pass the JVM checks, with the fields of both.
 
     Names meet once for each distinct name, in `name_block`, without any path; the rows of two names that met are then
-    compared by their paths, once.
+    compared by their paths, once. Rows carry their fields into the pairs, so that pairs are not joined again.
     """
-    rows = [side.select("block", F.expr(name_block).alias("_in"), "id", "name", "path") for side in ([left] if right is None else [left, right])]
+    nodes = left if right is None else left.unionByName(right)
+    # An id has the fields of one row, unless it repeats.
+    carried = nodes.groupBy("block", "id").agg(F.collect_list(F.struct(*fields)).alias("fields"))
+    rows = [
+        side.select("block", F.expr(name_block).alias("_in"), "id", "name", "path").join(carried, ["block", "id"])
+        for side in ([left] if right is None else [left, right])
+    ]
     names = _union(rows).groupBy("_in", "name").agg(F.min("id").alias("_name"))
     nodes = names.select(F.col("_in").alias("block"), F.col("_name").alias("id"), "name")
     near = _union([p for family in _families(scorer, name_cutoff) for p in _candidates(nodes, None, family, scorer)]).distinct()
     near = near.select(F.col("block").alias("_in"), F.col("a").alias("_x"), F.col("b").alias("_y"))
     own = names.select("_in", F.col("_name").alias("_x"), F.col("_name").alias("_y"))
-    met = _union([near, near.select("_in", F.col("_y").alias("_x"), F.col("_x").alias("_y")), own])
+    own = names.select("_in", F.col("_name").alias("_x"), F.col("_name").alias("_y"))
+    met = _union([near, own] if right is None else [near, near.select("_in", F.col("_y").alias("_x"), F.col("_x").alias("_y")), own])
 
     def named(side, prefix, name):
-        columns = [F.col(c).alias(f"{prefix}_{c}") for c in ("block", "id", "path")]
+        columns = [F.col(c).alias(f"{prefix}_{c}") for c in ("block", "id", "path", "fields")]
         return side.join(names, ["_in", "name"]).select("_in", F.col("_name").alias(name), *columns)
 
     one, two = named(rows[0], "i", "_x"), named(rows[-1], "p", "_y")
-    pairs = one.join(met, ["_in", "_x"]).join(two, ["_in", "_y"])
+    pairs = met.join(one, ["_in", "_x"]).join(two, ["_in", "_y"])
     pairs = pairs.where((F.col("i_block") == F.col("p_block")) & _close(F.col("i_path"), F.col("p_path"), scorer, path_cutoff))
+    ahead = F.col("i_id") < F.col("p_id")
     if right is None:
-        pairs = pairs.where(F.col("i_id") < F.col("p_id"))
-    return pairs.select(F.col("i_block").alias("block"), F.least("i_id", "p_id").alias("a"), F.greatest("i_id", "p_id").alias("b"))
+        # The rows of one name meet in both orders.
+        pairs = pairs.where(F.when(F.col("_x") == F.col("_y"), ahead).otherwise(F.col("i_id") != F.col("p_id")))
+    ids = F.col("i_id"), F.col("p_id")
+    one, two = (F.when(ahead, F.col(f"{x}_fields")).otherwise(F.col(f"{y}_fields")) for x, y in ("ip", "pi"))
+    pairs = pairs.select(F.col("i_block").alias("block"), F.least(*ids).alias("a"), F.greatest(*ids).alias("b"), one.alias("_one"), two.alias("_two"))
+    pairs = pairs.withColumn("_a", F.explode("_one")).withColumn("_b", F.explode("_two"))
+    return pairs.select("block", "a", "b", *[F.col(f"_{side}.{f}").alias(f"{side}_{f}") for side in "ab" for f in fields])
 
 
 def similar_pairs(
@@ -216,18 +275,16 @@ def similar_pairs(
     """
     if path_cutoff is None:
         pairs = _union([p for family in _families(scorer, name_cutoff) for p in _candidates(left, right, family, scorer)]).distinct()
+        nodes = left if right is None else left.unionByName(right)
+        for side in ("a", "b"):
+            own = nodes.select("block", F.col("id").alias(side), *[F.col(f).alias(f"{side}_{f}") for f in ("name", *extra)])
+            pairs = pairs.join(own, ["block", side])
     else:
-        pairs = _pairs_by_name(left, right, scorer, name_cutoff, path_cutoff, name_block)
-    fields = ["name", *(["path"] if path_cutoff is not None else []), *extra]
-    nodes = left if right is None else left.unionByName(right)
-    for side in ("a", "b"):
-        own = nodes.select("block", F.col("id").alias(side), *[F.col(f).alias(f"{side}_{f}") for f in fields])
-        pairs = pairs.join(own, ["block", side])
+        pairs = _pairs_by_name(left, right, scorer, name_cutoff, path_cutoff, name_block, ["name", "path", *extra])
     a, b = F.col("a_name"), F.col("b_name")
     pairs = pairs.withColumn("name_score", score_of(a, b, scorer))
     pairs = pairs.withColumn("name_score_back", F.col("name_score") if scorer == "levenshtein" else score_of(b, a, scorer))
-    pairs = pairs.where(F.greatest("name_score", "name_score_back") >= name_cutoff)
-    if path_cutoff is not None:
-        pairs = pairs.withColumn("path_score", score_of(F.col("a_path"), F.col("b_path"), scorer))
-        pairs = pairs.where((F.col("path_score") >= path_cutoff) & (F.col("name_score") >= name_cutoff))
-    return pairs
+    if path_cutoff is None:
+        return pairs.where(F.greatest("name_score", "name_score_back") >= name_cutoff)
+    pairs = pairs.where(F.col("name_score") >= name_cutoff).withColumn("path_score", score_of(F.col("a_path"), F.col("b_path"), scorer))
+    return pairs.where(F.col("path_score") >= path_cutoff)
