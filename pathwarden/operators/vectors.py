@@ -19,7 +19,13 @@ from pathwarden.operators.grouping import seed_members
 from pathwarden.operators.rows import drop_groups, outside_root, tag_constant
 from pathwarden.session import cut_lineage
 
+#: Parts of rows that meet in tasks: their least rows, how many there are before they grow, and their numbers at most.
 CHUNK_ROWS = 2_000
+PARTS = 12
+CHUNK_NUMBERS = 2_000_000
+#: The pairs that a task may find, about, and the products that it holds at once.
+TASK_PAIRS = 4_000_000
+TASK_PRODUCTS = 4_000_000
 #: Cells grow with the square root of the rows up to this; the centres of all of them fit in any task.
 MAX_CENTRES = 16_384
 #: Numbers in the table of bounds that every task gets: cells times the centres they are bounded by.
@@ -120,7 +126,13 @@ def _far_apart(sample: np.ndarray, wanted: int) -> np.ndarray:
     return sample[picked]
 
 
-def _cells(nodes: DataFrame, threshold: float, rows: int) -> Cells | None:
+def _sampled(nodes: DataFrame, rows: int) -> np.ndarray:
+    """A bounded sample of the rows, the same one on every run."""
+    picked = nodes.orderBy(F.xxhash64("id"), "id").limit(min(MAX_CENTRES, 8 * max(2, int(np.sqrt(rows))))).select("u").collect()
+    return np.array([row["u"] for row in picked])
+
+
+def _cells(nodes: DataFrame, threshold: float, rows: int, sample: np.ndarray | None = None) -> Cells | None:
     """Cells around centres from a bounded sample, the same one on every run; None if the sample needs about all comparisons.
 
     Neither the choice of the centres nor that of using cells touches the result.
@@ -128,8 +140,7 @@ def _cells(nodes: DataFrame, threshold: float, rows: int) -> Cells | None:
     wanted = min(MAX_CENTRES, int(np.sqrt(rows)))
     if wanted < 2:
         return None
-    picked = nodes.orderBy(F.xxhash64("id"), "id").limit(min(MAX_CENTRES, 8 * wanted)).select("u").collect()
-    sample = np.unique(np.array([row["u"] for row in picked]), axis=0)
+    sample = np.unique(_sampled(nodes, rows) if sample is None else sample, axis=0)
     centres = _far_apart(sample, wanted)
     count = len(centres)
     cells = Cells(centres, np.zeros((count, min(count, TABLE // count))), np.zeros(count))
@@ -188,70 +199,127 @@ def _measured(cells: Cells, placed: DataFrame) -> Cells:
     return whole
 
 
-def _visitors(placed: DataFrame, cells: Cells, threshold: float) -> DataFrame:
-    """Rows (id, u, cell), once for each lower cell than their own that a match may be at home in."""
-
-    @F.pandas_udf("array<int>")
-    def lower(vectors: pd.Series, homes: pd.Series) -> pd.Series:
-        lists = []
-        for low in range(0, len(vectors), SLICE_ROWS):
-            u, home = np.stack(vectors.iloc[low : low + SLICE_ROWS].to_numpy()), homes.iloc[low : low + SLICE_ROWS].to_numpy()
-            lists += [np.flatnonzero(ok[:h]).tolist() for h, ok in zip(home, cells.reachable(u, home, threshold))]
-        return pd.Series(lists)
-
-    return placed.select("id", "u", F.explode(lower("u", "home")).alias("cell"))
+def _chunk(sample: np.ndarray, threshold: float, rows: int) -> int:
+    """The rows of a part: a share of all rows, so that copies grow with the rows alone, while a task can hold two parts and its pairs."""
+    if not len(sample):
+        return CHUNK_ROWS
+    some = sample[:SLICE_ROWS]
+    share = max((some @ some.T > threshold).mean() - 1 / len(some), 1e-9)
+    most = min(CHUNK_NUMBERS // max(1, sample.shape[1]), int(np.sqrt(TASK_PAIRS / share)))
+    return max(CHUNK_ROWS, min(-(-rows // PARTS), most))
 
 
-def _parts(rows: DataFrame, chunk: int) -> DataFrame:
-    """Cut every cell into parts of about `chunk` rows. There are at most MAX_CENTRES cells."""
-    sizes = rows.groupBy("cell").agg(F.count("*").alias("n")).select("cell", F.ceil(F.col("n") / chunk).cast("int").alias("parts"))
-    parts = rows.join(F.broadcast(sizes), "cell")
-    return parts.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+@dataclass(frozen=True)
+class Parts:
+    """Rows (id, u, home, part) by parts of about `chunk` rows, and for each cell its first part and their number.
 
+    A part has whole cells that follow each other, or a share of one larger cell.
+    """
 
-def _within(rows: DataFrame, chunk: int) -> tuple[DataFrame, DataFrame]:
-    """Two sides whose parts of one cell meet once: the lower part in the first, the higher in the second."""
-    parts = _parts(rows, chunk)
-    first = parts.withColumn("y", F.explode(F.sequence("part", F.col("parts") - 1))).withColumnRenamed("part", "x")
-    second = parts.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("part")))).withColumnRenamed("part", "y")
-    return first, second
+    rows: DataFrame
+    first: np.ndarray
+    number: np.ndarray
+    total: int
+
+
+def _in_parts(placed: DataFrame, cells: Cells | None, chunk: int) -> Parts:
+    """There are at most MAX_CENTRES cells, so their sizes fit anywhere."""
+    count = 1 if cells is None else len(cells.centres)
+    first, number, part, held = np.zeros(count, int), np.ones(count, int), 0, 0
+    sizes = dict(placed.groupBy("home").count().collect())
+    for cell in range(count):
+        size = sizes.get(cell, 0)
+        if held and held + size > chunk:
+            part, held = part + 1, 0
+        first[cell], number[cell] = part, max(1, -(-size // chunk))
+        held += size
+        if size > chunk:
+            part, held = part + int(number[cell]), 0
+    total = part + 1 if held or not part else part
+    known = placed.sparkSession.createDataFrame([(c, int(first[c]), int(number[c])) for c in range(count)], "home int, _first int, _number int")
+    part_of = (F.col("_first") + F.pmod(F.xxhash64("id"), F.col("_number"))).cast("int").alias("part")
+    return Parts(placed.join(F.broadcast(known), "home").select("id", "u", "home", part_of), first, number, total)
+
+
+def _probes(probing: Parts, indexed: Parts, cells: Cells | None, threshold: float, own: bool) -> DataFrame:
+    """Rows (id, u, home, x, y, cells): for each part `y` that may hold matches, the cells they may be at home in.
+
+    Cells are those below the row's own that its bounds allow, and its own one if `own`. Within one side, parts of the own
+    cell are those up to the row's.
+    """
+    within, first_of, number_of = probing is indexed, indexed.first, indexed.number
 
+    @F.pandas_udf("array<struct<y: int, cells: array<int>>>")
+    def visits(vectors: pd.Series, homes: pd.Series, parts: pd.Series) -> pd.Series:
+        lists = []
+        for low in range(0, len(vectors), SLICE_ROWS):
+            home, part = homes.iloc[low : low + SLICE_ROWS].to_numpy(), parts.iloc[low : low + SLICE_ROWS].to_numpy()
+            if cells is not None:
+                near = cells.reachable(np.stack(vectors.iloc[low : low + SLICE_ROWS].to_numpy()), home, threshold)
+            for k, (h, x) in enumerate(zip(home, part)):
+                met = {}
+                for cell in [*(np.flatnonzero(near[k, :h]) if cells is not None else []), *([h] if own else [])]:
+                    last = first_of[cell] + number_of[cell] - 1
+                    for y in range(first_of[cell], (min(last, x) if within and cell == h else last) + 1):
+                        met.setdefault(y, []).append(int(cell))
+                lists.append([{"y": int(y), "cells": found} for y, found in met.items()])
+        return pd.Series(lists)
 
-def _across(one: DataFrame, two: DataFrame, chunk: int) -> tuple[DataFrame, DataFrame]:
-    """Two sides of which each part meets every part of the other side in its cell."""
-    one, two = _parts(one, chunk), _parts(two, chunk)
+    seen = probing.rows.select("id", "u", "home", F.col("part").alias("x"), F.explode(visits("u", "home", "part")).alias("_seen"))
+    return seen.select("id", "u", "home", "x", F.col("_seen.y").alias("y"), F.col("_seen.cells").alias("cells"))
 
-    def numbered(side, other, own, theirs):
-        n = other.select("cell", F.col("parts").alias("_n")).distinct()
-        met = side.join(F.broadcast(n), "cell")
-        return met.withColumn(theirs, F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).withColumnRenamed("part", own)
 
-    return numbered(one, two, "x", "y"), numbered(two, one, "y", "x")
+def _indexed(indexed: Parts, probing: Parts, within: bool) -> DataFrame:
+    """The rows of each part `y`, once for each part `x` that may probe it."""
+    xs = F.sequence(F.col("part") if within else F.lit(0), F.lit(probing.total - 1))
+    return indexed.rows.select("id", "u", "home", F.explode(xs).alias("x"), F.col("part").alias("y"))
 
 
 def compared_blocks(
-    left: DataFrame, right: DataFrame | None, threshold: float, chunk: int = CHUNK_ROWS
+    left: DataFrame, right: DataFrame | None, threshold: float, chunk: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """The two sides (kind, cell, x, y, id, u) of the block products that hold all pairs above the threshold, each once.
+    """The two sides (kind, cell, x, y, id, u, home, cells) of the block products that hold all pairs above the threshold, each once.
 
-    Rows at home in a cell meet each other there (kind 0) and those at home in a higher cell that may match one of them
-    (kind 1; 2 the other way round), so rows that only visit a cell are not compared with each other.
+    Part y of the first side is probed by those rows of part x of the second that may match one at home in it; their
+    `cells` tell where. Rows probe their own cell and lower ones (kind 0); across two sides the rows of the right one
+    probe the lower cells of the left one too (kind 1). A row has a copy for each part at most, and there are few parts.
     """
     wider = left if right is None else right
-    cells = _cells(wider, threshold, wider.count())
-    sides = [_at_home(side, cells) for side in ([left] if right is None else [left, right])]
-    homes = [side.select("id", "u", F.col("home").alias("cell")) for side in sides]
-    grids = [_within(homes[0], chunk) if right is None else _across(*homes, chunk)]
+    count = wider.count()
+    sample = _sampled(wider, count)
+    cells = _cells(wider, threshold, count, sample)
+    chunk = chunk or _chunk(sample, threshold, count)
+    sides = [_at_home(side, cells).select("id", "u", F.col("home").cast("int").alias("home")) for side in ([left] if right is None else [left, right])]
     if cells is not None:
         cells = _measured(cells, _union([side.select("home", "u") for side in sides]))
-        visitors = [_visitors(side, cells, threshold) for side in sides]
-        grids += [_across(home, visitor, chunk) for home, visitor in zip(homes, reversed(visitors))]
-    fields = ["cell", "x", "y", "id", "u"]
+    parts = [_in_parts(side, cells, chunk) for side in sides]
+    grids = [(_indexed(parts[-1], parts[0], right is None), _probes(parts[0], parts[-1], cells, threshold, True))]
+    if right is not None and cells is not None:
+        grids.append((_indexed(parts[0], parts[1], False), _probes(parts[1], parts[0], cells, threshold, False)))
+    fields = ["x", "y", "id", "u", "home"]
     # Fresh names for both sides: they may stem from the same table.
-    return tuple(
-        _union([grid[side].select(F.lit(kind).alias("kind"), *[F.col(f).alias(f) for f in fields]) for kind, grid in enumerate(grids)])
-        for side in (0, 1)
+    named = lambda rows, kind, more: rows.select(
+        F.lit(kind).alias("kind"), F.lit(0).alias("cell"), *[F.col(f).alias(f) for f in fields], more.alias("cells")
     )
+    first = _union([named(one, kind, F.array(F.col("home"))) for kind, (one, _) in enumerate(grids)])
+    return first, _union([named(two, kind, F.col("cells")) for kind, (_, two) in enumerate(grids)])
+
+
+def _products(a: pd.DataFrame, b: pd.DataFrame, threshold: float):
+    """Places in both, the cell and the product, of the pairs above the threshold: b's rows meet those of a at home in their cells."""
+    one, two = np.stack(a["u"].to_numpy()), np.stack(b["u"].to_numpy())
+    home, seen = a["home"].to_numpy(), np.concatenate(b["cells"].to_numpy())
+    prober = np.repeat(np.arange(len(b)), b["cells"].map(len).to_numpy())
+    # Both in the order of cells, so that those of a cell stand together.
+    rows, visits = np.argsort(home, kind="stable"), np.argsort(seen, kind="stable")
+    for cell in np.intersect1d(home, seen):
+        i = rows[slice(*np.searchsorted(home[rows], [cell, cell + 1]))]
+        j = prober[visits[slice(*np.searchsorted(seen[visits], [cell, cell + 1]))]]
+        step = max(1, TASK_PRODUCTS // len(i))
+        for low in range(0, len(j), step):
+            product = one[i] @ two[j[low : low + step]].T
+            p, q = np.nonzero(product > threshold)
+            yield i[p], j[low + q], np.full(len(p), cell), product[p, q]
 
 
 def cosine_pairs(
@@ -261,13 +329,12 @@ def cosine_pairs(
     threshold: float,
     id: str = "id",
     vector: str = "vector",
-    chunk: int = CHUNK_ROWS,
+    chunk: int | None = None,
 ) -> DataFrame:
     """Pairs (a, b, cosine) above the threshold, a < b: within `left`, or across two sides with no shared id.
 
-    Exact at any threshold. Rows meet in the cells that may hold a match only; a cell of any size is cut into parts and
-    each pair of parts is one task's block product, so no task holds more than two parts and only pairs above the
-    threshold leave it.
+    Exact at any threshold. Rows meet in the cells that may hold a match only. Cells stand together in parts and each pair
+    of parts is one task, so no task holds more than two parts and only pairs above the threshold leave it.
     """
 
     def prepared(df):
@@ -278,16 +345,15 @@ def cosine_pairs(
     first, second = compared_blocks(prepared(left), None if within else prepared(right), threshold, chunk)
 
     def product(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return pd.DataFrame({"a": [], "b": [], "cosine": []}).astype({"a": "int64", "b": "int64"})
-        cosine = np.stack(a["u"].to_numpy()) @ np.stack(b["u"].to_numpy()).T
-        i, j = np.nonzero(cosine > threshold)
-        ids_a, ids_b, values = a["id"].to_numpy()[i], b["id"].to_numpy()[j], cosine[i, j]
-        kind, _, x, y = key
-        if within and kind == 0 and x == y:
-            keep = ids_a < ids_b
-            ids_a, ids_b, values = ids_a[keep], ids_b[keep], values[keep]
-        return pd.DataFrame({"a": np.minimum(ids_a, ids_b), "b": np.maximum(ids_a, ids_b), "cosine": values})
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        if len(a) and len(b):
+            ids_a, ids_b, homes = a["id"].to_numpy(), b["id"].to_numpy(), b["home"].to_numpy()
+            for i, j, cell, values in _products(a, b, threshold):
+                one, two = ids_a[i], ids_b[j]
+                # Rows of one cell and part meet in both orders.
+                keep = (one < two) | (homes[j] != cell) if within and key[2] == key[3] else slice(None)
+                found.append((np.minimum(one, two)[keep], np.maximum(one, two)[keep], values[keep]))
+        return pd.DataFrame(dict(zip(("a", "b", "cosine"), (np.concatenate(part) for part in zip(*found)))))
 
     keys = ["kind", "cell", "x", "y"]
     return (
@@ -300,9 +366,12 @@ def semantic_groups(df: DataFrame, threshold: float = 0.98, id: str = "row_id",
 
     A row can be in several groups. Equal vectors are one node while grouping.
     """
-    rows = cut_lineage(df.select(F.col(id).alias("id"), F.col(vector).alias("_key"), F.col(vector).alias("vector")))
-    rows = rows.where(F.exists("vector", lambda x: x != 0))
-    distinct = rows.groupBy("_key").agg(F.min("id").alias("id"), F.first("vector").alias("vector"))
+    # A digest of 128 bits stands for a vector, so that vectors are neither sorted nor joined.
+    keys = [F.xxhash64(F.lit(k), F.col(vector)).alias(f"_key{k}") for k in (0, 1)]
+    rows = cut_lineage(df.select(F.col(id).alias("id"), *keys, F.col(vector).alias("vector")))
+    rows, keys = rows.where(F.exists("vector", lambda x: x != 0)), ["_key0", "_key1"]
+    copies = rows.groupBy(*keys).agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    distinct = rows.join(copies.select(*keys, F.col("first").alias("id")), [*keys, "id"], "left_semi").dropDuplicates([*keys, "id"])
     nodes = distinct.select(F.lit(0).alias("block"), "id", "vector")
 
     def find(left, right=None):
@@ -310,12 +379,11 @@ def semantic_groups(df: DataFrame, threshold: float = 0.98, id: str = "row_id",
 
     grouped = seed_members(nodes, find, all_neighbours=True, **options)
     # Copies follow their first row; a seed without neighbours is a group if it has copies.
-    copies = rows.groupBy("_key").agg(F.min("id").alias("first"), F.count("*").alias("n"))
     alone = copies.where(F.col("n") > 1).select(F.col("first").alias("id"))
     lone = alone.join(grouped.select("id").distinct(), "id", "left_anti").select(F.col("id").alias("seed"), "id")
     placed = grouped.select("seed", "id").unionByName(lone).withColumnRenamed("id", "first")
-    keyed = placed.join(copies.select("_key", "first"), "first")
-    return rows.select("id", "_key").join(keyed, ["_key"]).select("seed", "id")
+    keyed = placed.join(copies.select(*keys, "first"), "first")
+    return rows.select("id", *keys).join(keyed, keys).select("seed", "id")
 
 
 def drop_repeats(groups: DataFrame) -> DataFrame:

@@ -400,3 +400,19 @@ def test_encoded_texts(spark):
     got = {r["id"]: np.array(r["vector"]) for r in vectors.encode_text(df).collect()}
     assert np.allclose(got[1], got[2]) and got[1] @ got[2] == pytest.approx(1, abs=1e-5)
     assert got[1] @ got[3] < 0.5 and not got[4].any()
+
+
+def test_copies_of_a_vector_are_bounded_by_the_parts(spark):
+    """Rows go to parts, not to cells: the most copies of a row do not grow with the number of cells."""
+    rng = np.random.default_rng(5)
+    # Near pairs among vectors without clusters: bounds spare few cells.
+    nodes = unit_nodes(spark, [(i, rng.normal(size=16).tolist()) for i in range(4000)])
+    first, second = vectors.compared_blocks(nodes, None, 0.9)
+    assert first.count() + second.count() <= 4000 * (1 + -(-4000 // vectors.CHUNK_ROWS) + 1)
+
+
+def test_equal_vectors_are_one_node_by_their_digest(spark):
+    rows = [(i, [1.0, float(i % 3 == 0), 0.0]) for i in range(12)]
+    df = spark.createDataFrame(rows, "id bigint, vector array<double>")
+    got = {(r["seed"], r["id"]) for r in vectors.semantic_groups(df, 0.98, "id").collect()}
+    assert got == {(i % 3 > 0, i) for i in range(12)}
