@@ -10,10 +10,13 @@ from __future__ import annotations
 import re
 from difflib import SequenceMatcher
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pathwarden.functions.batches import ratios
+
 SCORERS = ("levenshtein", "ratio", "ratio_plain", "weighted")
 
 
@@ -66,6 +69,9 @@ def _token_scores(a: str, b: str, scorer) -> int:
     """The better of the sorted-token score and of the shared-token scores."""
     by_order = scorer(" ".join(sorted(a.split())), " ".join(sorted(b.split())))
     left, right = set(a.split()), set(b.split())
+    # The scores of equal texts are 100, and no score is higher.
+    if by_order == 100 or left <= right or right <= left:
+        return 100
     shared = " ".join(sorted(left & right))
     with_left = (shared + " " + " ".join(sorted(left - right))).strip()
     with_right = (shared + " " + " ".join(sorted(right - left))).strip()
@@ -91,22 +97,51 @@ def plain_ratio(a: str, b: str) -> int:
     return _ratio(_plain(a), _plain(b))
 
 
+def _nearly_equal(a: str, b: str) -> int:
+    """The ratio where it may round to 100, else 0."""
+    matcher = SequenceMatcher(None, a, b)
+    return _ratio(a, b) if a == b or min(matcher.real_quick_ratio(), matcher.quick_ratio()) >= 0.99 else 0
+
+
+def weighted_scores(a: list[str], b: list[str], least: int = 0) -> list[int]:
+    """The composite scores of pairs: exact from `least` on, any lower number below it."""
+    if least <= 94:
+        return [weighted_score(x, y) for x, y in zip(a, b)]
+    # Texts of unlike lengths stay below 91, token scores under 100 below 95, and none of them exceeds a ratio of 95.
+    plain = {text: _plain(text) for text in {*a, *b}}
+    left, right = [plain[x] for x in a], [plain[y] for y in b]
+    like = [bool(p and q) and max(len(p), len(q)) < 1.5 * min(len(p), len(q)) for p, q in zip(left, right)]
+    scores, at = [0] * len(like), [k for k, yes in enumerate(like) if yes]
+    for k, base in zip(at, ratios([left[k] for k in at], [right[k] for k in at]).tolist()):
+        scores[k] = base
+        if base < 95 and least == 95 and _token_scores(left[k], right[k], _nearly_equal) == 100:
+            scores[k] = 95
+    return scores
+
+
+_BATCH_SCORERS = {
+    "ratio": lambda a, b, least: ratios(a, b),
+    "ratio_plain": lambda a, b, least: ratios([_plain(x) for x in a], [_plain(y) for y in b]),
+    "weighted": weighted_scores,
+}
 _PYTHON_SCORERS = {"ratio": _ratio, "ratio_plain": plain_ratio, "weighted": weighted_score}
 
 
-def score_of(a: Column, b: Column, scorer: str) -> Column:
-    """The score of two text columns."""
+def score_of(a: Column, b: Column, scorer: str, least: int = 0) -> Column:
+    """The score of two text columns; of scores below `least` only that they are is known."""
     if scorer == "levenshtein":
         return levenshtein_score(a, b)
-    compare = _PYTHON_SCORERS[scorer]
+    compare = _BATCH_SCORERS[scorer]
 
     @F.pandas_udf(T.IntegerType())
     def scores(left, right):
         import pandas as pd
 
-        missing = left.isna() | right.isna()
-        values = [0 if m else compare(x, y) for x, y, m in zip(left, right, missing)]
-        return pd.Series(values, dtype="int32")
+        known = (left.notna() & right.notna()).to_numpy()
+        values = np.zeros(len(known), np.int32)
+        if known.any():
+            values[known] = compare(left[known].tolist(), right[known].tolist(), least)
+        return pd.Series(values)
 
     return scores(a, b)
 

@@ -91,7 +91,7 @@ def similar_path_pairs(
 ) -> DataFrame:
     """Row pairs (block, a, b, name_score, path_score) whose names and paths both reach the cutoffs."""
     nodes = df.select(F.col(block).alias("block"), F.col(order).alias("id"), F.col("NAME").alias("name"), F.col("HIERARCHY").alias("path"))
-    pairs = similar_pairs(nodes.dropna(), scorer=scorer, name_cutoff=name_cutoff, path_cutoff=path_cutoff)
+    pairs = similar_pairs(nodes.dropna(), scorer=scorer, name_cutoff=name_cutoff, path_cutoff=path_cutoff, bare=True)
     return pairs.select("block", "a", "b", "name_score", "path_score")
 
 
@@ -99,7 +99,7 @@ def _similar_groups(nodes: DataFrame, scorer: str, name_cutoff: int, path_cutoff
     """Groups (block, seed, id) of nodes (block, id, name, path). Full copies are one node while grouping."""
     nodes = cut_lineage(nodes.dropna())
     distinct = nodes.groupBy("block", "name", "path").agg(F.min("id").alias("id"))
-    find = partial(similar_pairs, scorer=scorer, name_cutoff=name_cutoff, path_cutoff=path_cutoff, name_block=name_block)
+    find = partial(similar_pairs, scorer=scorer, name_cutoff=name_cutoff, path_cutoff=path_cutoff, name_block=name_block, bare=True)
     grouped = seed_members(distinct, find, **options)
     # A copy is similar to whatever its first row is similar to, and to that row.
     first = nodes.groupBy("block", "name", "path").agg(F.min("id").alias("first"), F.count("*").alias("copies"))
@@ -188,7 +188,7 @@ def static_detection(
     rows = found.select(*df.columns)
     # Rows are visited in the order of the name groups, as they were found there.
     nodes = cut_lineage(stripped_nodes(found, list(removed), block, order, ["group", "rank"]).dropna())
-    pairs = similar_pairs(nodes, scorer=pair_scorer, name_cutoff=path_cutoff, path_cutoff=path_cutoff, name_block="block.level")
+    pairs = similar_pairs(nodes, scorer=pair_scorer, name_cutoff=path_cutoff, path_cutoff=path_cutoff, name_block="block.level", bare=True)
     visited = nodes.select("block", "id", (F.col("group") * (k + 1) + F.col("rank")).alias("place"))
     groups = ordered_groups(pairs, visited).select(F.col("block.removed").alias("levels"), "seed", F.col("id").alias(order))
     placed = rows.join(groups, [order])

@@ -20,8 +20,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pathwarden.functions.batches import BATCH_SCORERS
 from pathwarden.functions.similarity import plain_text, score_of, sorted_tokens
-from pathwarden.operators.text_blocks import near_pairs
+from pathwarden.operators.text_blocks import near_pairs, scored_pairs, task_count
 
 TINY = 1e-9
 #: The texts that tell whether keys are worthwhile, and the candidates they may give for each pair of a block.
@@ -176,8 +177,8 @@ def _families(scorer: str, cutoff: int) -> list[tuple[Column, str, int]]:
     return [(plain, "ratio", cutoff), *(by_token if token_cutoff <= 100 else [])]
 
 
-def _candidates(left: DataFrame, right: DataFrame | None, family: tuple, scorer: str) -> list[DataFrame]:
-    """The (block, a, b) whose names pass the JVM checks."""
+def _candidates(left: DataFrame, right: DataFrame | None, family: tuple, scorer: str, by_keys: bool = False) -> list[DataFrame]:
+    """The (block, a, b) whose names pass the JVM checks, `by_keys` if crowded ones are compared elsewhere."""
     text, kind, cutoff = family
 
     def thinned(side):
@@ -187,7 +188,7 @@ def _candidates(left: DataFrame, right: DataFrame | None, family: tuple, scorer:
 
     sides = [thinned(left)] if right is None else [thinned(left), thinned(right)]
     parts = []
-    if kind != "token" and dict(left.dtypes)["id"] in ("int", "bigint"):
+    if not by_keys and kind != "token" and dict(left.dtypes)["id"] in ("int", "bigint"):
         crowded = _crowded(sides, kind, cutoff)
         in_parts, sides = [side.where(crowded) for side in sides], [side.where(~crowded) for side in sides]
         parts = [near_pairs(in_parts[0], None if right is None else in_parts[1], _needed(kind, cutoff), _reach(kind, cutoff))]
@@ -215,7 +216,14 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 
 def _pairs_by_name(
-    left: DataFrame, right: DataFrame | None, scorer: str, name_cutoff: int, path_cutoff: int, name_block: str, fields: list[str]
+    left: DataFrame,
+    right: DataFrame | None,
+    scorer: str,
+    name_cutoff: int,
+    path_cutoff: int,
+    name_block: str,
+    fields: list[str],
+    by_keys: bool = False,
 ) -> DataFrame:
     """The (block, a, b) of rows whose names and paths pass the JVM checks, with the fields of both.
 
@@ -231,7 +239,7 @@ def _pairs_by_name(
     ]
     names = _union(rows).groupBy("_in", "name").agg(F.min("id").alias("_name"))
     nodes = names.select(F.col("_in").alias("block"), F.col("_name").alias("id"), "name")
-    near = _union([p for family in _families(scorer, name_cutoff) for p in _candidates(nodes, None, family, scorer)]).distinct()
+    near = _union([p for family in _families(scorer, name_cutoff) for p in _candidates(nodes, None, family, scorer, by_keys)]).distinct()
     near = near.select(F.col("block").alias("_in"), F.col("a").alias("_x"), F.col("b").alias("_y"))
     own = names.select("_in", F.col("_name").alias("_x"), F.col("_name").alias("_y"))
     own = names.select("_in", F.col("_name").alias("_x"), F.col("_name").alias("_y"))
@@ -255,6 +263,27 @@ def _pairs_by_name(
     return pairs.select("block", "a", "b", *[F.col(f"_{side}.{f}").alias(f"{side}_{f}") for side in "ab" for f in fields])
 
 
+def _scored_rows(
+    left: DataFrame, right: DataFrame | None, scorer: str, name_cutoff: int, path_cutoff: int, name_block: str
+) -> DataFrame:
+    """The (block, a, b, name_score, path_score) that reach both cutoffs; crowded names are scored in the tasks where they meet."""
+    sides = [left] if right is None else [left, right]
+    copies = _union(sides).groupBy("block", "id").agg(F.count("*").alias("copies"))
+    sides = [side.withColumn("name_block", F.expr(name_block)).join(copies, ["block", "id"]) for side in sides]
+    names = _union(sides).groupBy("name_block", "name").agg(F.min("id").alias("id"))
+    crowded = _crowded([names.select(F.col("name_block").alias("block"), "id", F.col("name").alias("text"))], scorer, name_cutoff)
+    in_parts, spread = [side.where(crowded) for side in sides], [side.where(~crowded).drop("copies") for side in sides]
+    reach, needed = _reach(scorer, name_cutoff), _needed(scorer, name_cutoff)
+    met = scored_pairs(in_parts[0], None if right is None else in_parts[1], scorer, (name_cutoff, path_cutoff), needed, reach)
+    near = _pairs_by_name(spread[0], None if right is None else spread[1], scorer, name_cutoff, path_cutoff, name_block, ["name", "path"], True)
+    return met.unionByName(_scored(near, scorer, name_cutoff, path_cutoff).select(*met.columns))
+
+
+def _scored(pairs: DataFrame, scorer: str, name_cutoff: int, path_cutoff: int) -> DataFrame:
+    pairs = pairs.withColumn("name_score", score_of(F.col("a_name"), F.col("b_name"), scorer, name_cutoff)).where(F.col("name_score") >= name_cutoff)
+    return pairs.withColumn("path_score", score_of(F.col("a_path"), F.col("b_path"), scorer, path_cutoff)).where(F.col("path_score") >= path_cutoff)
+
+
 def similar_pairs(
     left: DataFrame,
     right: DataFrame | None = None,
@@ -264,6 +293,7 @@ def similar_pairs(
     path_cutoff: int | None = None,
     extra: tuple[str, ...] = (),
     name_block: str = "block",
+    bare: bool = False,
 ) -> DataFrame:
     """Pairs of one block whose names (and paths) reach the cutoffs, each once.
 
@@ -272,19 +302,22 @@ def similar_pairs(
     name_score, ...) with a < b. Scores compare a's text with b's; where that is not symmetric, `name_score_back`
     compares b's with a's, and a pair is kept if either reaches the cutoff. Where a name's rows are in several blocks,
     `name_block` is what these share, an expression of `block`: names are compared there, once.
+    With paths, `bare` asks for (block, a, b, name_score, path_score) only.
     """
-    if path_cutoff is None:
-        pairs = _union([p for family in _families(scorer, name_cutoff) for p in _candidates(left, right, family, scorer)]).distinct()
-        nodes = left if right is None else left.unionByName(right)
-        for side in ("a", "b"):
-            own = nodes.select("block", F.col("id").alias(side), *[F.col(f).alias(f"{side}_{f}") for f in ("name", *extra)])
-            pairs = pairs.join(own, ["block", side])
-    else:
+    if path_cutoff is not None:
+        if bare and scorer in BATCH_SCORERS and dict(left.dtypes)["id"] in ("int", "bigint"):
+            return _scored_rows(left, right, scorer, name_cutoff, path_cutoff, name_block)
         pairs = _pairs_by_name(left, right, scorer, name_cutoff, path_cutoff, name_block, ["name", "path", *extra])
+        back = F.col("name_score") if scorer == "levenshtein" else score_of(F.col("b_name"), F.col("a_name"), scorer)
+        scored = _scored(pairs, scorer, name_cutoff, path_cutoff)
+        return scored.select("block", "a", "b", "name_score", "path_score") if bare else scored.withColumn("name_score_back", back)
+    nodes = left if right is None else left.unionByName(right)
+    own = lambda side, fields: nodes.select("block", F.col("id").alias(side), *[F.col(f).alias(f"{side}_{f}") for f in fields])
+    pairs = _union([p for family in _families(scorer, name_cutoff) for p in _candidates(left, right, family, scorer)]).distinct()
+    # Scores are much work on few bytes, whose sizes must not tell how many tasks there are.
+    pairs = pairs.join(own("a", ("name", *extra)), ["block", "a"]).repartition(task_count(left.sparkSession), "block", "b")
+    pairs = pairs.join(own("b", ("name", *extra)), ["block", "b"])
     a, b = F.col("a_name"), F.col("b_name")
-    pairs = pairs.withColumn("name_score", score_of(a, b, scorer))
-    pairs = pairs.withColumn("name_score_back", F.col("name_score") if scorer == "levenshtein" else score_of(b, a, scorer))
-    if path_cutoff is None:
-        return pairs.where(F.greatest("name_score", "name_score_back") >= name_cutoff)
-    pairs = pairs.where(F.col("name_score") >= name_cutoff).withColumn("path_score", score_of(F.col("a_path"), F.col("b_path"), scorer))
-    return pairs.where(F.col("path_score") >= path_cutoff)
+    pairs = pairs.withColumn("name_score", score_of(a, b, scorer, name_cutoff))
+    pairs = pairs.withColumn("name_score_back", F.col("name_score") if scorer == "levenshtein" else score_of(b, a, scorer, name_cutoff))
+    return pairs.where(F.greatest("name_score", "name_score_back") >= name_cutoff)

@@ -12,16 +12,22 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pathwarden.functions.batches import BATCH_SCORERS
+
 #: A part has about so many texts, and so many characters, at most.
 PART_ROWS = 2_048
 PART_CHARS = 1_000_000
 #: Texts that advance together, and numbers that they may hold.
 TOGETHER = 16
 HELD = 500_000
+#: Row pairs of like names that are scored together, about.
+SCORED = 200_000
+#: Tasks for each core: a few bytes of texts are much work, so their sizes must not tell how many tasks there are.
+TASKS_A_CORE = 4
 
 #: From the lengths of two texts to the least common length that lets them match.
 Needed = Callable[[np.ndarray, np.ndarray], np.ndarray]
@@ -95,26 +101,36 @@ def _parts(rows: DataFrame, rows_a_part: int) -> DataFrame:
     return placed.withColumn("part", F.pmod(F.xxhash64("id", "text"), F.col("parts")).cast("int"))
 
 
-def near_pairs(left: DataFrame, right: DataFrame | None, needed: Needed, reach: float, rows_a_part: int = PART_ROWS) -> DataFrame:
-    """Pairs (block, a, b), a <= b, of rows (block, id, text) of one block: within `left`, or across two sides."""
-    within = right is None
-    kind, block = left.schema["id"].dataType, left.select("block").schema
+def task_count(spark: SparkSession) -> int:
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), TASKS_A_CORE * spark.sparkContext.defaultParallelism)
 
-    def coded(side):
-        rows = side.where(F.col("block").isNotNull() & F.col("text").isNotNull())
-        # A block may be a struct: its text stands for it.
-        return rows.select(F.to_json(F.struct("block")).alias("code"), F.col("id").cast("bigint").alias("id"), "text")
 
-    one = _parts(coded(left), rows_a_part)
-    two = one if within else _parts(coded(right), rows_a_part)
-    if within:
+def _met(left: DataFrame, right: DataFrame | None, rows_a_part: int, fields: list[str]) -> tuple:
+    """Both sides (code, x, y, fields) of the products of parts, grouped, each product in one of many tasks."""
+    one = _parts(left, rows_a_part)
+    if right is None:
         first = one.withColumn("y", F.explode(F.sequence("part", F.col("parts") - 1))).withColumnRenamed("part", "x")
         second = one.withColumn("x", F.explode(F.sequence(F.lit(0), "part"))).withColumnRenamed("part", "y")
     else:
+        two = _parts(right, rows_a_part)
         met = lambda side: side.select("code", F.col("parts").alias("_n")).distinct()
         others = F.explode(F.sequence(F.lit(0), F.col("_n") - 1))
         first = one.join(met(two), "code").withColumn("y", others).withColumnRenamed("part", "x")
         second = two.join(met(one), "code").withColumn("x", others).withColumnRenamed("part", "y")
+    keys, tasks = ["code", "x", "y"], task_count(left.sparkSession)
+    named = lambda side: side.select(*[F.col(f).alias(f) for f in [*keys, *fields]]).repartition(tasks, *keys)
+    return named(first).groupBy(*keys), named(second).groupBy(*keys)
+
+
+def near_pairs(left: DataFrame, right: DataFrame | None, needed: Needed, reach: float, rows_a_part: int = PART_ROWS) -> DataFrame:
+    """Pairs (block, a, b), a <= b, of rows (block, id, text) of one block: within `left`, or across two sides."""
+    within = right is None
+    kind, block = left.schema["id"].dataType, left.select("block").schema
+
+    def coded(side):
+        rows = side.where(F.col("block").isNotNull() & F.col("text").isNotNull())
+        # A block may be a struct: its text stands for it.
+        return rows.select(F.to_json(F.struct("block")).alias("code"), F.col("id").cast("bigint").alias("id"), "text")
 
     def product(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         found = []
@@ -129,8 +145,108 @@ def near_pairs(left: DataFrame, right: DataFrame | None, needed: Needed, reach:
                     found.append((key[0], np.minimum(ids, others)[keep], np.maximum(ids, others)[keep]))
         return pd.DataFrame(found, columns=["code", "a", "b"])
 
-    keys, fields = ["code", "x", "y"], ["code", "x", "y", "id", "text"]
-    sides = [side.select(*[F.col(f).alias(f) for f in fields]).groupBy(*keys) for side in (first, second)]
+    sides = _met(coded(left), None if within else coded(right), rows_a_part, ["id", "text"])
     lists = sides[0].cogroup(sides[1]).applyInPandas(product, "code string, a array<bigint>, b array<bigint>")
     named = lists.select(F.from_json("code", T.StructType(block.fields))["block"].alias("block"), F.explode(F.arrays_zip("a", "b")).alias("_pair"))
     return named.select("block", F.col("_pair.a").cast(kind).alias("a"), F.col("_pair.b").cast(kind).alias("b"))
+
+
+class Named:
+    """The rows of a part, by their distinct names."""
+
+    def __init__(self, part: pd.DataFrame):
+        numbers, self.names = pd.factorize(part["text"])
+        self.texts = Texts(pd.DataFrame({"id": np.arange(len(self.names)), "text": self.names}))
+        self.rows = np.argsort(numbers, kind="stable")
+        self.count = np.bincount(numbers, minlength=len(self.names))
+        self.start = np.cumsum(self.count) - self.count
+        self.ids, self.copies = part["id"].to_numpy(), part["copies"].to_numpy()
+        self.names, self.paths, self.blocks = self.names.to_numpy(object), part["path"].to_numpy(object), part["within"].to_numpy(object)
+
+
+def _row_pairs(one: Named, i: np.ndarray, two: Named, j: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The rows of names that met: the place of the pair of names, a row of the first name and one of the second."""
+    sizes = one.count[i] * two.count[j]
+    cuts = np.searchsorted(np.cumsum(sizes), np.arange(SCORED, sizes.sum() + SCORED, SCORED))
+    for at in np.split(np.arange(len(i)), np.unique(cuts)):
+        pair = np.repeat(at, sizes[at])
+        place = np.arange(len(pair)) - np.repeat(np.cumsum(sizes[at]) - sizes[at], sizes[at])
+        width = two.count[j[pair]]
+        yield pair, one.rows[one.start[i[pair]] + place // width], two.rows[two.start[j[pair]] + place % width]
+
+
+def scored_pairs(
+    left: DataFrame,
+    right: DataFrame | None,
+    scorer: str,
+    cutoffs: tuple[int, int],
+    needed: Needed,
+    reach: float,
+    rows_a_part: int = PART_ROWS,
+) -> DataFrame:
+    """Pairs (block, a, b, name_score, path_score), a < b, of rows (block, name_block, id, name, path, copies) of one block.
+
+    Names meet once in each pair of parts, whatever the number of their paths. What passes is scored where it met, so
+    only pairs that reach both cutoffs leave a task, as often as the product of the copies of both rows says.
+    """
+    within, score = right is None, BATCH_SCORERS[scorer]
+    kind, block = left.schema["id"].dataType, left.select("block").schema
+
+    def coded(side):
+        code = lambda column: F.to_json(F.struct(column))
+        rows = side.dropna(subset=["block", "name_block", "id", "name", "path"])
+        return rows.select(
+            code("name_block").alias("code"), code("block").alias("within"), F.col("id").cast("bigint").alias("id"), F.col("name").alias("text"), "path", "copies"
+        )
+
+    def scored(one, two, i, j, same):
+        """(block, a, b, name_score, path_score, times) of the rows of the names that met."""
+        for pair, r, s in _row_pairs(one, i, two, j):
+            keep = (one.blocks[r] == two.blocks[s]) & (one.ids[r] != two.ids[s])
+            keep &= (i[pair] != j[pair]) | (r < s) if same else True
+            pair, r, s = pair[keep], r[keep], s[keep]
+            ahead = one.ids[r] < two.ids[s]
+            # A pair of names is scored once in each order that its rows ask for.
+            asked, at = np.unique(pair * 2 + ahead, return_inverse=True)
+            x, y = one.names[i[asked // 2]], two.names[j[asked // 2]]
+            turned = asked % 2 == 0
+            names = score(np.where(turned, y, x).tolist(), np.where(turned, x, y).tolist())[at]
+            some = np.flatnonzero(names >= cutoffs[0])
+            r, s, ahead, names = r[some], s[some], ahead[some], names[some]
+            x, y = one.paths[r], two.paths[s]
+            paths = score(np.where(ahead, x, y).tolist(), np.where(ahead, y, x).tolist())
+            some = np.flatnonzero(paths >= cutoffs[1])
+            r, s, names, paths = r[some], s[some], names[some], paths[some]
+            ids, others, times = one.ids[r], two.ids[s], one.copies[r] * two.copies[s]
+            yield one.blocks[r], *(np.repeat(c, times) for c in (np.minimum(ids, others), np.maximum(ids, others), names, paths)), times
+
+    def product(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        if len(a) and len(b):
+            one = Named(a)
+            two = one if within and key[1] == key[2] else Named(b)
+            held: list = []
+
+            def flush():
+                if held:
+                    i, j = (np.concatenate(side) for side in zip(*held))
+                    for blocks, *columns, times in scored(one, two, i, j, two is one):
+                        blocks = np.repeat(blocks, times)
+                        found.extend((code, *(c[blocks == code] for c in columns)) for code in pd.unique(blocks))
+                    held.clear()
+
+            for i, j in near_texts(one.texts, two.texts, needed, reach):
+                keep = (i <= j) if two is one else slice(None)
+                held.append((one.texts.ids[i[keep]], two.texts.ids[j[keep]]))
+                if sum(len(side[0]) for side in held) > SCORED:
+                    flush()
+            flush()
+        return pd.DataFrame(found, columns=["within", "a", "b", "name_score", "path_score"])
+
+    sides = _met(coded(left), None if within else coded(right), rows_a_part, ["within", "id", "text", "path", "copies"])
+    columns = "within string, a array<bigint>, b array<bigint>, name_score array<int>, path_score array<int>"
+    lists = sides[0].cogroup(sides[1]).applyInPandas(product, columns)
+    pairs = lists.select(
+        F.from_json("within", T.StructType(block.fields))["block"].alias("block"), F.explode(F.arrays_zip("a", "b", "name_score", "path_score")).alias("_pair")
+    )
+    return pairs.select("block", F.col("_pair.a").cast(kind).alias("a"), F.col("_pair.b").cast(kind).alias("b"), "_pair.name_score", "_pair.path_score")
