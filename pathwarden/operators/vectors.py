@@ -17,6 +17,7 @@ from pathwarden.functions.paths import strip_own_code
 from pathwarden.functions.text import bucket_level_name, compose_text
 from pathwarden.operators.grouping import seed_members
 from pathwarden.operators.rows import drop_groups, outside_root, tag_constant
+from pathwarden.operators.text_blocks import task_count
 from pathwarden.session import cut_lineage
 
 #: Parts of rows that meet in tasks: their least rows, how many there are before they grow, and their numbers at most.
@@ -432,6 +433,9 @@ def semantic_outliers(df: DataFrame, below: float = 0.27, vector: str | None = N
     A row can be listed under both reasons.
     """
     rows = drop_groups(df.withColumn("LEVEL_NAME", bucket_level_name(F.col("LEVEL_NAME"))))
+    if vector is None:
+        # Encoding is much work on few bytes: a small file must not be one task's, nor a filter move back into it.
+        rows = cut_lineage(rows.repartition(task_count(df.sparkSession)))
     outside = tag_constant(outside_root(rows), reason="outside root")
     text = compose_text([F.col(c) for c in ("NAME", "HIERARCHY", "LEVEL_NAME")])
     encoded = encode_text(rows.withColumn("text", text), "text", "_vector") if vector is None else rows.withColumn("_vector", F.col(vector))
