@@ -406,6 +406,9 @@ def semantic_duplicates(
 
     Without a vector column the text is encoded. `repeats=False` lists a row once.
     """
+    if vector is None:
+        # As in `semantic_outliers`, encoding is much work on few bytes.
+        df = df.repartition(task_count(df.sparkSession))
     described = semantic_text(df)
     encoded = encode_text(described, "text", "_vector") if vector is None else described.withColumn("_vector", F.col(vector))
     groups = semantic_groups(encoded, threshold, order, "_vector", **options)

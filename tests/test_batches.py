@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pathwarden.functions import similarity
 from pathwarden.functions.batches import edit_distances, ratios
-from pathwarden.operators import similarity_join, text_blocks
+from pathwarden.operators import similarity_join, text_blocks, vectors
 from pathwarden.operators.similarity_join import similar_pairs
 
 
@@ -75,3 +75,16 @@ def test_scores_are_spread_over_tasks(spark):
     for pairs in (met, scored):
         assert pairs.count() == 64 * 63 // 2
         assert pairs.select(F.spark_partition_id().alias("p")).distinct().count() > 4
+
+
+def test_texts_of_one_file_are_encoded_in_many_tasks(spark, monkeypatch):
+    rows = [(i, f"place {i}", f"C{i}", f"ALL#C{i}", "CITY", False, "N1", 2) for i in range(200)]
+    names = "row_id long, NAME string, CODE string, HIERARCHY string, LEVEL_NAME string, IS_GROUP boolean, PARENT string, LEVEL_NUMBER int"
+    df = spark.createDataFrame(rows, names).withColumn("OFFICIAL_LEVEL_NAME", F.col("LEVEL_NAME")).coalesce(1)
+    low = vectors.semantic_outliers(df, below=2.0)
+    assert low.count() == 200 and low.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    seen = []
+    whole = vectors.semantic_groups
+    monkeypatch.setattr(vectors, "semantic_groups", lambda encoded, *a, **b: seen.append(encoded) or whole(encoded, *a, **b))
+    assert vectors.semantic_duplicates(df, order="row_id") is not None
+    assert seen[0].select(F.spark_partition_id().alias("p")).distinct().count() > 1
