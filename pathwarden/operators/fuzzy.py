@@ -99,7 +99,7 @@ def _similar_groups(nodes: DataFrame, scorer: str, name_cutoff: int, path_cutoff
     """Groups (block, seed, id) of nodes (block, id, name, path). Full copies are one node while grouping."""
     nodes = cut_lineage(nodes.dropna())
     distinct = nodes.groupBy("block", "name", "path").agg(F.min("id").alias("id"))
-    find = partial(similar_pairs, scorer=scorer, name_cutoff=name_cutoff, path_cutoff=path_cutoff, name_block=name_block, bare=True)
+    find = partial(similar_pairs, scorer=scorer, name_cutoff=name_cutoff, path_cutoff=path_cutoff, name_block=name_block, bare=True, now=True)
     grouped = seed_members(distinct, find, **options)
     # A copy is similar to whatever its first row is similar to, and to that row.
     first = nodes.groupBy("block", "name", "path").agg(F.min("id").alias("first"), F.count("*").alias("copies"))

@@ -173,7 +173,7 @@ def seed_members(
     while left > peel_above:
         heads = fix_layout(top_k(remaining, ["block"], [F.col("id")], head))
         opening = fix_layout(heads.join(covered_nodes(find_pairs(heads)), ["block", "id"], "left_anti"))
-        others = remaining.join(opening.select("block", "id"), ["block", "id"], "left_anti")
+        others = fix_layout(remaining.join(opening.select("block", "id"), ["block", "id"], "left_anti"))
         taken = fix_layout(find_pairs(opening, others).select("block", "a", "b"))
         # A pair's smaller node is the seed: every seed of this head precedes what it takes,
         # except a head node covered by a smaller seed and similar to a larger one.

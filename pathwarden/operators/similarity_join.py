@@ -8,7 +8,8 @@ row is fetched for those alone. The joins are plain ones, so a key that many tex
 skew handling.
 
 Where a sample shows that the keys bring most texts of a block together, the texts are compared in parts instead (see
-text_blocks.py); the choice is made as the query runs and does not touch the result. Nothing runs while the plan is built.
+text_blocks.py); the choice is made as the query runs and does not touch the result. Nothing runs while the plan is built,
+unless the caller asks for the choice `now`: a plan with both ways grows with every step that reads from it.
 """
 
 from __future__ import annotations
@@ -120,7 +121,7 @@ def _reach(scorer: str, cutoff: float) -> float:
     return 1 / (1 - c) if scorer == "levenshtein" else (1 + c) / (1 - c)
 
 
-def _crowded(sides: list[DataFrame], scorer: str, cutoff: float) -> Column:
+def _crowded(sides: list[DataFrame], scorer: str, cutoff: float, now: bool = False) -> Column | bool:
     """Whether keys bring many texts of a block together that need not match, by a bounded sample of them."""
     some = [side.orderBy(F.xxhash64("id", "text"), "id").limit(SAMPLE_TEXTS) for side in sides]
     counts = lambda rows, key, name: rows.groupBy(key).agg(F.count("*").alias(name))
@@ -129,7 +130,7 @@ def _crowded(sides: list[DataFrame], scorer: str, cutoff: float) -> Column:
     pairs = counts(some[0], "block", "n").join(counts(some[-1], "block", "m"), "block")
     pairs = pairs.select(F.lit(0).alias("met"), (F.col("n") * F.col("m") / (2 if len(sides) == 1 else 1)).alias("all"))
     total = met.unionByName(pairs).agg(F.sum("met") > CROWDED * F.sum("all"))
-    return F.coalesce(total.scalar(), F.lit(False))
+    return bool(total.first()[0]) if now else F.coalesce(total.scalar(), F.lit(False))
 
 
 def _tokens(text: Column) -> Column:
@@ -177,7 +178,7 @@ def _families(scorer: str, cutoff: int) -> list[tuple[Column, str, int]]:
     return [(plain, "ratio", cutoff), *(by_token if token_cutoff <= 100 else [])]
 
 
-def _candidates(left: DataFrame, right: DataFrame | None, family: tuple, scorer: str, by_keys: bool = False) -> list[DataFrame]:
+def _candidates(left: DataFrame, right: DataFrame | None, family: tuple, scorer: str, by_keys: bool = False, now: bool = False) -> list[DataFrame]:
     """The (block, a, b) whose names pass the JVM checks, `by_keys` if crowded ones are compared elsewhere."""
     text, kind, cutoff = family
 
@@ -189,9 +190,13 @@ def _candidates(left: DataFrame, right: DataFrame | None, family: tuple, scorer:
     sides = [thinned(left)] if right is None else [thinned(left), thinned(right)]
     parts = []
     if not by_keys and kind != "token" and dict(left.dtypes)["id"] in ("int", "bigint"):
-        crowded = _crowded(sides, kind, cutoff)
-        in_parts, sides = [side.where(crowded) for side in sides], [side.where(~crowded) for side in sides]
-        parts = [near_pairs(in_parts[0], None if right is None else in_parts[1], _needed(kind, cutoff), _reach(kind, cutoff))]
+        crowded, in_parts = _crowded(sides, kind, cutoff, now), sides
+        if not now:
+            in_parts, sides = [side.where(crowded) for side in sides], [side.where(~crowded) for side in sides]
+        if not now or crowded:
+            parts = [near_pairs(in_parts[0], None if right is None else in_parts[1], _needed(kind, cutoff), _reach(kind, cutoff))]
+        if now and crowded:
+            return parts
     found = []
     for indexed, probed in [(0, 0)] if right is None else [(0, 1), (1, 0)]:
         if kind == "token":
@@ -264,19 +269,27 @@ def _pairs_by_name(
 
 
 def _scored_rows(
-    left: DataFrame, right: DataFrame | None, scorer: str, name_cutoff: int, path_cutoff: int, name_block: str
+    left: DataFrame, right: DataFrame | None, scorer: str, name_cutoff: int, path_cutoff: int, name_block: str, now: bool
 ) -> DataFrame:
     """The (block, a, b, name_score, path_score) that reach both cutoffs; crowded names are scored in the tasks where they meet."""
     sides = [left] if right is None else [left, right]
     copies = _union(sides).groupBy("block", "id").agg(F.count("*").alias("copies"))
     sides = [side.withColumn("name_block", F.expr(name_block)).join(copies, ["block", "id"]) for side in sides]
     names = _union(sides).groupBy("name_block", "name").agg(F.min("id").alias("id"))
-    crowded = _crowded([names.select(F.col("name_block").alias("block"), "id", F.col("name").alias("text"))], scorer, name_cutoff)
-    in_parts, spread = [side.where(crowded) for side in sides], [side.where(~crowded).drop("copies") for side in sides]
-    reach, needed = _reach(scorer, name_cutoff), _needed(scorer, name_cutoff)
-    met = scored_pairs(in_parts[0], None if right is None else in_parts[1], scorer, (name_cutoff, path_cutoff), needed, reach)
-    near = _pairs_by_name(spread[0], None if right is None else spread[1], scorer, name_cutoff, path_cutoff, name_block, ["name", "path"], True)
-    return met.unionByName(_scored(near, scorer, name_cutoff, path_cutoff).select(*met.columns))
+    crowded = _crowded([names.select(F.col("name_block").alias("block"), "id", F.col("name").alias("text"))], scorer, name_cutoff, now)
+    reach, needed, cutoffs = _reach(scorer, name_cutoff), _needed(scorer, name_cutoff), (name_cutoff, path_cutoff)
+
+    def in_parts(sides):
+        return scored_pairs(sides[0], None if right is None else sides[1], scorer, cutoffs, needed, reach)
+
+    def by_keys(sides):
+        sides = [side.drop("copies") for side in sides]
+        near = _pairs_by_name(sides[0], None if right is None else sides[1], scorer, *cutoffs, name_block, ["name", "path"], True)
+        return _scored(near, scorer, *cutoffs).select("block", "a", "b", "name_score", "path_score")
+
+    if now:
+        return in_parts(sides) if crowded else by_keys(sides)
+    return in_parts([side.where(crowded) for side in sides]).unionByName(by_keys([side.where(~crowded) for side in sides]))
 
 
 def _scored(pairs: DataFrame, scorer: str, name_cutoff: int, path_cutoff: int) -> DataFrame:
@@ -294,6 +307,7 @@ def similar_pairs(
     extra: tuple[str, ...] = (),
     name_block: str = "block",
     bare: bool = False,
+    now: bool = False,
 ) -> DataFrame:
     """Pairs of one block whose names (and paths) reach the cutoffs, each once.
 
@@ -302,18 +316,19 @@ def similar_pairs(
     name_score, ...) with a < b. Scores compare a's text with b's; where that is not symmetric, `name_score_back`
     compares b's with a's, and a pair is kept if either reaches the cutoff. Where a name's rows are in several blocks,
     `name_block` is what these share, an expression of `block`: names are compared there, once.
-    With paths, `bare` asks for (block, a, b, name_score, path_score) only.
+    With paths, `bare` asks for (block, a, b, name_score, path_score) only. `now` lets a small job on a sample of the
+    nodes, which should be stored, choose how names meet.
     """
     if path_cutoff is not None:
         if bare and scorer in BATCH_SCORERS and dict(left.dtypes)["id"] in ("int", "bigint"):
-            return _scored_rows(left, right, scorer, name_cutoff, path_cutoff, name_block)
+            return _scored_rows(left, right, scorer, name_cutoff, path_cutoff, name_block, now)
         pairs = _pairs_by_name(left, right, scorer, name_cutoff, path_cutoff, name_block, ["name", "path", *extra])
         back = F.col("name_score") if scorer == "levenshtein" else score_of(F.col("b_name"), F.col("a_name"), scorer)
         scored = _scored(pairs, scorer, name_cutoff, path_cutoff)
         return scored.select("block", "a", "b", "name_score", "path_score") if bare else scored.withColumn("name_score_back", back)
     nodes = left if right is None else left.unionByName(right)
     own = lambda side, fields: nodes.select("block", F.col("id").alias(side), *[F.col(f).alias(f"{side}_{f}") for f in fields])
-    pairs = _union([p for family in _families(scorer, name_cutoff) for p in _candidates(left, right, family, scorer)]).distinct()
+    pairs = _union([p for family in _families(scorer, name_cutoff) for p in _candidates(left, right, family, scorer, now=now)]).distinct()
     # Scores are much work on few bytes, whose sizes must not tell how many tasks there are.
     pairs = pairs.join(own("a", ("name", *extra)), ["block", "a"]).repartition(task_count(left.sparkSession), "block", "b")
     pairs = pairs.join(own("b", ("name", *extra)), ["block", "b"])

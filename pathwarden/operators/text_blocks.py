@@ -3,7 +3,8 @@
 Where most texts of a block share long pieces (web addresses of a few hosts), keys bring nearly all pairs together, and
 several times. There each part of a block meets each other part in a task of its own. The common subsequences of some
 texts with all of the other part advance character by character as bits of whole numbers (after Hyyrö, 2004), so a
-pair costs a few operations a character, and a task holds two parts, whatever the size of the block.
+pair costs a few operations a character, and a task holds two parts, whatever the size of the block. Before that, the
+characters that both texts have, counted in a few operations a pair, tell which pairs cannot have enough in common.
 """
 
 from __future__ import annotations
@@ -21,9 +22,16 @@ from pathwarden.functions.batches import BATCH_SCORERS
 #: A part has about so many texts, and so many characters, at most.
 PART_ROWS = 2_048
 PART_CHARS = 1_000_000
-#: Texts that advance together, and numbers that they may hold.
+#: Texts whose characters are counted together, those of them that advance together, and numbers that they may hold.
+COUNTED = 64
 TOGETHER = 16
 HELD = 500_000
+#: Pairs that advance one by one, and the share of all from which it is cheaper to let all pairs advance.
+ALONE = 16_384
+DENSE = 0.3
+#: Kinds of characters that are told apart in counts, and the bits of all counts of a text: their sum must fit a byte.
+KINDS = 64
+COUNT_BITS = 255
 #: Row pairs of like names that are scored together, about.
 SCORED = 200_000
 #: Tasks for each core: a few bytes of texts are much work, so their sizes must not tell how many tasks there are.
@@ -50,25 +58,80 @@ class Texts:
         return np.ascontiguousarray(np.where(known, at, len(symbols)).T.astype(np.intp))
 
 
+class Counts:
+    """The characters of two sides as bits, one for the first of a kind, one for the second and so on.
+
+    The bits that two texts share bound their common subsequence. Kinds are symbols, several in one where there are many;
+    of a kind so frequent that the bits do not suffice, what is beyond them is counted as a sum.
+    """
+
+    def __init__(self, one: np.ndarray, two: np.ndarray, symbols: int):
+        kinds = min(symbols, KINDS)
+
+        def count(columns):
+            place, text = np.nonzero(columns < symbols)
+            found = np.bincount(text * kinds + columns[place, text] % kinds, minlength=columns.shape[1] * kinds)
+            return found.reshape(columns.shape[1], kinds)
+
+        counts = count(one), count(two)
+        most = np.minimum(*(c.max(axis=0) for c in counts))
+        held = next(m for t in range(COUNT_BITS, -1, -1) if (m := np.minimum(most, t)).sum() <= COUNT_BITS)
+        kind = np.repeat(np.arange(kinds), held)
+        level = np.arange(len(kind)) - np.repeat(np.cumsum(held) - held, held)
+        words = max(1, -(-len(kind) // 64))
+
+        def bits(found):
+            padded = np.zeros((len(found), words * 64), bool)
+            padded[:, : len(kind)] = found[:, kind] > level
+            return np.ascontiguousarray(np.packbits(padded, axis=1).view(np.uint64).T)
+
+        self.one, self.two = (bits(c) for c in counts)
+        self.more = [np.maximum(c - held, 0)[:, held < most].sum(axis=1) for c in counts]
+
+    def bound(self, low: int, high: int, first: int, last: int) -> np.ndarray:
+        """The most that each of the texts from `low` to `high` can have in common with those from `first` to `last`."""
+        total = np.zeros((high - low, last - first), np.uint8)
+        for left, right in zip(self.one, self.two):
+            total += np.bitwise_count(left[low:high, None] & right[None, first:last])
+        if self.more[0].any() and self.more[1].any():
+            return total + np.minimum(self.more[0][low:high, None], self.more[1][None, first:last])
+        return total
+
+
+def _advance(state: np.ndarray, hits, hit: np.ndarray, total: np.ndarray) -> None:
+    """One more character: `hits(word, out)` gives the places in the first texts that have it."""
+    carry = None
+    for word, now in enumerate(state):
+        hits(word, hit)
+        np.bitwise_and(now, hit, out=hit)
+        np.add(now, hit, out=total)
+        if len(state) > 1:
+            over = total < hit
+            if carry is not None:
+                total += carry
+                over |= total < carry
+            carry = over.astype(np.uint64)
+        np.bitwise_xor(now, hit, out=hit)
+        np.bitwise_or(total, hit, out=now)
+
+
 def common_lengths(masks: np.ndarray, columns: np.ndarray) -> np.ndarray:
     """The longest common subsequence of each text behind the masks (word, text, symbol) with each of the columns."""
     state = np.full((len(masks), masks.shape[1], columns.shape[1]), ~np.uint64(0))
     hit, total = np.empty_like(state[0]), np.empty_like(state[0])
     for column in columns:
-        carry = None
-        for word, mask in enumerate(masks):
-            now = state[word]
-            np.take(mask, column, axis=1, out=hit, mode="clip")
-            np.bitwise_and(now, hit, out=hit)
-            np.add(now, hit, out=total)
-            if len(masks) > 1:
-                over = total < hit
-                if carry is not None:
-                    total += carry
-                    over |= total < carry
-                carry = over.astype(np.uint64)
-            np.bitwise_xor(now, hit, out=hit)
-            np.bitwise_or(total, hit, out=now)
+        _advance(state, lambda word, out: np.take(masks[word], column, axis=1, out=out, mode="clip"), hit, total)
+    return np.bitwise_count(~state).sum(axis=0, dtype=np.int64)
+
+
+def common_lengths_of(masks: np.ndarray, columns: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The same of the texts `i` behind the masks with the columns `j`, pair by pair."""
+    flat, start = masks.reshape(len(masks), -1), i * masks.shape[2]
+    state = np.full((len(masks), len(i)), ~np.uint64(0))
+    hit, total = np.empty_like(state[0]), np.empty_like(state[0])
+    for column in columns:
+        at = start + column.take(j)
+        _advance(state, lambda word, out: np.take(flat[word], at, out=out, mode="clip"), hit, total)
     return np.bitwise_count(~state).sum(axis=0, dtype=np.int64)
 
 
@@ -76,22 +139,35 @@ def near_texts(one: Texts, two: Texts, needed: Needed, reach: float) -> Iterator
     """The places in both of the pairs whose common length is enough; `reach` is the longest share of two lengths."""
     symbols = np.unique(one.points)
     coded, columns = one.numbered(symbols), two.numbered(symbols)
-    together = max(1, min(TOGETHER, HELD // len(two.ids)))
-    for low in range(0, len(one.ids), together):
-        sizes = one.sizes[low : low + together]
+    counts = Counts(coded, columns, len(symbols))
+    lengths, length = np.unique(two.sizes, return_inverse=True)
+    counted = max(1, min(COUNTED, HELD // len(two.ids)))
+    for low in range(0, len(one.ids), counted):
+        sizes = one.sizes[low : low + counted]
         first = np.searchsorted(two.sizes, np.floor(sizes[0] / reach), "left")
         last = np.searchsorted(two.sizes, np.ceil(sizes[-1] * reach), "right")
         if first == last:
             continue
-        words = max(1, -(-int(sizes[-1]) // 64))
-        masks = np.zeros((words, len(sizes), len(symbols) + 1), np.uint64)
+        least = np.broadcast_to(needed(sizes[:, None], lengths[None, :]), (len(sizes), len(lengths)))
+        least = np.ceil(least).astype(np.int32)
+        i, j = np.nonzero(counts.bound(low, low + len(sizes), first, last) >= least.take(length[first:last], axis=1))
+        if not len(i):
+            continue
+        masks = np.zeros((max(1, -(-int(sizes[-1]) // 64)), len(sizes), len(symbols) + 1), np.uint64)
         for place in range(sizes[-1]):
-            masks[place // 64, np.arange(len(sizes)), coded[place, low : low + together]] |= np.uint64(1 << place % 64)
+            masks[place // 64, np.arange(len(sizes)), coded[place, low : low + counted]] |= np.uint64(1 << place % 64)
         masks[:, :, -1] = 0
-        common = common_lengths(masks, columns[: two.sizes[last - 1], first:last])
-        i, j = np.nonzero(common >= needed(sizes[:, None], two.sizes[None, first:last]))
-        if len(i):
-            yield i + low, j + first
+        j = j + first
+        if len(i) > DENSE * len(sizes) * (last - first):
+            width = two.sizes[last - 1]
+            parts = [common_lengths(masks[:, k : k + TOGETHER], columns[:width, first:last]) for k in range(0, len(sizes), TOGETHER)]
+            common = np.concatenate(parts)[i, j - first]
+        else:
+            slices = [(i[k : k + ALONE], j[k : k + ALONE]) for k in range(0, len(i), ALONE)]
+            common = np.concatenate([common_lengths_of(masks, columns[: two.sizes[y.max()]], x, y) for x, y in slices])
+        near = common >= least[i, length[j]]
+        if near.any():
+            yield i[near] + low, j[near]
 
 
 def _parts(rows: DataFrame, rows_a_part: int) -> DataFrame:

@@ -35,6 +35,20 @@ def test_batches_score_as_single_pairs(letters):
     assert edit_distances(left, right).tolist() == [distance(x, y) for x, y in zip(left, right)]
 
 
+def test_texts_that_begin_or_end_alike_score_as_single_pairs():
+    """Repeating texts too, whose longest common piece is not where they begin or end alike."""
+    rnd, left, right = random.Random(4), [], []
+    for _ in range(3000):
+        letters, size = rnd.choice(["a", "ab", "0123456789/"]), rnd.choice([3, 12, 30, 60])
+        text = "".join(rnd.choice(letters) for _ in range(size))
+        if rnd.random() < 0.4:
+            text = (text[: rnd.randint(1, 5)] * 30)[:size] + text[:3]
+        cut = rnd.randint(0, len(text))
+        left.append(text)
+        right.append(rnd.choice([text[:cut] + rnd.choice(letters) + text[cut + 1 :], text[:cut] + text[cut + 2 :], text[cut:] + text[:cut], text + text[:cut]]))
+    assert ratios(left, right).tolist() == [similarity._ratio(x, y) for x, y in zip(left, right)]
+
+
 def test_weighted_scores_are_exact_from_the_least_one_on():
     rnd = random.Random(2)
     words = ["north", "South", "port-harbour", "bay", "12345", "é", "x", "terminal"]
