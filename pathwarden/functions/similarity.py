@@ -99,8 +99,11 @@ def plain_ratio(a: str, b: str) -> int:
 
 def _nearly_equal(a: str, b: str) -> int:
     """The ratio where it may round to 100, else 0."""
+    # Texts that differ have an unmatched character, which is over a half of a hundredth in less than 200.
+    if a == b or len(a) + len(b) < 200:
+        return 100 * (a == b)
     matcher = SequenceMatcher(None, a, b)
-    return _ratio(a, b) if a == b or min(matcher.real_quick_ratio(), matcher.quick_ratio()) >= 0.99 else 0
+    return _ratio(a, b) if min(matcher.real_quick_ratio(), matcher.quick_ratio()) >= 0.99 else 0
 
 
 def weighted_scores(a: list[str], b: list[str], least: int = 0) -> list[int]:

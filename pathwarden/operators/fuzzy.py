@@ -34,7 +34,7 @@ def similar_names(
     travel with their first `k` rows, so a popular name costs no more than a rare one.
     """
     nodes = cut_lineage(_names(df, block, order, k))
-    pairs = similar_pairs(nodes, scorer=scorer, name_cutoff=cutoff, extra=("rows",))
+    pairs = similar_pairs(nodes, scorer=scorer, name_cutoff=cutoff, extra=("rows",), now=True)
 
     def directed(me, other, score):
         return pairs.select(
