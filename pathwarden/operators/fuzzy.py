@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pathwarden.functions.paths import strip_levels
 from pathwarden.model import RAW_COLUMNS
-from pathwarden.operators.grouping import covered_nodes, ordered_groups, seed_members
+from pathwarden.operators.grouping import covered_nodes, ordered_members, seed_members
 from pathwarden.operators.rows import distinct_rows, keep_first, top_k
 from pathwarden.operators.similarity_join import similar_pairs
 from pathwarden.session import cut_lineage
@@ -178,6 +178,7 @@ def static_detection(
     scorer: str = "weighted",
     pair_scorer: str = "ratio",
     removed: tuple[int, ...] = (0, 1, 2, 3),
+    **options,
 ) -> DataFrame:
     """Rows that share a name group and, with up to three path levels removed, a similar path.
 
@@ -187,10 +188,10 @@ def static_detection(
     found = cut_lineage(group_rows(name_groups(df, block, order, k, cutoff, scorer), df, order).select(*df.columns, "group", "rank"))
     rows = found.select(*df.columns)
     # Rows are visited in the order of the name groups, as they were found there.
-    nodes = cut_lineage(stripped_nodes(found, list(removed), block, order, ["group", "rank"]).dropna())
-    pairs = similar_pairs(nodes, scorer=pair_scorer, name_cutoff=path_cutoff, path_cutoff=path_cutoff, name_block="block.level", bare=True)
-    visited = nodes.select("block", "id", (F.col("group") * (k + 1) + F.col("rank")).alias("place"))
-    groups = ordered_groups(pairs, visited).select(F.col("block.removed").alias("levels"), "seed", F.col("id").alias(order))
+    nodes = stripped_nodes(found, list(removed), block, order, ["group", "rank"]).dropna()
+    nodes = nodes.withColumn("place", F.col("group") * (k + 1) + F.col("rank")).drop("group", "rank")
+    find = partial(similar_pairs, scorer=pair_scorer, name_cutoff=path_cutoff, path_cutoff=path_cutoff, name_block="block.level", bare=True, now=True)
+    groups = ordered_members(nodes, find, **options).select(F.col("block.removed").alias("levels"), "seed", F.col("id").alias(order))
     placed = rows.join(groups, [order])
     tagged = placed.withColumn("LEVELS_REMOVED", F.concat(F.col("levels").cast("string"), F.lit(" LEVELS")))
     # The key holds the level, so rows of different levels never compete.

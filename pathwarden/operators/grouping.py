@@ -13,7 +13,7 @@ import math
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pathwarden.operators.rows import top_k
@@ -56,8 +56,8 @@ def place_ranges(edges: DataFrame, place: str, others: dict[str, str], sweep_edg
     return cut_lineage(tagged.drop("cuts"), by="range"), number
 
 
-def _sweep_covered(edges: DataFrame) -> DataFrame:
-    """The (code, id) that the seeds among the first sides cover, for edges (code, a, b)."""
+def _sweep_covered(edges: DataFrame, place: str = "a") -> DataFrame:
+    """The (code, id) that the seeds among the first sides cover, for edges (code, a, b) in the order of `place`, then a."""
 
     def sweep(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         of, covered = None, set()
@@ -71,7 +71,7 @@ def _sweep_covered(edges: DataFrame) -> DataFrame:
                     found.append((code, b))
             yield pd.DataFrame(found, columns=["code", "id"])
 
-    ordered = edges.select("code", "a", "b").repartition("code").sortWithinPartitions("code", "a", "b")
+    ordered = edges.repartition("code").sortWithinPartitions("code", place, "a", "b").select("code", "a", "b")
     return ordered.mapInPandas(sweep, "code string, id bigint")
 
 
@@ -209,6 +209,44 @@ def seed_members(
     return members.unionByName(own)
 
 
+def ordered_members(
+    nodes: DataFrame, find_pairs: PairFinder, head: int = 1_000, peel_above: int = 20_000, min_yield: float = 0.1
+) -> DataFrame:
+    """The groups (block, seed, id) of `ordered_groups` over the pairs of nodes (block, id, place, ...), without listing them all.
+
+    While many nodes remain, the first `head` ids of each block are visited. Only earlier ones of a smaller id can have
+    taken one of them, so their pairs tell which are free when their turn comes; those are compared with all nodes and
+    their groups leave. One that opens no group stays, as a later row of a smaller id may take it.
+    """
+    remaining = fix_layout(nodes.withColumn("visited", F.lit(False)))
+    left = remaining.count()
+    parts: list[DataFrame] = []
+    place_of = lambda df, side: df.select("block", F.col("id").alias(side), F.col("place").alias(f"{side}_place")).distinct()
+    while left > peel_above:
+        turn = F.dense_rank().over(Window.partitionBy("block").orderBy("place", "id"))
+        heads = fix_layout(remaining.where(~F.col("visited")).withColumn("_turn", turn).where(F.col("_turn") <= head).drop("_turn"))
+        edges = fix_layout(find_pairs(heads).select("block", "a", "b").distinct())
+        placed = edges.join(place_of(heads, "a"), ["block", "a"]).join(place_of(heads, "b"), ["block", "b"])
+        ahead = placed.where(F.struct("a_place", "a") < F.struct("b_place", "b"))
+        coded = ahead.select(F.to_json(F.struct("block")).alias("code"), "a_place", "a", "b")
+        covered = _sweep_covered(coded, "a_place").join(heads.select(F.to_json(F.struct("block")).alias("code"), "block").distinct(), "code")
+        opening = fix_layout(heads.join(covered.select("block", "id"), ["block", "id"], "left_anti"))
+        ids = opening.select("block", "id").distinct()
+        others = fix_layout(remaining.join(ids, ["block", "id"], "left_anti"))
+        inside = _join(_join(edges, ids, "a", "left_semi"), ids, "b", "left_semi")
+        across = _join(find_pairs(opening, others).select("block", "a", "b"), ids, "a", "left_semi")
+        taken = fix_layout(ordered_groups(inside.unionByName(across), opening.select("block", "id", "place").distinct()))
+        parts.append(taken)
+        seen = heads.select("block", "id", F.lit(True).alias("_seen")).distinct()
+        rest = remaining.join(_side(taken, "id"), ["block", "id"], "left_anti").join(seen, ["block", "id"], "left")
+        remaining = fix_layout(rest.withColumn("visited", F.col("visited") | F.col("_seen").isNotNull()).select(*remaining.columns))
+        before, left = left, remaining.count()
+        if before - left < min_yield * before:
+            break
+    places = remaining.select("block", "id", "place").distinct()
+    return _union([*parts, ordered_groups(find_pairs(remaining), places)])
+
+
 def _both_ways(pairs: DataFrame, seeds: DataFrame) -> list[DataFrame]:
     """Members of each seed, whichever side of the pair it is on. No two seeds are a pair."""
     return [

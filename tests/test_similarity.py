@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pathwarden.functions.similarity import _ratio, weighted_score
 from pathwarden.operators import fuzzy, vectors
-from pathwarden.operators.grouping import covered_nodes, ordered_groups, seed_members
+from pathwarden.operators.grouping import covered_nodes, ordered_groups, ordered_members, seed_members
 from pathwarden.operators.similarity_join import similar_pairs
 
 STEMS = [
@@ -289,6 +289,36 @@ def test_names_in_several_blocks_meet_once(spark):
             assert len(pairs) == len(set(pairs)) and set(pairs) == {(i, j) for i, j in wanted if not right or (i - j) % 2}
 
 
+def test_members_in_another_order_without_all_pairs(spark):
+    """Two blocks of other sizes, dense clusters among them, ids that repeat: the sweep's groups, and no full list of pairs."""
+    rnd = random.Random(9)
+    graphs, rows = {}, []
+    for block, size in (("x", 30), ("y", 8)):
+        cluster = [rnd.randrange(3) for _ in range(size)]
+        pairs = {(a, b) for a in range(size) for b in range(a + 1, size) if rnd.random() < (0.9 if cluster[a] == cluster[b] else 0.02)}
+        places = {i: rnd.choice([i, rnd.randrange(size)]) for i in range(size)}
+        graphs[block] = pairs, places
+        rows += [((block, 1), i, p) for i, p in places.items()] + [((block, 1), 3, places[3])]
+    edges = spark.createDataFrame([((g, 1), a, b) for g, (pairs, _) in graphs.items() for a, b in pairs], "block struct<level: string, n: int>, a bigint, b bigint")
+    nodes = spark.createDataFrame(rows, "block struct<level: string, n: int>, id bigint, place bigint")
+    listed = []
+
+    def find(left, right=None):
+        of = lambda side, name: side.select("block", F.col("id").alias(name)).distinct()
+        if right is None:
+            found = edges.join(of(left, "a"), ["block", "a"], "left_semi").join(of(left, "b"), ["block", "b"], "left_semi")
+        else:
+            cross = lambda x, y: edges.join(of(x, "a"), ["block", "a"], "left_semi").join(of(y, "b"), ["block", "b"], "left_semi")
+            found = cross(left, right).unionByName(cross(right, left))
+        listed.append(found.count())
+        return found
+
+    groups = ordered_members(nodes, find, head=6, peel_above=14, min_yield=0.01).collect()
+    for g, (pairs, places) in graphs.items():
+        assert {(r["seed"], r["id"]) for r in groups if r["block"]["level"] == g} == ordered_sweep(pairs, places)
+    assert len(listed) > 3 and listed[-1] < edges.count() / 2
+
+
 def test_static_detection_lists_a_row_once(spark):
     names = ["alpha beta"] * 3 + ["gamma delta"] * 2 + ["lonely one"]
     paths = ["A#B#C1", "A#B#C2", "A#Q#LONGCODE", "A#SOMEWHERE#X", "A#ELSEWHERE#YY", "A#B"]
